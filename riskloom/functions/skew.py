@@ -1,0 +1,25 @@
+"""Helpers that keep joins and driver reads inside a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 50_000
+
+
+def rows_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row] | None:
+    """The rows when there are at most ``max_rows`` of them, else None. At most ``max_rows + 1`` rows are fetched."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Broadcast a side whose size was checked; a larger side is left to the shuffle join and AQE's skew splitting.
+
+    The checked rows are kept as a local relation, so the side is not computed a second time by the join.
+    """
+    rows = rows_if_small(df, max_rows)
+    if rows is None:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -1,0 +1 @@
+"""Empty on purpose: scoring and loading are batch jobs over whole days, so no streaming operator is owed."""
