@@ -12,13 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.lineage import materialized
+
 # Sub-ranges per unit of log(1 + |value|), and sub-ranges per range (as a power of two).
 FINE_PER_UNIT = 1 << 18
 COARSE_BITS = 12
 # log(1 + |v|) of a double is below 710, so infinities may be clamped here without passing a finite value.
 LOG_LIMIT = 750.0
-# Id ranges into which the rows of one tied value are cut.
+# Id ranges into which the rows of one hot value are cut, and the number of tied rows that one task may sort.
 ID_RANGES = 1 << 14
+SORTED_TOGETHER = 1_000_000
 
 _COARSE, _FINE = "_coarse", "_fine"
 
@@ -91,78 +94,83 @@ def tile_summary(rows: DataFrame, feature: str, value: str, row_id: str, label:
     Rows are ordered by (value, row_id); rows with a NULL value form tile 0. ``rows`` is long: one row per feature and
     record, ``row_id`` a whole number.
 
-    Rows are never ranked one by one. Equal values are combined first. A value whose ranks fall into one tile is
-    done; at most ``tiles - 1`` values per feature straddle a boundary, and only these are cut by id ranges, of which
-    again at most ``tiles - 1`` straddle; only the rows of those ranges are sorted. A value that a third of all rows
-    share costs two filtered aggregations, not a sort of these rows.
+    Rows are not ranked one by one. Equal values are combined first, and a value whose ranks fall into one tile is
+    done. At most ``tiles - 1`` values per feature straddle a boundary; only their rows are read again and split by id.
     """
-    n, labelled, positives = "n", "labelled", "positives"
     sums = [
-        F.count(F.lit(1)).alias(n),
-        F.count(label).alias(labelled),
-        F.count_if(F.col(label) == 1).alias(positives),
+        F.count(F.lit(1)).alias("n"),
+        F.count(label).alias("labelled"),
+        F.count_if(F.col(label) == 1).alias("positives"),
     ]
-    by_value = rows.groupBy(feature, value).agg(*sums, F.min(row_id).alias("_lo"), F.max(row_id).alias("_hi"))
+    by_value = materialized(
+        rows.groupBy(feature, value).agg(*sums, F.min(row_id).alias("_lo"), F.max(row_id).alias("_hi"))
+    )
     known = by_value.where(F.col(value).isNotNull())
     # One row per feature name.
-    sizes = F.broadcast(known.groupBy(feature).agg(F.sum(n).alias("_rows")))
-    ranked = running_totals(known, value, [n], [feature]).join(sizes, feature)
-
-    def placed(df: DataFrame, before: Column) -> DataFrame:
-        return df.withColumns(
-            {
-                "_first": tile_number(before + 1, F.col("_rows"), tiles),
-                "_last": tile_number(before + F.col(n), F.col("_rows"), tiles),
-            }
-        )
-
-    out = [feature, F.col("_first").alias("tile"), value, n, labelled, positives]
-    whole, cut = F.col("_first") == F.col("_last"), F.col("_first") != F.col("_last")
-
-    values = placed(ranked, F.col("before_n"))
-    # At most (tiles - 1) rows per feature.
-    cut_values = F.broadcast(
-        values.where(cut).select(
-            feature,
-            value,
-            "_rows",
-            "_lo",
-            F.col("before_n").alias("_base"),
-            (F.floor((F.col("_hi") - F.col("_lo")) / ID_RANGES) + 1).alias("_width"),
-        )
-    )
-    tied = rows.join(cut_values, [feature, value]).withColumn(
-        "_range", F.floor((F.col(row_id) - F.col("_lo")) / F.col("_width"))
-    )
-    keys = [feature, value, "_rows", "_base", "_range"]
-    by_range = tied.groupBy(*keys).agg(*sums)
-    over_ranges = Window.partitionBy(feature, value).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = placed(
-        by_range.withColumn("_start", F.col("_base") + F.coalesce(F.sum(n).over(over_ranges), F.lit(0))),
-        F.col("_start"),
-    )
-    # At most (tiles - 1) rows per feature again.
-    cut_ranges = F.broadcast(ranges.where(cut).select(feature, value, "_range", "_start"))
-    in_range = Window.partitionBy(feature, value, "_range").orderBy(row_id)
-    single = tied.join(cut_ranges, [feature, value, "_range"]).withColumn(
-        "_first",
-        tile_number(F.col("_start") + F.row_number().over(in_range), F.col("_rows"), tiles),
-    )
-    singles = single.groupBy(feature, value, "_first").agg(*sums)
+    sizes = F.broadcast(known.groupBy(feature).agg(F.sum("n").alias("_rows")))
+    values = _placed(running_totals(known, value, ["n"], [feature]).join(sizes, feature), "before_n", tiles)
+
+    out = [feature, F.col("_first").alias("tile"), value, "n", "labelled", "positives"]
     nulls = by_value.where(F.col(value).isNull()).withColumn("_first", F.lit(0))
+    parts = values.where(F.col("_first") == F.col("_last")).select(*out).unionByName(nulls.select(*out))
 
-    parts = values.where(whole).select(*out)
-    for other in (ranges.where(whole), singles, nulls):
-        parts = parts.unionByName(other.select(*out))
+    # At most (tiles - 1) rows per feature: the tile boundaries.
+    straddling = values.where(F.col("_first") != F.col("_last")).select(
+        feature, value, "n", "_rows", "_lo", "_hi", F.col("before_n").alias("_start")
+    )
+    cut_values = straddling.collect()
+    if cut_values:
+        largest = max(r["n"] for r in cut_values)
+        local = rows.sparkSession.createDataFrame(cut_values, straddling.schema).drop("n")
+        tied = rows.join(F.broadcast(local), [feature, value])
+        for part in _split_ties(tied, [feature, value], row_id, sums, tiles, largest):
+            parts = parts.unionByName(part.select(*out))
     return parts.groupBy(feature, "tile").agg(
-        F.sum(n).alias(n),
-        F.sum(labelled).alias(labelled),
-        F.sum(positives).alias(positives),
+        *[F.sum(c).alias(c) for c in ("n", "labelled", "positives")],
         F.min(value).alias("value_min"),
         F.max(value).alias("value_max"),
     )
 
 
+def _placed(df: DataFrame, before: str, tiles: int) -> DataFrame:
+    """Tiles of the first and the last row of a cell of ``n`` rows."""
+    start, rows = F.col(before), F.col("_rows")
+    return df.withColumns(
+        {
+            "_first": tile_number(start + 1, rows, tiles),
+            "_last": tile_number(start + F.col("n"), rows, tiles),
+        }
+    )
+
+
+def _split_ties(
+    tied: DataFrame, keys: list[str], row_id: str, sums: list[Column], tiles: int, largest: int
+) -> list[DataFrame]:
+    """Tiles inside the values that straddle a boundary, by row id.
+
+    A value held by few rows is sorted in one task. A hot value (it may hold a third of all rows) is first counted by
+    id range; again only the ranges on a boundary, at most ``tiles - 1`` per value, are sorted.
+    """
+    if largest <= SORTED_TOGETHER:
+        start, window = F.col("_start"), Window.partitionBy(*keys).orderBy(row_id)
+        ranked, done = tied, []
+    else:
+        width = F.floor((F.col("_hi") - F.col("_lo")) / ID_RANGES) + 1
+        tied = tied.withColumn("_range", F.floor((F.col(row_id) - F.col("_lo")) / width))
+        by_range = materialized(tied.groupBy(*keys, "_rows", "_start", "_range").agg(*sums))
+        # At most ID_RANGES rows per value.
+        earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        begin = F.col("_start") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
+        ranges = _placed(by_range.withColumn("_begin", begin), "_begin", tiles)
+        on_boundary = ranges.where(F.col("_first") != F.col("_last")).select(*keys, "_range", "_begin")
+        ranked = tied.join(F.broadcast(on_boundary), [*keys, "_range"])
+        start, window = F.col("_begin"), Window.partitionBy(*keys, "_range").orderBy(row_id)
+        done = [ranges.where(F.col("_first") == F.col("_last"))]
+    rank = start + F.row_number().over(window)
+    singles = ranked.withColumn("_first", tile_number(rank, F.col("_rows"), tiles))
+    return [*done, singles.groupBy(*keys, "_first").agg(*sums)]
+
+
 def ranking_metrics(
     scored: DataFrame, score: str = "score", label: str = "is_fraud", group: Sequence[str] = ()
 ) -> DataFrame:
