@@ -39,6 +39,10 @@ def as_column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def row_count() -> Column:
+    return F.count(F.lit(1))
+
+
 def day_index(seconds: str | Column) -> Column:
     """Whole days since the origin."""
     return F.floor(as_column(seconds) / SECONDS_PER_DAY)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS = F.count(F.lit(1))
+from riskloom.functions import columns as X
 
 
 @dataclass(frozen=True)
@@ -128,7 +128,7 @@ def _one_row(check: Check, counted: DataFrame) -> DataFrame:
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur more than once; NULL keys do not count."""
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return df.where(known).groupBy(*keys).agg(ROWS.alias("n")).where(F.col("n") > 1)
+    return df.where(known).groupBy(*keys).agg(X.row_count().alias("n")).where(F.col("n") > 1)
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -136,7 +136,7 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
     The child is combined by key first, so one key with a third of the rows is a single row of the anti join.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(ROWS.alias("n"))
+    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(X.row_count().alias("n"))
     return keys.join(parent.select(F.col(parent_column).alias("_key")), "_key", "left_anti")
 
 
@@ -144,13 +144,13 @@ def table_check(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     """The rules that need more than one row or more than one table."""
     df = tables[check.table]
     if check.kind == "unique":
-        counted = repeated_keys(df, check.column).agg(ROWS.alias("v"))
+        counted = repeated_keys(df, check.column).agg(X.row_count().alias("v"))
     elif check.kind == "relationships":
         orphans = orphan_keys(df, check.column, tables[check.other], check.other_column)
         counted = orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v"))
     elif check.kind in ("equal_rowcount", "total_equals_rows"):
-        own = F.sum(check.column) if check.kind == "total_equals_rows" else ROWS
-        expected = tables[check.other].agg(ROWS).scalar()
+        own = F.sum(check.column) if check.kind == "total_equals_rows" else X.row_count()
+        expected = tables[check.other].agg(X.row_count()).scalar()
         counted = df.agg(F.abs(F.coalesce(own, F.lit(0)) - expected).alias("v"))
     elif check.kind == "train_before_valid":
         counted = split_bounds(df).agg(F.count_if(F.col("train_end") >= F.col("valid_start")).alias("v"))

@@ -43,8 +43,6 @@ FACT_COLUMNS = (
     "ingested_at",
 )
 
-ROWS = F.count(F.lit(1))
-
 
 def with_identity(tx: DataFrame, identity: DataFrame, columns: Sequence[Column] = ()) -> DataFrame:
     """Left join of the 1:1 identity side: adds ``has_identity``, ``transaction_hour`` and the given columns.
@@ -90,7 +88,7 @@ def agg_transactions_daily(fact: DataFrame) -> DataFrame:
         "product_cd",
         F.coalesce("device_type", F.lit("unknown")).alias("device_type"),
     ).agg(
-        ROWS.alias("tx_count"),
+        X.row_count().alias("tx_count"),
         F.count("is_fraud").alias("labeled_count"),
         F.count_if(fraud).alias("fraud_count"),
         F.avg("is_fraud").alias("fraud_rate"),
@@ -114,10 +112,10 @@ def agg_pipeline_daily(fact: DataFrame, params: Params) -> DataFrame:
     """Load health by date and source: volume, null rates, freshness, volume against the trailing mean."""
 
     def share(condition: Column) -> Column:
-        return F.count_if(condition) / ROWS
+        return F.count_if(condition) / X.row_count()
 
     daily = fact.groupBy("transaction_date", "source_split").agg(
-        ROWS.alias("tx_count"),
+        X.row_count().alias("tx_count"),
         F.count("is_fraud").alias("labeled_count"),
         share(F.col("purchaser_email_domain").isNull()).alias("email_null_rate"),
         share(F.col("addr1").isNull()).alias("addr_null_rate"),
@@ -135,9 +133,9 @@ def agg_predictions_daily(predictions: DataFrame, params: Params) -> DataFrame:
     daily = (
         predictions.groupBy("transaction_date", "model")
         .agg(
-            ROWS.alias("scored_count"),
+            X.row_count().alias("scored_count"),
             blocked.alias("blocked_count"),
-            (blocked / ROWS).alias("blocked_rate"),
+            (blocked / X.row_count()).alias("blocked_rate"),
             F.avg("score").alias("score_avg"),
             F.percentile_approx("score", [0.5, 0.9, 0.99], 10_000).alias("_q"),
         )
@@ -161,7 +159,7 @@ def agg_score_amount(predictions: DataFrame, tx: DataFrame, params: Params) -> D
             X.high_low("transaction_amt", params.high_amount).alias("amount_band"),
         )
         .agg(
-            ROWS.alias("tx_count"),
+            X.row_count().alias("tx_count"),
             F.sum("transaction_amt").alias("amount_total"),
             F.avg("transaction_amt").alias("amount_avg"),
             F.min("score").alias("score_min"),
@@ -203,7 +201,7 @@ def value_rates(tx: DataFrame, features: Sequence[str]) -> DataFrame:
         rows.where(F.col("value").isNotNull())
         .groupBy("feature", "value")
         .agg(
-            ROWS.alias("tx_count"),
+            X.row_count().alias("tx_count"),
             F.count_if(F.col("is_fraud") == 1).alias("fraud_count"),
             F.avg("is_fraud").alias("fraud_rate"),
         )
@@ -230,7 +228,7 @@ def feature_lift(tx: DataFrame, params: Params, features: Sequence[str]) -> Data
     return (
         rates.groupBy("feature")
         .agg(
-            ROWS.alias("value_count"),
+            X.row_count().alias("value_count"),
             F.min("fraud_rate").alias("rate_min"),
             F.max("fraud_rate").alias("rate_max"),
         )
@@ -246,7 +244,7 @@ def split_candidates(tx: DataFrame, window_days: Sequence[int] = (21, 28, 35, 42
     daily = (
         labelled_rows(tx)
         .groupBy("transaction_date")
-        .agg(ROWS.alias("n"), F.count("is_fraud").alias("labelled"), F.count_if(F.col("is_fraud") == 1).alias("frauds"))
+        .agg(X.row_count().alias("n"), F.count("is_fraud").alias("labelled"), F.count_if(F.col("is_fraud") == 1).alias("frauds"))
     )
     last_day = daily.agg(F.max("transaction_date")).scalar()
     age = F.date_diff(last_day, F.col("transaction_date"))

@@ -52,23 +52,33 @@ def deseasonalize(series: DataFrame) -> DataFrame:
     return resid.select("day_index", "n", "trend", "resid", z.alias("z"))
 
 
-def holidays(years: Column) -> Column:
-    """Array of (day, name, direction) of an array of years."""
+def holidays(year: Column) -> Column:
+    """Array of (day, name, direction) of one year."""
+    november = F.make_date(year, F.lit(11), F.lit(1))
+    # dayofweek counts Sunday as 1, so a Thursday is 5; three more weeks after the first Thursday.
+    fourth = F.date_add(november, F.pmod(F.lit(5) - F.dayofweek(november), F.lit(7)) + 21)
+    fixed = [(F.make_date(year, F.lit(m), F.lit(d)), name, way) for m, d, name, way in FIXED_HOLIDAYS]
+    moving = [(F.date_add(fourth, after), name, way) for after, name, way in THANKSGIVING_HOLIDAYS]
+    return F.array(
+        *[
+            F.struct(day.alias("day"), F.lit(name).alias("name"), F.lit(way).alias("direction"))
+            for day, name, way in fixed + moving
+        ]
+    )
 
-    def of_year(y: Column) -> Column:
-        november = F.make_date(y, F.lit(11), F.lit(1))
-        # dayofweek counts Sunday as 1, so a Thursday is 5; three more weeks after the first Thursday.
-        fourth = F.date_add(november, F.pmod(F.lit(5) - F.dayofweek(november), F.lit(7)) + 21)
-        fixed = [(F.make_date(y, F.lit(m), F.lit(d)), name, way) for m, d, name, way in FIXED_HOLIDAYS]
-        moving = [(F.date_add(fourth, after), name, way) for after, name, way in THANKSGIVING_HOLIDAYS]
-        return F.array(
-            *[
-                F.struct(day.alias("day"), F.lit(name).alias("name"), F.lit(way).alias("direction"))
-                for day, name, way in fixed + moving
-            ]
-        )
 
-    return F.flatten(F.transform(years, of_year))
+def covered_holidays(z: DataFrame, origins: DataFrame) -> DataFrame:
+    """(origin, day, name, direction, z): the holidays inside the series, dated by each candidate origin."""
+    known = z.where(F.col("z").isNotNull()).select("day_index", "z")
+    lo, hi = (z.agg(f("day_index").cast("int")).scalar() for f in (F.min, F.max))
+    years = F.sequence(F.year(F.date_add("origin", lo)), F.year(F.date_add("origin", hi)))
+    return (
+        origins.select("origin", F.explode(years).alias("_year"))
+        .select("origin", F.explode(holidays(F.col("_year"))).alias("_h"))
+        .select("origin", "_h.*", F.date_diff(F.col("_h.day"), F.col("origin")).cast("long").alias("day_index"))
+        .join(known, "day_index")
+        .drop("day_index")
+    )
 
 
 def candidates(spark: SparkSession, first: date = FIRST_CANDIDATE, last: date = LAST_CANDIDATE) -> DataFrame:
@@ -76,21 +86,11 @@ def candidates(spark: SparkSession, first: date = FIRST_CANDIDATE, last: date =
 
 
 def score_origins(z: DataFrame, origins: DataFrame) -> DataFrame:
-    """(origin, n_holidays, score): mean of the z-scores on holidays, signed by the expected direction.
-
-    Each candidate asks for the holidays its own series covers, joined to the series by day index.
-    """
-    spans = z.agg(F.min("day_index").alias("lo"), F.max("day_index").alias("hi"))
-    lo, hi = spans.select("lo").scalar().cast("int"), spans.select("hi").scalar().cast("int")
-    years = F.sequence(F.year(F.date_add("origin", lo)), F.year(F.date_add("origin", hi)))
-    asked = (
-        origins.select("origin", F.explode(holidays(years)).alias("h"))
-        .select("origin", "h.day", "h.name", "h.direction")
-        .withColumn("day_index", F.date_diff("day", "origin").cast("long"))
-    )
-    hits = asked.join(z.where(F.col("z").isNotNull()).select("day_index", "z"), "day_index")
-    scored = hits.groupBy("origin").agg(
-        F.count(F.lit(1)).alias("n_holidays"), F.avg(F.col("z") * F.col("direction")).alias("score")
+    """(origin, n_holidays, score): mean of the z-scores on holidays, signed by the expected direction."""
+    scored = (
+        covered_holidays(z, origins)
+        .groupBy("origin")
+        .agg(F.count(F.lit(1)).alias("n_holidays"), F.avg(F.col("z") * F.col("direction")).alias("score"))
     )
     return origins.join(scored, "origin", "left").select(
         "origin",
@@ -101,16 +101,8 @@ def score_origins(z: DataFrame, origins: DataFrame) -> DataFrame:
 
 def holiday_detail(z: DataFrame, origin: date) -> DataFrame:
     """(day, name, direction, z, agrees) of one candidate."""
-    spans = z.agg(F.min("day_index").alias("lo"), F.max("day_index").alias("hi"))
-    lo, hi = spans.select("lo").scalar().cast("int"), spans.select("hi").scalar().cast("int")
-    start = F.lit(origin)
-    years = F.sequence(F.year(F.date_add(start, lo)), F.year(F.date_add(start, hi)))
-    asked = z.sparkSession.range(1).select(F.explode(holidays(years)).alias("h")).select("h.*")
-    return (
-        asked.withColumn("day_index", F.date_diff("day", start).cast("long"))
-        .join(z.where(F.col("z").isNotNull()), "day_index")
-        .select("day", "name", "direction", "z", (F.col("z") * F.col("direction") > 0).alias("agrees"))
-    )
+    hits = covered_holidays(z, candidates(z.sparkSession, origin, origin))
+    return hits.select("day", "name", "direction", "z", (F.col("z") * F.col("direction") > 0).alias("agrees"))
 
 
 def rank_origins(scored: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions import columns as X
 from riskloom.sources.contracts import underscored
 
 # Fixed values.
@@ -15,8 +16,6 @@ INT32_MIN, INT32_MAX = -2_147_483_648, 2_147_483_647
 FLOAT32_SAFE_MAX = 3.0e38
 MOSTLY_NULL = 0.9
 
-ROWS = F.count(F.lit(1))
-
 
 def daily_profile(tx: DataFrame, day: str, row_id: str, label: str, amount: str) -> DataFrame:
     """Volume, fraud and amount per day."""
@@ -39,7 +38,7 @@ def daily_profile_summary(daily: DataFrame) -> DataFrame:
         ]
 
     return daily.agg(
-        ROWS.alias("day_count"),
+        X.row_count().alias("day_count"),
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
         F.date_diff(F.max("day"), F.min("day")).alias("span_days"),
@@ -51,7 +50,7 @@ def daily_profile_summary(daily: DataFrame) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Null share and type of every column, all rows, in one aggregation whose only row is then turned on its side."""
-    shares = df.agg(*[(F.count_if(F.col(c).isNull()) / ROWS).alias(c) for c in df.columns])
+    shares = df.agg(*[(F.count_if(F.col(c).isNull()) / X.row_count()).alias(c) for c in df.columns])
     types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
     return shares.unpivot([], df.columns, "column", "null_ratio").select(
         "column", types[F.col("column")].alias("dtype"), "null_ratio"
@@ -61,14 +60,14 @@ def null_profile(df: DataFrame) -> DataFrame:
 def null_summary(profile: DataFrame) -> DataFrame:
     """Columns in all, mostly empty ones and complete ones."""
     return profile.agg(
-        ROWS.alias("column_count"),
+        X.row_count().alias("column_count"),
         F.count_if(F.col("null_ratio") > MOSTLY_NULL).alias("mostly_null"),
         F.count_if(F.col("null_ratio") == 0).alias("complete"),
     )
 
 
 def type_counts(profile: DataFrame) -> DataFrame:
-    return profile.groupBy("dtype").agg(ROWS.alias("column_count"))
+    return profile.groupBy("dtype").agg(X.row_count().alias("column_count"))
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -91,7 +90,7 @@ def column_profile(df: DataFrame) -> DataFrame:
         df.select(*as_text)
         .unpivot([], list(kinds), "column", "value")
         .groupBy("column", "value")
-        .agg(ROWS.alias("n"))
+        .agg(X.row_count().alias("n"))
         .withColumn("_number", F.when(F.col("column").isin(numeric), F.col("value").cast("double")))
     )
     stats = counts.groupBy("column").agg(
