@@ -50,7 +50,7 @@ def text(column: str) -> str:
 
 
 def raw_text(column: str) -> str:
-    return text(column) if column not in RAW else f"{text(column).split(' as ')[0]} as {RAW[column]}"
+    return text(column) if column not in RAW else f"{text(column).rsplit(' as ', 1)[0]} as {RAW[column]}"
 
 
 def r(expression: str) -> str:
@@ -85,7 +85,7 @@ DIM = """select distinct transaction_date, case when source_split = 'test' then
  when transaction_date < date '2024-01-18' then 'train' else 'valid' end as ml_split from tx"""
 DAILY = f"""select transaction_date, transaction_hour, source_split, product_cd,
  coalesce(device_type, 'unknown') as device_type, count(*) as tx_count,
- count(is_fraud) as labeled_count, cast(count(*) filter (where is_fraud = 1) as double) as fraud_count,
+ count(is_fraud) as labeled_count, count(*) filter (where is_fraud = 1) as fraud_count,
  {r("avg(is_fraud)")} as fraud_rate, {r("sum(transaction_amt)")} as amt_sum, {r("avg(transaction_amt)")} as amt_avg,
  {r("coalesce(sum(transaction_amt) filter (where is_fraud = 1), 0.0)")} as fraud_amt,
  count(*) filter (where has_identity) as with_identity_count
@@ -114,7 +114,7 @@ LONG = " union all ".join(
     f"select '{f}' as feature, cast({f} as double) as v, transaction_id, is_fraud from tx where source_split = 'train'"
     for f in REPORTED_FEATURES
 )
-BUCKETS = f"""select feature, bucket, count(*) as tx_count, cast(count(*) filter (where is_fraud = 1) as double) as fraud_count,
+BUCKETS = f"""select feature, bucket, count(*) as tx_count, count(*) filter (where is_fraud = 1) as fraud_count,
  {r("avg(is_fraud)")} as fraud_rate, {r("min(v)")} as value_min, {r("max(v)")} as value_max from (
  select *, case when v is null then 'null' else 'Q' || ntile(5) over (partition by feature, v is null order by v, transaction_id) end as bucket
  from ({LONG})) group by 1, 2 having count(*) >= 1000"""
@@ -123,7 +123,7 @@ BUCKETS = f"""select feature, bucket, count(*) as tx_count, cast(count(*) filter
 def values_of(features: tuple[str, ...]) -> str:
     return " union all ".join(
         f"""select '{f}' as feature, cast({f} as varchar) as value, count(*) as tx_count,
- cast(count(*) filter (where is_fraud = 1) as double) as fraud_count, avg(is_fraud) as rate
+ count(*) filter (where is_fraud = 1) as fraud_count, avg(is_fraud) as rate
  from tx where source_split = 'train' and {f} is not null group by 2 having count(*) >= 1000"""
         for f in features
     )
@@ -338,7 +338,7 @@ def oracle() -> dict[str, str]:
  + case when transaction_amt < 25 then 0.3 else 0 end - case when domain = 'other' then 0.4 else 0 end - 1.0)))"""
     metrics = f""", {SCORED}, b as (select score, count(*) filter (where is_fraud = 1) as pos, count(*) filter (where is_fraud = 0) as neg from s group by 1),
  k as (select *, sum(pos) over (order by score desc) as tp, sum(pos + neg) over (order by score desc) as seen from b)
- select cast(sum(pos + neg) as bigint) as row_count, cast(sum(pos) as double) as fraud_count, {r("sum(pos * tp / seen) / sum(pos)")} as pr_auc,
+ select cast(sum(pos + neg) as bigint) as row_count, cast(sum(pos) as bigint) as fraud_count, {r("sum(pos * tp / seen) / sum(pos)")} as pr_auc,
  {r("sum(neg * (tp - pos + pos / 2)) / (sum(pos) * sum(neg))")} as roc_auc from k"""
     tx_row_checks = lambda checks: q(" " + checks_sql(checks, {}))
     return {
@@ -405,7 +405,7 @@ def oracle() -> dict[str, str]:
         "threshold_curve": curve_q(f", p as (select *, {RATES} from o) select threshold, caught, missed, false_alarms, round(missed_amount, 2) as missed_amount, round(recall, 4) as recall, round(precision, 4) as precision from p"),
         "threshold_sensitivity": curve_q(f", k as (select unnest([1.0, 5.0, 10.0, 25.0, 50.0, 100.0]) :: double as fp_cost), p as (select *, {RATES}, missed_amount + false_alarms * fp_cost as total_cost from o cross join k) select fp_cost, {OUTCOME}, {r('total_cost')} as total_cost from p qualify {CHEAPEST}"),
         "cost_view": curve_q(f", p as (select *, {RATES}, 25.0 :: double as fp_cost, missed_amount + false_alarms * 25.0 as total_cost, (select sum(transaction_amt) from s where is_fraud = 1) as loss from o) select fp_cost, {OUTCOME}, {r('total_cost')} as total_cost, {r('loss')} as no_block_loss, caught + false_alarms as blocked, {r('loss - total_cost')} as saving from p qualify {CHEAPEST}"),
-        "curve_summary": q(f", {SCORED} select count(*) as row_count, cast(count(*) filter (where is_fraud = 1) as double) as fraud_count, round(sum(transaction_amt) filter (where is_fraud = 1), 2) as fraud_amount, {r('avg(is_fraud)')} as base_rate from s"),
+        "curve_summary": q(f", {SCORED} select count(*) as row_count, count(*) filter (where is_fraud = 1) as fraud_count, round(sum(transaction_amt) filter (where is_fraud = 1), 2) as fraud_amount, {r('avg(is_fraud)')} as base_rate from s"),
         "contribution_top": q(f", {IMPORTANCE} select feature, {r('importance')} as importance, cast(rank as int) as rank, {r('share')} as share, {r('cumulative_share')} as cumulative_share from k where rank <= 5"),
         "contribution_families": q(f""", {IMPORTANCE}, f as (select case when feature ~ '^V' then 'V' when feature ~ '^C' then 'C' when feature ~ '^D' then 'D' when feature ~ '^M' then 'M' when feature like 'id\\_%' escape '\\' then 'id_' else 'named' end as family, sum(importance) as importance, count(*) as column_count from c group by 1)
  select family, {r('importance')} as importance, column_count, {r('importance / sum(importance) over ()')} as share, {r('importance / sum(importance) over () / column_count')} as share_per_column from f"""),
