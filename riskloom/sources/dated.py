@@ -37,10 +37,6 @@ def laid_out(df: DataFrame, clustering: tuple[str, ...] = ()) -> DataFrame:
     return dated.hint("rebalance", F.col(DT)).sortWithinPartitions(DT, *keys)
 
 
-def _writer(df: DataFrame, mode: str):
-    return df.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-
-
 def write_days(df: DataFrame, root: str, dataset: str, schema: T.StructType | None = None) -> None:
     """Replace every day present in ``df``, in one job; other days stay. Rows without a date are refused."""
     checked = C.gate(df, schema) if schema is not None else df
@@ -50,7 +46,14 @@ def write_days(df: DataFrame, root: str, dataset: str, schema: T.StructType | No
         F.coalesce(C.PARTITION_KEY, F.raise_error(F.lit("row without a partition date")).cast("date")),
     )
     arranged = laid_out(guarded, C.CLUSTERING.get(dataset, ()))
-    _writer(arranged, "overwrite").partitionBy(DT).parquet(table_path(root, dataset))
+    writer = arranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+    writer.partitionBy(DT).parquet(table_path(root, dataset))
+
+
+def write_all(df: DataFrame, root: str, dataset: str) -> None:
+    """Replace the whole table: days that are not in ``df`` disappear."""
+    writer = laid_out(df).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(DT).parquet(table_path(root, dataset))
 
 
 def replace_day(df: DataFrame, root: str, dataset: str, day: date, schema: T.StructType | None = None) -> None:

@@ -33,6 +33,11 @@ def source_types(source: str) -> dict[str, str]:
     return C.transaction_types(with_label=source.startswith("train"))
 
 
+def read_header(spark: SparkSession, directory: str, source: str) -> DataFrame:
+    """A file as text under its own column names; asking for its columns reads one line."""
+    return spark.read.csv(raw_path(directory, source), header=True, inferSchema=False)
+
+
 def read_raw(spark: SparkSession, directory: str, source: str, nrows: int | None = None) -> DataFrame:
     """Read one CSV under its contract; a value that does not fit its type fails the read.
 
@@ -41,7 +46,7 @@ def read_raw(spark: SparkSession, directory: str, source: str, nrows: int | None
     """
     path = raw_path(directory, source)
     types = source_types(source)
-    header = spark.read.option("header", True).csv(path, schema=None, inferSchema=False).columns
+    header = read_header(spark, directory, source).columns
     unknown = [c for c in header if C.underscored(c) not in types]
     absent = [c for c in types if c not in {C.underscored(h) for h in header}]
     if unknown or absent:
