@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.skew import broadcast_if_small
 from riskloom.operators.checks import repeated_keys
 from riskloom.operators.marts import with_identity
+from riskloom.sources.dated import DT, between_days, on_day
 
 SPLITS = ("train", "valid", "test")
 
@@ -64,8 +65,11 @@ def load(
     days = broadcast_if_small(dim)
     if repeated_keys(days, "transaction_date").limit(1).count():
         raise ValueError("a date belongs to two splits")
-    wanted = list(dict.fromkeys([*columns, "transaction_dt", *KEYS])) if columns else tx.columns
-    rows = tx.select(*wanted).join(days.where(F.col("ml_split") == split), "transaction_date")
+    # A dated table is joined on its directory column, so that the days of the split prune its partitions.
+    key = DT if DT in tx.columns else "transaction_date"
+    chosen = days.where(F.col("ml_split") == split).withColumnRenamed("transaction_date", key)
+    wanted = list(dict.fromkeys([*columns, "transaction_dt", *KEYS, key])) if columns else tx.columns
+    rows = tx.select(*wanted).join(chosen, key).drop(DT)
     frame = with_identity(rows, identity)
     features = feature_columns(frame.columns)
     return Dataset(frame.select(*KEYS, *features), features, None if split == "test" else LABEL)
@@ -86,9 +90,13 @@ def load_training(
     return data
 
 
+def on_same_days(identity: DataFrame, first: date, last: date) -> DataFrame:
+    """Identity rows of a range of days: a stored identity row carries the date of its transaction, so none is missed."""
+    return between_days(identity, first, last) if "transaction_date" in identity.columns else identity
+
+
 def load_day(tx: DataFrame, identity: DataFrame, day: date) -> Dataset:
     """All rows of one day, labelled or not, with the same features as ``load``."""
-    rows = tx.where(F.col("transaction_date") == F.lit(day))
-    frame = with_identity(rows, identity)
+    frame = with_identity(on_day(tx, day), on_same_days(identity, day, day))
     features = feature_columns(frame.columns)
     return Dataset(frame.select(*KEYS, *features), features, None)

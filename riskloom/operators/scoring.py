@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.dataset import feature_columns
+from riskloom.operators.dataset import feature_columns, on_same_days
 from riskloom.operators.marts import with_identity
 from riskloom.operators.store import Bundle, score
 from riskloom.params import Params
@@ -42,10 +42,11 @@ def score_day(
     tx: DataFrame, identity: DataFrame, bundle: Bundle, name: str, day: date, root: str, params: Params
 ) -> int:
     """Score one day and replace it in the predictions table; returns its rows, 0 when there is nothing to score."""
-    rows = tx.where(F.col("transaction_date") == F.lit(day))
+    rows = dated.on_day(tx, day)
     if not rows.limit(1).count():
         return 0
-    dated.replace_day(predictions(rows, identity, bundle, name, params), root, PREDICTIONS, day, C.PREDICTION_SCHEMA)
+    scored = predictions(rows, on_same_days(identity, day, day), bundle, name, params)
+    dated.replace_day(scored, root, PREDICTIONS, day, C.PREDICTION_SCHEMA)
     return dated.on_day(dated.read_table(tx.sparkSession, root, PREDICTIONS), day).count()
 
 
@@ -53,6 +54,7 @@ def score_days(
     tx: DataFrame, identity: DataFrame, bundle: Bundle, name: str, first: date, last: date, root: str, params: Params
 ) -> DataFrame:
     """Score a range of days in one job and report it; days without rows are skipped."""
-    rows = tx.where(F.col("transaction_date").between(F.lit(first), F.lit(last)))
-    dated.write_days(predictions(rows, identity, bundle, name, params), root, PREDICTIONS, C.PREDICTION_SCHEMA)
+    rows = dated.between_days(tx, first, last)
+    scored = predictions(rows, on_same_days(identity, first, last), bundle, name, params)
+    dated.write_days(scored, root, PREDICTIONS, C.PREDICTION_SCHEMA)
     return dated.gap_report(rows, first, last)

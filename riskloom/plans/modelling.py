@@ -14,17 +14,15 @@ from riskloom.operators.ordered import ranking_metrics
 from riskloom.operators.staging import stg_identity, stg_transactions
 from riskloom.params import Params
 from riskloom.plans.transform import raw_tables, read_mart
-from riskloom.sources import dated, sinks
+from riskloom.sources import sinks
 
 KEYS = dataset.KEYS
 
 
 def _staged(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Both staged tables, with the directory column that day filters prune on."""
     tables = raw_tables(spark, root)
-    return (
-        stg_transactions(tables["transactions"]).drop(dated.DT),
-        stg_identity(tables["identity"]).drop(dated.DT),
-    )
+    return stg_transactions(tables["transactions"]), stg_identity(tables["identity"])
 
 
 def _split(

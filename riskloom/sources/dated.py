@@ -91,6 +91,12 @@ def on_day(table: DataFrame, day: date) -> DataFrame:
     return table.where(F.col(column) == F.lit(day)).drop(DT)
 
 
+def between_days(table: DataFrame, first: date, last: date) -> DataFrame:
+    """Rows of a range of days, both ends included."""
+    column = DT if DT in table.columns else C.PARTITION_KEY
+    return table.where(F.col(column).between(F.lit(first), F.lit(last))).drop(DT)
+
+
 def present_days(table: DataFrame) -> DataFrame:
     """One row per day that holds rows."""
     column = DT if DT in table.columns else C.PARTITION_KEY
@@ -145,6 +151,6 @@ def gap_report(table: DataFrame, first: date, last: date) -> DataFrame:
 
 def load_days(source: DataFrame, root: str, dataset: str, first: date, last: date) -> DataFrame:
     """Backfill a range in one job and return its report; days without data are skipped, not failed."""
-    wanted = source.where(F.col(C.PARTITION_KEY).between(F.lit(first), F.lit(last))).drop(DT)
+    wanted = between_days(source, first, last)
     write_days(wanted, root, dataset, C.table_schema(dataset))
     return gap_report(wanted, first, last)

@@ -9,7 +9,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import marts, models
+from riskloom.operators import dataset, marts, models
 from riskloom.operators.checks import CheckFailure
 from riskloom.params import Params
 from riskloom.plans import ingest, modelling, profiling, transform
@@ -123,3 +123,15 @@ def test_plans_hold_no_global_window_and_no_cross_join(spark, name):
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(registry()["agg_predictions_daily"](spark, "/root/testdata/sf0.001"))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,props:string>" in plan
+
+
+def test_days_prune_partitions_for_training_and_scoring(spark, lake):
+    transform.transform(spark, lake["raw"], lake["mart"], P)
+    valid = modelling._split(spark, lake["raw"], lake["mart"], "valid", models.FeatureSet.CURATED)
+    assert "dynamicpruning" in plan_of(valid.frame)
+    assert "dt" not in valid.frame.columns
+    tx, identity = modelling._staged(spark, lake["raw"])
+    day = dataset.load_day(tx, identity, date(2018, 1, 4)).frame
+    filters = re.findall(r"PartitionFilters: \[(.*?)\]", plan_of(day))
+    assert len(filters) == 2 and all("dt" in f for f in filters)
+    assert day.count() > 0 and day.where("has_identity").count() > 0
