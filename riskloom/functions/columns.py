@@ -58,12 +58,6 @@ def hour_of_day(seconds: str | Column) -> Column:
     return F.floor(as_column(seconds) / SECONDS_PER_HOUR) % 24
 
 
-def parse_flag(text: str | Column) -> Column:
-    """Text ``T``/``F`` to a nullable boolean; any other text is NULL."""
-    c = as_column(text)
-    return F.when(c == "T", F.lit(True)).when(c == "F", F.lit(False))
-
-
 def ratio_or_null(numerator: str | Column, denominator: str | Column) -> Column:
     """Quotient, NULL where the denominator is 0 or NULL."""
     return F.try_divide(as_column(numerator), as_column(denominator))

@@ -6,10 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as X
+from riskloom.functions import text
 
 
 @dataclass(frozen=True)
@@ -92,37 +93,31 @@ class CheckFailure(AssertionError):
     """At least one check has violations."""
 
 
-def _violates(check: Check) -> Column:
+def _violates(check: Check) -> str:
     """Condition of a violating row, for the rules that look at one row; NULL passes all but not_null."""
-    c = F.col(check.column)
+    c = text.name(check.column)
     if check.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if check.kind == "accepted_values":
-        return ~c.isin(*check.values)
-    below = c < check.low if check.low is not None else F.lit(False)
-    above = c > check.high if check.high is not None else F.lit(False)
-    return below | above
+        return f"{c} NOT IN ({', '.join(text.literal(v) for v in check.values)})"
+    ends = [f"{c} {sign} {text.literal(end)}" for sign, end in (("<", check.low), (">", check.high)) if end is not None]
+    return " OR ".join(ends) or "false"
 
 
 def row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All single-row rules of a table in one scan: one conditional count per rule, then one row per rule."""
-    counts = df.agg(*[F.count_if(_violates(c)).alias(f"v{i}") for i, c in enumerate(checks)])
-    return counts.select(F.inline(F.array(*[_result(c, F.col(f"v{i}")) for i, c in enumerate(checks)])))
-
-
-def _result(check: Check, violations: Column) -> Column:
-    v = F.coalesce(violations.cast("long"), F.lit(0).cast("long"))
-    return F.struct(
-        F.lit(check.kind).alias("check"),
-        F.lit(check.table).alias("table"),
-        F.lit(check.column).alias("column"),
-        v.alias("violations"),
-        (v == 0).alias("passed"),
-    )
+    counts = df.agg(*[F.expr(f"count_if({_violates(c)}) AS v{i}") for i, c in enumerate(checks)])
+    return _results(counts, {f"v{i}": c for i, c in enumerate(checks)})
 
 
-def _one_row(check: Check, counted: DataFrame) -> DataFrame:
-    return counted.select(F.inline(F.array(_result(check, F.col("v")))))
+def _results(counted: DataFrame, checks: Mapping[str, Check]) -> DataFrame:
+    """A row of violation counts, one column per check, to one row per check."""
+    row = "named_struct('check', {0}, 'table', {1}, 'column', {2}, 'violations', {3}, 'passed', {3} = 0)"
+    rows = [
+        row.format(*map(text.literal, (c.kind, c.table, c.column)), f"coalesce(CAST({v} AS BIGINT), 0L)")
+        for v, c in checks.items()
+    ]
+    return counted.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def repeated_keys(df: DataFrame, *keys: str) -> DataFrame:
@@ -156,7 +151,7 @@ def table_check(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
         counted = split_bounds(df).agg(F.count_if(F.col("train_end") >= F.col("valid_start")).alias("v"))
     else:
         raise KeyError(f"unknown check {check.kind!r}")
-    return _one_row(check, counted)
+    return _results(counted, {"v": check})
 
 
 def split_bounds(dim: DataFrame) -> DataFrame:

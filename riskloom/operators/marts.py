@@ -174,7 +174,7 @@ def labelled_rows(tx: DataFrame) -> DataFrame:
 
 def long_features(tx: DataFrame, features: Sequence[str], kind: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per record and feature from a single scan; ``kind`` is the common type of ``value``."""
-    typed = tx.select(*keep, *[F.col(f).cast(kind).alias(f) for f in features])
+    typed = tx.selectExpr(*keep, *[f"CAST({f} AS {kind}) AS {f}" for f in features])
     return typed.unpivot(list(keep), list(features), "feature", "value")
 
 

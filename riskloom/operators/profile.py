@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import columns as X
+from riskloom.functions import text
 from riskloom.sources.contracts import underscored
 
 # Fixed values.
@@ -50,10 +51,11 @@ def daily_profile_summary(daily: DataFrame) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Null share and type of every column, all rows, in one aggregation whose only row is then turned on its side."""
-    shares = df.agg(*[(F.count_if(F.col(c).isNull()) / X.row_count()).alias(c) for c in df.columns])
-    types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
-    return shares.unpivot([], df.columns, "column", "null_ratio").select(
-        "column", types[F.col("column")].alias("dtype"), "null_ratio"
+    names = {c: text.name(c) for c in df.columns}
+    shares = df.agg(*[F.expr(f"count_if({n} IS NULL) / count(1) AS {n}") for n in names.values()])
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    return shares.unpivot([], list(names.values()), "column", "null_ratio").select(
+        "column", text.lookup(types, "column").alias("dtype"), "null_ratio"
     )
 
 
@@ -79,16 +81,16 @@ def column_profile(df: DataFrame) -> DataFrame:
     """
     kinds = {f.name: f.dataType for f in df.schema}
     numeric = [c for c, t in kinds.items() if isinstance(t, T.NumericType)]
+
     # Adding 0 folds negative zero into zero, which would otherwise be two texts of one number; NaN is no value.
-    as_text = [
-        (F.nanvl(F.col(c) + F.lit(0.0), F.lit(None).cast("double")) if isinstance(t, T.FractionalType) and not isinstance(t, T.DecimalType) else F.col(c))
-        .cast("string")
-        .alias(c)
-        for c, t in kinds.items()
-    ]
+    def as_text(column: str, kind: T.DataType) -> str:
+        n = text.name(column)
+        known = f"nanvl({n} + 0D, CAST(NULL AS DOUBLE))" if isinstance(kind, (T.DoubleType, T.FloatType)) else n
+        return f"CAST({known} AS STRING) AS {n}"
+
     counts = (
-        df.select(*as_text)
-        .unpivot([], list(kinds), "column", "value")
+        df.selectExpr(*[as_text(c, t) for c, t in kinds.items()])
+        .unpivot([], [text.name(c) for c in kinds], "column", "value")
         .groupBy("column", "value")
         .agg(X.row_count().alias("n"))
         .withColumn("_number", F.when(F.col("column").isin(numeric), F.col("value").cast("double")))
@@ -115,7 +117,6 @@ def column_profile(df: DataFrame) -> DataFrame:
         .when(few, "category")
         .otherwise("str")
     )
-    types = F.create_map(*[F.lit(x) for c, t in kinds.items() for x in (c, t.simpleString())])
     # Lists are built only for columns known to have few values; one row per column, so this side is broadcast.
     short = F.broadcast(stats.where(few & ~is_number).select("column"))
     listed = (
@@ -126,7 +127,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
     return stats.join(F.broadcast(listed), "column", "left").select(
         "column",
-        types[F.col("column")].alias("current_dtype"),
+        text.lookup({c: t.simpleString() for c, t in kinds.items()}, "column").alias("current_dtype"),
         advice.alias("recommended"),
         F.round(F.try_divide("_nulls", "_rows"), 4).alias("null_ratio"),
         "nunique",

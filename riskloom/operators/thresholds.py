@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import ratio_or_zero
+from riskloom.functions.text import numbers
 
 # 0.01 to 0.99, each rounded on its own so that 0.29 is the double nearest to 0.29.
 GRID = tuple(round(i / 100, 2) for i in range(1, 100))
@@ -57,15 +58,14 @@ def points(
 ) -> DataFrame:
     """Outcome at every grid threshold, unrounded: counts, missed amount, recall and precision."""
     totals = bucket_totals(scored, grid, group, score, label, amount)
-    marks = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(float(t)).alias("threshold")) for i, t in enumerate(grid, 1)])
-    fanned = totals.withColumn("_mark", F.explode(marks))
-    blocked = F.col("_reached") >= F.col("_mark.pos")
+    fanned = totals.select("*", F.posexplode(numbers(grid)).alias("_position", "threshold"))
+    blocked = F.col("_reached") > F.col("_position")
 
     def total(condition: Column, column: str, zero) -> Column:
         return F.sum(F.when(condition, F.col(column)).otherwise(zero))
 
     return (
-        fanned.groupBy(*group, F.col("_mark.threshold").alias("threshold"))
+        fanned.groupBy(*group, "threshold")
         .agg(
             total(blocked, "_frauds", 0).alias("caught"),
             total(~blocked, "_frauds", 0).alias("missed"),
@@ -119,8 +119,7 @@ def sensitivity(
     scored: DataFrame, fp_costs: Sequence[float] = FP_COSTS, grid: Sequence[float] = GRID, **names
 ) -> DataFrame:
     """Best threshold for each false-alarm cost; the costs fan out the grid rows, not the scores."""
-    costs = F.explode(F.array(*[F.lit(float(c)) for c in fp_costs]))
-    costed = points(scored, grid, **names).withColumn("fp_cost", costs)
+    costed = points(scored, grid, **names).withColumn("fp_cost", F.explode(numbers(fp_costs)))
     return best(costed.withColumn("total_cost", total_cost(F.col("fp_cost"))), ["fp_cost"])
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import columns as X
+from riskloom.functions import text
 from riskloom.operators import checks as Q
 from riskloom.operators import dataset, explain, features, marts, models, origin, profile, scoring, store, thresholds
 from riskloom.operators.entity import entity_monotonicity as steps_of_entities
@@ -59,17 +60,17 @@ _REGISTRY: dict[str, Query] = {}
 def portable(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        c = text.name(f.name)
         if isinstance(f.dataType, T.DateType):
-            c = c.cast("string")
+            e = f"CAST({c} AS STRING)"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            e = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c + NUDGE, 6)
-        elif f.name in NULLABLE:
-            c = c.cast("double")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            e = f"round({c} + {text.literal(NUDGE)}, 6)"
+        else:
+            e = f"CAST({c} AS DOUBLE)" if f.name in NULLABLE else c
+        out.append(f"{e} AS {c}")
+    return df.selectExpr(*out)
 
 
 def query(fn: Callable[[Standins], DataFrame]) -> Callable[[Standins], DataFrame]:
@@ -92,8 +93,9 @@ def registry() -> dict[str, Query]:
 
 @query
 def bool_parse(s: Standins) -> DataFrame:
-    text = F.when(F.col("M4") == "M0", "T").when(F.col("M4") == "M1", "F").otherwise(F.col("M4"))
-    return s.tx.select("transaction_id", X.parse_flag(text).alias("flag"))
+    written = F.when(F.col("M4") == "M0", "T").when(F.col("M4") == "M1", "F").otherwise(F.col("M4"))
+    files = s.tx.select("transaction_id", written.alias("flag"))
+    return files.selectExpr("transaction_id", f"{raw.typed('flag', 'boolean')} AS flag")
 
 
 @query

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.functions.columns import parse_flag, transaction_date
+from riskloom.functions.columns import transaction_date
 from riskloom.sources import contracts as C
 
 # Logical source name -> file.
@@ -63,21 +63,22 @@ def read_raw(spark: SparkSession, directory: str, source: str, nrows: int | None
         spark.read.csv(path, schema=shape, header=True, mode="FAILFAST", enforceSchema=False)
     )
     frame = frame.limit(nrows) if nrows is not None else frame
-    return frame.select(*[_typed(c, kind).alias(c) for c, kind in ((C.underscored(h), ordered[h]) for h in header)])
+    return frame.selectExpr(*[f"{typed(C.underscored(h), ordered[h])} AS {C.underscored(h)}" for h in header])
 
 
-def _typed(name: str, kind: str):
+def typed(name: str, kind: str) -> str:
+    """SQL text that turns a column of the file into its contract type."""
     if kind == "boolean":
-        return parse_flag(name)
+        return f"CASE {name} WHEN 'T' THEN true WHEN 'F' THEN false END"
     if kind in ("Int32", "Int64"):
-        whole = F.col(name).cast("long")
         # NaN has no integer; a fraction in a whole-number column breaks the contract.
-        return F.when(F.isnan(name), None).when(whole == F.col(name), whole).otherwise(
-            F.when(F.col(name).isNotNull(), F.raise_error(F.lit(f"{name} is not a whole number")).cast("long"))
+        return (
+            f"CASE WHEN isnan({name}) THEN NULL WHEN {name} % 1 = 0 THEN CAST({name} AS BIGINT)"
+            f" WHEN {name} IS NOT NULL THEN CAST(raise_error('{name} is not a whole number') AS BIGINT) END"
         )
     if kind in ("float32", "float64"):
-        return F.nanvl(F.col(name), F.lit(None).cast("double"))
-    return F.col(name)
+        return f"nanvl({name}, CAST(NULL AS DOUBLE))"
+    return name
 
 
 def prepare_transactions(tx: DataFrame, split: str, origin: date, ingested_at=None) -> DataFrame:
