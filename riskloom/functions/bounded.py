@@ -1,4 +1,4 @@
-"""Helpers that keep joins and driver reads inside a checked size."""
+"""Reads and join sides of a checked size."""
 
 from __future__ import annotations
 
@@ -14,12 +14,6 @@ def rows_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> list[Row] | None
     return rows if len(rows) <= max_rows else None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a side whose size was checked; a larger side is left to the shuffle join and AQE's skew splitting.
-
-    The checked rows are kept as a local relation, so the side is not computed a second time by the join.
-    """
-    rows = rows_if_small(df, max_rows)
-    if rows is None:
-        return df
+def local_side(df: DataFrame, rows: list[Row]) -> DataFrame:
+    """Checked rows of ``df`` as a side to broadcast; it is not computed a second time by the join."""
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

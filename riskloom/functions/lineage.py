@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names. Only a local session without it gets a folder of its own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder that ``spark.checkpoint.dir`` names, so lost executors cost a re-read.
+    """Write a result once as a Parquet table in the shared folder and go on from there.
 
-    Only a local session without that setting gets a folder of its own.
+    Readers prune columns and know its size, and a lost executor costs a re-read instead of a recomputation.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="riskloom-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/riskloom-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.skew import broadcast_if_small
+from riskloom.functions.bounded import local_side, rows_if_small
 from riskloom.operators.checks import repeated_keys
 from riskloom.operators.marts import with_identity
 from riskloom.sources.dated import DT, between_days, on_day
@@ -62,15 +62,18 @@ def load(
     """
     if split not in SPLITS:
         raise ValueError(f"split must be one of {SPLITS}, not {split!r}")
-    days = broadcast_if_small(dim)
-    if repeated_keys(days, "transaction_date").limit(1).count():
+    rows = rows_if_small(dim)
+    if rows is None:
+        days, twice = dim, repeated_keys(dim, "transaction_date").limit(1).count() > 0
+    else:
+        days, twice = local_side(dim, rows), len({r["transaction_date"] for r in rows}) < len(rows)
+    if twice:
         raise ValueError("a date belongs to two splits")
     # A dated table is joined on its directory column, so that the days of the split prune its partitions.
     key = DT if DT in tx.columns else "transaction_date"
     chosen = days.where(F.col("ml_split") == split).withColumnRenamed("transaction_date", key)
     wanted = list(dict.fromkeys([*columns, "transaction_dt", *KEYS, key])) if columns else tx.columns
-    rows = tx.select(*wanted).join(chosen, key).drop(DT)
-    frame = with_identity(rows, identity)
+    frame = with_identity(tx.select(*wanted).join(chosen, key).drop(DT), identity)
     features = feature_columns(frame.columns)
     return Dataset(frame.select(*KEYS, *features), features, None if split == "test" else LABEL)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import columns as X
-from riskloom.functions.skew import rows_if_small
+from riskloom.functions.bounded import rows_if_small
 from riskloom.params import Params
 
 logger = logging.getLogger(__name__)

@@ -176,9 +176,10 @@ def ranking_metrics(
 ) -> DataFrame:
     """Average precision and ROC AUC over labelled rows; rows with equal scores count as one step.
 
-    One row per group. Scores are combined first, so a score that many rows share is one cell.
+    One row per group. Scores are combined first, so a score that many rows share is one cell. The cells are stored:
+    three branches of the prefix sums read them, and what lies before them (often a join) runs once.
     """
-    cells = (
+    cells = materialized(
         scored.where(F.col(label).isNotNull())
         .groupBy(*group, score)
         .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))

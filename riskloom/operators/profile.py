@@ -72,29 +72,38 @@ def type_counts(profile: DataFrame) -> DataFrame:
     return profile.groupBy("dtype").agg(X.row_count().alias("column_count"))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
-    """Advised type, null share, distinct values and range of every column.
+def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, n): every distinct value of the columns as text, NULL included, from one scan.
 
-    All columns are turned into (column, value) rows in one scan and counted by value; everything else is derived from
-    these counts. That replaces one distinct aggregate per column, which Spark would expand to rows times columns. A
-    value that a third of the rows share is combined before the shuffle.
+    A value that a third of the rows share is combined before the shuffle.
     """
     kinds = {f.name: f.dataType for f in df.schema}
-    numeric = [c for c, t in kinds.items() if isinstance(t, T.NumericType)]
 
     # Adding 0 folds negative zero into zero, which would otherwise be two texts of one number; NaN is no value.
-    def as_text(column: str, kind: T.DataType) -> str:
+    def as_text(column: str) -> str:
         n = text.name(column)
-        known = f"nanvl({n} + 0D, CAST(NULL AS DOUBLE))" if isinstance(kind, (T.DoubleType, T.FloatType)) else n
-        return f"CAST({known} AS STRING) AS {n}"
+        number = isinstance(kinds[column], (T.DoubleType, T.FloatType))
+        return f"CAST({f'nanvl({n} + 0D, CAST(NULL AS DOUBLE))' if number else n} AS STRING) AS {n}"
 
-    counts = (
-        df.selectExpr(*[as_text(c, t) for c, t in kinds.items()])
-        .unpivot([], [text.name(c) for c in kinds], "column", "value")
+    return (
+        df.selectExpr(*[as_text(c) for c in columns])
+        .unpivot([], [text.name(c) for c in columns], "column", "value")
         .groupBy("column", "value")
         .agg(X.row_count().alias("n"))
-        .withColumn("_number", F.when(F.col("column").isin(numeric), F.col("value").cast("double")))
     )
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """Advised type, null share, distinct values and range of every column.
+
+    Everything is derived from one count of the distinct values of all columns, instead of one distinct aggregate per
+    column, which Spark would expand to rows times columns. The values of categories are listed by a second scan of
+    just these columns, so that no list is ever built for a column with many values.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    is_number = F.col("column").isin([c for c, t in kinds.items() if isinstance(t, T.NumericType)])
+    is_flag = F.col("column").isin([c for c, t in kinds.items() if isinstance(t, T.BooleanType)])
+    counts = _value_counts(df, list(kinds)).withColumn("_number", F.when(is_number, F.col("value").cast("double")))
     stats = counts.groupBy("column").agg(
         F.sum("n").alias("_rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("_nulls"),
@@ -104,31 +113,35 @@ def column_profile(df: DataFrame) -> DataFrame:
         F.every(F.coalesce(F.col("_number") % 1 == 0, F.lit(True))).alias("_whole"),
         F.every(F.coalesce(F.col("value").isin(*FLAG_VALUES), F.lit(True))).alias("_flags"),
     )
-    is_number = F.col("column").isin(numeric)
-    is_flag = F.col("column").isin([c for c, t in kinds.items() if isinstance(t, T.BooleanType)])
     in_int32 = (F.col("min") >= INT32_MIN) & (F.col("max") <= INT32_MAX)
     in_float32 = (F.abs("min") < FLOAT32_SAFE_MAX) & (F.abs("max") < FLOAT32_SAFE_MAX)
-    few = F.col("nunique") <= CATEGORY_MAX_VALUES
     advice = (
         F.when(F.col("nunique") == 0, "drop")
         .when(is_number & F.col("_whole"), F.when(in_int32, "Int32").otherwise("Int64"))
         .when(is_number, F.when(in_float32, "float32").otherwise("float64"))
         .when(is_flag | F.col("_flags"), "boolean")
-        .when(few, "category")
+        .when(F.col("nunique") <= CATEGORY_MAX_VALUES, "category")
         .otherwise("str")
     )
-    # Lists are built only for columns known to have few values; one row per column, so this side is broadcast.
-    short = F.broadcast(stats.where(few & ~is_number).select("column"))
-    listed = (
-        counts.where(F.col("value").isNotNull())
-        .join(short, "column")
-        .groupBy("column")
-        .agg(F.array_join(F.sort_array(F.collect_list("value")), "|").alias("values"))
-    )
-    return stats.join(F.broadcast(listed), "column", "left").select(
+    # One row per column of the table.
+    found = stats.withColumn("recommended", advice).drop("_whole", "_flags")
+    rows = found.collect()
+    profile = df.sparkSession.createDataFrame(rows, found.schema)
+    few = [r["column"] for r in rows if r["recommended"] in ("boolean", "category")]
+    if few:
+        listed = (
+            _value_counts(df, few)
+            .where(F.col("value").isNotNull())
+            .groupBy("column")
+            .agg(F.array_join(F.sort_array(F.collect_list("value")), "|").alias("values"))
+        )
+        profile = profile.join(F.broadcast(listed), "column", "left")
+    else:
+        profile = profile.withColumn("values", F.lit(None).cast("string"))
+    return profile.select(
         "column",
         text.lookup({c: t.simpleString() for c, t in kinds.items()}, "column").alias("current_dtype"),
-        advice.alias("recommended"),
+        "recommended",
         F.round(F.try_divide("_nulls", "_rows"), 4).alias("null_ratio"),
         "nunique",
         "min",

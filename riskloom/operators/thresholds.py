@@ -48,7 +48,7 @@ def bucket_totals(
     )
 
 
-def points(
+def outcomes(
     scored: DataFrame,
     grid: Sequence[float] = GRID,
     group: Sequence[str] = (),
@@ -56,7 +56,7 @@ def points(
     label: str = "is_fraud",
     amount: str = "transaction_amt",
 ) -> DataFrame:
-    """Outcome at every grid threshold, unrounded: counts, missed amount, recall and precision."""
+    """Outcome at every grid threshold, unrounded, with the loss when nothing is blocked (the same at every threshold)."""
     totals = bucket_totals(scored, grid, group, score, label, amount)
     fanned = totals.select("*", F.posexplode(numbers(grid)).alias("_position", "threshold"))
     blocked = F.col("_reached") > F.col("_position")
@@ -71,12 +71,18 @@ def points(
             total(~blocked, "_frauds", 0).alias("missed"),
             total(blocked, "_honest", 0).alias("false_alarms"),
             total(~blocked, "_fraud_amount", 0.0).alias("missed_amount"),
+            F.sum("_fraud_amount").alias("no_block_loss"),
         )
         .withColumn("recall", ratio_or_zero("caught", F.col("caught") + F.col("missed")))
         .withColumn("precision", ratio_or_zero("caught", F.col("caught") + F.col("false_alarms")))
     )
 
 
+def points(scored: DataFrame, grid: Sequence[float] = GRID, **names) -> DataFrame:
+    """Counts, missed amount, recall and precision at every grid threshold."""
+    return outcomes(scored, grid, **names).drop("no_block_loss")
+
+
 def total_cost(fp_cost: float | Column) -> Column:
     return F.col("missed_amount") + F.col("false_alarms") * fp_cost
 
@@ -123,13 +129,9 @@ def sensitivity(
     return best(costed.withColumn("total_cost", total_cost(F.col("fp_cost"))), ["fp_cost"])
 
 
-def cost_view(outcomes: DataFrame, fp_cost: float) -> DataFrame:
-    """What a reader of the curve sees for one false-alarm cost: the best point and the saving over blocking nothing.
-
-    The loss without blocking is the missed amount plus the caught amount, constant over the grid; it is read off the
-    outcomes by ``no_block_loss``, which ``points_with_loss`` adds.
-    """
-    costed = outcomes.withColumn("fp_cost", F.lit(float(fp_cost))).withColumn("total_cost", total_cost(fp_cost))
+def cost_view(seen: DataFrame, fp_cost: float) -> DataFrame:
+    """What a reader of ``outcomes`` sees for one false-alarm cost: the best point and the saving over blocking nothing."""
+    costed = seen.withColumn("fp_cost", F.lit(float(fp_cost))).withColumn("total_cost", total_cost(fp_cost))
     return (
         best(costed, ["fp_cost"])
         .withColumn("blocked", F.col("caught") + F.col("false_alarms"))
@@ -137,12 +139,6 @@ def cost_view(outcomes: DataFrame, fp_cost: float) -> DataFrame:
     )
 
 
-def points_with_loss(scored: DataFrame, grid: Sequence[float] = GRID, label: str = "is_fraud", amount: str = "transaction_amt", **names) -> DataFrame:
-    """``points`` with the loss when nothing is blocked."""
-    loss = scored.agg(F.coalesce(F.sum(F.when(F.col(label) == 1, F.col(amount))), F.lit(0.0))).scalar()
-    return points(scored, grid, label=label, amount=amount, **names).withColumn("no_block_loss", loss)
-
-
 def curve_summary(scored: DataFrame, score: str = "score", label: str = "is_fraud", amount: str = "transaction_amt") -> DataFrame:
     """Head of the curve document: rows, frauds, loss without blocking, base rate."""
     labelled = scored.where(F.col(label).isNotNull())

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import columns as X
 from riskloom.functions import text
+from riskloom.functions.lineage import materialized
 from riskloom.operators import checks as Q
 from riskloom.operators import dataset, explain, features, marts, models, origin, profile, scoring, store, thresholds
 from riskloom.operators.entity import entity_monotonicity as steps_of_entities
@@ -415,14 +416,15 @@ def check_split_order(s: Standins) -> DataFrame:
 
 
 def _all_tables(s: Standins) -> dict[str, DataFrame]:
+    fact = materialized(marts.fct_transactions(s.tx, s.identity))
     return {
         "transactions": s.raw_transactions,
         "identity": s.raw_identity,
         "predictions": s.predictions,
         "stg_transactions": s.tx,
-        "fct_transactions": fct_transactions(s),
-        "agg_transactions_daily": agg_transactions_daily(s),
-        "agg_pipeline_daily": agg_pipeline_daily(s),
+        "fct_transactions": fact,
+        "agg_transactions_daily": marts.agg_transactions_daily(fact),
+        "agg_pipeline_daily": marts.agg_pipeline_daily(fact, P),
         "dim_split": dim_split(s),
         "agg_predictions_daily": agg_predictions_daily(s),
         "agg_score_amount": agg_score_amount(s),
@@ -520,7 +522,7 @@ def threshold_sensitivity(s: Standins) -> DataFrame:
 
 @query
 def cost_view(s: Standins) -> DataFrame:
-    return thresholds.cost_view(thresholds.points_with_loss(scored_labels(s)), 25.0)
+    return thresholds.cost_view(thresholds.outcomes(scored_labels(s)), 25.0)
 
 
 @query

@@ -66,7 +66,7 @@ def test_missing_scores_are_never_blocked_and_missing_labels_do_not_count(spark)
 
 
 def test_cost_view_and_summary(spark):
-    view = th.cost_view(th.points_with_loss(frame(spark)), 10.0).first()
+    view = th.cost_view(th.outcomes(frame(spark)), 10.0).first()
     assert (view["total_cost"], view["saving"], view["no_block_loss"], view["blocked"]) == (0.0, 300.0, 300.0, 2)
     assert rows(th.curve_summary(frame(spark))) == [(4, 2, 300.0, 0.5)]
 
