@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import day_index, ratio_or_null
-from riskloom.params import SECONDS_PER_HOUR
+from riskloom.params import SECONDS_PER_MINUTE
 
 
 def entity_monotonicity(
@@ -19,24 +19,25 @@ def entity_monotonicity(
     A step is a row and its predecessor on the same card, ordered by (at, row_id), with the column known on both. Rows
     without a complete card key belong to no card.
 
-    One card may hold a large part of all rows, so no window holds a whole card: rows are windowed by card and hour,
-    and each hour's first row meets the last row of the hour before, of which there is one per card and hour.
+    One card may hold a large part of all rows, so no window holds a whole card: rows are windowed by card and minute,
+    and each minute's first row meets the last row of the minute before. That second window holds at most one row per
+    minute of the calendar, 525,600 a year, for any card.
     """
     known = tx.dropna(subset=list(keys)).select(
         *keys,
-        F.floor(F.col(at) / SECONDS_PER_HOUR).alias("_hour"),
+        F.floor(F.col(at) / SECONDS_PER_MINUTE).alias("_slot"),
         F.struct(
             F.col(at).alias("at"), F.col(row_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in columns]
         ).alias("_row"),
     )
-    cell = [*keys, "_hour"]
-    in_hour = Window.partitionBy(*cell).orderBy(F.col("_row.at"), F.col("_row.id"))
-    within = known.select(F.lag("_row").over(in_hour).alias("p"), F.col("_row").alias("c"))
+    cell = [*keys, "_slot"]
+    in_minute = Window.partitionBy(*cell).orderBy(F.col("_row.at"), F.col("_row.id"))
+    within = known.select(F.lag("_row").over(in_minute).alias("p"), F.col("_row").alias("c"))
 
     # The struct starts with (at, id), so its minimum and maximum are the first and the last row; no sort is needed.
     ends = known.groupBy(*cell).agg(F.min("_row").alias("c"), F.max("_row").alias("_last"))
-    across_hours = Window.partitionBy(*keys).orderBy("_hour")
-    between = ends.select(F.lag("_last").over(across_hours).alias("p"), "c")
+    across_minutes = Window.partitionBy(*keys).orderBy("_slot")
+    between = ends.select(F.lag("_last").over(across_minutes).alias("p"), "c")
 
     steps = within.unionByName(between).where(F.col("p").isNotNull())
     elapsed = day_index("c.at") - day_index("p.at")

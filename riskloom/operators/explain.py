@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import column_family
+from riskloom.functions.lineage import materialized
 from riskloom.operators.models import scored
 
 # Fixed values.
@@ -42,11 +43,11 @@ def permutation_importance(
 ) -> DataFrame:
     """Log-loss added when one feature is exchanged between rows, for models without additive contributions.
 
-    Rows swap values inside hash buckets, so no task sees the whole table: sorted by a seeded hash, each row takes the
-    value of the next one and the last row of a bucket keeps its own.
+    Measured on the seeded sample, which is stored once for all features. Its rows swap values inside hash buckets:
+    sorted by a seeded hash, each row takes the value of the next one and the last row of a bucket keeps its own.
     """
-    bucket = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(64))
-    base = df.withColumn("_bucket", bucket)
+    sample = materialized(stable_sample(df, row_id, seed=seed))
+    base = sample.withColumn("_bucket", F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(64)))
 
     def loss(frame: DataFrame) -> Column:
         p = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-15)), F.lit(1e-15))
@@ -55,7 +56,7 @@ def permutation_importance(
         )
         return hit.first()["loss"]
 
-    before = loss(df)
+    before = loss(sample)
     rows = []
     for i, feature in enumerate(features):
         order = Window.partitionBy("_bucket").orderBy(F.xxhash64(F.col(row_id), F.lit(seed + 1 + i)), row_id)

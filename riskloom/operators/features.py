@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from enum import StrEnum
 
 from pyspark.sql import DataFrame
@@ -32,11 +32,12 @@ INLINE_DOMAINS = 10_000
 Domains = Mapping[str, list[str] | DataFrame]
 
 
-def frequent_domains(df: DataFrame, column: str, min_count: int) -> DataFrame:
-    """Services of one domain column with at least ``min_count`` rows: (domain, n)."""
+def frequent_domains(df: DataFrame, columns: Sequence[str], min_count: int) -> DataFrame:
+    """(column, domain, n): services with at least ``min_count`` rows, for all domain columns in one scan."""
     return (
-        df.groupBy(X.canonical_domain(column).alias("domain"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.unpivot([], [F.col(c) for c in columns], "column", "domain")
+        .groupBy("column", X.canonical_domain("domain").alias("domain"))
+        .agg(X.row_count().alias("n"))
         .where((F.col("n") >= min_count) & F.col("domain").isNotNull())
     )
 
@@ -44,15 +45,16 @@ def frequent_domains(df: DataFrame, column: str, min_count: int) -> DataFrame:
 def fit_domains(df: DataFrame, params: Params) -> dict[str, list[str] | DataFrame]:
     """Kept domains per column, to be fitted on the training split only and reused afterwards.
 
-    The list is fetched when it is short; a list beyond ``INLINE_DOMAINS`` stays a DataFrame.
+    The lists are fetched when they are short; lists beyond ``INLINE_DOMAINS`` stay DataFrames.
     """
-    out: dict[str, list[str] | DataFrame] = {}
-    for column in DOMAIN_COLUMNS:
-        if column in df.columns:
-            kept = frequent_domains(df, column, params.domain_min_count).select("domain")
-            rows = rows_if_small(kept, INLINE_DOMAINS)
-            out[column] = kept if rows is None else sorted(r["domain"] for r in rows)
-    return out
+    columns = [c for c in DOMAIN_COLUMNS if c in df.columns]
+    if not columns:
+        return {}
+    kept = frequent_domains(df, columns, params.domain_min_count).select("column", "domain")
+    rows = rows_if_small(kept, INLINE_DOMAINS)
+    if rows is None:
+        return {c: kept.where(F.col("column") == c).select("domain") for c in columns}
+    return {c: sorted(r["domain"] for r in rows if r["column"] == c) for c in columns}
 
 
 def normalize_domain(df: DataFrame, column: str, keep: list[str] | DataFrame) -> DataFrame:

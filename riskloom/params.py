@@ -8,6 +8,7 @@ from datetime import date
 # Fixed values.
 SECONDS_PER_DAY = 86_400
 SECONDS_PER_HOUR = 3_600
+SECONDS_PER_MINUTE = 60
 
 
 @dataclass(frozen=True)

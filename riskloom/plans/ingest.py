@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.lineage import materialized
 from riskloom.params import Params
 from riskloom.sources import contracts as C
 from riskloom.sources import dated, raw
@@ -17,9 +18,12 @@ REJECTED = "rejected_identity"
 
 
 def prepared(spark: SparkSession, csv_directory: str, split: str, params: Params) -> tuple[DataFrame, DataFrame]:
-    """(transactions, identity) of one split with the pipeline columns. Both keys are checked to be unique."""
-    tx = raw.read_raw(spark, csv_directory, f"{split}_transaction")
-    identity = raw.read_raw(spark, csv_directory, f"{split}_identity")
+    """(transactions, identity) of one split with the pipeline columns. Both keys are checked to be unique.
+
+    A file is parsed once, into a stored table; the key check, the date join and the dated write read that.
+    """
+    tx = materialized(raw.read_raw(spark, csv_directory, f"{split}_transaction"))
+    identity = materialized(raw.read_raw(spark, csv_directory, f"{split}_identity"))
     for side in (tx, identity):
         raw.assert_unique(side, C.PRIMARY_KEY)
     tx = raw.prepare_transactions(tx, split, params.origin)

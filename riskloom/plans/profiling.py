@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import transaction_date
+from riskloom.functions.lineage import materialized
 from riskloom.operators import profile
 from riskloom.params import Params
 from riskloom.sources import contracts as C
@@ -14,7 +15,7 @@ from riskloom.sources import raw, sinks
 
 def profile_files(spark: SparkSession, csv_directory: str, out: str, params: Params) -> dict[str, DataFrame]:
     """Daily volume, column advice for the labelled files, join integrity and header differences of both splits."""
-    files = {source: raw.read_raw(spark, csv_directory, source) for source in raw.SOURCE_FILES}
+    files = {source: materialized(raw.read_raw(spark, csv_directory, source)) for source in raw.SOURCE_FILES}
     tx = files["train_transaction"].withColumn("day", transaction_date(C.OFFSET, params.origin))
     results = {"daily_profile": profile.daily_profile(tx, "day", C.PRIMARY_KEY, C.LABEL, "TransactionAmt")}
     for source in ("train_transaction", "train_identity"):

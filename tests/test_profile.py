@@ -100,7 +100,7 @@ def test_steps_cross_hours_and_skip_unknown_values(spark):
 def test_no_window_holds_a_whole_card(standins):
     plan = entity.entity_monotonicity(standins.tx, ["card1"], ["C1"])._jdf.queryExecution().optimizedPlan().toString()
     over_rows = [line for line in plan.splitlines() if "lag(_row" in line]
-    assert over_rows and all("_hour" in line.split("windowspecdefinition(")[1].split("ASC")[0] for line in over_rows)
+    assert over_rows and all("_slot" in line.split("windowspecdefinition(")[1].split("ASC")[0] for line in over_rows)
 
 
 def test_trailing_ratio_ignores_gaps_and_itself(spark):
