@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,46 +74,63 @@ def type_counts(profile: DataFrame) -> DataFrame:
     return profile.groupBy("dtype").agg(X.row_count().alias("column_count"))
 
 
-def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, value, n): every distinct value of the columns as text, NULL included, from one scan.
+def _sql_type(kind: T.DataType) -> str:
+    """The type in which values of a column are told apart."""
+    if isinstance(kind, T.IntegralType):
+        return "BIGINT"
+    return "DOUBLE" if isinstance(kind, (T.DoubleType, T.FloatType)) else "STRING"
+
+
+def _value_counts(df: DataFrame, columns: list[str], sql_type: str) -> DataFrame:
+    """(column, value, n): every distinct value of columns of one type, NULL included, from one scan of them.
 
     A value that a third of the rows share is combined before the shuffle.
     """
-    kinds = {f.name: f.dataType for f in df.schema}
 
-    # Adding 0 folds negative zero into zero, which would otherwise be two texts of one number; NaN is no value.
-    def as_text(column: str) -> str:
+    def typed(column: str) -> str:
+        # NaN is no value. Grouping folds negative zero into zero.
         n = text.name(column)
-        number = isinstance(kinds[column], (T.DoubleType, T.FloatType))
-        return f"CAST({f'nanvl({n} + 0D, CAST(NULL AS DOUBLE))' if number else n} AS STRING) AS {n}"
+        known = f"nanvl({n}, CAST(NULL AS DOUBLE))" if sql_type == "DOUBLE" else n
+        return f"CAST({known} AS {sql_type}) AS {n}"
 
     return (
-        df.selectExpr(*[as_text(c) for c in columns])
+        df.selectExpr(*[typed(c) for c in columns])
         .unpivot([], [text.name(c) for c in columns], "column", "value")
         .groupBy("column", "value")
         .agg(X.row_count().alias("n"))
     )
 
 
+def _value_stats(counts: DataFrame, is_number: Column) -> DataFrame:
+    """One row per column from its distinct values."""
+    number = F.when(is_number, F.col("value").cast("double"))
+    return counts.groupBy("column").agg(
+        F.sum("n").alias("_rows"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("_nulls"),
+        F.count("value").alias("nunique"),
+        F.min(number).alias("min"),
+        F.max(number).alias("max"),
+        F.every(F.coalesce(number % 1 == 0, F.lit(True))).alias("_whole"),
+        F.every(F.coalesce(F.col("value").cast("string").isin(*FLAG_VALUES), F.lit(True))).alias("_flags"),
+    )
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """Advised type, null share, distinct values and range of every column.
 
-    Everything is derived from one count of the distinct values of all columns, instead of one distinct aggregate per
-    column, which Spark would expand to rows times columns. The values of categories are listed by a second scan of
-    just these columns, so that no list is ever built for a column with many values.
+    Everything is derived from one count of the distinct values, one per kind of column (whole, fractional, other),
+    instead of one distinct aggregate per column, which Spark would expand to rows times columns. The values of
+    categories are listed by a second scan of just these columns, so that no list is ever built for a column with many
+    values.
     """
     kinds = {f.name: f.dataType for f in df.schema}
+    by_type: dict[str, list[str]] = {}
+    for column, kind in kinds.items():
+        by_type.setdefault(_sql_type(kind), []).append(column)
     is_number = F.col("column").isin([c for c, t in kinds.items() if isinstance(t, T.NumericType)])
     is_flag = F.col("column").isin([c for c, t in kinds.items() if isinstance(t, T.BooleanType)])
-    counts = _value_counts(df, list(kinds)).withColumn("_number", F.when(is_number, F.col("value").cast("double")))
-    stats = counts.groupBy("column").agg(
-        F.sum("n").alias("_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("_nulls"),
-        F.count("value").alias("nunique"),
-        F.min("_number").alias("min"),
-        F.max("_number").alias("max"),
-        F.every(F.coalesce(F.col("_number") % 1 == 0, F.lit(True))).alias("_whole"),
-        F.every(F.coalesce(F.col("value").isin(*FLAG_VALUES), F.lit(True))).alias("_flags"),
+    stats = reduce(
+        DataFrame.unionByName, [_value_stats(_value_counts(df, c, t), is_number) for t, c in by_type.items()]
     )
     in_int32 = (F.col("min") >= INT32_MIN) & (F.col("max") <= INT32_MAX)
     in_float32 = (F.abs("min") < FLOAT32_SAFE_MAX) & (F.abs("max") < FLOAT32_SAFE_MAX)
@@ -130,7 +149,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     few = [r["column"] for r in rows if r["recommended"] in ("boolean", "category")]
     if few:
         listed = (
-            _value_counts(df, few)
+            _value_counts(df, few, "STRING")
             .where(F.col("value").isNotNull())
             .groupBy("column")
             .agg(F.array_join(F.sort_array(F.collect_list("value")), "|").alias("values"))
