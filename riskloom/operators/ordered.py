@@ -108,7 +108,10 @@ def tile_summary(rows: DataFrame, feature: str, value: str, row_id: str, label:
     known = by_value.where(F.col(value).isNotNull())
     # One row per feature name.
     sizes = F.broadcast(known.groupBy(feature).agg(F.sum("n").alias("_rows")))
-    values = _placed(running_totals(known, value, ["n"], [feature]).join(sizes, feature), "before_n", tiles)
+    # Stored, because the boundaries are looked up before the rest of the plan can be built.
+    values = materialized(
+        _placed(running_totals(known, value, ["n"], [feature]).join(sizes, feature), "before_n", tiles)
+    )
 
     out = [feature, F.col("_first").alias("tile"), value, "n", "labelled", "positives"]
     nulls = by_value.where(F.col(value).isNull()).withColumn("_first", F.lit(0))
