@@ -11,20 +11,42 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names. Only a local session without it gets a folder of its own."""
     context = spark.sparkContext
+    local = context.master.startswith("local")
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not local:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
         folder = context.getCheckpointDir()
+    if not local and folder.removeprefix("file:").replace("//", "/").startswith(f"{tempfile.gettempdir()}/"):
+        raise RuntimeError(f"{folder} is a temporary folder of one machine; executors do not share it")
     return folder.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stored intermediate that nothing reads any more."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def temporary_path(spark: SparkSession, prefix: str = "riskloom") -> str:
+    """A new path in the shared folder. What is written there goes when the driver's JVM ends, if not before."""
+    path = f"{shared_folder(spark)}/{prefix}-{uuid.uuid4().hex}"
+    fs, where = _file_system(spark, path)
+    fs.deleteOnExit(where)
+    return path
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Write a result once as a Parquet table in the shared folder and go on from there.
 
     Readers prune columns and know its size, and a lost executor costs a re-read instead of a recomputation.
     """
-    path = f"{shared_folder(df.sparkSession)}/riskloom-{uuid.uuid4()}"
+    path = temporary_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
