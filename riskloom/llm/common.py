@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import functools
+import shutil
 import string
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +41,22 @@ def held_out(doc_id: str, n: int, remainder: int) -> Column:
     return F.coalesce(fold(doc_id, n) == remainder, F.lit(True))
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this library once per application, so that tasks import it instead of unpickling it."""
+    if spark.sparkContext.applicationId not in _shipped:
+        root = Path(__file__).parents[1]
+        folder = Path(tempfile.mkdtemp(prefix="riskloom-package-"))
+        shutil.copytree(root, folder / "in" / root.name, ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(str(folder / root.name), "zip", folder / "in"))
+        _shipped.add(spark.sparkContext.applicationId)
+
+
 def in_arrow(df: DataFrame, fn, schema: str, *args) -> DataFrame:
     """``fn(batches, *args)`` over the partitions of ``df``."""
+    ship_package(df.sparkSession)
     return df.mapInArrow(functools.partial(_call, fn, args), schema)
 
 

@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from riskloom.llm import chat, exact_dedup
+from riskloom.llm import chat, exact_dedup, language_id, toxicity
 
-QUERIES = {f.__name__: f for f in (chat.op4_chat_formatting, exact_dedup.op5_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        language_id.op2_language_id,
+        chat.op4_chat_formatting,
+        exact_dedup.op5_exact_dedup,
+        toxicity.op6_toxicity,
+    )
+}
 ORACLES = {"op4_chat_formatting": chat.OP4_SQL, "op5_exact_dedup": exact_dedup.OP5_SQL}
