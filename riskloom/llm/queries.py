@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from riskloom.llm import chat, exact_dedup, language_id, toxicity
+from riskloom.llm import chat, decontaminate, exact_dedup, language_id, quality, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         language_id.op2_language_id,
+        decontaminate.op3_decontamination,
         chat.op4_chat_formatting,
         exact_dedup.op5_exact_dedup,
         toxicity.op6_toxicity,
+        quality.op9_quality,
     )
 }
 ORACLES = {"op4_chat_formatting": chat.OP4_SQL, "op5_exact_dedup": exact_dedup.OP5_SQL}

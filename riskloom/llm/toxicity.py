@@ -2,8 +2,8 @@
 
 Every token has a score: the log odds of its rate in toxic against clean documents, with a Dirichlet prior that pulls
 rare tokens to the overall rate, less a drift that makes an average clean token negative. A word and its first four, five
-and six bytes are counted each; the most significant of the four speaks for the word, so that new forms of a known stem
-are met. All maximal scoring segments
+and six bytes are counted each; the significant one with the highest odds speaks for the word, so that new forms of a
+known stem are met. All maximal scoring segments
 of a document are found in one linear scan (Ruzzo and Tompa); a segment is significant by its extreme-value statistic:
 the number of segments of that score expected by chance in a text of that length (Karlin and Altschul). The document's
 evidence is the negative logarithm of the smallest such number, plus what further significant segments add; a logistic
@@ -37,7 +37,7 @@ LEAST = -2.0
 #: The prior of a bucket in each class: a share of this many tokens, and an equal part for every bucket.
 PRIOR, EACH = 20.0, 0.5
 #: The least drift: odds below it do not make a token positive.
-LEAST_DRIFT = 1.5
+LEAST_DRIFT = 3.0
 #: Standard errors by which a bucket's log odds must differ from 0 to count; others score as a common token.
 SIGNIFICANT = 3.0
 #: A segment is reported when fewer than this many are expected by chance.
@@ -48,7 +48,6 @@ STEPS, LAST, SHIFT = 10, 60, 3.0
 
 class Model(NamedTuple):
     odds: np.ndarray  # float32 by bucket, 0 where not significant
-    weight: np.ndarray  # float32 by bucket: how many standard errors the odds are away from 0
     drift: float
     rate: float  # lambda of the extreme-value distribution
     scale: float  # K of it
@@ -58,10 +57,8 @@ class Model(NamedTuple):
 
 
     def scores(self, at: np.ndarray) -> np.ndarray:
-        """Scores of words from their buckets: the most significant form speaks for the word."""
-        strongest = np.argmax(self.weight[at], axis=0)
-        best = np.take_along_axis(at, strongest[None], axis=0)[0]
-        return np.maximum(self.odds[best] - self.drift, LEAST)
+        """Scores of words from their buckets: the form with the highest significant odds speaks for the word."""
+        return np.maximum(self.odds[at].max(axis=0) - self.drift, LEAST)
 
 
 def buckets(part: Slice) -> tuple[np.ndarray, Words]:
@@ -111,7 +108,7 @@ def token_model(clean: np.ndarray, toxic: np.ndarray) -> Model:
     # An average clean token has to score below 0, by as much again as the positive part gains.
     drift = max(LEAST_DRIFT, 2 * float((share * np.maximum(odds, 0)).sum()))
     rate, scale = gumbel(np.maximum(odds - drift, LEAST), share)
-    return Model(odds.astype(np.float32), weight.astype(np.float32), drift, rate, scale, 0.0, 0.0, False)
+    return Model(odds.astype(np.float32), drift, rate, scale, 0.0, 0.0, False)
 
 
 def gumbel(scores: np.ndarray, share: np.ndarray) -> tuple[float, float]:
