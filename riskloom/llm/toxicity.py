@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import held_out, in_arrow, table
+from riskloom.llm.common import held_out, in_arrow, stored, table
 from riskloom.llm.vectors import Slice, Words, mix, slices, word_hashes, words
 
 BUCKETS_LOG2 = 20
@@ -222,12 +222,11 @@ def _logistic(x: np.ndarray, positive: np.ndarray, negative: np.ndarray) -> tupl
     return float(w[0]), float(w[1])
 
 
-def learn(rows: DataFrame) -> Model:
-    """The model from labelled rows (text, toxic). The driver receives one row a bucket and one a step of evidence."""
+def learn_tokens(rows: DataFrame) -> Model:
+    """The model from labelled rows (text, toxic), not calibrated. The driver receives one row a bucket."""
     size = 1 << BUCKETS_LOG2
-    known = rows.where(F.col("toxic").isin(0, 1)).select(F.col("toxic").cast("long"), "text")
     totals = (
-        in_arrow(known, _count_tokens, "bucket long, clean long, toxic long")
+        in_arrow(rows.select(F.col("toxic").cast("long"), "text"), _count_tokens, "bucket long, clean long, toxic long")
         .groupBy("bucket")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .toArrow()
@@ -235,10 +234,13 @@ def learn(rows: DataFrame) -> Model:
     clean, toxic = np.zeros(size), np.zeros(size)
     at = totals.column("bucket").to_numpy()
     clean[at], toxic[at] = totals.column("clean").to_numpy(), totals.column("toxic").to_numpy()
-    model = token_model(clean, toxic)
+    return token_model(clean, toxic)
+
+
+def calibrate(model: Model, labelled: DataFrame) -> Model:
+    """Fit the logistic curve to all rows (evidence, toxic). The driver receives one row a step of evidence."""
     cells = (
-        with_evidence(known, model)
-        .groupBy(F.round(F.col("evidence") * STEPS).cast("int").alias("step"))
+        labelled.groupBy(F.round(F.col("evidence") * STEPS).cast("int").alias("step"))
         .agg(F.count_if(F.col("toxic") == 1).alias("positive"), F.count_if(F.col("toxic") == 0).alias("negative"))
         .collect()
     )
@@ -250,22 +252,29 @@ def learn(rows: DataFrame) -> Model:
     return model._replace(slope=slope, offset=offset, fitted=True)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents that may be learned from: crc32(doc_id) mod 5 is not 0."""
-    known = labels.where(F.col("toxic").isNotNull() & ~held_out("doc_id", 5, 0)).select("doc_id", "toxic")
-    return docs.select("doc_id", "text").join(known, "doc_id").select("toxic", "text")
-
+def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, evidence, passages, score, predicted for all documents.
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, evidence, passages, score, predicted."""
+    Labels are learned from where crc32(doc_id) mod 5 is not 0. Texts are shuffled once, to meet their labels for the
+    token counts; the join is the same at every size. Evidence is stored once, for the calibration and the result.
+    """
+    known = labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id", 5, 0)).select("doc_id", "toxic")
     rows = docs.select(F.col("doc_id").cast("long"), held_out("doc_id", 5, 0).alias("held_out"), "text")
+    own = rows.where(~F.col("held_out")).select("doc_id", "text")
+    model = learn_tokens(own.join(known.hint("merge"), "doc_id"))
+    found = stored(with_evidence(rows, model))
+    model = calibrate(model, found.select("doc_id", "evidence").join(known.hint("merge"), "doc_id"))
     z = F.col("evidence") * model.slope + model.offset
-    chance = 1 / (1 + F.exp(-z)) if model.fitted else F.lit(0.0)
-    found = with_evidence(rows, model).withColumn("score", chance)
-    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = found.withColumn("score", 1 / (1 + F.exp(-z)) if model.fitted else F.lit(0.0))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not predicted to be toxic, with all their columns."""
+    rejected = assess(docs, labels).where("predicted = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    return docs.join(rejected.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = learn(training_rows(docs, table(spark, sf_dir, "labels")))
-    return score(docs, model).select("doc_id", "held_out", "score", "predicted")
+    found = assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")

@@ -43,7 +43,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 _tables: dict[str, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "up" not in _tables or len(_tables["up"]) < n:
         size = max(n, BLOCK + 1)
         _tables["up"] = _powers(_P, size)
@@ -109,7 +109,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
             base = int(starts[at])
             stop = max(int(np.searchsorted(ends, base + BLOCK, "right")), at + 1)
             block = LOWERED[data[base : ends[stop - 1]]].astype(np.uint64) + _U(1)
-            up, down = _power_tables(len(block) + 1)
+            up, down = power_tables(len(block) + 1)
             sums = np.concatenate([[_U(0)], np.cumsum(block * up[: len(block)], dtype=np.uint64)])
             s, e = starts[at:stop] - base, ends[at:stop] - base
             out[at:stop] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
