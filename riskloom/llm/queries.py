@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontaminate, exact_dedup, language_id, quality, toxicity
+from riskloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language_id, quality, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -14,6 +14,7 @@ QUERIES = {
         toxicity.op6_toxicity,
         bpe.op8_bpe,
         quality.op9_quality,
+        jaccard_join.op10_jaccard_join,
     )
 }
 ORACLES = {"op4_chat_formatting": chat.OP4_SQL, "op5_exact_dedup": exact_dedup.OP5_SQL}
