@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language_id, quality, toxicity
+from riskloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language_id, licenses, quality, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,7 @@ QUERIES = {
         chat.op4_chat_formatting,
         exact_dedup.op5_exact_dedup,
         toxicity.op6_toxicity,
+        licenses.op7_licenses,
         bpe.op8_bpe,
         quality.op9_quality,
         jaccard_join.op10_jaccard_join,
