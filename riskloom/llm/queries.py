@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language_id, licenses, quality, toxicity
+from riskloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language_id, licenses, lm_scoring, quality, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
+        lm_scoring.op1_lm_scoring,
         language_id.op2_language_id,
         decontaminate.op3_decontamination,
         chat.op4_chat_formatting,
