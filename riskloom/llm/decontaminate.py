@@ -153,7 +153,7 @@ def short_items(items: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that contain no item, with all their columns."""
     found = search(docs, items, threshold).select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(found.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
