@@ -96,9 +96,14 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns: those that do not go, found by their ids."""
-    gone = deduplicate(docs).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    """The documents that stay, with all their columns.
+
+    What goes is found by id and digest, so that texts which share an id by mistake are told apart.
+    """
+    gone = deduplicate(docs).where(~F.col("kept") & F.col("doc_id").isNotNull())
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct()
+    same = (docs["doc_id"] == F.col("_gone_id")) & (text_digest(docs["text"]) == F.col("_gone_digest"))
+    return docs.join(gone.hint("merge"), same, "left_anti")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

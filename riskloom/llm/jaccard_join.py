@@ -8,10 +8,12 @@ node. A node picks coordinates by its own seed, 1 / threshold of them on average
 every picked coordinate, chosen by the set's value there: similar sets share paths. Nodes with one set end. Nodes of at
 most ``LEAF`` sets are brute-forced on byte sketches. Larger nodes are split again; before that, every set is compared
 with four leaders of its node, and a set that is nearly equal to a leader is linked to it and leaves the recursion, which
-is what keeps a group of thousands of near copies linear. Independent runs are repeated (and here evaluated at once)
-until the target recall. What the sketches propose is verified on the full sets, and verified links are joined to groups.
+is what keeps a group of thousands of near copies linear. Sets that resemble a leader are also dealt into random chunks
+of the node and brute-forced there, so that those on the border of a dense group meet hundreds of its members in every
+run. Independent runs are repeated (and here evaluated at once) until the target recall. What the sketches propose is
+verified on the full sets, and verified links are joined to groups.
 
-Nodes are rows, never objects: no node is collected into a task unless it has at most ``LEAF`` sets.
+Nodes are rows, never objects: no node is collected into a task unless it has at most ``LEAF`` sets, or is a chunk.
 
 Results: one row per document with class_id (smallest doc_id of its group) and n_links, the number of verified links of
 its set to other sets plus its equal copies. Inside a node that is brute-forced, sets that are nearly equal to one another
@@ -39,6 +41,8 @@ THRESHOLD, RECALL = 0.8, 0.999
 COORDINATES_LOG2 = 7
 COORDINATES = 1 << COORDINATES_LOG2
 LEAF, LEADERS = 32, 4
+#: Mean size of a chunk of a dense node, and partners that a set on its border proposes there.
+CHUNK, BEST = 256, 3
 #: Sketches that agree on this share are proposed; on that one, sets are nearly equal.
 PROPOSED, NEAR = 0.62, 0.92
 #: Depth for which the number of runs is chosen: most nodes are leaves by then.
@@ -143,42 +147,78 @@ def _first_level(batches, runs: int, threshold: float) -> Iterator[pa.RecordBatc
             yield _node_rows(*_children(nodes, ids, mins, threshold))
 
 
-def _agreement(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    return (many == one).mean(axis=-1)
+PATH, LINK, DEALT = 0, 1, 2
 
 
 def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Rows (node, id, a): with ``a`` a proposed link id - a, without it a path. Leaders come with every row."""
+    """Rows (kind, node, id, a): a path to a child; a proposed link id - a; or a place in a chunk, in the star of a.
+
+    Leaders come with every row.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        nodes = batch.column("node").to_numpy().view(np.uint64)
+        nodes, n = batch.column("node").to_numpy().view(np.uint64), batch.column("n").to_numpy()
         ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u4")
         share = np.stack([(mins == _matrix(batch.column(f"mins{k}"), "<u4")).mean(axis=1) for k in range(LEADERS)])
         leader = np.stack([batch.column(f"leader{k}").to_numpy() for k in range(LEADERS)])
-        best = share.argmax(axis=0)
         row = np.arange(len(ids))
-        linked = (share[best, row] >= PROPOSED) & (leader[best, row] != ids)
-        # A set that is its own leader is nearly equal to itself; it may still be linked to another leader.
-        other = np.where(leader == ids, -1.0, share)
-        second = other.argmax(axis=0)
         own = (leader == ids).any(axis=0)
-        linked_own = own & (other[second, row] >= PROPOSED)
-        a = np.where(linked, leader[best, row], leader[second, row])
-        hit = np.where(own, linked_own, linked)
-        stay = ~own & (share[best, row] < NEAR)
-        child, child_id = _children(nodes[stay], ids[stay], mins[stay], threshold)
-        k = int(hit.sum())
+        # A leader is linked to the best of the others.
+        share = np.where(leader == ids, -1.0, share)
+        best = share.argmax(axis=0)
+        top, star = share[best, row], leader[best, row]
+        linked, near = top >= PROPOSED, (top >= NEAR) | own
+        child, child_id = _children(nodes[~near], ids[~near], mins[~near], threshold)
+        chunks = np.maximum(-(-n[linked | own] // CHUNK), 1).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            place = mix(nodes[linked | own] ^ mix(ids[linked | own].view(np.uint64))) % chunks
+            chunk = mix(nodes[linked | own] + mix(place + _U(1)))
+        held = np.where(own, ids, np.where(near, star, ids))[linked | own]
+        parts = (
+            (PATH, child, child_id, np.zeros(len(child), np.int64)),
+            (LINK, np.zeros(int(linked.sum()), np.uint64), ids[linked], star[linked]),
+            (DEALT, chunk, ids[linked | own], held),
+        )
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([np.zeros(k, np.int64), child.view(np.int64)])),
-                pa.array(np.concatenate([ids[hit], child_id])),
-                pa.array(np.concatenate([a[hit], np.zeros(len(child), np.int64)]), mask=np.arange(k + len(child)) >= k),
+                pa.array(np.concatenate([np.full(len(x), kind, np.int32) for kind, x, _, _ in parts])),
+                pa.array(np.concatenate([x for _, x, _, _ in parts]).view(np.int64)),
+                pa.array(np.concatenate([x for _, _, x, _ in parts])),
+                pa.array(np.concatenate([x for _, _, _, x in parts])),
             ],
-            ["node", "id", "a"],
+            ["kind", "node", "id", "a"],
         )
 
 
+def _chunk_links(
+    seed: np.ndarray, ids: np.ndarray, stars: np.ndarray, sketches: np.ndarray
+) -> list[tuple[int, int]]:
+    """Pairs proposed in a chunk, for every set that is in no star, and one pair for every two stars.
+
+    A set on the border is proposed to the medoids of the chunk, where the texts of a group were copied from, and to its
+    best partners. Estimates tie often; ties are broken anew in every chunk, so that runs propose different partners.
+    """
+    out = []
+    share = np.stack([(sketches == one).mean(axis=1, dtype=np.float32) for one in sketches])
+    tie = mix(ids.view(np.uint64) ^ mix(seed))
+    medoids = np.lexsort((tie, -share.mean(axis=0)))[:BEST].tolist()
+    for i in np.flatnonzero(stars == ids).tolist():
+        others = np.where(stars == stars[i], 0, share[i])
+        for j in {*medoids, *np.lexsort((tie, -others))[:BEST].tolist()}:
+            if others[j] >= PROPOSED:
+                out.append((int(ids[i]), int(ids[j])))
+    named = [x for x in np.unique(stars).tolist() if (stars == x).sum() > 1]
+    for k, x in enumerate(named):
+        for y in named[:k]:
+            p, q = np.flatnonzero(stars == x), np.flatnonzero(stars == y)
+            between = share[np.ix_(p, q)]
+            i, j = np.unravel_index(between.argmax(), between.shape)
+            if between[i, j] >= PROPOSED:
+                out.append((int(ids[p[i]]), int(ids[q[j]])))
+    return out
+
+
 def _leaf_links(ids: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
     """Pairs proposed in a leaf: nearly equal sets are held by stars, all other pairs above the bound are listed."""
     share = (sketches[:, None, :] == sketches[None, :, :]).mean(axis=2)
@@ -196,16 +236,22 @@ def _leaf_links(ids: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _brute_force(batches) -> Iterator[pa.RecordBatch]:
+def _brute_force(batches, dealt: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         members = batch.column("members")
         bounds = members.offsets.to_numpy()
         flat = members.values
         ids, sketches = flat.field("id").to_numpy(), _matrix(flat.field("sketch"), "u1")
+        stars = flat.field("a").to_numpy() if dealt else None
+        nodes = batch.column("node").to_numpy().view(np.uint64)
         pairs: set[tuple[int, int]] = set()
-        for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        for k, (s, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             order = np.argsort(ids[s:e]) + s
-            pairs.update((min(p), max(p)) for p in _leaf_links(ids[order], sketches[order]))
+            if dealt:
+                found = _chunk_links(nodes[k : k + 1], ids[order], stars[order], sketches[order])
+            else:
+                found = _leaf_links(ids[order], sketches[order])
+            pairs.update((min(p), max(p)) for p in found)
         listed = np.array(sorted(pairs), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(listed[:, 0]), pa.array(listed[:, 1])], ["a", "b"])
 
@@ -237,14 +283,17 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     runs = runs_for(recall, threshold)
     paths = stored(in_arrow(sets, _first_level, "node long, id long", runs, threshold))
     sketches = sets.select("id", _low_byte(F.col("mins")).alias("sketch"))
+
+    def forced(rows: DataFrame, *columns: str) -> DataFrame:
+        members = rows.join(sketches, "id").groupBy("node").agg(F.collect_list(F.struct(*columns)).alias("members"))
+        return stored(in_arrow(members.select("node", "members"), _brute_force, "a long, b long", "a" in columns).distinct())
+
     parts: list[DataFrame] = []
     while True:
         sizes = stored(paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
-        small = paths.join(sizes.where(F.col("n") <= LEAF).select("node"), "node")
-        members = F.collect_list(F.struct("id", "sketch")).alias("members")
-        leaves = small.join(sketches, "id").groupBy("node").agg(members).select("members")
-        parts.append(stored(in_arrow(leaves, _brute_force, "a long, b long").distinct()))
-        large = sizes.where(F.col("n") > LEAF).select("node")
+        small = sizes.where(F.col("n") <= LEAF).select("node")
+        parts.append(forced(paths.join(small, "node"), "id", "sketch"))
+        large = sizes.where(F.col("n") > LEAF)
         if large.isEmpty():
             break
         # Four leaders a node: smallest by four orders that are the same everywhere, so runs agree on them.
@@ -254,14 +303,12 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RE
         for k in range(LEADERS):
             named = sets.select(F.col("id").alias(f"leader{k}"), F.col("mins").alias(f"mins{k}"))
             leaders = leaders.join(named, f"leader{k}")
-        level = stored(
-            in_arrow(
-                rows.join(sets, "id").join(stored(leaders), "node"), _next_level, "node long, id long, a long", threshold
-            )
-        )
-        link = level.where(F.col("a").isNotNull())
+        with_leaders = rows.join(sets, "id").join(stored(leaders), "node")
+        level = stored(in_arrow(with_leaders, _next_level, "kind int, node long, id long, a long", threshold))
+        link = level.where(F.col("kind") == LINK)
         parts.append(link.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        paths = level.where(F.col("a").isNull()).select("node", "id")
+        parts.append(forced(level.where(F.col("kind") == DEALT).select("node", "id", "a"), "id", "a", "sketch"))
+        paths = level.where(F.col("kind") == PATH).select("node", "id")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

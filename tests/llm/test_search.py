@@ -1,0 +1,247 @@
+"""Decontamination, Jaccard join, license scan, BPE and the pipeline against brute force."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from riskloom.llm import bpe, decontaminate, jaccard_join, licenses
+from riskloom.llm.common import table
+from tests.llm.conftest import frame, prose
+
+
+def sets_of(rows):
+    """Shingle sets; a text of one to four words is one shingle."""
+    out = []
+    for i, t in rows:
+        words = re.findall("[0-9a-z\x80-\U0010ffff]+", (t or "").translate(decontaminate._LOWER))
+        out.append((i, frozenset(tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))) if words else frozenset()))
+    return out
+
+
+def brute_groups(rows, threshold=0.8):
+    sets = sets_of(rows)
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x in range(len(sets)):
+        for y in range(x):
+            p, q = sets[x][1], sets[y][1]
+            if p and q and len(p & q) >= threshold * len(p | q) - 1e-9:
+                parent[root(x)] = root(y)
+    members = {}
+    for x, (i, _) in enumerate(sets):
+        members.setdefault(root(x), []).append(i)
+    return sorted((i, min((m for m in members[root(x)] if m is not None), default=None)) for x, (i, s) in enumerate(sets)
+                  if i is not None and s)
+
+
+def test_join_edge_cases(edge, nothing):
+    rows = [tuple(r) for r in edge.select("doc_id", "text").collect()]
+    got = jaccard_join.join(edge).collect()
+    assert len(got) == len(rows)
+    assert sorted((r.doc_id, r.class_id) for r in got if r.doc_id not in (None, 7, 8, 9)) == brute_groups(rows)
+    assert all(r.n_links == 0 and r.class_id == r.doc_id for r in got if r.doc_id in (7, 8, 9))
+    assert jaccard_join.join(nothing).count() == 0
+
+
+def test_join_large_group_of_near_copies(spark, monkeypatch):
+    """A node above the leaf size is split round its leaders; links on the border of a dense group are met in chunks."""
+    rng, rows = random.Random(3), []
+    for group in range(3):
+        words = prose(group, 150).split()
+        for _ in range(120):
+            own = list(words)
+            for _ in range(rng.choice((0, 1, 1, 2, 3))):
+                own[rng.randrange(len(own))] = f"w{rng.random()}"
+            rows.append((len(rows), " ".join(own)))
+    rows += [(1000 + i, f"{prose(0, 40)} {prose(500 + i, 120)}") for i in range(80)]  # a shared passage, but no copies
+    got = {r.doc_id: r for r in jaccard_join.join(frame(spark, rows)).collect()}
+    sets = dict(sets_of(rows))
+    links = [(x, y) for x in sets for y in range(x) if y in sets and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])]
+    lost = [p for p in links if got[p[0]].class_id != got[p[1]].class_id]
+    # Sets whose only partner stands out from a hundred others by less than the sketches can tell may be lost.
+    assert len(lost) <= 0.001 * len(links)
+    want = dict(brute_groups(rows))
+    assert all(want[i] == want[r.class_id] for i, r in got.items())
+    assert all(r.n_links == 0 for i, r in got.items() if i >= 1000)
+    linked = {x for p in links for x in p if p not in lost}
+    assert all(got[i].n_links > 0 for i in linked)
+    kept = sorted(r.doc_id for r in jaccard_join.one_of_each(frame(spark, rows)).collect())
+    assert kept == sorted({r.class_id for r in got.values()})
+
+
+def brute_contained(docs, items, threshold=0.8):
+    shingles = lambda t: set(decontaminate.word_shingles(t or ""))
+    out = []
+    for item in {i for i, _ in items}:
+        own = set().union(*(shingles(t) for i, t in items if i == item))
+        for d, t in docs:
+            if own and len(own & shingles(t)) >= threshold * len(own) - 1e-9:
+                out.append((d, item, len(own & shingles(t)), len(own)))
+    return sorted(out, key=repr)
+
+
+def test_containment_search(spark, edge, nothing):
+    rng = random.Random(5)
+    items = [(i, prose(2000 + i, rng.choice((3, 5, 6, 9, 20, 33, 60)))) for i in range(60)]
+    items += [(61, None), (62, ""), (5, "a second text of item five " * 2), (None, prose(2900, 12)), (63, items[7][1])]
+    docs = [tuple(r) for r in edge.select("doc_id", "text").collect()]
+    for k, (i, t) in enumerate(items[:60]):
+        words = t.split()
+        if k % 3 == 0:  # whole, inside a long text
+            docs.append((5000 + k, f"{prose(k, 400)} {t.upper()}, {prose(k + 1, 300)}"))
+        elif k % 3 == 1:  # some words lost, above and below the threshold
+            lost = rng.randrange(len(words))
+            docs.append((5000 + k, f"{prose(k, 400)} {' '.join(words[:lost] + words[lost + 1 :])}"))
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "'x' AS doc_id")
+    for size in (7, 50_000):
+        got = decontaminate.search(frame(spark, docs), bench, items_per_block=size).collect()
+        assert sorted(((r.doc_id, r.item_id, r.shared, r.item_shingles) for r in got), key=repr) == brute_contained(docs, items)
+    assert decontaminate.search(nothing, bench).count() == 0
+    assert decontaminate.search(edge, bench.where("false")).count() == 0
+    assert decontaminate.short_items(bench).where("item_id IN (61, 62)").count() == 2
+    clean = decontaminate.clean_documents(frame(spark, docs), bench)
+    hit = {d for d, *_ in brute_contained(docs, items)}
+    assert {r.doc_id for r in clean.select("doc_id").collect()} == {d for d, _ in docs if d not in hit}
+
+
+def brute_detections(text):
+    low = text.translate(decontaminate._LOWER)
+    found = []
+    for i, r in enumerate(licenses.rules()):
+        found += [(i, r.label, r.priority, m.start(), m.end()) for m in re.finditer(r.expression, low, re.ASCII)]
+    keep = []
+    for d in found:
+        beaten = any(
+            e[3] <= d[3] and e[4] >= d[4]
+            and (e[2], e[4] - e[3], -e[0]) > (d[2], d[4] - d[3], -d[0])
+            for e in found
+        )
+        if not beaten:
+            keep.append(d)
+    return sorted(keep)
+
+
+LICENSE_TEXTS = [
+    "Licensed under the Apache License, Version 2.0. SPDX-License-Identifier: Apache-2.0",
+    "This work is licensed under the GNU General Public License, version 3. General  public-license",
+    "CC BY-NC 4.0 and cc by 3.0, see https://creativecommons.org/licenses/by-sa/4.0/",
+    "Released under the MIT License. All rights reserved. ALL-RIGHTS\nreserved",
+    "Copyright (c) 2020 X. Permission is hereby granted, free of charge, to any person. MPL-2.0 mozilla public license 2.0",
+    "the Unlicense; BSD 3-Clause License; http://opensource.org/licenses/bsd-3-clause; ISC License",
+    "gpl lgpl agpl cc0 public domain", "mit der Zeit", "cc\x00by", "accc bye", "écc by", "", "general public",
+]
+
+
+def test_license_scan(spark, edge, nothing):
+    rows = list(enumerate(LICENSE_TEXTS)) + [(50, None), (51, " ".join(LICENSE_TEXTS) * 20), (3, LICENSE_TEXTS[3])]
+    got = licenses.scan(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    for i, t in rows:
+        low = (t or "").translate(decontaminate._LOWER)
+        words = re.findall(licenses.WORD, low)
+        places = sorted((w, n) for n, p in licenses.PHRASES.items() for w in range(len(words)) if tuple(words[w : w + len(p)]) == p)
+        assert by_id[i].n_words == len(words)
+        assert [(x.word, x.label) for x in by_id[i].phrases] == places
+        if i != 51:
+            assert sorted((d.rule, d.label, d.priority, d.start, d.end) for d in by_id[i].detections) == brute_detections(t or "")
+    assert licenses.scan(edge).count() == edge.count() and licenses.scan(nothing).count() == 0
+    assert len(licenses.rules()) > 200
+    plan = licenses.scan(edge)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_every_rule_needs_a_stem():
+    """The first gate must not hide a rule: each rule's own keyword or expression brings a stem along."""
+    for text in LICENSE_TEXTS:
+        if brute_detections(text):
+            assert any(s in text.lower() for s in licenses.STEMS), text
+
+
+ALPHABET = "ab  \n\t\x1c\x1f\x85\xa0  ́İΣσÉe'stvre-!?9١½<|startoftext|>\U0001f600\x00ẛ̣가ᄀ᠎﻿​"
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.vocabulary_path())
+
+
+def test_bpe_equals_the_library(spark, edge, nothing, library):
+    rng = random.Random(2)
+    rows = [(i, "".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 300)))) for i in range(400)]
+    rows += [(500, "<|startoftext|> a<|endoftext|>b"), (501, "é" * 3000), (502, ("ab" * 40 + " ") * 300), (503, None)]
+    docs = frame(spark, rows).unionByName(edge)
+    got = bpe.encode_documents(docs).collect()
+    texts = {}
+    for r in docs.select("doc_id", "text").collect():
+        texts.setdefault(r.doc_id, set()).add(r.text or "")
+    assert len(got) == docs.count()
+    for r in got:
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts[r.doc_id]]
+        assert r.ids in want
+        assert r.decoded == library.decode(r.ids, skip_special_tokens=False)
+    assert bpe.encode_documents(nothing).count() == 0
+
+
+def test_bpe_stores_are_bounded(monkeypatch, library):
+    monkeypatch.setattr(bpe, "WORDS_HELD", 50)
+    monkeypatch.setattr(bpe, "CHUNKS_HELD", 3)
+    worker = bpe.Encoder(open(bpe.vocabulary_path(), encoding="utf-8").read())
+    text = prose(1, 3000)
+    data = text.encode()
+    ids, decoded = worker.encode(data, [*range(97, len(data), 97), len(data)])
+    want = library.encode(text, add_special_tokens=False).ids
+    import numpy as np
+
+    assert np.frombuffer(ids, "<i4").tolist() == want and decoded == library.decode(want, skip_special_tokens=False)
+    assert len(worker.words.young) <= 51 and len(worker.chunks.young) <= 3
+
+
+def test_equal_passages_give_equal_chunks():
+    import pyarrow as pa
+
+    from riskloom.llm.vectors import slices
+
+    passage = prose(7, 2000)
+    parts = [next(slices(pa.array([lead + passage]))) for lead in ("", "something else before ", "é" * 77)]
+    ends = [{len(p.data) - int(c) for c in bpe.cuts(p)} for p in parts]
+    assert len(ends[0]) > 5 and all(len(ends[0] - e) <= 1 for e in ends[1:])
+
+
+def test_pipeline(spark, sf):
+    docs = table(spark, sf, "documents")
+    kept = docs
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = kept
+        kept = corpus_pipeline.stored(stage(spark, kept, sf))
+        assert kept.columns == columns, name
+        assert kept.join(before, "doc_id", "left_anti").count() == 0
+    rows = {r.doc_id: r.text for r in kept.collect()}
+    lowered = [(t or "").translate(decontaminate._LOWER) for t in rows.values()]
+    assert len(set(lowered)) == len(lowered)
+    groups = brute_groups(list(rows.items()))
+    assert all(i == c for i, c in groups)
+    items = [tuple(r) for r in table(spark, sf, "benchmark").select("item_id", "text").collect()]
+    assert not brute_contained(list(rows.items()), items)
+    out = {r.doc_id: r for r in corpus_pipeline.run(spark, sf).collect()}
+    assert out.keys() == rows.keys()
+    for i, r in out.items():
+        assert hashlib.sha256(r.ids.encode()).hexdigest() == r.ids_sha256 and r.n_tokens == len(r.ids.split())
+
+
+def test_names_of_stages():
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert len(names) == 5 and names[0].startswith("toxicity") and names[-1].startswith("BPE")
+    assert F is not None
