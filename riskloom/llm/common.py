@@ -8,6 +8,7 @@ import string
 import tempfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +55,21 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(spark.sparkContext.applicationId)
 
 
+#: Bytes of an Arrow batch on its way to a Python worker. Both sides hold some batches at a time.
+ARROW_BATCH = 8 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def in_arrow(df: DataFrame, fn, schema: str, *args) -> DataFrame:
-    """``fn(batches, *args)`` over the partitions of ``df``."""
-    ship_package(df.sparkSession)
+    """``fn(batches, *args)`` over the partitions of ``df``, in batches of bounded size where the user set no other."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH_BYTES, None) in (None, "67108864b", "64m", "64MB"):  # the default
+        spark.conf.set(_BATCH_BYTES, str(ARROW_BATCH))
     return df.mapInArrow(functools.partial(_call, fn, args), schema)
 
 
 def _call(fn, args, batches):
-    return fn(batches, *args)
+    for batch in fn(batches, *args):
+        yield batch
+        pa.default_memory_pool().release_unused()

@@ -3,6 +3,8 @@
 import hashlib
 from collections import defaultdict
 
+from llm_cases import edge, frame, nothing, prose, sf  # noqa: F401  (fixtures)
+
 from riskloom.llm import chat, exact_dedup
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -47,8 +49,6 @@ def test_kept_documents(edge):
 
 
 def test_id_shared_by_two_texts(spark):
-    from tests.llm.conftest import frame
-
     docs = frame(spark, [(1, "first text"), (1, "second text"), (2, "FIRST text")])
     assert sorted(r.text for r in exact_dedup.kept_documents(docs).collect()) == ["FIRST text", "second text"]
 

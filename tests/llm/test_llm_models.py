@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.llm import language_id, lm_scoring, quality, toxicity
 from riskloom.llm.common import held_out, table
 from riskloom.llm.vectors import slices
-from tests.llm.conftest import frame, prose
+from llm_cases import edge, frame, nothing, prose, sf  # noqa: F401  (fixtures)
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -86,9 +86,7 @@ def brute_segments(scores):
     if best[0] <= 1e-12:
         return []
     _, _, _, i, j = best
-    return brute_segments(scores[:i]) + [(i, j)] + [(s + j, e + j) for s, e in brute_segments(scores[j:])] if False else (
-        brute_segments(scores[:i]) + [(i, j)] + [(s + j, e + j) for s, e in brute_segments(scores[j:])]
-    )
+    return brute_segments(scores[:i]) + [(i, j)] + [(s + j, e + j) for s, e in brute_segments(scores[j:])]
 
 
 def test_segments_are_all_maximal_ones():

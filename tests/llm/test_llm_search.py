@@ -5,12 +5,11 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskloom.llm import bpe, decontaminate, jaccard_join, licenses
 from riskloom.llm.common import table
-from tests.llm.conftest import frame, prose
+from llm_cases import edge, frame, nothing, prose, sf  # noqa: F401  (fixtures)
 
 
 def sets_of(rows):
@@ -244,4 +243,3 @@ def test_pipeline(spark, sf):
 def test_names_of_stages():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and names[0].startswith("toxicity") and names[-1].startswith("BPE")
-    assert F is not None
