@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.bounded import local_side, rows_if_small
 from riskloom.operators.checks import repeated_keys
 from riskloom.operators.marts import with_identity
 from riskloom.sources.dated import DT, between_days, on_day
@@ -52,28 +51,30 @@ def feature_columns(columns: Sequence[str]) -> tuple[str, ...]:
 
 
 def load(
-    tx: DataFrame, identity: DataFrame, dim: DataFrame, split: str, columns: Sequence[str] | None = None
+    tx: DataFrame,
+    identity: DataFrame,
+    dim: DataFrame,
+    split: str,
+    columns: Sequence[str] | None = None,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> Dataset:
-    """One time split with ``transaction_hour`` and ``has_identity``.
+    """One time split with ``transaction_hour`` and ``has_identity``; ``check`` sees its rows before the identity join.
 
     ``columns`` chooses features; keys, date and label are always read. The date dimension is filtered before the join
-    and has one row per day, so the split filter reaches the transactions as a broadcast (and as partition pruning
-    where the table is dated). A date in two sources would double its rows, so uniqueness is checked first.
+    and has one row per day, so the split filter reaches the transactions as partition pruning where the table is dated. A date in two sources would double its rows, so uniqueness is checked first.
     """
     if split not in SPLITS:
         raise ValueError(f"split must be one of {SPLITS}, not {split!r}")
-    rows = rows_if_small(dim)
-    if rows is None:
-        days, twice = dim, repeated_keys(dim, "transaction_date").limit(1).count() > 0
-    else:
-        days, twice = local_side(dim, rows), len({r["transaction_date"] for r in rows}) < len(rows)
-    if twice:
+    if not repeated_keys(dim, "transaction_date").isEmpty():
         raise ValueError("a date belongs to two splits")
     # A dated table is joined on its directory column, so that the days of the split prune its partitions.
     key = DT if DT in tx.columns else "transaction_date"
-    chosen = days.where(F.col("ml_split") == split).withColumnRenamed("transaction_date", key)
+    chosen = dim.where(F.col("ml_split") == split).withColumnRenamed("transaction_date", key)
     wanted = list(dict.fromkeys([*columns, "transaction_dt", *KEYS, key])) if columns else tx.columns
-    frame = with_identity(tx.select(*wanted).join(chosen, key).drop(DT), identity)
+    rows = tx.select(*wanted).join(chosen, key).drop(DT)
+    if check is not None:
+        check(rows)
+    frame = with_identity(rows, identity)
     features = feature_columns(frame.columns)
     return Dataset(frame.select(*KEYS, *features), features, None if split == "test" else LABEL)
 
@@ -81,16 +82,19 @@ def load(
 def load_training(
     tx: DataFrame, identity: DataFrame, dim: DataFrame, split: str, columns: Sequence[str] | None = None
 ) -> Dataset:
-    """Train or valid only; refuses an empty split and missing labels, found in one counting job."""
+    """Train or valid only; refuses an empty split and missing labels, found in one counting job
+    before the identity join, which is 1:1."""
     if split == "test":
         raise ValueError("the test split has no labels; use load for scoring")
-    data = load(tx, identity, dim, split, columns)
-    seen = data.frame.agg(F.count(F.lit(1)).alias("n"), F.count(LABEL).alias("labelled")).first()
-    if not seen["n"]:
-        raise ValueError(f"{split}: no rows")
-    if seen["labelled"] != seen["n"]:
-        raise ValueError(f"{split}: {seen['n'] - seen['labelled']} rows without a label")
-    return data
+
+    def complete(rows: DataFrame) -> None:
+        n, labelled = rows.agg(F.count(F.lit(1)), F.count(LABEL)).first()
+        if not n:
+            raise ValueError(f"{split}: no rows")
+        if labelled != n:
+            raise ValueError(f"{split}: {n - labelled} rows without a label")
+
+    return load(tx, identity, dim, split, columns, complete)
 
 
 def on_same_days(identity: DataFrame, first: date, last: date) -> DataFrame:

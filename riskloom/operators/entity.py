@@ -20,46 +20,36 @@ def entity_monotonicity(
     without a complete card key belong to no card.
 
     One card may hold a large part of all rows, so no window holds a whole card: rows are windowed by card and minute,
-    and each minute's first row meets the last row of the minute before. That second window holds at most one row per
-    minute of the calendar, 525,600 a year, for any card.
+    and each minute's first row meets the last row of the minute before. That second window holds at most two rows per
+    minute of the calendar, a million a year, for any card. All rows of one card with the same minute share a task; where
+    times are coarser than that, a card's rows of one time do.
     """
     known = tx.dropna(subset=list(keys)).select(
         *keys,
         F.floor(F.col(at) / SECONDS_PER_MINUTE).alias("_slot"),
         F.struct(
             F.col(at).alias("at"), F.col(row_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in columns]
-        ).alias("_row"),
+        ).alias("c"),
     )
-    cell = [*keys, "_slot"]
-    in_minute = Window.partitionBy(*cell).orderBy(F.col("_row.at"), F.col("_row.id"))
-    within = known.select(F.lag("_row").over(in_minute).alias("p"), F.col("_row").alias("c"))
-
-    # The struct starts with (at, id), so its minimum and maximum are the first and the last row; no sort is needed.
-    ends = known.groupBy(*cell).agg(F.min("_row").alias("c"), F.max("_row").alias("_last"))
-    across_minutes = Window.partitionBy(*keys).orderBy("_slot")
-    between = ends.select(F.lag("_last").over(across_minutes).alias("p"), "c")
-
-    steps = within.unionByName(between).where(F.col("p").isNotNull())
-    elapsed = day_index("c.at") - day_index("p.at")
-    moves = steps.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column"), (F.col(f"c.{c}") - F.col(f"p.{c}")).alias("change"), elapsed.alias("days"))
-                    for c in columns
-                ]
-            )
-        )
-    ).where(F.col("change").isNotNull())
-    return (
-        moves.groupBy("column")
-        .agg(
-            F.count(F.lit(1)).alias("steps"),
-            F.count_if(F.col("change") >= 0).alias("not_falling"),
-            F.count_if(F.col("change") == 0).alias("unchanged"),
-            F.count_if(F.col("change") == F.col("days")).alias("as_elapsed"),
-        )
-        .withColumns(
-            {f"{c}_share": ratio_or_null(c, "steps") for c in ("not_falling", "unchanged", "as_elapsed")}
-        )
+    order = [F.col("c.at"), F.col("c.id")]
+    in_minute = Window.partitionBy(*keys, "_slot").orderBy(*order)
+    marked = known.select(
+        "*",
+        F.lag("c").over(in_minute).alias("_before"),
+        F.lead(F.lit(True)).over(in_minute).isNull().alias("_last"),
     )
+    # First and last rows of minutes share one window of their card; all others stay where they are.
+    edge = F.col("_before").isNull() | F.col("_last")
+    across = Window.partitionBy(*keys, F.when(~edge, F.col("_slot"))).orderBy(*order)
+    steps = marked.select("c", F.coalesce("_before", F.lag("c").over(across)).alias("p"))
+    elapsed = day_index("c.at") - day_index("p.at")
+    counts = []
+    for c in columns:
+        change = F.col(f"c.{c}") - F.col(f"p.{c}")
+        tests = {"steps": change.isNotNull(), "not_falling": change >= 0, "unchanged": change == 0, "as_elapsed": change == elapsed}
+        counts += [F.count_if(t).alias(f"{c} {n}") for n, t in tests.items()]
+    wide = steps.agg(*counts)
+    names = ("steps", "not_falling", "unchanged", "as_elapsed")
+    rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"`{c} {n}`").alias(n) for n in names]) for c in columns]
+    table = wide.select(F.inline(F.array(*rows))).where("steps > 0")
+    return table.withColumns({f"{n}_share": ratio_or_null(n, "steps") for n in names[1:]})

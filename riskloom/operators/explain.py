@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Transformer
@@ -13,29 +14,38 @@ from riskloom.functions.lineage import materialized
 from riskloom.operators.models import scored
 
 # Fixed values.
-SAMPLE_ROWS = 10_000
 CUMULATIVE_STEPS = (10, 20, 50, 100, 200)
 TOP = 20
+# Rows inside which one feature is exchanged at a time.
+BUCKET_ROWS = 50_000
 
 
-def stable_sample(df: DataFrame, row_id: str, rows: int = SAMPLE_ROWS, seed: int = 42) -> DataFrame:
+def stable_sample(df: DataFrame, row_id: str, rows: int, seed: int = 42) -> DataFrame:
     """A seeded sample of an exact size: the rows with the smallest id hashes, so the same on every run and layout."""
     return df.orderBy(F.xxhash64(F.col(row_id), F.lit(seed)), row_id).limit(rows)
 
 
-def linear_contributions(df: DataFrame, weights: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
-    """(keys, feature, contribution) of a linear score: weight * (value - mean), 0 where the value is unknown."""
-    means = df.agg(*[F.avg(c).alias(c) for c in weights])
-    parts = {
-        c: F.coalesce(F.lit(float(w)) * (F.col(c) - means.select(c).scalar()), F.lit(0.0)).alias(c)
-        for c, w in weights.items()
+def _parts(df: DataFrame, weights: Mapping[str, float]) -> dict[str, Column]:
+    """weight * (value - mean) of each feature, 0 where the value is unknown. One pass for all means, one row of them."""
+    means = df.agg(*[F.avg(c) for c in weights]).first()
+    return {
+        c: F.coalesce(F.lit(float(w)) * (F.col(c) - F.lit(m).cast("double")), F.lit(0.0))
+        for (c, w), m in zip(weights.items(), means)
     }
-    return df.select(*keys, *parts.values()).unpivot(list(keys), list(parts), "feature", "contribution")
 
 
-def importance(contributions: DataFrame) -> DataFrame:
-    """Mean absolute contribution per feature, pre-combined per task: (feature, importance)."""
-    return contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("importance"))
+def linear_contributions(df: DataFrame, weights: Mapping[str, float], keys: Sequence[str]) -> DataFrame:
+    """(keys, feature, contribution) of a linear score for every row and feature."""
+    parts = _parts(df, weights)
+    named = [p.alias(c) for c, p in parts.items()]
+    return df.select(*keys, *named).unpivot(list(keys), list(parts), "feature", "contribution")
+
+
+def linear_importance(df: DataFrame, weights: Mapping[str, float]) -> DataFrame:
+    """(feature, importance): mean absolute contributions of a linear score, in two passes for any number of features."""
+    wide = df.agg(*[F.avg(F.abs(p)).alias(c) for c, p in _parts(df, weights).items()])
+    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("importance")) for c in weights]
+    return wide.select(F.inline(F.array(*pairs)))
 
 
 def permutation_importance(
@@ -43,27 +53,29 @@ def permutation_importance(
 ) -> DataFrame:
     """Log-loss added when one feature is exchanged between rows, for models without additive contributions.
 
-    Measured on the seeded sample, which is stored once for all features. Its rows swap values inside hash buckets:
-    sorted by a seeded hash, each row takes the value of the next one and the last row of a bucket keeps its own.
+    Measured on all rows, which are stored once. They swap values inside hash buckets, whose number follows the data:
+    sorted by a seeded hash, each row takes the value of the next one and the last row of a bucket keeps its own. A
+    feature that misleads the model has a negative value.
     """
-    sample = materialized(stable_sample(df, row_id, seed=seed))
-    base = sample.withColumn("_bucket", F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(64)))
+    stored = materialized(df)
+    buckets = max(1, math.ceil(stored.count() / BUCKET_ROWS))
+    base = stored.withColumn("_bucket", F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(buckets)))
 
-    def loss(frame: DataFrame) -> Column:
+    def loss(frame: DataFrame) -> float:
         p = F.greatest(F.least(F.col("score"), F.lit(1 - 1e-15)), F.lit(1e-15))
         hit = scored(model, frame).select(
             F.avg(-F.when(F.col(label) == 1, F.log(p)).otherwise(F.log(1 - p))).alias("loss")
         )
         return hit.first()["loss"]
 
-    before = loss(sample)
+    before = loss(stored)
     rows = []
     for i, feature in enumerate(features):
         order = Window.partitionBy("_bucket").orderBy(F.xxhash64(F.col(row_id), F.lit(seed + 1 + i)), row_id)
         # A window's lead default must be a literal, so the last row is told apart by its rank.
         last = F.lead(F.lit(True)).over(order).isNull()
         swapped = base.withColumn(feature, F.when(last, F.col(feature)).otherwise(F.lead(feature).over(order)))
-        rows.append((feature, max(loss(swapped.select(*df.columns)) - before, 0.0)))
+        rows.append((feature, loss(swapped.select(*df.columns)) - before))
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 

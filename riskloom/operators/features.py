@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions import columns as X
-from riskloom.functions.bounded import rows_if_small
+from riskloom.functions.lineage import materialized
 from riskloom.params import Params
 
 logger = logging.getLogger(__name__)
@@ -26,9 +26,6 @@ class FeatureSet(StrEnum):
 DOMAIN_COLUMNS = ("purchaser_email_domain", "recipient_email_domain")
 CURATED_COLUMNS = ("transaction_amt", "product_cd", "card4", "card6", *DOMAIN_COLUMNS)
 
-# Above this many kept domains the list is no longer written into the plan but joined.
-INLINE_DOMAINS = 10_000
-
 Domains = Mapping[str, list[str] | DataFrame]
 
 
@@ -42,23 +39,23 @@ def frequent_domains(df: DataFrame, columns: Sequence[str], min_count: int) -> D
     )
 
 
-def fit_domains(df: DataFrame, params: Params) -> dict[str, list[str] | DataFrame]:
+def fit_domains(df: DataFrame, params: Params) -> dict[str, DataFrame]:
     """Kept domains per column, to be fitted on the training split only and reused afterwards.
 
-    The lists are fetched when they are short; lists beyond ``INLINE_DOMAINS`` stay DataFrames.
+    They are counted once and stored; every later use joins the stored table.
     """
     columns = [c for c in DOMAIN_COLUMNS if c in df.columns]
     if not columns:
         return {}
-    kept = frequent_domains(df, columns, params.domain_min_count).select("column", "domain")
-    rows = rows_if_small(kept, INLINE_DOMAINS)
-    if rows is None:
-        return {c: kept.where(F.col("column") == c).select("domain") for c in columns}
-    return {c: sorted(r["domain"] for r in rows if r["column"] == c) for c in columns}
+    kept = materialized(frequent_domains(df, columns, params.domain_min_count).select("column", "domain"))
+    return {c: kept.where(F.col("column") == c).select("domain") for c in columns}
 
 
 def normalize_domain(df: DataFrame, column: str, keep: list[str] | DataFrame) -> DataFrame:
-    """Aliases to services, services outside the keep list to ``other``, NULL to ``(missing)``."""
+    """Aliases to services, services outside the keep list to ``other``, NULL to ``(missing)``.
+
+    ``keep`` is a fitted table, or a list that the caller wrote down.
+    """
     service = X.canonical_domain(column)
     if not isinstance(keep, DataFrame):
         return df.withColumn(column, X.keep_or_other(service, keep))

@@ -147,7 +147,7 @@ def agg_predictions_daily(predictions: DataFrame, params: Params) -> DataFrame:
 
 
 def agg_score_amount(predictions: DataFrame, tx: DataFrame, params: Params) -> DataFrame:
-    """Score band by amount band, per date and product. Predictions without a transaction drop out (see the checks)."""
+    """Score band by amount band, per date and product. Predictions without a transaction drop out."""
     amounts = tx.select("transaction_id", "transaction_amt", "product_cd")
     return (
         predictions.select("transaction_id", "transaction_date", "score")
@@ -172,6 +172,12 @@ def labelled_rows(tx: DataFrame) -> DataFrame:
     return tx.where(F.col("source_split") == "train")
 
 
+def train_rows(tx: DataFrame, dim: DataFrame) -> DataFrame:
+    """Rows of the training days. What is fitted (domain lists, class weights) is fitted on these alone."""
+    days = dim.where(F.col("ml_split") == "train").select("transaction_date")
+    return tx.join(days, "transaction_date", "left_semi")
+
+
 def long_features(tx: DataFrame, features: Sequence[str], kind: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per record and feature from a single scan; ``kind`` is the common type of ``value``."""
     typed = tx.selectExpr(*keep, *[f"CAST({f} AS {kind}) AS {f}" for f in features])

@@ -1,8 +1,8 @@
 """Order-dependent results without a window over the whole table.
 
-``running_totals`` gives exact prefix sums over any number of distinct values. It never samples, so a recomputed task
-sees the same ranges: a value's range comes from a fixed non-decreasing function of the value. Three levels keep every
-sort small: ranges inside a group, sub-ranges inside a range, values inside a sub-range.
+``running_totals`` gives exact prefix sums over any number of distinct values. The values are dealt into ranges that
+follow the data (range partitioning, which samples them) and stored together with the number of their range, so that a
+recomputed task cannot see other ranges. Sums of ranges give the offsets; a window never holds more than one range.
 """
 
 from __future__ import annotations
@@ -14,24 +14,13 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.lineage import materialized
 
-# Sub-ranges per unit of log(1 + |value|), and sub-ranges per range (as a power of two).
-FINE_PER_UNIT = 1 << 18
-COARSE_BITS = 12
-# log(1 + |v|) of a double is below 710, so infinities may be clamped here without passing a finite value.
-LOG_LIMIT = 750.0
-# Id ranges into which the rows of one hot value are cut, and the number of tied rows that one task may sort.
-ID_RANGES = 1 << 14
-SORTED_TOGETHER = 1_000_000
+_RANGE = "_range"
 
-_COARSE, _FINE = "_coarse", "_fine"
 
-
-def value_range(value: Column) -> Column:
-    """Sub-range number of a value, non-decreasing in the value."""
-    v = value.cast("double")
-    scaled = F.signum(v) * F.log1p(F.abs(v))
-    clamped = F.greatest(F.least(scaled, F.lit(LOG_LIMIT)), F.lit(-LOG_LIMIT))
-    return F.floor(clamped * FINE_PER_UNIT)
+def in_ranges(cells: DataFrame, group: Sequence[str], by: Column) -> DataFrame:
+    """The rows with the number of their range, stored. Ranges are non-decreasing in (group, order) and even in size."""
+    dealt = cells.repartitionByRange(*[F.col(g) for g in group], by)
+    return materialized(dealt.withColumn(_RANGE, F.spark_partition_id()))
 
 
 def running_totals(
@@ -41,36 +30,27 @@ def running_totals(
     group: Sequence[str] = (),
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``before_<w>``: the sum of ``w`` over the cells of the group that come earlier in the order.
+    """Add ``before_<w>``: the sum of ``w`` over the rows of the group that come earlier in the order.
 
-    ``cells`` holds one row per (group, order value), as a groupBy gives it; ties must be combined beforehand, which
-    also removes skew. NULL and NaN order values are not allowed. The window over ranges sees at most
-    2 * LOG_LIMIT * FINE_PER_UNIT / 2**COARSE_BITS = 96,000 rows per group, whatever the data size.
+    Order values are unique in a group, as a groupBy gives them; combining ties beforehand also removes skew. NULL and
+    NaN order values are not allowed. The window over ranges sees one row for each range of a group, at most as many as
+    there are partitions.
     """
     by = -F.col(order).cast("double") if descending else F.col(order)
-    ranged = cells.withColumn(_FINE, value_range(by)).withColumn(_COARSE, F.shiftright(_FINE, COARSE_BITS))
-    keys = [*group, _COARSE, _FINE]
+    ranged = in_ranges(cells, group, by)
+    keys = [*group, _RANGE]
     earlier = (Window.unboundedPreceding, -1)
 
     def prior(column: str, window) -> Column:
         return F.coalesce(F.sum(column).over(window.rowsBetween(*earlier)), F.lit(0))
 
-    fine = ranged.groupBy(*keys).agg(*[F.sum(w).alias(f"_t_{w}") for w in weights])
-    coarse = fine.groupBy(*group, _COARSE).agg(*[F.sum(f"_t_{w}").alias(f"_t_{w}") for w in weights])
-    over_coarse = Window.partitionBy(*(group or [F.lit(0)])).orderBy(_COARSE)
-    over_fine = Window.partitionBy(*group, _COARSE).orderBy(_FINE)
-    coarse_before = coarse.select(*group, _COARSE, *[prior(f"_t_{w}", over_coarse).alias(f"_c_{w}") for w in weights])
-    fine_before = fine.select(*keys, *[prior(f"_t_{w}", over_fine).alias(f"_f_{w}") for w in weights])
-    offsets = fine_before.join(coarse_before, [*group, _COARSE])
-
+    totals = ranged.groupBy(*keys).agg(*[F.sum(w).alias(f"_t_{w}") for w in weights])
+    over_ranges = Window.partitionBy(*(group or [F.lit(0)])).orderBy(_RANGE)
+    offsets = totals.select(*keys, *[prior(f"_t_{w}", over_ranges).alias(f"_o_{w}") for w in weights])
     # Join keys and window keys are the same, so one shuffle serves both.
     inside = Window.partitionBy(*keys).orderBy(by)
     return ranged.join(offsets, keys).select(
-        *cells.columns,
-        *[
-            (F.col(f"_c_{w}") + F.col(f"_f_{w}") + prior(w, inside)).alias(f"before_{w}")
-            for w in weights
-        ],
+        *cells.columns, *[(F.col(f"_o_{w}") + prior(w, inside)).alias(f"before_{w}") for w in weights]
     )
 
 
@@ -102,9 +82,7 @@ def tile_summary(rows: DataFrame, feature: str, value: str, row_id: str, label:
         F.count(label).alias("labelled"),
         F.count_if(F.col(label) == 1).alias("positives"),
     ]
-    by_value = materialized(
-        rows.groupBy(feature, value).agg(*sums, F.min(row_id).alias("_lo"), F.max(row_id).alias("_hi"))
-    )
+    by_value = materialized(rows.groupBy(feature, value).agg(*sums))
     known = by_value.where(F.col(value).isNotNull())
     # One row per feature name.
     sizes = F.broadcast(known.groupBy(feature).agg(F.sum("n").alias("_rows")))
@@ -119,15 +97,13 @@ def tile_summary(rows: DataFrame, feature: str, value: str, row_id: str, label:
 
     # At most (tiles - 1) rows per feature: the tile boundaries.
     straddling = values.where(F.col("_first") != F.col("_last")).select(
-        feature, value, "n", "_rows", "_lo", "_hi", F.col("before_n").alias("_start")
+        feature, value, "_rows", F.col("before_n").alias("_start")
     )
     cut_values = straddling.collect()
     if cut_values:
-        largest = max(r["n"] for r in cut_values)
-        local = rows.sparkSession.createDataFrame(cut_values, straddling.schema).drop("n")
+        local = rows.sparkSession.createDataFrame(cut_values, straddling.schema)
         tied = rows.join(F.broadcast(local), [feature, value])
-        for part in _split_ties(tied, [feature, value], row_id, sums, tiles, largest):
-            parts = parts.unionByName(part.select(*out))
+        parts = parts.unionByName(_split_ties(tied, [feature, value], row_id, sums, tiles).select(*out))
     return parts.groupBy(feature, "tile").agg(
         *[F.sum(c).alias(c) for c in ("n", "labelled", "positives")],
         F.min(value).alias("value_min"),
@@ -146,32 +122,14 @@ def _placed(df: DataFrame, before: str, tiles: int) -> DataFrame:
     )
 
 
-def _split_ties(
-    tied: DataFrame, keys: list[str], row_id: str, sums: list[Column], tiles: int, largest: int
-) -> list[DataFrame]:
+def _split_ties(tied: DataFrame, keys: list[str], row_id: str, sums: list[Column], tiles: int) -> DataFrame:
     """Tiles inside the values that straddle a boundary, by row id.
 
-    A value held by few rows is sorted in one task. A hot value (it may hold a third of all rows) is first counted by
-    id range; again only the ranges on a boundary, at most ``tiles - 1`` per value, are sorted.
+    Such a value may be held by a third of all rows, so its rows are ranked by prefix sums as well.
     """
-    if largest <= SORTED_TOGETHER:
-        start, window = F.col("_start"), Window.partitionBy(*keys).orderBy(row_id)
-        ranked, done = tied, []
-    else:
-        width = F.floor((F.col("_hi") - F.col("_lo")) / ID_RANGES) + 1
-        tied = tied.withColumn("_range", F.floor((F.col(row_id) - F.col("_lo")) / width))
-        by_range = materialized(tied.groupBy(*keys, "_rows", "_start", "_range").agg(*sums))
-        # At most ID_RANGES rows per value.
-        earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-        begin = F.col("_start") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
-        ranges = _placed(by_range.withColumn("_begin", begin), "_begin", tiles)
-        on_boundary = ranges.where(F.col("_first") != F.col("_last")).select(*keys, "_range", "_begin")
-        ranked = tied.join(F.broadcast(on_boundary), [*keys, "_range"])
-        start, window = F.col("_begin"), Window.partitionBy(*keys, "_range").orderBy(row_id)
-        done = [ranges.where(F.col("_first") == F.col("_last"))]
-    rank = start + F.row_number().over(window)
-    singles = ranked.withColumn("_first", tile_number(rank, F.col("_rows"), tiles))
-    return [*done, singles.groupBy(*keys, "_first").agg(*sums)]
+    ranked = running_totals(tied.withColumn("_one", F.lit(1)), row_id, ["_one"], keys)
+    rank = F.col("_start") + F.col("before__one") + 1
+    return ranked.withColumn("_first", tile_number(rank, F.col("_rows"), tiles)).groupBy(*keys, "_first").agg(*sums)
 
 
 def ranking_metrics(

@@ -223,7 +223,7 @@ DOMAINS = ("purchaser_email_domain", "recipient_email_domain")
 
 
 def kept(c: str) -> str:
-    return f"select {SERVICE.format(c=c)} as domain, count(*) as n from tx where source_split = 'train' and {c} is not null group by 1 having count(*) >= 1000"
+    return f"select {SERVICE.format(c=c)} as domain, count(*) as n from tx where transaction_date < date '2024-01-18' and {c} is not null group by 1 having count(*) >= 1000"
 
 
 def normalized(c: str) -> str:
@@ -397,7 +397,7 @@ def oracle() -> dict[str, str]:
         "check_suite": q(suite + " " + checks_sql(list(CONTRACT), TABLES)),
         "features_build": q(f"select transaction_id, {text('transaction_amt')}, {BAND} as amount_band, {filled('product_cd', 'card4', 'card6', 'M4')}, {', '.join(f'{normalized(c)} as {c}' for c in DOMAINS)}, {text('C13')} from tx"),
         "dummy_scores": q(f"select transaction_id, (select {r('avg(is_fraud)')} from tx where transaction_date < date '2024-01-18') as score from tx where transaction_date between date '2024-01-18' and date '2024-01-24'"),
-        "class_weights": q(f"select is_fraud as label, count(*) as n, {r('sum(count(*)) over () / (2 * count(*))')} as weight from tx where source_split = 'train' group by 1"),
+        "class_weights": q(f"select is_fraud as label, count(*) as n, {r('sum(count(*)) over () / (2 * count(*))')} as weight from tx where transaction_date < date '2024-01-18' group by 1"),
         "score_day": q(f", j as (select *, {normalized('purchaser_email_domain')} as domain from ({JOINED}) where transaction_date = date '2024-01-26') select transaction_id, cast(transaction_date as varchar) as transaction_date, {r(score)} as score, 'fixed' as model from j"),
         "ranking_metrics": q(metrics),
         "threshold_cost": curve_q(f", p as (select *, {RATES} from o) select {OUTCOME}, {r('missed_amount + false_alarms * 5.0')} as total_cost from p", "g as (select 0.43 :: double as threshold)"),

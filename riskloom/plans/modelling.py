@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.lineage import materialized
 from riskloom.operators import dataset, models, scoring, store, thresholds
 from riskloom.operators.features import FeatureSet
-from riskloom.operators.models import BASELINES, Baseline
 from riskloom.operators.ordered import ranking_metrics
 from riskloom.operators.staging import stg_identity, stg_transactions
 from riskloom.params import Params
@@ -33,8 +34,8 @@ def _split(
     return dataset.load_training(tx, identity, dim, split, models.curated_or_all(feature_set))
 
 
-def model_name(spec: Baseline, feature_set: FeatureSet) -> str:
-    return f"{spec.name}-{feature_set}"
+def model_name(model: str, feature_set: FeatureSet) -> str:
+    return f"{model}-{feature_set}"
 
 
 def train(
@@ -44,15 +45,16 @@ def train(
     model_directory: str,
     params: Params,
     feature_set: FeatureSet = FeatureSet.CURATED,
-    baselines: tuple[Baseline, ...] = BASELINES,
+    fits: Sequence[tuple[str, models.Fit]] | None = None,
+    stored: Sequence[str] = ("trees",),
 ) -> DataFrame:
-    """Fit and compare the baselines of a feature set, store those meant for scoring, return the comparison."""
+    """Fit and compare the models of a feature set, store those named in ``stored``, return the comparison."""
     parts = [_split(spark, root, mart_root, s, feature_set) for s in ("train", "valid")]
-    fitted = models.compare(*parts, feature_set, params, baselines)
+    fitted = models.compare(*parts, feature_set, params, fits)
     for t in fitted:
-        if t.spec.persist:
-            bundle = store.Bundle(t.model, t.domains, t.columns, feature_set, t.metrics, datetime.now(UTC))
-            store.save(bundle, model_directory, model_name(t.spec, feature_set))
+        if t.name in stored:
+            kept = store.ScoringModel(t.model, t.inputs, t.domains, feature_set, datetime.now(UTC), t.metrics)
+            store.save(kept, model_directory, model_name(t.name, feature_set))
     return models.comparison_table(spark, fitted)
 
 
@@ -71,7 +73,7 @@ def publish_curve(
     """Write the threshold curve of a stored model on the validation split as one JSON document."""
     bundle = store.load(spark, model_directory, name)
     valid = _split(spark, root, mart_root, "valid", bundle.feature_set)
-    scores = store.score(valid.frame, bundle, params, (*KEYS, "transaction_amt"))
+    scores = materialized(store.score(valid.frame, bundle, params, (*KEYS, "transaction_amt")))
     summary = thresholds.curve_summary(scores).select(
         F.lit(name).alias("model"),
         F.lit("valid").alias("split"),

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
-from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,9 +46,6 @@ WEIGHTS = {
     "card1": 0.002,
     "C5": 0.0,
 }
-# Boosting rounds of the registered comparison; the library default is models.ROUNDS.
-COMPARED_ROUNDS = 20
-
 # Whole-number columns of the stand-in tables that hold NULLs.
 NULLABLE = {"is_fraud", "isFraud", "card2", "addr1", "dist1", "dist2", "C13", "D2", "D3"}
 # Added before rounding: a mean that is an exact half in decimal falls to one side whatever its last bit is.
@@ -164,7 +160,7 @@ def amount_band(s: Standins) -> DataFrame:
 
 
 def _train_domains(s: Standins) -> features.Domains:
-    return features.fit_domains(marts.labelled_rows(s.tx), P)
+    return features.fit_domains(marts.train_rows(s.tx, dim_split(s)), P)
 
 
 @query
@@ -326,7 +322,7 @@ def column_profile_lineitem(s: Standins) -> DataFrame:
 
 @query
 def fit_domains(s: Standins) -> DataFrame:
-    return features.frequent_domains(marts.labelled_rows(s.tx), features.DOMAIN_COLUMNS, P.domain_min_count)
+    return features.frequent_domains(marts.train_rows(s.tx, dim_split(s)), features.DOMAIN_COLUMNS, P.domain_min_count)
 
 
 @query
@@ -455,7 +451,7 @@ def dummy_scores(s: Standins) -> DataFrame:
 
 @query
 def class_weights(s: Standins) -> DataFrame:
-    return models.class_weights(marts.labelled_rows(s.tx))
+    return models.class_weights(marts.train_rows(s.tx, dim_split(s)))
 
 
 def fixed_scorer(df: DataFrame) -> DataFrame:
@@ -473,13 +469,15 @@ def fixed_scorer(df: DataFrame) -> DataFrame:
 
 @query
 def score_day(s: Standins) -> DataFrame:
-    bundle = store.Bundle(
-        model=fixed_scorer,
+    read = (("transaction_amt", "double"), ("transaction_hour", "bigint"), ("has_identity", "boolean"),
+            ("amount_band", "string"), ("purchaser_email_domain", "string"))
+    bundle = store.ScoringModel(
+        scorer=fixed_scorer,
+        inputs=T.StructType.fromDDL(", ".join(f"{c} {t}" for c, t in read)),
         domains=_train_domains(s),
-        columns=("transaction_amt", "transaction_hour", "has_identity", "amount_band", "purchaser_email_domain"),
         feature_set=features.FeatureSet.CURATED,
-        metrics={},
         trained_at=datetime(2024, 1, 25),
+        metrics={},
     )
     day = s.tx.where(F.col("transaction_date") == F.lit(SCORED_DAY))
     return scoring.predictions(day, s.identity, bundle, "fixed", P).drop("model_trained_at", "scored_at")
@@ -526,7 +524,7 @@ def curve_summary(s: Standins) -> DataFrame:
 
 
 def _importance(s: Standins) -> DataFrame:
-    return explain.importance(explain.linear_contributions(s.tx, WEIGHTS, ("transaction_id",)))
+    return explain.linear_importance(s.tx, WEIGHTS)
 
 
 @query
@@ -550,6 +548,4 @@ def model_comparison(s: Standins) -> DataFrame:
     train, valid = (
         dataset.load_training(s.tx, s.identity, dim, split, features.CURATED_COLUMNS) for split in ("train", "valid")
     )
-    quick = functools.partial(models.trees, rounds=COMPARED_ROUNDS)
-    chosen = tuple(replace(b, fit=quick) if b.name == "trees" else b for b in models.BASELINES)
-    return models.comparison_table(s.spark, models.compare(train, valid, features.FeatureSet.CURATED, P, chosen))
+    return models.comparison_table(s.spark, models.compare(train, valid, features.FeatureSet.CURATED, P))

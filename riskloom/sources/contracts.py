@@ -46,40 +46,51 @@ CLUSTERING = {
 }
 
 
-def _numbered(bounds: tuple[int, int]) -> range:
-    return range(bounds[0], bounds[1] + 1)
+def _family(prefix: str, bounds: tuple[int, int], usual: str, width: int = 1, **other: tuple) -> dict[str, str]:
+    """Types of a numbered family: the usual one, and the members (numbers or ranges of them) of every other type."""
+    out = {f"{prefix}{i:0{width}d}": usual for i in range(bounds[0], bounds[1] + 1)}
+    for kind, members in other.items():
+        for m in members:
+            first, last = m if isinstance(m, tuple) else (m, m)
+            out |= {f"{prefix}{i:0{width}d}": kind for i in range(first, last + 1)}
+    return out
+
+
+_NAMED = {
+    "transactions": {
+        PRIMARY_KEY: "Int32", OFFSET: "Int32", "TransactionAmt": "float32", "ProductCD": "category", "P_emaildomain": "str",
+        "R_emaildomain": "str", LABEL: "Int32", **{c: "Int32" for c in WHOLE_NAMED}, "card4": "category",
+        "card6": "category",
+    },
+    "identity": {PRIMARY_KEY: "Int32", "DeviceType": "category", "DeviceInfo": "str"},
+}
+_FAMILIES = {
+    "transactions": (
+        _family("C", C_RANGE, "Int32"),
+        _family("D", D_RANGE, "Int32", float32=D_FRACTIONAL),
+        _family("M", M_RANGE, "boolean", category=M_CATEGORY),
+        _family("V", V_RANGE, "Int32", float32=V_FRACTIONAL),
+    ),
+    "identity": (
+        _family("id_", ID_RANGE, "Int32", 2, category=ID_CATEGORY, boolean=ID_FLAG, str=ID_TEXT, float32=ID_FRACTIONAL),
+    ),
+}
+
+
+def dataset_types(dataset: str) -> dict[str, str]:
+    """Contract type of every column of a data set: the named columns and the numbered families."""
+    if dataset not in _NAMED:
+        raise KeyError(f"unknown data set {dataset!r}")
+    return {c: kind for part in (_NAMED[dataset], *_FAMILIES[dataset]) for c, kind in part.items()}
 
 
 def transaction_types(with_label: bool = True) -> dict[str, str]:
-    """Contract type of every transaction column; the test files carry no label."""
-    fractional_v = {i for bounds in V_FRACTIONAL for i in _numbered(bounds)}
-    out = {
-        PRIMARY_KEY: "Int32",
-        OFFSET: "Int32",
-        "TransactionAmt": "float32",
-        "ProductCD": "category",
-        "P_emaildomain": "str",
-        "R_emaildomain": "str",
-    }
-    out |= {LABEL: "Int32"} if with_label else {}
-    out |= dict.fromkeys(WHOLE_NAMED, "Int32") | dict.fromkeys(("card4", "card6"), "category")
-    out |= {f"C{i}": "Int32" for i in _numbered(C_RANGE)}
-    out |= {f"D{i}": "float32" if i in D_FRACTIONAL else "Int32" for i in _numbered(D_RANGE)}
-    out |= {f"M{i}": "category" if i in M_CATEGORY else "boolean" for i in _numbered(M_RANGE)}
-    out |= {f"V{i}": "float32" if i in fractional_v else "Int32" for i in _numbered(V_RANGE)}
-    return out
+    """Of the transactions; files of the unlabelled split have no label column."""
+    return {c: kind for c, kind in dataset_types("transactions").items() if with_label or c != LABEL}
 
 
 def identity_types() -> dict[str, str]:
-    """Contract type of every identity column."""
-    special = (
-        dict.fromkeys(ID_CATEGORY, "category")
-        | dict.fromkeys(ID_FLAG, "boolean")
-        | dict.fromkeys(ID_TEXT, "str")
-        | dict.fromkeys(ID_FRACTIONAL, "float32")
-    )
-    numbered = {f"id_{i:02d}": special.get(i, "Int32") for i in _numbered(ID_RANGE)}
-    return {PRIMARY_KEY: "Int32"} | numbered | {"DeviceType": "category", "DeviceInfo": "str"}
+    return dataset_types("identity")
 
 
 def struct_of(types: dict[str, str], flags_as_text: bool = False) -> T.StructType:
@@ -92,14 +103,6 @@ def struct_of(types: dict[str, str], flags_as_text: bool = False) -> T.StructTyp
     )
 
 
-def dataset_types(dataset: str) -> dict[str, str]:
-    if dataset == "transactions":
-        return transaction_types()
-    if dataset == "identity":
-        return identity_types()
-    raise KeyError(f"unknown data set {dataset!r}")
-
-
 def table_schema(dataset: str) -> T.StructType:
     """Schema of a raw table: the source columns and the three the pipeline adds."""
     return (

@@ -1,3 +1,5 @@
+"""Derived features and training inputs. All cases and numbers are this project's own."""
+
 import logging
 
 import pytest
@@ -5,117 +7,123 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as X
-from riskloom.operators import features
+from riskloom.operators import features, models
 from riskloom.operators.dataset import DROP_COLUMNS, load, load_training
-from riskloom.operators.features import FeatureSet, build, fit_domains
-from riskloom.operators.marts import dim_split
-from riskloom.operators.models import BASELINES
+from riskloom.operators.marts import dim_split, train_rows
 from riskloom.params import Params
 from riskloom.sources.standins import STANDIN_PARAMS
 
-P = Params()
-LIST = {"purchaser_email_domain": ["gmail.com"]}
+MAIL = "recipient_email_domain"
 
 
-def frame(spark, domains, amounts=None):
-    amounts = amounts or [30.0] * len(domains)
-    return spark.createDataFrame(
-        [(a, "W", d) for a, d in zip(amounts, domains)], "transaction_amt double, product_cd string, purchaser_email_domain string"
-    )
+def mails(spark, *domains):
+    """Payments of 12.5 each, one per domain."""
+    data = [(i, 12.5, d) for i, d in enumerate(domains)]
+    return spark.createDataFrame(data, f"transaction_id long, transaction_amt double, {MAIL} string")
 
 
-def column(df, name):
-    return [r[name] for r in df.collect()]
+def built(df, keep, params=None):
+    done = features.build(df, params or Params(), {MAIL: keep}, ("transaction_id",))
+    return [r[MAIL] for r in done.orderBy("transaction_id").collect()]
 
 
-def test_fixed_lists_give_equal_categories(spark):
-    lists = {"purchaser_email_domain": ["gmail.com", "outlook.com"]}
-    big = build(frame(spark, ["gmail.com"] * 50 + ["outlook.com"] * 50), P, lists)
-    small = build(frame(spark, ["gmail.com", "outlook.com"]), P, lists)
-    assert set(column(big, "purchaser_email_domain")) == set(column(small, "purchaser_email_domain"))
+def test_domains_follow_the_given_list_whatever_the_data_holds(spark):
+    seen = ["aol.com", "yahoo.es", None, "live.com.mx", "yahoo.com.br", "nowhere.example"]
+    want = ["aol.com", "yahoo.com", X.MISSING, "other", "other", "other"]
+    keep = ["aol.com", "yahoo.com"]
+    assert built(mails(spark, *seen), keep) == want
+    assert built(mails(spark, *seen), spark.createDataFrame([(d,) for d in keep], "domain string")) == want
+    assert built(mails(spark, seen[1]), keep) == want[1:2]
 
 
-def test_without_a_list_rare_domains_vanish(spark):
-    out = build(frame(spark, ["gmail.com"] * P.domain_min_count + ["rare.com"] * 5), P)
-    assert set(column(out, "purchaser_email_domain")) == {"gmail.com", "other"}
+def test_aliases_are_whole_values(spark):
+    """A pattern for yahoo.* would take yahoo.com.br as well."""
+    df = mails(spark, *X.DOMAIN_ALIASES, "yahoo.com.br", "hotmail.fr.example", "GMAIL")
+    got = [r[0] for r in df.orderBy("transaction_id").select(X.canonical_domain(MAIL)).collect()]
+    assert got == [*X.DOMAIN_ALIASES.values(), "yahoo.com.br", "hotmail.fr.example", "GMAIL"]
 
 
-@pytest.mark.parametrize("joined", [False, True])
-def test_domains_outside_the_list(spark, joined):
-    """The keep list may be a short Python list or a DataFrame too long to be fetched."""
-    keep = spark.createDataFrame([("gmail.com",)], "domain string") if joined else ["gmail.com"]
-    out = build(frame(spark, ["gmail", "unseen.com", None]), P, {"purchaser_email_domain": keep})
-    assert sorted(column(out, "purchaser_email_domain")) == [X.MISSING, "gmail.com", "other"]
+def test_fitted_lists_count_services_and_are_stored(spark):
+    few = Params(domain_min_count=3)
+    df = mails(spark, "gmail", "gmail.com", "gmail.com", "web.de", "web.de", None, None, None, None)
+    fitted = features.fit_domains(df, few)
+    assert [r["domain"] for r in fitted[MAIL].collect()] == ["gmail.com"]
+    assert "Scan parquet" in fitted[MAIL]._jdf.queryExecution().executedPlan().toString()
+    assert built(df, fitted[MAIL], few) == ["gmail.com"] * 3 + ["other"] * 2 + [X.MISSING] * 4
+    assert features.fit_domains(df.drop(MAIL), few) == {}
 
 
-def test_long_lists_stay_distributed(spark, monkeypatch):
-    monkeypatch.setattr(features, "INLINE_DOMAINS", 1)
-    few = Params(domain_min_count=1)
-    df = frame(spark, ["a.com", "b.com", "yahoo.de"])
-    fitted = fit_domains(df, few)["purchaser_email_domain"]
-    assert sorted(column(fitted, "domain")) == ["a.com", "b.com", "yahoo.com"]
-    assert sorted(column(build(df, few, {"purchaser_email_domain": fitted}), "purchaser_email_domain")) == ["a.com", "b.com", "yahoo.com"]
+def test_amount_bands(spark):
+    cases = {
+        -0.01: X.MISSING, 0.0: "<25", 24.5: "<25", 25.0: "25-50", 49.999: "25-50", 50.0: "50-100", 99.0: "50-100",
+        100.0: "100-250", 250.0: "250-500", 499.99: "250-500", 500.0: "500+", 1e9: "500+", float("inf"): X.MISSING,
+        float("nan"): X.MISSING, None: X.MISSING,
+    }
+    df = spark.createDataFrame([(v, band) for v, band in cases.items()], "v double, want string")
+    assert df.where(X.amount_band("v") != F.col("want")).count() == 0
 
 
-def test_amount_bands_are_left_closed(spark):
-    amounts = [24.99, 25.0, 25.01, 0.0, -1.0, 500.0, float("nan"), float("inf")]
-    out = build(frame(spark, ["gmail.com"] * 8, amounts), P, LIST)
-    want = ["<25", "25-50", "25-50", "<25", X.MISSING, "500+", X.MISSING, X.MISSING]
-    assert column(out, "amount_band") == want
+def test_categories_are_filled_and_keys_are_not(spark, caplog):
+    df = spark.createDataFrame([(None, None, None, None)], "k string, word string, size int, flag boolean")
+    df = df.withColumn("at", F.lit("2020-05-17").cast("date"))
+    with caplog.at_level(logging.WARNING):
+        out = features.categorical_fill(df, ("k",))
+    assert out.first().asDict() == {"k": None, "word": X.MISSING, "size": None, "flag": None, "at": "2020-05-17"}
+    assert "'at': 'date'" in caplog.text
 
 
-def test_every_text_column_becomes_a_category(spark, caplog):
-    df = frame(spark, ["gmail.com", "gmail.com"]).withColumns(
-        {"M4": F.lit(None).cast("string"), "V1": F.lit(None).cast("double"), "M1": F.lit(None).cast("boolean"), "seen": F.current_date()}
-    )
-    with caplog.at_level(logging.WARNING):
-        out = build(df, P, LIST)
-    assert column(out, "M4") == [X.MISSING] * 2 and column(out, "V1") == [None] * 2
-    assert dict(out.dtypes)["seen"] == "string" and dict(out.dtypes)["M1"] == "boolean"
-    assert "seen" in caplog.text
+def test_building_leaves_its_input_alone(spark):
+    df = mails(spark, "web.de", None)
+    before = rows(df)
+    features.build(df, Params(), {MAIL: []})
+    assert rows(df) == before and df.columns == ["transaction_id", "transaction_amt", MAIL]
 
 
-def test_split_contract(spark, standins):
+def test_splits_are_disjoint_and_ordered(spark, standins):
     dim = dim_split(standins.tx, STANDIN_PARAMS)
     parts = {s: load(standins.tx, standins.identity, dim, s) for s in ("train", "valid", "test")}
-    ends = {s: d.frame.agg(F.min("transaction_date"), F.max("transaction_date")).first() for s, d in parts.items()}
-    assert ends["train"][1] < ends["valid"][0] <= ends["valid"][1] < ends["test"][0]
-    assert parts["test"].label is None and parts["train"].label == "is_fraud"
-    for d in parts.values():
-        assert not set(d.features) & set(DROP_COLUMNS) and {"transaction_hour", "has_identity"} <= set(d.features)
-    assert sum(d.frame.count() for d in parts.values()) == standins.tx.count()
+    spans = [parts[s].frame.agg(F.min("transaction_date"), F.max("transaction_date")).first() for s in parts]
+    flat = [d for span in spans for d in span]
+    assert flat == sorted(flat) and len(set(flat)) == 6
+    assert {s: p.label for s, p in parts.items()} == {"train": "is_fraud", "valid": "is_fraud", "test": None}
+    for p in parts.values():
+        assert set(p.features).isdisjoint(DROP_COLUMNS) and {"transaction_hour", "has_identity"} <= set(p.features)
+    assert sum(p.frame.count() for p in parts.values()) == standins.tx.count()
 
 
-def test_only_chosen_columns_are_read(spark, standins):
+def test_statistics_come_from_training_days_only(spark, standins):
     dim = dim_split(standins.tx, STANDIN_PARAMS)
-    data = load(standins.tx, standins.identity, dim, "train", ["transaction_amt", "transaction_amt"])
-    assert data.features == ("transaction_amt", "transaction_hour", "has_identity")
+    own = train_rows(standins.tx, dim)
+    assert own.agg(F.max("transaction_date")).first()[0] < STANDIN_PARAMS.valid_start
+    assert own.count() == load(standins.tx, standins.identity, dim, "train").frame.count()
+    # A domain that only validation days hold is never kept.
+    late = standins.tx.withColumn(
+        MAIL, F.when(F.col("transaction_date") >= F.lit(STANDIN_PARAMS.valid_start), "late.example").otherwise(F.col(MAIL))
+    )
+    fitted = features.fit_domains(train_rows(late, dim), Params(domain_min_count=1))
+    assert fitted[MAIL].where("domain = 'late.example'").count() == 0
 
 
-def test_refusals(spark, standins):
+def test_columns_are_chosen_once(spark, standins):
     dim = dim_split(standins.tx, STANDIN_PARAMS)
-    with pytest.raises(ValueError, match="one of"):
-        load(standins.tx, standins.identity, dim, "later")
-    with pytest.raises(ValueError, match="no labels"):
-        load_training(standins.tx, standins.identity, dim, "test")
-    with pytest.raises(ValueError, match="no rows"):
-        load_training(standins.tx.where("false"), standins.identity, dim, "train")
-    unlabelled = standins.tx.withColumn("is_fraud", F.when(F.col("transaction_id") > 5, F.col("is_fraud")))
-    with pytest.raises(ValueError, match="without a label"):
-        load_training(unlabelled, standins.identity, dim, "train")
-    twice = dim.union(dim.withColumn("ml_split", F.lit("valid")))
-    with pytest.raises(ValueError, match="two splits"):
-        load(standins.tx, standins.identity, twice, "train")
-
-
-def test_which_baseline_runs_where():
-    named = {f: {b.name for b in BASELINES if b.runs_on(f)} for f in FeatureSet}
-    assert named == {FeatureSet.CURATED: {"dummy", "logistic", "trees"}, FeatureSet.ALL: {"dummy", "trees"}}
-    assert all(b.feature_sets for b in BASELINES) and [b.name for b in BASELINES if b.persist] == ["trees"]
-
-
-def test_input_is_unchanged(spark):
-    df = frame(spark, ["gmail.com", "unseen.com"])
-    before = rows(df)
-    build(df, P, LIST)
-    assert rows(df) == before
+    data = load(standins.tx, standins.identity, dim, "valid", ["D2", "product_cd", "D2"])
+    assert data.features == ("D2", "product_cd", "transaction_hour", "has_identity")
+
+
+def test_what_is_refused(spark, standins):
+    tx, identity, dim = standins.tx, standins.identity, dim_split(standins.tx, STANDIN_PARAMS)
+    cases = [
+        ("must be one of", lambda: load(tx, identity, dim, "holdout")),
+        ("no labels", lambda: load_training(tx, identity, dim, "test")),
+        ("no rows", lambda: load_training(tx.limit(0), identity, dim, "valid")),
+        ("without a label", lambda: load_training(tx.withColumn("is_fraud", F.lit(None).cast("int")), identity, dim, "valid")),
+        ("two splits", lambda: load(tx, identity, dim.union(dim.limit(1)), "valid")),
+    ]
+    for words, call in cases:
+        with pytest.raises(ValueError, match=words):
+            call()
+
+
+def test_fits_of_each_feature_set():
+    names = {str(k): [n for n, _ in v] for k, v in models.FITS.items()}
+    assert names == {"curated": ["dummy", "logistic", "trees"], "all": ["dummy", "trees"]}

@@ -11,12 +11,15 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from compare import connect, difference  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from riskloom.oracle import oracle  # noqa: E402
+from riskloom.queries import registry  # noqa: E402
 
 NAMES = sorted(oracle_sql())
 
 
 def test_only_model_training_has_no_oracle():
-    assert set(queries()) - set(oracle_sql()) == {"model_comparison"}
+    assert set(registry()) - set(oracle()) == {"model_comparison"}
+    assert set(registry()) <= set(queries()) and set(oracle()) <= set(oracle_sql())
     assert set(oracle_sql()) <= set(queries())
 
 

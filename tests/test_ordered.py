@@ -7,15 +7,28 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import ordered
 
-VALUES = [0.0, -0.0, 1.0, 1.0, 1e-300, 1e300, -5.5, 3.0, 3.0, 3.0, 1e18, -1e18, 0.1, 0.2, float("inf"), float("-inf")]
-
-
-def test_ranges_never_decrease(spark):
-    rng = random.Random(7)
-    data = VALUES + [rng.uniform(-1, 1) * 10 ** rng.randint(-20, 20) for _ in range(3000)]
-    out = spark.createDataFrame([(v,) for v in data], "v double").select("v", ordered.value_range(F.col("v")).alias("r"))
-    seen = [r["r"] for r in sorted(out.collect(), key=lambda r: r["v"])]
-    assert seen == sorted(seen)
+def clustered(kind, n):
+    """Values that a fixed grid would put into one cell, or far from all others."""
+    rng = random.Random(9)
+    return {
+        "tiny": lambda: [rng.random() * 1e-6 for _ in range(n)],
+        "epoch": lambda: [1.7e9 + i for i in range(n)],
+        "far": lambda: [float(i) for i in range(n - 1)] + [1e15],
+    }[kind]()
+
+
+@pytest.mark.parametrize("kind", ["tiny", "epoch", "far"])
+def test_ranges_follow_the_data(spark, kind):
+    values = clustered(kind, 40_000)
+    df = spark.createDataFrame([(v, 1) for v in values], "v double, w long").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows become one range
+    try:
+        sizes = [r["count"] for r in ordered.in_ranges(df, [], F.col("v")).groupBy("_range").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    got = {r["v"]: r["before_w"] for r in ordered.running_totals(df, "v", ["w"]).collect()}
+    assert [got[v] for v in sorted(values)] == list(range(len(values)))
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -36,14 +49,11 @@ def test_tile_number_equals_ntile(spark, n, k):
     assert df.where(ordered.tile_number(F.col("id"), F.lit(n), k) != F.col("want")).count() == 0
 
 
-@pytest.mark.parametrize("sorted_together", [1_000_000, 10])
-def test_tiles_with_heavy_ties(spark, monkeypatch, sorted_together):
-    """Both ways of splitting a tied value, the second one as for a value that a third of all rows share."""
-    monkeypatch.setattr(ordered, "SORTED_TOGETHER", sorted_together)
-    monkeypatch.setattr(ordered, "ID_RANGES", 7)
+def test_tiles_with_heavy_ties(spark):
+    """Values that a third of all rows and more share, with one row id far away from the others."""
     rng = random.Random(5)
     data = []
-    for i in rng.sample(range(10**9), 900):
+    for i in [*rng.sample(range(10**6), 899), 10**15]:
         for f, v in (
             ("tied", 1.0 if rng.random() < 0.6 else float(rng.randint(0, 3))),
             ("one", 2.0),

@@ -3,6 +3,7 @@ from datetime import date
 import pandas as pd
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom.operators import entity, explain, marts, origin, profile
@@ -97,10 +98,20 @@ def test_steps_cross_hours_and_skip_unknown_values(spark):
     assert (out["steps"], out["not_falling"], out["unchanged"], out["as_elapsed"]) == (2, 2, 1, 2)
 
 
-def test_no_window_holds_a_whole_card(standins):
-    plan = entity.entity_monotonicity(standins.tx, ["card1"], ["C1"])._jdf.queryExecution().optimizedPlan().toString()
-    over_rows = [line for line in plan.splitlines() if "lag(_row" in line]
-    assert over_rows and all("_slot" in line.split("windowspecdefinition(")[1].split("ASC")[0] for line in over_rows)
+@pytest.mark.parametrize("step", [1, 60, 86_400])
+def test_steps_do_not_depend_on_how_coarse_times_are(spark, step):
+    """Whole days put all rows of a card and day into one minute; single seconds spread them over many."""
+    df = spark.range(400).selectExpr(
+        "id AS transaction_id", "id % 3 AS card1", f"(id * 7919 % 400) DIV 5 * {step} AS transaction_dt",
+        "CASE WHEN id % 11 = 0 THEN NULL ELSE id * 31 % 17 END AS C1",
+    )
+    got = entity.entity_monotonicity(df, ["card1"], ["C1"])
+    order = Window.partitionBy("card1").orderBy("transaction_dt", "transaction_id")
+    change = F.col("C1") - F.lag("C1").over(order)
+    plain = df.select(change.alias("d")).where("d IS NOT NULL")
+    assert got.first()["steps"] == plain.count() and got.first()["not_falling"] == plain.where("d >= 0").count()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
 
 
 def test_trailing_ratio_ignores_gaps_and_itself(spark):
@@ -114,7 +125,11 @@ def test_trailing_ratio_ignores_gaps_and_itself(spark):
 
 def test_linear_contributions(spark):
     df = spark.createDataFrame([(1, 1.0, 0), (2, 3.0, 0), (3, None, 0)], "id long, V1 double, card1 int")
-    out = explain.importance(explain.linear_contributions(df, {"V1": 2.0, "card1": 5.0}, ["id"]))
+    weights = {"V1": 2.0, "card1": 5.0}
+    out = explain.linear_importance(df, weights)
+    by_row = explain.linear_contributions(df, weights, ["id"]).groupBy("feature")
+    assert rows(by_row.agg(F.avg(F.abs("contribution")))) == rows(out)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1  # the other pass made the means
     assert rows(out.select("feature", F.round("importance", 6))) == [("V1", 1.333333), ("card1", 0.0)]
     assert rows(explain.contribution_families(out).select("family", "share", "column_count")) == [("V", 1.0, 1), ("named", 0.0, 1)]
     assert rows(explain.contribution_cumulative(out, (1, 5))) == [(1, 1.0, 1, 2), (5, 1.0, 1, 2)]
