@@ -7,8 +7,8 @@ Every set is embedded as ``COORDINATES`` MinHash values (one permutation, densif
 node. A node picks coordinates by its own seed, 1 / threshold of them on average, and sends each set to one child for
 every picked coordinate, chosen by the set's value there: similar sets share paths. Nodes with one set end. Nodes of at
 most ``LEAF`` sets are brute-forced on byte sketches. Larger nodes are split again; before that, every set is compared
-with four leaders of its node, and a set that is nearly equal to a leader is linked to it and leaves the recursion, which
-is what keeps a group of thousands of near copies linear. Sets that resemble a leader are also dealt into random chunks
+with four leaders of its node, and a set that resembles a leader as much as linked sets have to is linked to it and leaves
+the recursion, which is what keeps a group of thousands of near copies linear. Sets that resemble a leader are also dealt into random chunks
 of the node and brute-forced there, so that those on the border of a dense group meet hundreds of its members in every
 run. Independent runs are repeated (and here evaluated at once) until the target recall. What the sketches propose is
 verified on the full sets, and verified links are joined to groups.
@@ -160,8 +160,10 @@ def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
             continue
         nodes, n = batch.column("node").to_numpy().view(np.uint64), batch.column("n").to_numpy()
         ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u4")
-        share = np.stack([(mins == _matrix(batch.column(f"mins{k}"), "<u4")).mean(axis=1) for k in range(LEADERS)])
-        leader = np.stack([batch.column(f"leader{k}").to_numpy() for k in range(LEADERS)])
+        leaders = batch.column("leaders").flatten()
+        leader = leaders.field("id").to_numpy().reshape(-1, LEADERS).T
+        theirs = _matrix(leaders.field("mins"), "<u4").reshape(-1, LEADERS, COORDINATES)
+        share = np.stack([(mins == theirs[:, k]).mean(axis=1) for k in range(LEADERS)])
         row = np.arange(len(ids))
         own = (leader == ids).any(axis=0)
         # A leader is linked to the best of the others.
@@ -169,12 +171,16 @@ def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
         best = share.argmax(axis=0)
         top, star = share[best, row], leader[best, row]
         linked, near = top >= PROPOSED, (top >= NEAR) | own
-        child, child_id = _children(nodes[~near], ids[~near], mins[~near], threshold)
+        # Sets as similar to a leader as links have to be would share paths for ever; the chunks are the place for them.
+        goes_on = (top < threshold) & ~own
+        child, child_id = _children(nodes[goes_on], ids[goes_on], mins[goes_on], threshold)
         chunks = np.maximum(-(-n[linked | own] // CHUNK), 1).astype(np.uint64)
         with np.errstate(over="ignore"):
             place = mix(nodes[linked | own] ^ mix(ids[linked | own].view(np.uint64))) % chunks
             chunk = mix(nodes[linked | own] + mix(place + _U(1)))
-        held = np.where(own, ids, np.where(near, star, ids))[linked | own]
+        # -1 - id: in no star and not linked yet.
+        alone = np.where(top >= threshold, ids, -1 - ids)
+        held = np.where(own, ids, np.where(near, star, alone))[linked | own]
         parts = (
             (PATH, child, child_id, np.zeros(len(child), np.int64)),
             (LINK, np.zeros(int(linked.sum()), np.uint64), ids[linked], star[linked]),
@@ -196,6 +202,8 @@ def _chunk_links(
 ) -> list[tuple[int, int]]:
     """Pairs proposed in a chunk, for every set that is in no star, and one pair for every two stars.
 
+    ``stars`` holds the centre of a set's star, its own id where it is in none, and -1 - id where no link was found yet.
+
     A set on the border is proposed to the medoids of the chunk, where the texts of a group were copied from, and to its
     best partners. Estimates tie often; ties are broken anew in every chunk, so that runs propose different partners.
     """
@@ -203,9 +211,12 @@ def _chunk_links(
     share = np.stack([(sketches == one).mean(axis=1, dtype=np.float32) for one in sketches])
     tie = mix(ids.view(np.uint64) ^ mix(seed))
     medoids = np.lexsort((tie, -share.mean(axis=0)))[:BEST].tolist()
-    for i in np.flatnonzero(stars == ids).tolist():
+    for i in np.flatnonzero((stars == ids) | (stars < 0)).tolist():
         others = np.where(stars == stars[i], 0, share[i])
-        for j in {*medoids, *np.lexsort((tie, -others))[:BEST].tolist()}:
+        # A set with a link to a leader needs one more; others try all that may hold.
+        most = BEST if stars[i] < 0 else 1
+        tried = {*np.lexsort((tie, -others))[:most].tolist(), *(medoids if most > 1 else [])}
+        for j in tried:
             if others[j] >= PROPOSED:
                 out.append((int(ids[i]), int(ids[j])))
     named = [x for x in np.unique(stars).tolist() if (stars == x).sum() > 1]
@@ -299,11 +310,10 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RE
         # Four leaders a node: smallest by four orders that are the same everywhere, so runs agree on them.
         rows = paths.join(large, "node")
         order = [F.struct(F.xxhash64("id", F.lit(k)), F.col("id")) for k in range(LEADERS)]
-        leaders = rows.groupBy("node").agg(*[F.min(o)["id"].alias(f"leader{k}") for k, o in enumerate(order)])
-        for k in range(LEADERS):
-            named = sets.select(F.col("id").alias(f"leader{k}"), F.col("mins").alias(f"mins{k}"))
-            leaders = leaders.join(named, f"leader{k}")
-        with_leaders = rows.join(sets, "id").join(stored(leaders), "node")
+        chosen = rows.groupBy("node").agg(F.array(*[F.min(o)["id"] for o in order]).alias("ids"))
+        named = chosen.select("node", F.posexplode("ids").alias("k", "id")).join(sets, "id")
+        leaders = stored(named.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "id", "mins"))).alias("leaders")))
+        with_leaders = rows.join(sets, "id").join(leaders, "node")
         level = stored(in_arrow(with_leaders, _next_level, "kind int, node long, id long, a long", threshold))
         link = level.where(F.col("kind") == LINK)
         parts.append(link.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
