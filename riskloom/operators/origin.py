@@ -120,8 +120,16 @@ def rank_origins(scored: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(rows: DataFrame, day: str | Column) -> DataFrame:
+    z = deseasonalize(daily_counts(rows, day))
+    return rank_origins(score_origins(z, candidates(rows.sparkSession)))
+
+
 def origin_search(rows: DataFrame, day: str | Column, top: int = 10) -> DataFrame:
     """The best candidates for a table's day-index column."""
-    z = deseasonalize(daily_counts(rows, day))
-    ranked = rank_origins(score_origins(z, candidates(rows.sparkSession)))
-    return ranked.orderBy("rank", "origin").limit(top)
+    return _ranked(rows, day).orderBy("rank", "origin").limit(top)
+
+
+def origin_rank(rows: DataFrame, day: str | Column, origin: date) -> DataFrame:
+    """Rank, score and distance of one given origin among all candidates; no row where it has too few holidays."""
+    return _ranked(rows, day).where(F.col("origin") == F.lit(origin))

@@ -345,6 +345,11 @@ def oracle() -> dict[str, str]:
         "bool_parse": q("select transaction_id, case M4 when 'M0' then true when 'M1' then false end as flag from tx"),
         "prepare_split": q("select " + ", ".join(raw_text(c) for c in TX_COLUMNS if c != "ingested_at") + " from tx"),
         "read_day": q("select " + ", ".join(raw_text(c) for c in TX_COLUMNS) + " from tx where transaction_date = date '2024-01-20'"),
+        "replaced_day": q(f"select transaction_id, cast(transaction_date as varchar) as transaction_date, {r("score + case when transaction_date = date '2024-01-20' then 1 else 0 end")} as score, model from predictions"),
+        "compare_schemas": """with l as (select column_name as c from (describe events)), r as (select column_name as c from (describe orders))
+ select c as "column", 'left' as side, cast(null as varchar) as other from l where c not in (select c from r)
+ union all select c, 'right', null from r where c not in (select c from l)""",
+        "origin_rank": f"with {ORIGINS} select cast(origin as varchar) as origin, n_holidays, {r('score')} as score, cast(rank as int) as rank, {r('sigma')} as sigma from v where origin = date '2017-12-01'",
         "list_days": q("select distinct cast(transaction_date as varchar) as day from tx"),
         "load_summary": q("select count(distinct transaction_date) as day_count, count(*) as row_count from tx"),
         "load_report": q("select cast(transaction_date as varchar) as day, count(*) as row_count from tx group by 1"),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions import columns as X
 from riskloom.functions import text
-from riskloom.functions.lineage import materialized
+from riskloom.functions.lineage import materialized, temporary_path
 from riskloom.operators import checks as Q
 from riskloom.operators import dataset, explain, features, marts, models, origin, profile, scoring, store, thresholds
 from riskloom.operators.entity import entity_monotonicity as steps_of_entities
@@ -32,6 +32,7 @@ READ_DAY = date(2024, 1, 20)
 SCORED_DAY = date(2024, 1, 26)
 RANGE = (date(2023, 12, 28), date(2024, 2, 3))
 ORDERS_ORIGIN = date(1995, 1, 1)
+GIVEN_ORIGIN = date(2017, 12, 1)
 LIFT_FEATURES = ("product_cd", "card4", "card6", "purchaser_email_domain", "C13", "D2")
 CARD_KEYS = ("card1", "card2", "card3", "card5", "addr1")
 MOVING_COLUMNS = ("C1", "C13", "D2", "D3")
@@ -111,6 +112,22 @@ def read_day(s: Standins) -> DataFrame:
     return dated.on_day(s.raw_transactions, READ_DAY)
 
 
+@query
+def replaced_day(s: Standins) -> DataFrame:
+    """Predictions written by day, one day replaced twice by other scores, read back."""
+    root = temporary_path(s.spark, "predictions")
+    dated.write_days(s.predictions, root, "predictions")
+    corrected = dated.on_day(s.predictions, READ_DAY).withColumn("score", F.col("score") + 1)
+    for _ in range(2):
+        dated.replace_day(corrected, root, "predictions", READ_DAY)
+    return dated.read_table(s.spark, root, "predictions").select(s.predictions.columns)
+
+
+@query
+def compare_schemas(s: Standins) -> DataFrame:
+    return profile.compare_schemas(s.table("events"), s.table("orders"))
+
+
 @query
 def list_days(s: Standins) -> DataFrame:
     return dated.present_days(s.raw_transactions)
@@ -335,6 +352,11 @@ def origin_search(s: Standins) -> DataFrame:
     return origin.origin_search(s.table("orders"), _orders_day())
 
 
+@query
+def origin_rank(s: Standins) -> DataFrame:
+    return origin.origin_rank(s.table("orders"), _orders_day(), GIVEN_ORIGIN)
+
+
 def _orders_day():
     return F.date_diff(F.col("o_orderdate").cast("date"), F.lit(ORDERS_ORIGIN))
 
