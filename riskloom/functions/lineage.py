@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
         folder = context.getCheckpointDir()
-    if not local and folder.removeprefix("file:").replace("//", "/").startswith(f"{tempfile.gettempdir()}/"):
+    if not local and re.sub("^file:/*", "/", folder).startswith(f"{tempfile.gettempdir()}/"):
         raise RuntimeError(f"{folder} is a temporary folder of one machine; executors do not share it")
     return folder.rstrip("/")
 
@@ -36,10 +37,11 @@ def discard(spark: SparkSession, path: str) -> None:
 
 def temporary_path(spark: SparkSession, prefix: str = "riskloom") -> str:
     """A new path in the shared folder. What is written there goes when the driver's JVM ends, if not before."""
-    path = f"{shared_folder(spark)}/{prefix}-{uuid.uuid4().hex}"
-    fs, where = _file_system(spark, path)
+    folder = f"{shared_folder(spark)}/{prefix}-{uuid.uuid4().hex}"
+    fs, where = _file_system(spark, folder)
+    fs.mkdirs(where)  # only what exists can be marked
     fs.deleteOnExit(where)
-    return path
+    return f"{folder}/data"
 
 
 def materialized(df: DataFrame) -> DataFrame:

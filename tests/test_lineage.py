@@ -3,6 +3,7 @@
 import os
 import subprocess
 import sys
+import time
 
 import pytest
 
@@ -50,4 +51,8 @@ import os; assert any(n.startswith("riskloom-") for n in os.listdir({str(tmp_pat
 spark.stop()
 """
     subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=120)
+    # The JVM outlives Python by a moment.
+    until = time.time() + 60
+    while time.time() < until and any(n.startswith("riskloom-") for n in os.listdir(tmp_path)):
+        time.sleep(0.5)
     assert not [n for n in os.listdir(tmp_path) if n.startswith("riskloom-")]
