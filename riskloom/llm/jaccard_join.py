@@ -15,9 +15,9 @@ verified on the full sets, and verified links are joined to groups.
 
 Nodes are rows, never objects: no node is collected into a task unless it has at most ``LEAF`` sets, or is a chunk.
 
-Results: one row per document with class_id (smallest doc_id of its group) and n_links, the number of verified links of
-its set to other sets plus its equal copies. Inside a node that is brute-forced, sets that are nearly equal to one another
-are held together by a star and not by all their pairs, so n_links is a lower bound in dense groups; class_id loses none.
+Results: one row per document with class_id (smallest doc_id of its group) and n_links, the number of links of its set to
+other sets plus its equal copies. Stars and chunks serve the groups only: links are counted afterwards, exactly, by
+comparing each group with itself block by block on the full sets.
 
 Defined cases: a text of one to four words is one shingle; a NULL, empty or wordless text has no set, no link and its own
 class; rows without an id are left out of the join and come back with their set's class; repeated rows share class and
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import in_arrow, stored, table
+from riskloom.llm.common import in_arrow, ship_package, stored, table
 from riskloom.llm.vectors import mix, shingles, slices, word_hashes, words
 
 THRESHOLD, RECALL = 0.8, 0.999
@@ -45,6 +45,8 @@ LEAF, LEADERS = 32, 4
 CHUNK, BEST = 256, 3
 #: Sketches that agree on this share are proposed; on that one, sets are nearly equal.
 PROPOSED, NEAR = 0.62, 0.92
+#: Sets that are compared at a time, shingles at a time, and bytes of the sets that a task counts links of.
+TILE, COLUMNS, BLOCK_BYTES = 256, 4096, 8 << 20
 #: Depth for which the number of runs is chosen: most nodes are leaves by then.
 USUAL_DEPTH = 4
 
@@ -357,6 +359,111 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
+# Exact numbers of links
+
+
+def _tile_links(a: list[int], b: list[int], codes: list[np.ndarray], sizes: np.ndarray, distinct: int, threshold: float):
+    """Which sets of ``a`` are linked to which of ``b``, by the sizes of all intersections."""
+    both = np.zeros((2, distinct), bool)
+    for side, rows in enumerate((a, b)):
+        for r in rows:
+            both[side, codes[r]] = True
+    shared = both.all(axis=0)
+    place = np.cumsum(shared) - 1
+    ends = []
+    for rows in (a, b):
+        column = np.concatenate([codes[r] for r in rows])
+        row = np.repeat(np.arange(len(rows)), [len(codes[r]) for r in rows])
+        keep = shared[column]
+        column, row = place[column[keep]], row[keep]
+        order = np.argsort(column, kind="stable")
+        ends.append((column[order], row[order]))
+    common = np.zeros((len(a), len(b)), np.float32)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        dense = []
+        for (column, row), rows in zip(ends, (a, b)):
+            s, e = np.searchsorted(column, [first, first + COLUMNS])
+            dense.append(np.zeros((len(rows), COLUMNS), np.float32))
+            dense[-1][row[s:e], column[s:e] - first] = 1
+        common += dense[0] @ dense[1].T
+    common = common.astype(np.float64)
+    union = sizes[a][:, None] + sizes[b][None, :] - common
+    return common / union >= threshold - 1e-12
+
+
+def count_links(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> np.ndarray:
+    """For every set the number of linked ones among the others; where there are two sides, only of the other side."""
+    sizes = np.array([len(x) for x in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    often = np.bincount(codes) > 1
+    place = np.cumsum(often) - 1
+    parts = np.split(codes, np.cumsum(sizes)[:-1])
+    parts = [place[c[often[c]]] for c in parts]
+    out = np.zeros(len(sets), np.int64)
+    distinct = int(often.sum())
+    left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    alone = side.min() == side.max()
+    for i in range(0, len(left), TILE):
+        for j in range(i if alone else 0, len(right), TILE):
+            a, b = left[i : i + TILE].tolist(), right[j : j + TILE].tolist()
+            links = _tile_links(a, b, parts, sizes, distinct, threshold)
+            if alone and i == j:
+                np.fill_diagonal(links, False)
+                out[a] += links.sum(axis=1)
+            else:
+                out[a] += links.sum(axis=1)
+                out[b] += links.sum(axis=0)
+    return out
+
+
+def _counting(threshold: float):
+    def count(part: pa.Table) -> pa.Table:
+        """(id, linked) of the groups in a bucket, or of one pair of blocks of a large group."""
+        group, block = part.column("group").to_numpy(), part.column("block").to_numpy()
+        order = np.argsort(group, kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order])) + 1
+        sets = [np.frombuffer(x, "<u4") for x in part.column("shingles").to_pylist()]
+        x, y = part.column("x")[0].as_py(), part.column("y")[0].as_py()
+        linked = np.zeros(len(sets), np.int64)
+        for own in np.split(order, cuts):
+            # Two blocks of which one is empty have no pair.
+            if len(own) > 1 and (x == y or len(np.unique(block[own])) == 2):
+                linked[own] = count_links([sets[r] for r in own.tolist()], block[own], threshold)
+        return pa.table({"id": part.column("id"), "linked": pa.array(linked)})
+
+    return count
+
+
+def degrees(sets: DataFrame, groups: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(id, linked): the exact number of links of every set in a group, for rows (id, shingles) and (id, group).
+
+    Links never leave a group, so a group is compared with itself: small groups many a task, large ones as pairs of
+    blocks. Only counts leave a task.
+    """
+    ids = groups.select("group", "id").union(groups.select("group", F.col("group").alias("id"))).distinct()
+    members = stored(sets.join(ids, "id"))
+    volume = members.groupBy("group").agg(F.sum(F.octet_length("shingles")).alias("bytes"))
+    volume = stored(volume.withColumn("blocks", F.ceil(F.col("bytes") / block_bytes).cast("int")))
+    small = volume.where("blocks = 1").agg(F.sum("bytes")).first()[0] or 0
+    buckets = max(1, math.ceil(small / block_bytes))
+    rows = members.join(volume.select("group", "blocks"), "group")
+    block = F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
+    rows = rows.withColumn("block", block)
+    one = rows.where("blocks = 1").select(
+        F.pmod(F.xxhash64("group"), F.lit(buckets)).alias("key"), F.lit(0).alias("x"), F.lit(0).alias("y"),
+        F.lit(True).alias("bucket"), "group", "block", "id", "shingles",
+    )
+    other = rows.where("blocks > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    many = other.select(
+        F.col("group").alias("key"), F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        F.lit(False).alias("bucket"), "group", "block", "id", "shingles",
+    )
+    counted = one.unionByName(many).groupBy("bucket", "key", "x", "y")
+    ship_package(sets.sparkSession)
+    counts = counted.applyInArrow(_counting(threshold), "id long, linked long")
+    return counts.groupBy("id").agg(F.sum("linked").alias("linked"))
+
+
 def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id, n_links of every document."""
     rows = docs.select(F.col("doc_id").cast("long"), "text")
@@ -371,13 +478,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     sets = with_set.select(F.col("doc_id").alias("id"), "mins", "shingles", "d1", "d2").join(
         classes.select("id", "d1", "d2").hint("merge"), ["id", "d1", "d2"], "left_semi"
     )
-    sets_mins = stored(sets.select("id", "mins").dropDuplicates(["id"]))
+    sets = sets.dropDuplicates(["id"])
+    sets_mins = stored(sets.select("id", "mins"))
     pairs = candidates(sets_mins, threshold, recall)
     links = stored(verified(pairs, sets.select("id", "shingles"), threshold))
-    groups = components(links)
-    degree = links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(
-        F.count(F.lit(1)).alias("linked")
-    )
+    groups = stored(components(links))
+    degree = degrees(sets.select("id", "shingles"), groups, threshold)
     known = (
         classes.join(groups, "id", "left")
         .join(degree, "id", "left")

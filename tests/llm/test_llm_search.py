@@ -243,3 +243,57 @@ def test_pipeline(spark, sf):
 def test_names_of_stages():
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and names[0].startswith("toxicity") and names[-1].startswith("BPE")
+
+
+def brute_links(rows, threshold=0.8):
+    """Linked pairs of (id, text) by comparing all sets."""
+    sets = [(i, s) for i, s in sets_of(rows) if s]
+    return [
+        (i, j) for x, (i, p) in enumerate(sets) for j, q in sets[:x] if len(p & q) >= threshold * len(p | q) - 1e-9
+    ]
+
+
+def edited(seed, n, length=150, edits=(0, 1, 1, 2, 3)):
+    """Texts of a group of edited copies; the first is the one they were copied from."""
+    rng, words = random.Random(seed), prose(seed, length).split()
+    out = [" ".join(words)]
+    for k in range(1, n):
+        own = list(words)
+        for _ in range(rng.choice(edits)):
+            own[rng.randrange(len(own))] = f"w{seed}x{k}x{rng.random()}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_join_counts_all_links(spark):
+    """Three near copies in one leaf, a dense group, equal copies: n_links is the number of links, not a bound."""
+    rows = list(enumerate(edited(900, 3, edits=(1,)) + edited(901, 150) + edited(902, 40, 60)))
+    rows += [(500, rows[0][1]), (501, prose(903, 80))]
+    got = {r.doc_id: r.n_links for r in jaccard_join.join(frame(spark, rows)).collect()}
+    want = dict.fromkeys(got, 0)
+    sets = {}
+    for i, s in sets_of(rows):
+        sets.setdefault(s, []).append(i)
+    for i, j in brute_links([(ids[0], dict(rows)[ids[0]]) for ids in sets.values()]):
+        want[i] += 1
+        want[j] += 1
+    for ids in sets.values():
+        for i in ids[::-1]:
+            want[i] = want[ids[0]] + len(ids) - 1
+    assert want[1] == 3 - 1 and max(want.values()) > 100
+    assert got == want
+
+
+def test_links_of_large_groups_are_counted_in_blocks(spark):
+    """A group above the size of a block is dealt into pairs of blocks; tiles and columns have edges, too."""
+    rows = list(enumerate(edited(905, 90, edits=(2, 8)) + [prose(906, 40)]))
+    hashed = jaccard_join.in_arrow(frame(spark, rows, False), jaccard_join._sketch, jaccard_join._SKETCH)
+    sets = jaccard_join.stored(hashed.selectExpr("doc_id AS id", "shingles").dropDuplicates(["id"]))
+    groups = spark.createDataFrame([(i, 0) for i in range(1, 90)], "id long, group long")
+    want = dict.fromkeys(range(90), 0)
+    for i, j in brute_links(rows[:90]):
+        want[i] += 1
+        want[j] += 1
+    for size in (1 << 30, 15_000, 3_000):
+        got = jaccard_join.degrees(sets, groups, block_bytes=size).collect()
+        assert {r.id: r.linked for r in got} == want
