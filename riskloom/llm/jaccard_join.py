@@ -13,6 +13,10 @@ of the node and brute-forced there, so that those on the border of a dense group
 run. Independent runs are repeated (and here evaluated at once) until the target recall. What the sketches propose is
 verified on the full sets, and verified links are joined to groups.
 
+The paths leave each set with links to its group, not with certainty. An exact search then looks for links between
+different groups only: linked sets share one of their rarest shingles (prefix filter), and what sizes and places of it
+allow is verified and joined to the groups. So no link is lost, whatever the depth of the recursion.
+
 Nodes are rows, never objects: no node is collected into a task unless it has at most ``LEAF`` sets, or is a chunk.
 
 Results: one row per document with class_id (smallest doc_id of its group) and n_links, the number of links of its set to
@@ -47,6 +51,8 @@ CHUNK, BEST = 256, 3
 PROPOSED, NEAR = 0.62, 0.92
 #: Sets that are compared at a time, shingles at a time, and bytes of the sets that a task counts links of.
 TILE, COLUMNS, BLOCK_BYTES = 256, 4096, 8 << 20
+#: Shingles in a block of prefixes, entries that a task holds back, and entries of a shingle compared at a time.
+PREFIX_BLOCK, PREFIX_FLUSH, RUN_TILE = 1_000_000, 500_000, 1024
 #: Depth for which the number of runs is chosen: most nodes are leaves by then.
 USUAL_DEPTH = 4
 
@@ -327,6 +333,164 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     return out.distinct()
 
 
+# Exact search for what the paths have missed
+
+
+def _frequencies(batches, log2: int) -> Iterator[pa.RecordBatch]:
+    """How often the shingles of each hash range occur, in slices of the table."""
+    counts = np.zeros(1 << log2, np.int64)
+    for batch in batches:
+        data = b"".join(batch.column("shingles").to_pylist())
+        at = np.frombuffer(data, "<u4") >> np.uint32(32 - log2)
+        counts += np.bincount(at, minlength=len(counts))
+    if counts.any():
+        parts = np.array_split(np.minimum(counts, 0xFFFFFFFF).astype("<u4"), 1 << min(log2, 6))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())],
+            ["slice", "counts"],
+        )
+
+
+def _sum_slices(part: pa.Table) -> pa.Table:
+    """One byte a range: the binary logarithm of its count, in quarters."""
+    total = sum(np.frombuffer(x, "<u4").astype(np.int64) for x in part.column("counts").to_pylist())
+    ranks = np.minimum(4 * np.log2(total + 1.0), 255).astype("u1")
+    return pa.table({"slice": part.column("slice").slice(0, 1), "ranks": pa.array([ranks.tobytes()], pa.binary())})
+
+
+def shingle_ranks(sets: DataFrame, log2: int) -> np.ndarray:
+    """How common the shingles of each hash range are. Any table gives the same pairs; a good one gives little work."""
+    ship_package(sets.sparkSession)
+    parts = in_arrow(sets.select("shingles"), _frequencies, "slice int, counts binary", log2)
+    rows = parts.groupBy("slice").applyInArrow(_sum_slices, "slice int, ranks binary").collect()
+    data = b"".join(bytes(r["ranks"]) for r in sorted(rows, key=lambda r: r["slice"]))
+    return np.frombuffer(data, "u1") if data else np.zeros(1 << log2, "u1")
+
+
+_TOKENS = np.dtype([("token", "<u4"), ("pos", "<u4"), ("size", "<u4"), ("id", "<i8"), ("group", "<i8")])
+
+
+def _prefixes(batches, shared, blocks: int, threshold: float) -> Iterator[pa.RecordBatch]:
+    """The rarest shingles of every set, so many that linked sets share one, packed by block of their hash range."""
+    ranks = shared.value
+    shift = np.uint32(32 - (len(ranks).bit_length() - 1))
+    held: list[np.ndarray] = []
+    size = 0
+
+    def flush():
+        rows = np.concatenate(held)
+        block = (rows["token"].astype(np.uint64) * _U(blocks) >> _U(32)).astype(np.int32)
+        order = np.argsort(block, kind="stable")
+        rows, block = rows[order], block[order]
+        at = np.searchsorted(block, np.arange(blocks + 1))
+        some = np.flatnonzero(np.diff(at))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some.astype(np.int32)), pa.array([rows[at[b] : at[b + 1]].tobytes() for b in some], pa.binary())],
+            ["block", "rows"],
+        )
+
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("id", "group", "shingles"))
+        for own_id, group, data in zip(*columns):
+            own = np.frombuffer(data, "<u4")
+            first = len(own) - math.ceil(threshold * len(own) - 1e-9) + 1
+            order = np.lexsort((mix(own.astype(np.uint64)), ranks[own >> shift]))[:first]
+            rows = np.empty(len(order), _TOKENS)
+            rows["token"], rows["pos"], rows["size"] = own[order], np.arange(len(order)), len(own)
+            rows["id"], rows["group"] = own_id, group
+            held.append(rows)
+            size += len(rows)
+            if size >= PREFIX_FLUSH:
+                yield flush()
+                held.clear()
+                size = 0
+    if held:
+        yield flush()
+
+
+def _mixed(part: pa.Table) -> pa.Table:
+    """Of one block, the shingles that sets of different groups share; long runs of a shingle as one row a tile.
+
+    A row's first ``own`` entries have to be compared with all entries after them.
+    """
+    rows = np.frombuffer(b"".join(part.column("rows").to_pylist()), _TOKENS)
+    rows = rows[np.lexsort((rows["group"], rows["token"]))]
+    starts = np.flatnonzero(np.concatenate([[True], rows["token"][1:] != rows["token"][:-1]]))
+    ends = np.append(starts[1:], len(rows))
+    good = rows["group"][starts] != rows["group"][ends - 1]
+    keep = np.repeat(good, ends - starts)
+    rows, lengths = rows[keep], (ends - starts)[good]
+    ends = np.cumsum(lengths)
+    packed: list[bytes] = []
+    own: list[int] = []
+    begin = 0
+    for start, end in zip((ends - lengths).tolist(), ends.tolist()):
+        if end - start > RUN_TILE:
+            if start > begin:
+                packed.append(rows[begin:start].tobytes())
+                own.append(start - begin)
+            for first in range(start, end, RUN_TILE):
+                packed.append(rows[first:end].tobytes())
+                own.append(min(RUN_TILE, end - first))
+            begin = end
+        elif end - begin >= 8 * RUN_TILE:
+            packed.append(rows[begin:end].tobytes())
+            own.append(end - begin)
+            begin = end
+    if len(rows) > begin:
+        packed.append(rows[begin:].tobytes())
+        own.append(len(rows) - begin)
+    return pa.table({"own": pa.array(own, pa.int32()), "rows": pa.array(packed, pa.binary())})
+
+
+def _possible(batches, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of different groups that share a rare shingle, and whose sizes and places of it allow a link."""
+    for batch in batches:
+        for own, data in zip(batch.column("own").to_pylist(), batch.column("rows").to_pylist()):
+            rows = np.frombuffer(data, _TOKENS)
+            size, left = rows["size"].astype(np.int64), (rows["size"] - rows["pos"]).astype(np.int64)
+            at, step = np.arange(own), 0
+            found: list[np.ndarray] = []
+            held = 0
+            while len(at):
+                step += 1
+                at = at[at + step < len(rows)]
+                at = at[rows["token"][at] == rows["token"][at + step]]
+                to = at + step
+                need = threshold / (1 + threshold) * (size[at] + size[to]) - 1e-6
+                hit = (rows["group"][at] != rows["group"][to]) & (np.minimum(left[at], left[to]) >= need)
+                hit &= np.minimum(size[at], size[to]) >= threshold * np.maximum(size[at], size[to]) - 1e-6
+                a, b = rows["id"][at[hit]], rows["id"][to[hit]]
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                held += len(a)
+                if held >= PREFIX_FLUSH:
+                    yield _pair_rows(found)
+                    found, held = [], 0
+            if held:
+                yield _pair_rows(found)
+
+
+def _pair_rows(found: list[np.ndarray]) -> pa.RecordBatch:
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def missed(sets: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b), a < b, that hold every link between sets of different groups, for (id, shingles) and (id, group).
+
+    Two linked sets share one of their rarest shingles (prefix filter; any order common to all sets will do). Groups have
+    been found before, so a shingle that only one group has costs nothing, however large the group is.
+    """
+    total = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+    ranks = shingle_ranks(sets, min(max((total // 4 >> 5).bit_length(), 16), 24))
+    blocks = max(1, math.ceil((1 - threshold) * total / 4 / PREFIX_BLOCK))
+    shared = sets.sparkSession.sparkContext.broadcast(ranks)
+    rows = sets.join(groups, "id", "left").select("id", F.coalesce("group", "id").alias("group"), "shingles")
+    packed = in_arrow(rows, _prefixes, "block int, rows binary", shared, blocks, threshold)
+    runs = stored(packed.groupBy("block").applyInArrow(_mixed, "own int, rows binary"))
+    return in_arrow(runs.repartition("rows"), _possible, "a long, b long", threshold).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, similarity) of the pairs that hold, for rows (id, shingles)."""
     pairs = stored(pairs)
@@ -478,12 +642,17 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL)
     sets = with_set.select(F.col("doc_id").alias("id"), "mins", "shingles", "d1", "d2").join(
         classes.select("id", "d1", "d2").hint("merge"), ["id", "d1", "d2"], "left_semi"
     )
-    sets = sets.dropDuplicates(["id"])
-    sets_mins = stored(sets.select("id", "mins"))
+    sets = stored(sets.dropDuplicates(["id"]))
+    sets_mins = sets.select("id", "mins")
     pairs = candidates(sets_mins, threshold, recall)
-    links = stored(verified(pairs, sets.select("id", "shingles"), threshold))
+    links = verified(pairs, sets.select("id", "shingles"), threshold)
     groups = stored(components(links))
-    degree = degrees(sets.select("id", "shingles"), groups, threshold)
+    full = sets.select("id", "shingles")
+    late = verified(missed(full, groups, threshold), full, threshold).select("a", "b")
+    # A group is as well held by its links to its smallest id.
+    held = groups.select(F.col("group").alias("a"), F.col("id").alias("b"))
+    groups = stored(components(held.unionByName(late)))
+    degree = degrees(full, groups, threshold)
     known = (
         classes.join(groups, "id", "left")
         .join(degree, "id", "left")

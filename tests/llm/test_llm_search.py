@@ -297,3 +297,35 @@ def test_links_of_large_groups_are_counted_in_blocks(spark):
     for size in (1 << 30, 15_000, 3_000):
         got = jaccard_join.degrees(sets, groups, block_bytes=size).collect()
         assert {r.id: r.linked for r in got} == want
+
+
+def test_join_loses_no_link_that_the_paths_miss(spark, monkeypatch):
+    """Without any proposal of the paths, and with some of them, groups and links are those of brute force."""
+    rows = list(enumerate(edited(910, 60, edits=(2, 5)) + edited(911, 3, 9, edits=(0, 1)) + ["two words", "TWO words!"]))
+    rows += [(200 + i, f"{prose(912, 60)} {prose(913 + i, 60)}") for i in range(30)]  # half a text shared, not linked
+    rows += [(300 + i, " ".join(prose(950, 100).split()[: 100 - i])) for i in range(0, 40, 4)]  # chains of sizes
+    want = brute_groups(rows)
+    links = {frozenset(p) for p in brute_links(rows)}
+    real = jaccard_join.candidates
+    some = lambda sets, *_: real(sets).where("pmod(a, 7) = 1 AND pmod(b, 3) = 1")
+    none = lambda sets, *_: sets.selectExpr("id AS a", "id AS b").where("false")
+    for proposals in (none, some):
+        monkeypatch.setattr(jaccard_join, "candidates", proposals)
+        got = jaccard_join.join(frame(spark, rows)).collect()
+        assert sorted((r.doc_id, r.class_id) for r in got) == want
+        assert all((r.n_links > 0) == any(r.doc_id in p for p in links) for r in got)
+
+
+def test_long_runs_of_a_shingle_are_compared_in_tiles(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rows = np.zeros(53, jaccard_join._TOKENS)
+    rows["token"], rows["size"], rows["id"] = np.repeat([7, 8, 9], [40, 3, 10]), 10, np.arange(53)
+    rows["group"] = np.where(np.arange(53) < 43, np.arange(53) // 2, 99)  # the last shingle is of one group only
+    want = {(i, j) for j in range(43) for i in range(j) if (i < 40) == (j < 40) and i // 2 != j // 2}
+    for tile in (3, 7, 1000):
+        monkeypatch.setattr(jaccard_join, "RUN_TILE", tile)
+        mixed = jaccard_join._mixed(pa.table({"rows": pa.array([rows[:30].tobytes(), rows[30:].tobytes()], pa.binary())}))
+        pairs = [p for b in jaccard_join._possible(mixed.to_batches(), 0.8) for p in zip(*(c.to_pylist() for c in b.columns))]
+        assert set(pairs) == want
