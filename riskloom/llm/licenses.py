@@ -1,8 +1,9 @@
 """License scan by ordered signature rules, with DataFrame functions only.
 
 Rules are regular expressions over the text with A-Z lower-cased. Each has a keyword; a rule runs only on texts that hold
-its keyword, and a text without any keyword is not searched at all. Where detections overlap, one that lies inside the
-interval of a detection of higher priority, or of equal priority and greater length, is suppressed.
+its keyword (white space of any kind and length taken as one blank), and a text without any keyword is not searched at
+all. Where detections overlap, one that lies inside the interval of a detection of higher priority, or of equal priority
+and greater length, is suppressed.
 
 The rules of a license come from its row in ``TITLES``: its name in prose, an identifier tag, a notice ("released under
 ..."), its address. Fixed phrases, found as consecutive words, are reported apart with their word positions and always
@@ -238,7 +239,7 @@ def phrases(lowered: Column) -> Column:
 STEMS = (
     "licen", "spdx", "creativecommons", "creative commons", "cc-by", "cc by", "cc0", "gpl", "public domain", "reserved",
     "copyright", "proprietary", "confidential", "reproduc", "permission", "warrant", "redistribution", "mpl", "bsd",
-    ".org/", ".net/", ".com/", ".co/", "unlicense", "ofl", "eupl",
+    ".org/", ".net/", ".com/", ".co/", "unlicense", "ofl", "eupl", "no attribution", "wtfpl",
 )
 
 
@@ -271,8 +272,12 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "_text", F.lower("_text").alias("_folded"))
     folded = F.col("_folded")
     phrase = _any([_holds(folded, p) for p in PHRASES.values()]) & F.regexp_like(folded, F.lit(_phrase_gate()))
-    stem = _any([F.contains(folded, F.lit(s)) for s in STEMS])
-    present = F.filter(F.array(*[F.lit(k) for k in _keywords()]), lambda k: F.contains(folded, k))
+    # Names may be wrapped at any white space, so the words of a stem stand alone, and keywords meet single blanks. The
+    # folded text is bound once, not once a keyword.
+    stem = _any([_holds(folded, tuple(s.split())) for s in STEMS])
+    keywords = F.array(*[F.lit(k) for k in _keywords()])
+    single = F.array(F.regexp_replace(folded, F.lit(r"\s+"), F.lit(" ")))
+    present = F.get(F.transform(single, lambda t: F.filter(keywords, lambda k: F.contains(t, k))), F.lit(0))
     rows = rows.select(
         "doc_id",
         "_text",

@@ -329,3 +329,40 @@ def test_long_runs_of_a_shingle_are_compared_in_tiles(monkeypatch):
         mixed = jaccard_join._mixed(pa.table({"rows": pa.array([rows[:30].tobytes(), rows[30:].tobytes()], pa.binary())}))
         pairs = [p for b in jaccard_join._possible(mixed.to_batches(), 0.8) for p in zip(*(c.to_pylist() for c in b.columns))]
         assert set(pairs) == want
+
+
+def sample(expression, gap, optional=True):
+    """A text that the expression matches, with all or no optional parts and ``gap`` wherever it allows white space."""
+
+    def one(parts):
+        out = ""
+        for kind, value in parts:
+            kind = str(kind)
+            if kind in ("LITERAL", "NOT_LITERAL"):
+                out += chr(value) if kind == "LITERAL" else "x"
+            elif kind == "IN":
+                first = str(value[0][0]), value[0][1]
+                out += {"CATEGORY_SPACE": gap, "CATEGORY_NOT_SPACE": "x", "CATEGORY_DIGIT": "1"}[str(first[1])] if first[0] == "CATEGORY" else chr(value[0][1])
+            elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+                out += one(value[2]) if optional or value[0] else ""
+            elif kind == "SUBPATTERN":
+                out += one(value[3])
+            elif kind == "BRANCH":
+                out += one(value[1][0])
+        return out
+
+    return one(re._parser.parse(expression))
+
+
+def test_names_wrapped_at_a_line_end_are_found(spark):
+    """Every rule, with line ends and several blanks between the words of its names, against all rules by brute force."""
+    rules = licenses.rules()
+    gaps = [(" ", False), (" ", True), ("\n", True), ("  ", True), ("\r\n\t", False)]
+    texts = [(i, gap, f"x: {sample(r.expression, gap, o)} ;") for i, r in enumerate(rules) for gap, o in gaps]
+    assert all(re.search(rules[i].expression, t, re.ASCII) for i, _, t in texts)
+    headers = ["under the MIT\nLicense", "GNU General\nPublic License, version 3", "creative  commons\tlicense", "is in the public\n domain"]
+    rows = list(enumerate([t for _, _, t in texts] + headers + [" ".join(headers)]))
+    got = {r.doc_id: r.detections for r in licenses.scan(frame(spark, rows)).collect()}
+    for i, t in rows:
+        assert sorted((d.rule, d.label, d.priority, d.start, d.end) for d in got[i]) == brute_detections(t), t
+    assert {d.label for d in got[len(texts)]} == {"mit"} and "gpl-3.0" in {d.label for d in got[len(texts) + 1]}
