@@ -26,6 +26,25 @@ def whole_text(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def nameless(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """What tells rows without an id apart: the SHA-256 of their text; NULL for rows with an id."""
+    return F.when(F.col(doc_id).isNull(), F.sha2(whole_text(text), 256))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not in ``gone`` (doc_id, nameless), by id, or by text where they have no id."""
+    gone = gone.select(F.col("doc_id").cast("long").alias("_gone_id"), F.col("nameless").alias("_gone_text")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_gone_id"))
+    text = F.when(docs["doc_id"].isNull(), F.sha2(whole_text(docs["text"]), 256))
+    return docs.join(gone.hint("merge"), same & text.eqNullSafe(F.col("_gone_text")), "left_anti").select(docs.columns)
+
+
+def one_row_each(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row of every value of ``key``, the one with the smallest text, with ``columns``."""
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    return rows.groupBy(key).agg(F.min_by(row, F.col("text")).alias("_row")).select("_row.*")
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z and nothing else. ``lower`` does the same on pure ASCII, and much faster."""
     ascii_only = F.length(text) == F.octet_length(text)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER, UPPER, in_arrow, table
+from riskloom.llm.common import LOWER, UPPER, in_arrow, nameless, table, without
 from riskloom.llm.vectors import SHINGLE, shingles, slices, texts, word_hashes, words
 
 THRESHOLD = 0.8
@@ -152,8 +152,14 @@ def short_items(items: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that contain no item, with all their columns."""
-    found = search(docs, items, threshold).select("doc_id").where("doc_id IS NOT NULL").distinct()
-    return docs.join(found.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    # Rows without an id are searched apart, under a number of their text.
+    own = docs.select(F.col("doc_id").cast("long"), "text", nameless().alias("nameless"))
+    named = search(own.where("doc_id IS NOT NULL"), items, threshold).select("doc_id", F.lit(None).cast("string").alias("nameless"))
+    rows = own.where("doc_id IS NULL").select(F.xxhash64("nameless").alias("doc_id"), "text")
+    hit = search(rows, items, threshold).select("doc_id").distinct()
+    texts_ = own.where("doc_id IS NULL").select(F.xxhash64("nameless").alias("_key"), "nameless")
+    others = texts_.join(hit.withColumnRenamed("doc_id", "_key"), "_key").select(F.lit(None).cast("long").alias("doc_id"), "nameless")
+    return without(docs, named.unionByName(others))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ The index is a table bucketed and sorted by digest. New rows are reduced to one
 with the index and appended; what the index holds already wins. Only DataFrame functions are used.
 
 Defined cases: a NULL text equals the empty text; texts are equal when they are identical after lower-casing A-Z only;
-rows without an id count as copies but stay only where no copy has an id; rows that repeat id and text are one document
+rows without an id count as copies, and one of them stays only where no copy has an id; rows that repeat id and text are one document
 and share its result; an empty table leaves an empty index; further columns are ignored.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.lineage import discard, temporary_path
-from riskloom.llm.common import lower_ascii, stored, table, whole_text
+from riskloom.llm.common import lower_ascii, one_row_each, stored, table, whole_text
 
 ROWS_PER_BUCKET = 1_000_000
 #: A digest with more than one in HOT_SHARE of all rows is hot; by arithmetic there are fewer than HOT_SHARE of them.
@@ -98,12 +98,15 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    What goes is found by id and digest, so that texts which share an id by mistake are told apart.
+    What goes is found by id and digest, so that texts which share an id by mistake are told apart. Of copies that all
+    have no id, one stays.
     """
-    gone = deduplicate(docs).where(~F.col("kept") & F.col("doc_id").isNotNull())
+    gone = deduplicate(docs).where(~F.col("kept"))
     gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("digest").alias("_gone_digest")).distinct()
-    same = (docs["doc_id"] == F.col("_gone_id")) & (text_digest(docs["text"]) == F.col("_gone_digest"))
-    return docs.join(gone.hint("merge"), same, "left_anti")
+    same = docs["doc_id"].eqNullSafe(F.col("_gone_id")) & (text_digest(docs["text"]) == F.col("_gone_digest"))
+    stay = docs.join(gone.hint("merge"), same, "left_anti")
+    unnamed = stay.where("doc_id IS NULL").withColumn("_digest", text_digest())
+    return stay.where("doc_id IS NOT NULL").unionByName(one_row_each(unnamed, "_digest", docs.columns))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

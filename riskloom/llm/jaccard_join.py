@@ -1,7 +1,7 @@
 """N-gram Jaccard self-join by chosen paths (Christiani, Pagh and Sivertsen's CPSJoin), as rounds of Spark jobs.
 
 A document is its set of distinct five-word shingles. Documents with one and the same set are one class from the start;
-the join works on one representative (the smallest id) of each class.
+the join works on one set of each class.
 
 Every set is embedded as ``COORDINATES`` MinHash values (one permutation, densified). A run starts with all sets in one
 node. A node picks coordinates by its own seed, 1 / threshold of them on average, and sends each set to one child for
@@ -24,7 +24,7 @@ other sets plus its equal copies. Stars and chunks serve the groups only: links
 comparing each group with itself block by block on the full sets.
 
 Defined cases: a text of one to four words is one shingle; a NULL, empty or wordless text has no set, no link and its own
-class; rows without an id are left out of the join and come back with their set's class; repeated rows share class and
+class; rows without an id are joined as all others, and class_id is NULL where none of a group has one; repeated rows share class and
 links; similarity is 0.8 or more, ties included; empty tables give no rows; further columns are ignored.
 """
 
@@ -38,13 +38,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import in_arrow, ship_package, stored, table
+from riskloom.llm.common import in_arrow, nameless, one_row_each, ship_package, stored, table, without
 from riskloom.llm.vectors import mix, shingles, slices, word_hashes, words
 
 THRESHOLD, RECALL = 0.8, 0.999
 COORDINATES_LOG2 = 7
 COORDINATES = 1 << COORDINATES_LOG2
 LEAF, LEADERS = 32, 4
+#: What a text with a word has.
+A_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Mean size of a chunk of a dense node, and partners that a set on its border proposes there.
 CHUNK, BEST = 256, 3
 #: Sketches that agree on this share are proposed; on that one, sets are nearly equal.
@@ -88,7 +90,7 @@ def min_hashes(values: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches) -> Iterator[pa.RecordBatch]:
-    """doc_id, d1, d2 (digest of the set), size, mins, shingles of every text; NULL digests where there is no word."""
+    """doc_id, nameless, d1, d2 (digest of the set), size, mins, shingles of texts; NULL digests where there is no word."""
     for batch in batches:
         for part in slices(batch.column("text")):
             found = words(part)
@@ -108,15 +110,15 @@ def _sketch(batches) -> Iterator[pa.RecordBatch]:
                         column.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(part.first, part.rows),
+                    *(batch.column(c).slice(part.first, part.rows) for c in ("doc_id", "nameless")),
                     pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(size, pa.int32()),
                     pa.array(mins, pa.binary()), pa.array(sets, pa.binary()),
                 ],
-                ["doc_id", "d1", "d2", "size", "mins", "shingles"],
+                ["doc_id", "nameless", "d1", "d2", "size", "mins", "shingles"],
             )
 
 
-_SKETCH = "doc_id long, d1 long, d2 long, size int, mins binary, shingles binary"
+_SKETCH = "doc_id long, nameless string, d1 long, d2 long, size int, mins binary, shingles binary"
 
 
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
@@ -628,54 +630,62 @@ def degrees(sets: DataFrame, groups: DataFrame, threshold: float = THRESHOLD, bl
     return counts.groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id, n_links of every document."""
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+def _joined(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """doc_id, nameless, class_id, n_links of every document, and text: which one stays of a group where none has an id."""
+    rows = docs.select(F.col("doc_id").cast("long"), nameless().alias("nameless"), "text")
     sketched = stored(in_arrow(rows, _sketch, _SKETCH))
+    # A set goes by 63 bits of its digest, so that those without an id, or that share one by mistake, are joined as well.
+    key = F.col("d1").bitwiseAND(F.lit((1 << 63) - 1)).alias("id")
     with_set = sketched.where(F.col("d1").isNotNull())
     classes = stored(
         with_set.groupBy("d1", "d2", "size").agg(
-            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")
-        )
-    )
-    # The representative of a class brings its set; where an id repeats with other texts, only the set of its class.
-    sets = with_set.select(F.col("doc_id").alias("id"), "mins", "shingles", "d1", "d2").join(
-        classes.select("id", "d1", "d2").hint("merge"), ["id", "d1", "d2"], "left_semi"
-    )
-    sets = stored(sets.dropDuplicates(["id"]))
-    sets_mins = sets.select("id", "mins")
-    pairs = candidates(sets_mins, threshold, recall)
-    links = verified(pairs, sets.select("id", "shingles"), threshold)
-    groups = stored(components(links))
+            F.min("doc_id").alias("doc_id"), F.min("nameless").alias("text"), F.count(F.lit(1)).alias("copies")
+        ).select("*", key)
+    )
+    sets = stored(with_set.select(key, "mins", "shingles").dropDuplicates(["id"]))
+    pairs = candidates(sets.select("id", "mins"), threshold, recall)
     full = sets.select("id", "shingles")
+    links = verified(pairs, full, threshold)
+    groups = stored(components(links))
     late = verified(missed(full, groups, threshold), full, threshold).select("a", "b")
-    # A group is as well held by its links to its smallest id.
+    # A group is as well held by its links to its smallest member.
     held = groups.select(F.col("group").alias("a"), F.col("id").alias("b"))
     groups = stored(components(held.unionByName(late)))
     degree = degrees(full, groups, threshold)
-    known = (
+    known = stored(
         classes.join(groups, "id", "left")
         .join(degree, "id", "left")
         .select(
-            "d1",
-            "d2",
-            "size",
-            F.coalesce("group", "id").alias("class_id"),
+            "d1", "d2", "size", "doc_id", "text", F.coalesce("group", "id").alias("group"),
             (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
-    )
-    ids = sketched.select("doc_id", "d1", "d2", "size")
-    return ids.where(F.col("d1").isNotNull()).join(known, ["d1", "d2", "size"]).select(
-        "doc_id", "class_id", "n_links"
-    ).unionByName(
-        ids.where(F.col("d1").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    )
+    )
+    heads = known.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.min("text").alias("text"))
+    known = known.drop("doc_id", "text").join(heads, "group").drop("group")
+    ids = sketched.select("doc_id", "nameless", "d1", "d2", "size")
+    columns = ["doc_id", "nameless", "class_id", "n_links", "text"]
+    alone = ids.where(F.col("d1").isNull()).select(
+        "doc_id", "nameless", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.col("nameless").alias("text"),
+    )
+    return ids.where(F.col("d1").isNotNull()).join(known, ["d1", "d2", "size"]).select(columns).unionByName(alone)
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id, n_links of every document."""
+    return _joined(docs, threshold, recall).select("doc_id", "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of every group, with all its columns."""
-    gone = join(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id of every group, with all its columns; one of a group where none has an id."""
+    other = F.when(F.col("doc_id").isNotNull(), F.col("doc_id") != F.col("class_id")).otherwise(
+        F.col("class_id").isNotNull() | (F.col("nameless") != F.col("text"))
+    )
+    stay = without(docs, _joined(docs).where(other))
+    # Equal texts without an id are copies, unless they have no word.
+    copies = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike(A_WORD), F.lit(False))
+    unnamed = stay.where(copies).withColumn("_nameless", nameless())
+    return stay.where(~copies).unionByName(one_row_each(unnamed, "_nameless", docs.columns))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import held_out, in_arrow, stored, table
+from riskloom.llm.common import held_out, in_arrow, nameless, stored, table, without
 from riskloom.llm.vectors import Slice, Words, mix, slices, word_hashes, words
 
 BUCKETS_LOG2 = 20
@@ -201,7 +201,7 @@ _PASSAGES_SQL = "passages array<struct<first_word: long, last_word: long, score:
 
 
 def with_evidence(rows: DataFrame, model: Model) -> DataFrame:
-    """Columns of ``rows`` (long and boolean ones beside the text), evidence and significant passages."""
+    """Columns of ``rows`` (long, boolean and text ones beside the text), evidence and significant passages."""
     kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     return in_arrow(rows, _score, f"{kept}, evidence double, {_PASSAGES_SQL}", model)
 
@@ -253,13 +253,15 @@ def calibrate(model: Model, labelled: DataFrame) -> Model:
 
 
 def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, evidence, passages, score, predicted for all documents.
+    """doc_id, held_out, nameless, evidence, passages, score, predicted for all documents.
 
     Labels are learned from where crc32(doc_id) mod 5 is not 0. Texts are shuffled once, to meet their labels for the
     token counts; the join is the same at every size. Evidence is stored once, for the calibration and the result.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out("doc_id", 5, 0)).select("doc_id", "toxic")
-    rows = docs.select(F.col("doc_id").cast("long"), held_out("doc_id", 5, 0).alias("held_out"), "text")
+    rows = docs.select(
+        F.col("doc_id").cast("long"), held_out("doc_id", 5, 0).alias("held_out"), nameless().alias("nameless"), "text"
+    )
     own = rows.where(~F.col("held_out")).select("doc_id", "text")
     model = learn_tokens(own.join(known.hint("merge"), "doc_id"))
     found = stored(with_evidence(rows, model))
@@ -271,8 +273,7 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted to be toxic, with all their columns."""
-    rejected = assess(docs, labels).where("predicted = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(rejected.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    return without(docs, assess(docs, labels).where("predicted = 1"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

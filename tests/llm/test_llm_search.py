@@ -287,7 +287,9 @@ def test_join_counts_all_links(spark):
 def test_links_of_large_groups_are_counted_in_blocks(spark):
     """A group above the size of a block is dealt into pairs of blocks; tiles and columns have edges, too."""
     rows = list(enumerate(edited(905, 90, edits=(2, 8)) + [prose(906, 40)]))
-    hashed = jaccard_join.in_arrow(frame(spark, rows, False), jaccard_join._sketch, jaccard_join._SKETCH)
+    hashed = jaccard_join.in_arrow(
+        frame(spark, rows, False).selectExpr("*", "CAST(NULL AS string) AS nameless"), jaccard_join._sketch, jaccard_join._SKETCH
+    )
     sets = jaccard_join.stored(hashed.selectExpr("doc_id AS id", "shingles").dropDuplicates(["id"]))
     groups = spark.createDataFrame([(i, 0) for i in range(1, 90)], "id long, group long")
     want = dict.fromkeys(range(90), 0)
@@ -366,3 +368,33 @@ def test_names_wrapped_at_a_line_end_are_found(spark):
     for i, t in rows:
         assert sorted((d.rule, d.label, d.priority, d.start, d.end) for d in got[i]) == brute_detections(t), t
     assert {d.label for d in got[len(texts)]} == {"mit"} and "gpl-3.0" in {d.label for d in got[len(texts) + 1]}
+
+
+def without_ids(df):
+    return sorted(r.text or "" for r in df.where("doc_id IS NULL").select("text").collect())
+
+
+def test_rows_without_id_are_filtered_in_every_stage(spark):
+    """Copies, near copies, leaks and toxic texts go although their id is NULL; one row of each group stays."""
+    from riskloom.llm import exact_dedup, toxicity
+
+    near, only, item = edited(960, 4, edits=(1,)), edited(961, 3, edits=(1,)), prose(962, 30)
+    rows = [(1, near[0]), (None, near[0].upper()), (None, near[1]), (2, near[2]), *[(None, t) for t in only], (None, only[0])]
+    rows += [(None, None), (None, ""), (None, "..."), (None, f"{prose(963, 50)} {item} {prose(964, 50)}"), (None, "Some text"), (None, "sOME text")]
+    docs = frame(spark, rows)
+    copies = exact_dedup.kept_documents(docs)
+    assert copies.columns == docs.columns
+    assert without_ids(copies) == sorted([near[1], *only, "", "...", rows[-3][1], min("Some text", "sOME text")])
+    one = jaccard_join.one_of_each(docs)
+    assert one.columns == docs.columns
+    left = without_ids(one)
+    assert len(left) == 6 and not set(left) & {t for _, t in rows[1:4]} and len(set(left) & set(only)) == 1
+    assert [r.doc_id for r in one.where("doc_id IS NOT NULL").collect()] == [1]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert without_ids(decontaminate.clean_documents(docs, bench)) == sorted((t or "") for i, t in rows if i is None and item not in (t or ""))
+    bad = "vile awful slur hateful scum"
+    labelled = [(100 + i, f"{prose(970 + i, 30)} {bad * (i % 2)} {prose(990 + i, 9)}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in labelled], "doc_id long, toxic int")
+    texts = [(None, f"{prose(1100 + i, 30)} {bad * (i % 2)}") for i in range(6)]
+    kept = toxicity.clean_documents(frame(spark, labelled + texts), labels)
+    assert without_ids(kept) == sorted(t for _, t in texts[::2])
