@@ -10,7 +10,7 @@ most ``LEAF`` sets are brute-forced on byte sketches. Larger nodes are split aga
 with four leaders of its node, and a set that resembles a leader as much as linked sets have to is linked to it and leaves
 the recursion, which is what keeps a group of thousands of near copies linear. Sets that resemble a leader are also dealt into random chunks
 of the node and brute-forced there, so that those on the border of a dense group meet hundreds of its members in every
-run. Independent runs are repeated (and here evaluated at once) until the target recall. What the sketches propose is
+run. Independent runs are evaluated at once; the target recall holds for few levels only. What the sketches propose is
 verified on the full sets, and verified links are joined to groups.
 
 The paths leave each set with links to its group, not with certainty. An exact search then looks for links between
@@ -64,7 +64,10 @@ _PROBES = (mix(np.arange(64 * COORDINATES, dtype=np.uint64) + _U(1)) % _U(COORDI
 
 
 def runs_for(recall: float, threshold: float) -> int:
-    """Independent runs until a pair at the threshold shares a leaf with the wanted probability."""
+    """Runs until a pair at the threshold shares a leaf with the wanted probability, were they ``USUAL_DEPTH`` levels deep.
+
+    Deeper recursions miss more, and runs share a sketch; ``missed`` finds the rest, so this only sets how much is left.
+    """
     extra = 1 / threshold - 1
     level = 1 - (1 - threshold) * (1 - extra * threshold)
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - level**USUAL_DEPTH)))

@@ -398,3 +398,14 @@ def test_rows_without_id_are_filtered_in_every_stage(spark):
     texts = [(None, f"{prose(1100 + i, 30)} {bad * (i % 2)}") for i in range(6)]
     kept = toxicity.clean_documents(frame(spark, labelled + texts), labels)
     assert without_ids(kept) == sorted(t for _, t in texts[::2])
+
+
+def test_recall_does_not_depend_on_runs_or_depth(spark, monkeypatch):
+    """One run of a deep recursion, at two sizes: groups are those of brute force."""
+    monkeypatch.setattr(jaccard_join, "runs_for", lambda *_: 1)
+    monkeypatch.setattr(jaccard_join, "LEAF", 2)
+    for pairs in (10, 60):
+        texts = [f"{prose(1200, 60)} {t}" for k in range(pairs) for t in edited(1300 + k, 2, 60, edits=(1, 2))]
+        rows = list(enumerate(texts))
+        got = jaccard_join.join(frame(spark, rows)).collect()
+        assert sorted((r.doc_id, r.class_id) for r in got) == brute_groups(rows)
