@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from riskloom.llm import bpe, chat, decontaminate, exact_dedup, jaccard_join, language_id, licenses, lm_scoring, quality, toxicity
+from riskloom.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    exact_dedup,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    licenses,
+    lm_scoring,
+    quality,
+    spelling,
+    token_counts,
+    toxicity,
+)
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +31,9 @@ QUERIES = {
         bpe.op8_bpe,
         quality.op9_quality,
         jaccard_join.op10_jaccard_join,
+        token_counts.op11_token_counts,
+        hard_negatives.op12_hard_negatives,
+        spelling.op13_spelling_variants,
     )
 }
-ORACLES = {"op4_chat_formatting": chat.OP4_SQL, "op5_exact_dedup": exact_dedup.OP5_SQL}
+ORACLES = {"op4_chat_formatting": chat.OP4_SQL, "op5_exact_dedup": exact_dedup.OP5_SQL, "op12_hard_negatives": hard_negatives.OP12_SQL}
