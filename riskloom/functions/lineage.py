@@ -5,9 +5,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that every machine has for itself, whatever its settings are.
+_OWN_FOLDERS = ("/tmp", "/var/tmp")
+#: Paths that were written inside of each open scope, the innermost last.
+_scopes: ContextVar[tuple[tuple[SparkSession, list[str]], ...]] = ContextVar("scopes", default=())
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names. Only a local session without it gets a folder of its own."""
@@ -19,7 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-checkpoint-"))
         folder = context.getCheckpointDir()
-    if not local and re.sub("^file:/*", "/", folder).startswith(f"{tempfile.gettempdir()}/"):
+    own = {tempfile.gettempdir(), *_OWN_FOLDERS}
+    if not local and any(re.sub("^file:/*", "/", folder).startswith(f"{x}/") for x in own):
         raise RuntimeError(f"{folder} is a temporary folder of one machine; executors do not share it")
     return folder.rstrip("/")
 
@@ -44,11 +53,39 @@ def temporary_path(spark: SparkSession, prefix: str = "riskloom") -> str:
     return f"{folder}/data"
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Write a result once as a Parquet table in the shared folder and go on from there.
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Discard at its end what was materialized inside of it, but for what was ``kept``.
 
-    Readers prune columns and know its size, and a lost executor costs a re-read instead of a recomputation.
+    Results that leave the scope must not read what was stored there, unless they are stored themselves.
     """
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), (spark, own)))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in own:
+            discard(spark, path.removesuffix("/data"))
+
+
+def _write(df: DataFrame, scopes: tuple) -> DataFrame:
     path = temporary_path(df.sparkSession)
+    if scopes:
+        scopes[-1][1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialized(df: DataFrame) -> DataFrame:
+    """Write a result once as a Parquet table in the shared folder and go on from there.
+
+    Readers prune columns and know its size, and a lost executor costs a re-read instead of a recomputation. Inside of a
+    ``scope`` the table goes when the scope ends.
+    """
+    return _write(df, _scopes.get())
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Like ``materialized``, for a result that outlives the innermost scope."""
+    return _write(df, _scopes.get()[:-1])

@@ -56,3 +56,23 @@ spark.stop()
     while time.time() < until and any(n.startswith("riskloom-") for n in os.listdir(tmp_path)):
         time.sleep(0.5)
     assert not [n for n in os.listdir(tmp_path) if n.startswith("riskloom-")]
+
+
+def test_a_scope_discards_what_it_stored(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage, "shared_folder", lambda _: f"file://{tmp_path}")
+    with lineage.scope(spark):
+        outer = lineage.materialized(spark.range(3))
+        with lineage.scope(spark):
+            inner = lineage.materialized(outer.selectExpr("id + 1 AS id"))
+            result = lineage.kept(inner.selectExpr("id * 2 AS id"))
+        assert len(os.listdir(tmp_path)) == 2
+        assert sorted(r.id for r in result.collect()) == [2, 4, 6]
+        with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+            inner.collect()
+        with pytest.raises(ValueError), lineage.scope(spark):
+            lineage.materialized(outer)
+            raise ValueError("a broken job leaves nothing either")
+        assert len(os.listdir(tmp_path)) == 2
+    assert not os.listdir(tmp_path)
+    lineage.materialized(spark.range(1))
+    assert len(os.listdir(tmp_path)) == 1
