@@ -86,7 +86,8 @@ def word_parts(word: str) -> tuple[str, ...]:
     """Parts that the tokenizer encodes alike: Latin letters and a point or comma behind them; case does not count."""
     end = word[-1] if word[-1] in ".," and len(word) > 1 else ""
     body = word[:-1] if end else word
-    if not body.isalpha() or max(body) >= "\u0250":
+    # Some letters are no letters alone when lower-cased, such as dotted I; the tokenizer joins what they leave with a point.
+    if not body.isalpha() or max(body) >= "\u0250" or not body.lower().isalpha():
         return (word,)
     if body.isascii():
         body = body.lower()
