@@ -94,19 +94,19 @@ CC_ELEMENTS = {
     "by-nc-sa": "attribution[- ]non-?commercial[- ]share ?-?alike",
     "by-nc-nd": "attribution[- ]non-?commercial[- ]no ?derivat(ive|e)s?( works)?",
 }
-# label, keyword, expression, priority: notices that name no single license.
+# label, keyword, expression, priority: notices that name no single license. <b> and <e>: the borders of a word.
 NOTICES = (
-    ("cc0-1.0", "cc0", r"\bcc0( 1\.0)?( universal)?\b", 2),
+    ("cc0-1.0", "cc0", r"<b>cc0( 1\.0)?( universal)?<e>", 2),
     ("cc0-1.0", "creativecommons", r"creativecommons\.org/publicdomain/zero/1\.0", 3),
     ("public-domain", "public domain", r"(released|placed|dedicated|is) (in|into|to) the public domain", 2),
     ("public-domain", "creativecommons", r"creativecommons\.org/publicdomain/mark/1\.0", 3),
     ("gpl", "general public", r"(gnu )?general public licen[sc]e", 1),
-    ("gpl", "gpl", r"\b(gnu )?gpl( licen[sc]ed)?\b", 1),
-    ("lgpl", "lgpl", r"\b(gnu )?lgpl\b", 1),
-    ("bsd", "bsd", r"\bbsd( style)? licen[sc]e\b", 1),
-    ("apache", "apache", r"\bapache licen[sc]e\b", 1),
+    ("gpl", "gpl", r"<b>(gnu )?gpl( licen[sc]ed)?<e>", 1),
+    ("lgpl", "lgpl", r"<b>(gnu )?lgpl<e>", 1),
+    ("bsd", "bsd", r"<b>bsd( style)? licen[sc]e<e>", 1),
+    ("apache", "apache", r"<b>apache licen[sc]e<e>", 1),
     ("mpl", "mozilla", r"mozilla public licen[sc]e", 1),
-    ("artistic", "artistic", r"\bartistic licen[sc]e\b", 1),
+    ("artistic", "artistic", r"<b>artistic licen[sc]e<e>", 1),
     ("cc", "creative commons", r"creative commons licen[sc]e", 1),
     ("proprietary", "proprietary", r"proprietary (and confidential|licen[sc]e|software)", 2),
     ("proprietary", "confidential", r"(strictly )?confidential (and|information)", 1),
@@ -124,6 +124,15 @@ CONFIDENCE = {TAG: 1.0, ADDRESS: 0.95, NOTICE: 0.9, NAME: 0.8, MENTION: 0.5}
 PHRASE_CONFIDENCE = 0.8
 
 
+# Word borders of lower-cased text, written out: what a border is beyond ASCII depends on the JVM.
+BEGIN, END = "(?<![0-9a-z_])", "(?![0-9a-z_])"
+
+
+_DETECTION = "rule: int, label: string, priority: int, start: int, end: int"
+#: Items of an array that are gone through at a time.
+ITEMS = 256
+
+
 class Rule(NamedTuple):
     label: str
     keyword: str
@@ -145,7 +154,7 @@ def rules() -> list[Rule]:
             Rule(label, "spdx", rf"spdx-license-identifier:\s*{tag}(?![\w.-])", TAG),
             Rule(label, f"{host}.", rf"(https?://)?(www\.)?{address}", ADDRESS),
             Rule(label, keyword, _spaced(rf"{under}(gnu )?({name})(?!\.?\w)"), NOTICE),
-            Rule(label, keyword, _spaced(rf"\b(gnu )?({name})(?!\.?\w)"), NAME),
+            Rule(label, keyword, _spaced(rf"<b>(gnu )?({name})(?!\.?\w)"), NAME),
         ]
     for elements, name in CC_ELEMENTS.items():
         for version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
@@ -154,11 +163,11 @@ def rules() -> list[Rule]:
                 Rule(label, "spdx", rf"spdx-license-identifier:\s*{label.replace('.', chr(92) + '.')}(?![\w.-])", TAG),
                 Rule(label, "creativecommons", rf"(https?://)?(www\.)?creativecommons\.org/licenses/{elements}/{v}", ADDRESS),
                 Rule(label, "creative commons", _spaced(rf"creative commons {name} {v}"), NAME),
-                Rule(label, "cc", rf"\bcc[ -]{elements}[ -]{v}(?!\.?\w)", NAME),
+                Rule(label, "cc", rf"<b>cc[ -]{elements}[ -]{v}(?!\.?\w)", NAME),
             ]
-        out.append(Rule(f"cc-{elements}", "cc", rf"\bcc[ -]{elements}(?![\w-])", MENTION))
+        out.append(Rule(f"cc-{elements}", "cc", rf"<b>cc[ -]{elements}(?![\w-])", MENTION))
     out += [Rule(label, keyword, _spaced(expression), priority) for label, keyword, expression, priority in NOTICES]
-    return out
+    return [r._replace(expression=r.expression.replace("<b>", BEGIN).replace("<e>", END)) for r in out]
 
 
 def _rule_table() -> Column:
@@ -178,7 +187,7 @@ def _keywords() -> list[str]:
 def detections(lowered: Column, present: Column) -> Column:
     """array<struct<rule, label, priority, start, end>> in code points, before suppression."""
     active = F.filter(_rule_table(), lambda r: F.array_contains(present, r["keyword"]))
-    empty = F.expr("cast(array() as array<struct<rule: int, label: string, priority: int, start: int, end: int>>)")
+    empty = F.expr(f"cast(array() as array<struct<{_DETECTION}>>)")
 
     def spans(r: Column) -> Column:
         # Text between the matches and the matches themselves, in turn, give the positions.
@@ -186,32 +195,87 @@ def detections(lowered: Column, present: Column) -> Column:
         matches = F.regexp_extract_all(lowered, r["expression"], F.lit(0))
         lengths = F.zip_with(matches, between, lambda m, b: F.struct(F.length(b).alias("gap"), F.length(m).alias("own")))
         lengths = F.filter(lengths, lambda x: x["own"].isNotNull())
-        start = F.struct(F.lit(0).alias("at"), empty.alias("found"))
 
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + x["gap"]
-            end = begin + x["own"]
-            found = F.struct(
+        def place(at: Column, x: Column) -> Column:
+            begin = at + x["gap"]
+            return F.struct(
                 r["rule"].alias("rule"), r["label"].alias("label"), r["priority"].alias("priority"),
-                begin.alias("start"), end.alias("end"),
+                begin.alias("start"), (begin + x["own"]).alias("end"),
             )
-            return F.struct(end.alias("at"), F.array_append(acc["found"], found).alias("found"))
 
-        return F.when(F.regexp_like(lowered, r["expression"]), F.aggregate(lengths, start, step)["found"]).otherwise(empty)
+        ends = running(lengths, F.lit(0), lambda at, x: at + x["gap"] + x["own"], lambda at, total: at + total, place, empty)
+        return F.when(F.regexp_like(lowered, r["expression"]), ends).otherwise(empty)
 
     return F.flatten(F.transform(active, spans))
 
 
-def unsuppressed(found: Column) -> Column:
-    """Detections that lie inside no stronger one."""
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(items: Column, zero: Column, add, merge, emit, empty: Column) -> Column:
+    """``emit(state, item)`` of every item of an array, where ``add`` made the state of ``zero`` and all items before.
+
+    An array that grows by an item is copied each time, so this goes by chunks: ``merge(state, state)`` gives the states that
+    chunks start with. ``empty`` is the array of no results.
+    """
+    no_states = F.filter(F.array(zero), lambda _: F.lit(False))
+
+    def inside(chunk: Column, before: Column) -> Column:
+        start = F.struct(before.alias("state"), empty.alias("found"))
+        step = lambda acc, x: F.struct(
+            add(acc["state"], x).alias("state"), F.array_append(acc["found"], emit(acc["state"], x)).alias("found")
+        )
+        return F.aggregate(chunk, start, step)["found"]
+
+    def starts(chunks: Column) -> Column:
+        start = F.struct(zero.alias("state"), no_states.alias("found"))
+        step = lambda acc, total: F.struct(
+            merge(acc["state"], total).alias("state"), F.array_append(acc["found"], acc["state"]).alias("found")
+        )
+        return F.aggregate(F.transform(chunks, lambda c: F.aggregate(c, zero, add)), start, step)["found"]
 
-    def beats(e: Column, d: Column) -> Column:
-        longer = (e["end"] - e["start"]) - (d["end"] - d["start"])
-        inside = (e["start"] <= d["start"]) & (e["end"] >= d["end"])
-        same = (e["priority"] == d["priority"]) & ((longer > 0) | ((longer == 0) & (e["rule"] < d["rule"])))
-        return inside & ((e["priority"] > d["priority"]) | same)
+    def whole(own: Column) -> Column:
+        last = ((F.size(own) - 1) / ITEMS).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(own, k * ITEMS + 1, F.lit(ITEMS)))
 
-    return F.filter(found, lambda d: ~F.exists(found, lambda e: beats(e, d)))
+        def by_chunk(chunks: Column) -> Column:
+            return _let(starts(chunks), lambda s: F.flatten(F.transform(chunks, lambda c, k: inside(c, F.get(s, k)))))
+
+        return _let(chunks, by_chunk)
+
+    return _let(items, lambda own: F.when(F.size(own) > 0, whole(own)).otherwise(empty))
+
+
+def unsuppressed(found: Column) -> Column:
+    """Detections that lie inside no stronger one: one of a higher priority, or of the same and longer, or an earlier rule.
+
+    Sorted by start, longer ones first, then by strength, a detection is suppressed by those before it alone: if one of at
+    least its priority ends no earlier. One pass holds the largest end for each least priority.
+    """
+    fields = ("rule", "label", "priority", "start", "end")
+    row = lambda d: F.struct(
+        d["start"].alias("start"), (-d["end"]).alias("to"), (-d["priority"]).alias("weak"), d["rule"].alias("rule"), d["label"].alias("label")
+    )
+    ordered = F.array_sort(F.transform(found, row))
+    ordered = F.transform(
+        ordered,
+        lambda d: F.struct(
+            d["rule"].alias("rule"), d["label"].alias("label"), (-d["weak"]).alias("priority"), d["start"].alias("start"), (-d["to"]).alias("end")
+        ),
+    )
+    none = F.array(*[F.lit(-1)] * max(CONFIDENCE))
+    add = lambda ends, d: F.transform(
+        ends, lambda e, p: F.when(p < d["priority"], F.greatest(e, d["end"])).otherwise(e)
+    )
+    merge = lambda x, y: F.zip_with(x, y, lambda a, b: F.greatest(a, b))
+    emit = lambda ends, d: F.struct(
+        *[d[f].alias(f) for f in fields], (F.get(ends, d["priority"] - 1) < d["end"]).alias("stays")
+    )
+    empty = F.expr(f"cast(array() as array<struct<{_DETECTION}, stays: boolean>>)")
+    marked = F.filter(running(ordered, none, add, merge, emit, empty), lambda d: d["stays"])
+    return F.transform(marked, lambda d: F.struct(*[d[f].alias(f) for f in fields]))
 
 
 def phrases(lowered: Column) -> Column:
@@ -296,7 +360,7 @@ def scan(docs: DataFrame) -> DataFrame:
     )
     no_phrase = F.expr("cast(array() as array<struct<label: string, word: bigint>>)")
     no_detection = F.expr(
-        "cast(array() as array<struct<rule: int, label: string, priority: int, start: int, end: int>>)"
+        f"cast(array() as array<struct<{_DETECTION}>>)"
     )
     return rows.select(
         "doc_id",
