@@ -221,6 +221,8 @@ class Counter:
         if found is None:
             found = self.known[state] = len(self.states)
             self.states.append(state)
+            if found == len(self.table):
+                self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
         return found
 
     def _compile(self, state: int, byte: int) -> int:
@@ -243,16 +245,13 @@ class Counter:
         if not self.column[byte]:
             self.column[byte] = self.columns
             self.columns += 1
-        rows, width = self.table.shape
-        if len(self.states) > rows or self.columns > width:
-            larger = np.full((rows * (1 + (len(self.states) > rows)), width + 32 * (self.columns > width)), -1, np.int32)
-            larger[:rows, :width] = self.table
-            self.table = larger
+        if self.columns > self.table.shape[1]:
+            self.table = np.concatenate([self.table, np.full((len(self.table), 32), -1, np.int32)], axis=1)
         self.table[state, self.column[byte]] = value
         return value
 
-    def _follow(self, state: int, piece: bytes) -> int:
-        total = 0
+    def _follow(self, start: tuple, piece: bytes) -> int:
+        state, total = self._number(start), 0
         for byte in piece:
             if len(self.states) >= self.held:
                 state = int(self._renew(np.array([state]))[0])
@@ -267,10 +266,7 @@ class Counter:
         own, place = np.unique(used, return_inverse=True)
         own = [self.states[s] for s in own.tolist()]
         self._empty()
-        out = np.array([self._number(s) for s in own], np.int64)[place]
-        while len(self.states) > len(self.table):
-            self.table = np.concatenate([self.table, np.full_like(self.table, -1)])
-        return out
+        return np.array([self._number(s) for s in own], np.int64)[place]
 
     def count(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each piece."""
@@ -282,10 +278,8 @@ class Counter:
         left = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), "left")
         for k, m in enumerate(left.tolist()):
             if m <= FEW:
-                for i in range(m):
-                    total[i] += self._follow(int(state[i]), data[place[i] + k : place[i] + sizes[i]].tobytes())
-                    if len(self.states) >= self.held:
-                        state[i + 1 : m] = self._renew(state[i + 1 : m])
+                for i, start in enumerate([self.states[s] for s in state[:m].tolist()]):
+                    total[i] += self._follow(start, data[place[i] + k : place[i] + sizes[i]].tobytes())
                 break
             if len(self.states) >= self.held:
                 state[:m] = self._renew(state[:m])
