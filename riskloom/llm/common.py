@@ -34,9 +34,10 @@ def nameless(doc_id: str = "doc_id", text: str = "text") -> Column:
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not in ``gone`` (doc_id, nameless), by id, or by text where they have no id."""
     gone = gone.select(F.col("doc_id").cast("long").alias("_gone_id"), F.col("nameless").alias("_gone_text")).distinct()
+    gone = stored(gone)  # its size decides whether the texts have to move
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("_gone_id"))
     text = F.when(docs["doc_id"].isNull(), F.sha2(whole_text(docs["text"]), 256))
-    return docs.join(gone.hint("merge"), same & text.eqNullSafe(F.col("_gone_text")), "left_anti").select(docs.columns)
+    return docs.join(gone, same & text.eqNullSafe(F.col("_gone_text")), "left_anti").select(docs.columns)
 
 
 def one_row_each(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:

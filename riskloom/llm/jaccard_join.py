@@ -3,25 +3,28 @@
 A document is its set of distinct five-word shingles. Documents with one and the same set are one class from the start;
 the join works on one set of each class.
 
-Every set is embedded as ``COORDINATES`` MinHash values (one permutation, densified). A run starts with all sets in one
-node. A node picks coordinates by its own seed, 1 / threshold of them on average, and sends each set to one child for
-every picked coordinate, chosen by the set's value there: similar sets share paths. Nodes with one set end. Nodes of at
-most ``LEAF`` sets are brute-forced on byte sketches. Larger nodes are split again; before that, every set is compared
+Every set is embedded as ``COORDINATES`` MinHash values (one permutation, densified) of two bytes. A run starts with all
+sets in one node. A node picks coordinates by its own seed, 1 / threshold of them on average, and sends each set to one
+child for every picked coordinate, chosen by the set's value there: similar sets share paths. Paths are rows (node, id)
+and nothing else; those that are alone in their node end there, and only the others meet their MinHash values again.
+Nodes of at most ``LEAF`` sets are brute-forced on these. Larger nodes are split again; before that, every set is compared
 with four leaders of its node, and a set that resembles a leader as much as linked sets have to is linked to it and leaves
-the recursion, which is what keeps a group of thousands of near copies linear. Sets that resemble a leader are also dealt into random chunks
-of the node and brute-forced there, so that those on the border of a dense group meet hundreds of its members in every
-run. Independent runs are evaluated at once; the target recall holds for few levels only. What the sketches propose is
-verified on the full sets, and verified links are joined to groups.
+the recursion, which is what keeps a group of thousands of near copies linear. What a run proposes is verified on the full
+sets, verified links are joined to groups, and of each group only its smallest member takes part in the next run.
+
+Runs are repeated until the target recall: what a run still joins tells how much is left, as a run finds a pair at the
+threshold with a known probability. ``runs_for`` bounds their number.
 
 The paths leave each set with links to its group, not with certainty. An exact search then looks for links between
 different groups only: linked sets share one of their rarest shingles (prefix filter), and what sizes and places of it
 allow is verified and joined to the groups. So no link is lost, whatever the depth of the recursion.
 
-Nodes are rows, never objects: no node is collected into a task unless it has at most ``LEAF`` sets, or is a chunk.
+Nodes are rows, never objects: no node is collected into a task unless it has at most ``LEAF`` sets. Sets are stored once,
+in a table bucketed by id; joins bring ids to them and do not move them. All intermediates go when the join is over.
 
 Results: one row per document with class_id (smallest doc_id of its group) and n_links, the number of links of its set to
-other sets plus its equal copies. Stars and chunks serve the groups only: links are counted afterwards, exactly, by
-comparing each group with itself block by block on the full sets.
+other sets plus its equal copies. Links are counted when the groups are known, exactly, by comparing each group with
+itself block by block on the full sets; ``one_of_each`` needs no numbers and leaves that out.
 
 Defined cases: a text of one to four words is one shingle; a NULL, empty or wordless text has no set, no link and its own
 class; rows without an id are joined as all others, and class_id is NULL where none of a group has one; repeated rows share class and
@@ -31,6 +34,7 @@ links; similarity is 0.8 or more, ties included; empty tables give no rows; furt
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,24 +42,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.lineage import discard, kept, scope, temporary_path
 from riskloom.llm.common import in_arrow, nameless, one_row_each, ship_package, stored, table, without
 from riskloom.llm.vectors import mix, shingles, slices, word_hashes, words
 
-THRESHOLD, RECALL = 0.8, 0.999
+THRESHOLD, RECALL = 0.8, 0.99
 COORDINATES_LOG2 = 7
 COORDINATES = 1 << COORDINATES_LOG2
 LEAF, LEADERS = 32, 4
 #: What a text with a word has.
 A_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-#: Mean size of a chunk of a dense node, and partners that a set on its border proposes there.
-CHUNK, BEST = 256, 3
+#: Bytes of a bucket of stored sets, and buckets at most; digests by which a task knows that it has sent a set before.
+BUCKET_BYTES, BUCKETS, SENT = 16 << 20, 20_000, 1_000_000
 #: Sketches that agree on this share are proposed; on that one, sets are nearly equal.
 PROPOSED, NEAR = 0.62, 0.92
 #: Sets that are compared at a time, shingles at a time, and bytes of the sets that a task counts links of.
 TILE, COLUMNS, BLOCK_BYTES = 256, 4096, 8 << 20
 #: Shingles in a block of prefixes, entries that a task holds back, and entries of a shingle compared at a time.
 PREFIX_BLOCK, PREFIX_FLUSH, RUN_TILE = 1_000_000, 500_000, 1024
-#: Depth for which the number of runs is chosen: most nodes are leaves by then.
+#: Depth for which the bound on runs is chosen: most nodes are leaves by then.
 USUAL_DEPTH = 4
 
 _U = np.uint64
@@ -63,22 +68,34 @@ _BINS = np.arange(COORDINATES, dtype=np.uint64) << _U(64 - COORDINATES_LOG2)
 _PROBES = (mix(np.arange(64 * COORDINATES, dtype=np.uint64) + _U(1)) % _U(COORDINATES)).astype(np.int64).reshape(64, -1)
 
 
+def chance(threshold: float, depth: int) -> float:
+    """Probability that a pair at the threshold shares a node of this depth in one run."""
+    extra = 1 / threshold - 1
+    level = 1 - (1 - threshold) * (1 - extra * threshold)
+    return level**depth
+
+
 def runs_for(recall: float, threshold: float) -> int:
-    """Runs until a pair at the threshold shares a leaf with the wanted probability, were they ``USUAL_DEPTH`` levels deep.
+    """Runs until a pair at the threshold shares a leaf with the wanted probability, were they ``USUAL_DEPTH`` levels deep."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance(threshold, USUAL_DEPTH))))
 
-    Deeper recursions miss more, and runs share a sketch; ``missed`` finds the rest, so this only sets how much is left.
+
+def recall_reached(joined: int, last: int, depth: int, threshold: float) -> float:
+    """Estimated share of what runs can join, after ``joined`` sets were joined and ``last`` of them by the last run.
+
+    A run leaves (1 - p) / p sets for each that it joins, where p is its chance; pairs above the threshold fare better.
     """
-    extra = 1 / threshold - 1
-    level = 1 - (1 - threshold) * (1 - extra * threshold)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - level**USUAL_DEPTH)))
+    p = chance(threshold, depth)
+    left = last * (1 - p) / p
+    return joined / (joined + left) if joined else 1.0
 
 
 def min_hashes(values: np.ndarray) -> np.ndarray:
     """MinHash values of a sorted set: the smallest of each bin; an empty bin borrows that of a fixed other bin."""
     at = np.searchsorted(values, _BINS)
     filled = np.append(at[1:], len(values)) > at
-    out = np.zeros(COORDINATES, np.uint32)
-    out[filled] = (values[at[filled]] >> _U(16)).astype(np.uint32)
+    out = np.zeros(COORDINATES, np.uint16)
+    out[filled] = (values[at[filled]] >> _U(16)).astype(np.uint16)
     empty = np.flatnonzero(~filled)
     for probe in _PROBES:
         if not len(empty):
@@ -93,7 +110,11 @@ def min_hashes(values: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches) -> Iterator[pa.RecordBatch]:
-    """doc_id, nameless, d1, d2 (digest of the set), size, mins, shingles of texts; NULL digests where there is no word."""
+    """doc_id, nameless, d1, d2 (digest of the set), size, mins, shingles of texts; NULL digests where there is no word.
+
+    mins and shingles are NULL where the task has sent the same set before.
+    """
+    sent: set[int] = set()
     for batch in batches:
         for part in slices(batch.column("text")):
             found = words(part)
@@ -106,8 +127,12 @@ def _sketch(batches) -> Iterator[pa.RecordBatch]:
                     with np.errstate(over="ignore"):
                         d1.append(int(mix(own).sum(dtype=np.uint64).astype(np.int64)))
                         d2.append(int(mix(own ^ _U(0x5555555555555555)).sum(dtype=np.uint64).astype(np.int64)))
-                    mins.append(min_hashes(own).astype("<u4").tobytes())
-                    sets.append(np.unique((own >> _U(32)).astype("<u4")).tobytes())
+                    new = d1[-1] not in sent
+                    if len(sent) >= SENT:
+                        sent.clear()
+                    sent.add(d1[-1])
+                    mins.append(min_hashes(own).astype("<u2").tobytes() if new else None)
+                    sets.append(np.unique((own >> _U(32)).astype("<u4")).tobytes() if new else None)
                 else:
                     for column in (d1, d2, mins, sets):
                         column.append(None)
@@ -124,6 +149,10 @@ def _sketch(batches) -> Iterator[pa.RecordBatch]:
 _SKETCH = "doc_id long, nameless string, d1 long, d2 long, size int, mins binary, shingles binary"
 
 
+# A set goes by 63 bits of its digest, so that those without an id, or that share one by mistake, are joined as well.
+_KEY = "d1 & 9223372036854775807 AS id"
+
+
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     data = b"".join(column.to_pylist())
     return np.frombuffer(data, kind).reshape(len(column), -1) if len(column) else np.zeros((0, COORDINATES), kind)
@@ -152,30 +181,26 @@ def _node_rows(nodes: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(ids)], ["node", "id"])
 
 
-def _first_level(batches, runs: int, threshold: float) -> Iterator[pa.RecordBatch]:
+def _first_level(batches, run: int, threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u4")
-        for run in range(runs):
-            nodes = np.full(len(ids), mix(np.array([run + 1], np.uint64))[0])
-            yield _node_rows(*_children(nodes, ids, mins, threshold))
+        ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u2")
+        nodes = np.full(len(ids), mix(np.array([run], np.uint64))[0])
+        yield _node_rows(*_children(nodes, ids, mins, threshold))
 
 
-PATH, LINK, DEALT = 0, 1, 2
+PATH, LINK = 0, 1
 
 
 def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, node, id, a): a path to a child; a proposed link id - a; or a place in a chunk, in the star of a.
-
-    Leaders come with every row.
-    """
+    """Rows (kind, node, id, a): a path to a child, or a proposed link id - a. Leaders come with every row."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        nodes, n = batch.column("node").to_numpy().view(np.uint64), batch.column("n").to_numpy()
-        ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u4")
+        nodes = batch.column("node").to_numpy().view(np.uint64)
+        ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u2")
         leaders = batch.column("leaders").flatten()
         leader = leaders.field("id").to_numpy().reshape(-1, LEADERS).T
-        theirs = _matrix(leaders.field("mins"), "<u4").reshape(-1, LEADERS, COORDINATES)
+        theirs = _matrix(leaders.field("mins"), "<u2").reshape(-1, LEADERS, COORDINATES)
         share = np.stack([(mins == theirs[:, k]).mean(axis=1) for k in range(LEADERS)])
         row = np.arange(len(ids))
         own = (leader == ids).any(axis=0)
@@ -183,21 +208,13 @@ def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
         share = np.where(leader == ids, -1.0, share)
         best = share.argmax(axis=0)
         top, star = share[best, row], leader[best, row]
-        linked, near = top >= PROPOSED, (top >= NEAR) | own
-        # Sets as similar to a leader as links have to be would share paths for ever; the chunks are the place for them.
+        linked = top >= PROPOSED
+        # Sets as similar to a leader as links have to be would share paths for ever.
         goes_on = (top < threshold) & ~own
         child, child_id = _children(nodes[goes_on], ids[goes_on], mins[goes_on], threshold)
-        chunks = np.maximum(-(-n[linked | own] // CHUNK), 1).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            place = mix(nodes[linked | own] ^ mix(ids[linked | own].view(np.uint64))) % chunks
-            chunk = mix(nodes[linked | own] + mix(place + _U(1)))
-        # -1 - id: in no star and not linked yet.
-        alone = np.where(top >= threshold, ids, -1 - ids)
-        held = np.where(own, ids, np.where(near, star, alone))[linked | own]
         parts = (
             (PATH, child, child_id, np.zeros(len(child), np.int64)),
             (LINK, np.zeros(int(linked.sum()), np.uint64), ids[linked], star[linked]),
-            (DEALT, chunk, ids[linked | own], held),
         )
         yield pa.RecordBatch.from_arrays(
             [
@@ -210,39 +227,6 @@ def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _chunk_links(
-    seed: np.ndarray, ids: np.ndarray, stars: np.ndarray, sketches: np.ndarray
-) -> list[tuple[int, int]]:
-    """Pairs proposed in a chunk, for every set that is in no star, and one pair for every two stars.
-
-    ``stars`` holds the centre of a set's star, its own id where it is in none, and -1 - id where no link was found yet.
-
-    A set on the border is proposed to the medoids of the chunk, where the texts of a group were copied from, and to its
-    best partners. Estimates tie often; ties are broken anew in every chunk, so that runs propose different partners.
-    """
-    out = []
-    share = np.stack([(sketches == one).mean(axis=1, dtype=np.float32) for one in sketches])
-    tie = mix(ids.view(np.uint64) ^ mix(seed))
-    medoids = np.lexsort((tie, -share.mean(axis=0)))[:BEST].tolist()
-    for i in np.flatnonzero((stars == ids) | (stars < 0)).tolist():
-        others = np.where(stars == stars[i], 0, share[i])
-        # A set with a link to a leader needs one more; others try all that may hold.
-        most = BEST if stars[i] < 0 else 1
-        tried = {*np.lexsort((tie, -others))[:most].tolist(), *(medoids if most > 1 else [])}
-        for j in tried:
-            if others[j] >= PROPOSED:
-                out.append((int(ids[i]), int(ids[j])))
-    named = [x for x in np.unique(stars).tolist() if (stars == x).sum() > 1]
-    for k, x in enumerate(named):
-        for y in named[:k]:
-            p, q = np.flatnonzero(stars == x), np.flatnonzero(stars == y)
-            between = share[np.ix_(p, q)]
-            i, j = np.unravel_index(between.argmax(), between.shape)
-            if between[i, j] >= PROPOSED:
-                out.append((int(ids[p[i]]), int(ids[q[j]])))
-    return out
-
-
 def _leaf_links(ids: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
     """Pairs proposed in a leaf: nearly equal sets are held by stars, all other pairs above the bound are listed."""
     share = (sketches[:, None, :] == sketches[None, :, :]).mean(axis=2)
@@ -260,22 +244,16 @@ def _leaf_links(ids: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _brute_force(batches, dealt: bool) -> Iterator[pa.RecordBatch]:
+def _brute_force(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         members = batch.column("members")
         bounds = members.offsets.to_numpy()
         flat = members.values
-        ids, sketches = flat.field("id").to_numpy(), _matrix(flat.field("sketch"), "u1")
-        stars = flat.field("a").to_numpy() if dealt else None
-        nodes = batch.column("node").to_numpy().view(np.uint64)
+        ids, sketches = flat.field("id").to_numpy(), _matrix(flat.field("mins"), "<u2")
         pairs: set[tuple[int, int]] = set()
-        for k, (s, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             order = np.argsort(ids[s:e]) + s
-            if dealt:
-                found = _chunk_links(nodes[k : k + 1], ids[order], stars[order], sketches[order])
-            else:
-                found = _leaf_links(ids[order], sketches[order])
-            pairs.update((min(p), max(p)) for p in found)
+            pairs.update((min(p), max(p)) for p in _leaf_links(ids[order], sketches[order]))
         listed = np.array(sorted(pairs), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(listed[:, 0]), pa.array(listed[:, 1])], ["a", "b"])
 
@@ -297,45 +275,67 @@ def _verify(batches, threshold: float) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _low_byte(mins: Column) -> Column:
-    """One byte of every MinHash value."""
-    return F.unhex(F.regexp_replace(F.hex(mins), "(..)......", "$1"))
+def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, active: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """Distinct pairs (a, b), a < b, that one run proposes for rows (id, mins), and how deep it went.
 
-
-def candidates(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """Distinct proposed pairs (a, b), a < b, for rows (id, mins)."""
-    runs = runs_for(recall, threshold)
-    paths = stored(in_arrow(sets, _first_level, "node long, id long", runs, threshold))
-    sketches = sets.select("id", _low_byte(F.col("mins")).alias("sketch"))
-
-    def forced(rows: DataFrame, *columns: str) -> DataFrame:
-        members = rows.join(sketches, "id").groupBy("node").agg(F.collect_list(F.struct(*columns)).alias("members"))
-        return stored(in_arrow(members.select("node", "members"), _brute_force, "a long, b long", "a" in columns).distinct())
-
-    parts: list[DataFrame] = []
+    ``active`` (id) names the rows that take part; all if there is none.
+    """
+    part = sets if active is None else sets.join(active, "id")
+    paths = in_arrow(part.select("id", "mins"), _first_level, "node long, id long", run, threshold)
+    found: list[DataFrame] = []
+    depth = 0
     while True:
+        depth += 1
+        paths = stored(paths)
         sizes = stored(paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
-        small = sizes.where(F.col("n") <= LEAF).select("node")
-        parts.append(forced(paths.join(small, "node"), "id", "sketch"))
-        large = sizes.where(F.col("n") > LEAF)
+        rows = stored(paths.join(sizes, "node"))
+        small = rows.where(F.col("n") <= LEAF).join(sets, "id")
+        leaves = small.groupBy("node").agg(F.collect_list(F.struct("id", "mins")).alias("members"))
+        found.append(stored(in_arrow(leaves.select("members"), _brute_force, "a long, b long").distinct()))
+        large = rows.where(F.col("n") > LEAF).select("node", "id")
         if large.isEmpty():
             break
-        # Four leaders a node: smallest by four orders that are the same everywhere, so runs agree on them.
-        rows = paths.join(large, "node")
-        order = [F.struct(F.xxhash64("id", F.lit(k)), F.col("id")) for k in range(LEADERS)]
-        chosen = rows.groupBy("node").agg(F.array(*[F.min(o)["id"] for o in order]).alias("ids"))
+        # Four leaders a node: smallest by four orders that differ from run to run.
+        order = [F.struct(F.xxhash64("id", F.lit(run), F.lit(k)), F.col("id")) for k in range(LEADERS)]
+        chosen = large.groupBy("node").agg(F.array(*[F.min(o)["id"] for o in order]).alias("ids"))
         named = chosen.select("node", F.posexplode("ids").alias("k", "id")).join(sets, "id")
         leaders = stored(named.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "id", "mins"))).alias("leaders")))
-        with_leaders = rows.join(sets, "id").join(leaders, "node")
+        with_leaders = large.join(sets, "id").join(leaders, "node").select("node", "id", "mins", "leaders")
         level = stored(in_arrow(with_leaders, _next_level, "kind int, node long, id long, a long", threshold))
         link = level.where(F.col("kind") == LINK)
-        parts.append(link.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        parts.append(forced(level.where(F.col("kind") == DEALT).select("node", "id", "a"), "id", "a", "sketch"))
+        found.append(link.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")))
         paths = level.where(F.col("kind") == PATH).select("node", "id")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.distinct(), depth
+
+
+def candidates(sets: DataFrame, run: int = 1, threshold: float = THRESHOLD, active: DataFrame | None = None) -> DataFrame:
+    """Distinct pairs (a, b), a < b, that one run proposes for rows (id, mins)."""
+    return proposals(sets, run, threshold, active)[0]
+
+
+def joined_by_paths(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """(id, group) of the sets that runs have joined, for rows (id, mins, shingles)."""
+    spark = sets.sparkSession
+    sketches, full = sets.select("id", "mins"), sets.select("id", "shingles")
+    groups = spark.createDataFrame([], "id long, group long")
+    joined = 0
+    for run in range(1, runs_for(recall, threshold) + 1):
+        with scope(spark):
+            active = None
+            if joined:
+                gone = groups.select("id")
+                active = stored(sketches.select("id").join(gone, "id", "left_anti"))
+            pairs, depth = proposals(sketches, run, threshold, active)
+            links = verified(pairs, full, threshold).select("a", "b")
+            held = groups.select(F.col("group").alias("a"), F.col("id").alias("b"))
+            groups = kept(components(held.unionByName(links)))
+        last, joined = joined, groups.count()
+        if recall_reached(joined, joined - last, depth, threshold) >= recall:
+            break
+    return groups
 
 
 # Exact search for what the paths have missed
@@ -497,14 +497,17 @@ def missed(sets: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) ->
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity) of the pairs that hold, for rows (id, shingles)."""
+    """(a, b, similarity) of the pairs that hold, for rows (id, shingles).
+
+    The smaller ids bring their sets along, each set of a larger id goes once to where the pairs are; the second join is
+    on shuffled sides, so that a set with many partners can be split off.
+    """
     pairs = stored(pairs)
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    used = stored(sets.join(ends, "id", "left_semi"))
-    both = pairs.join(used.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a").join(
-        used.select(F.col("id").alias("b"), F.col("shingles").alias("set_b")), "b"
-    )
-    return in_arrow(both.select("a", "b", "set_a", "set_b"), _verify, "a long, b long, similarity double", threshold)
+    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    ends = pairs.select(F.col("b").alias("id")).distinct()
+    right = sets.join(ends, "id").select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
+    both = left.join(right, "b").select("a", "b", "set_a", "set_b")
+    return stored(in_arrow(both, _verify, "a long, b long, similarity double", threshold))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -633,45 +636,73 @@ def degrees(sets: DataFrame, groups: DataFrame, threshold: float = THRESHOLD, bl
     return counts.groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
-def _joined(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, nameless, class_id, n_links of every document, and text: which one stays of a group where none has an id."""
+def _stored_sets(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """doc_id, nameless, d1, d2, size of every document; name and path of the table of its sets (id, mins, shingles).
+
+    The table is bucketed by id: joins on id move what they join to it, and not the sets.
+    """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), nameless().alias("nameless"), "text")
-    sketched = stored(in_arrow(rows, _sketch, _SKETCH))
-    # A set goes by 63 bits of its digest, so that those without an id, or that share one by mistake, are joined as well.
-    key = F.col("d1").bitwiseAND(F.lit((1 << 63) - 1)).alias("id")
-    with_set = sketched.where(F.col("d1").isNotNull())
-    classes = stored(
-        with_set.groupBy("d1", "d2", "size").agg(
+    with scope(spark):
+        sketched = stored(in_arrow(rows, _sketch, _SKETCH))
+        ids = kept(sketched.select("doc_id", "nameless", "d1", "d2", "size"))
+        sets = sketched.where(F.col("shingles").isNotNull()).select(F.expr(_KEY), "mins", "shingles")
+        volume = sets.agg(F.sum(F.octet_length("shingles") + F.octet_length("mins"))).first()[0] or 0
+        buckets = min(BUCKETS, max(1, math.ceil(volume / BUCKET_BYTES)))
+        name = f"jaccard_sets_{uuid.uuid4().hex}"
+        dealt = sets.repartition(buckets, "id").dropDuplicates(["id"])
+        path = temporary_path(spark, name)
+        dealt.write.bucketBy(buckets, "id").sortBy("id").option("path", path).format("parquet").saveAsTable(name)
+    return ids, name, path
+
+
+def _joined(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, counted: bool = True) -> DataFrame:
+    """doc_id, nameless, class_id, n_links of every document, and text: which one stays of a group where none has an id.
+
+    n_links is NULL where links are not ``counted``.
+    """
+    spark = docs.sparkSession
+    with scope(spark):
+        ids, name, path = _stored_sets(docs)
+        try:
+            groups, degree = _groups(spark.table(name), threshold, recall, counted)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            discard(spark, path.removesuffix("/data"))
+        with_set = ids.where(F.col("d1").isNotNull())
+        classes = with_set.groupBy("d1", "d2", "size").agg(
             F.min("doc_id").alias("doc_id"), F.min("nameless").alias("text"), F.count(F.lit(1)).alias("copies")
-        ).select("*", key)
-    )
-    sets = stored(with_set.select(key, "mins", "shingles").dropDuplicates(["id"]))
-    pairs = candidates(sets.select("id", "mins"), threshold, recall)
+        ).selectExpr("*", _KEY)
+        known = stored(
+            classes.join(groups, "id", "left")
+            .join(degree, "id", "left")
+            .select(
+                "d1", "d2", "size", "doc_id", "text", F.coalesce("group", "id").alias("group"),
+                (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            )
+        )
+        heads = known.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.min("text").alias("text"))
+        known = known.drop("doc_id", "text").join(heads, "group").drop("group")
+        columns = ["doc_id", "nameless", "class_id", "n_links", "text"]
+        alone = ids.where(F.col("d1").isNull()).select(
+            "doc_id", "nameless", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+            F.col("nameless").alias("text"),
+        )
+        found = with_set.join(known, ["d1", "d2", "size"]).select(columns).unionByName(alone)
+        return kept(found if counted else found.withColumn("n_links", F.lit(None).cast("long")))
+
+
+def _groups(sets: DataFrame, threshold: float, recall: float, counted: bool) -> tuple[DataFrame, DataFrame]:
+    """(id, group) of linked sets and (id, linked), for rows (id, mins, shingles)."""
     full = sets.select("id", "shingles")
-    links = verified(pairs, full, threshold)
-    groups = stored(components(links))
+    groups = joined_by_paths(sets, threshold, recall)
     late = verified(missed(full, groups, threshold), full, threshold).select("a", "b")
     # A group is as well held by its links to its smallest member.
     held = groups.select(F.col("group").alias("a"), F.col("id").alias("b"))
     groups = stored(components(held.unionByName(late)))
-    degree = degrees(full, groups, threshold)
-    known = stored(
-        classes.join(groups, "id", "left")
-        .join(degree, "id", "left")
-        .select(
-            "d1", "d2", "size", "doc_id", "text", F.coalesce("group", "id").alias("group"),
-            (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        )
-    )
-    heads = known.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.min("text").alias("text"))
-    known = known.drop("doc_id", "text").join(heads, "group").drop("group")
-    ids = sketched.select("doc_id", "nameless", "d1", "d2", "size")
-    columns = ["doc_id", "nameless", "class_id", "n_links", "text"]
-    alone = ids.where(F.col("d1").isNull()).select(
-        "doc_id", "nameless", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
-        F.col("nameless").alias("text"),
-    )
-    return ids.where(F.col("d1").isNotNull()).join(known, ["d1", "d2", "size"]).select(columns).unionByName(alone)
+    if not counted:
+        return groups, groups.select("id", F.lit(0).cast("long").alias("linked")).where("false")
+    return groups, stored(degrees(full, groups, threshold))
 
 
 def join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -684,7 +715,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     other = F.when(F.col("doc_id").isNotNull(), F.col("doc_id") != F.col("class_id")).otherwise(
         F.col("class_id").isNotNull() | (F.col("nameless") != F.col("text"))
     )
-    stay = without(docs, _joined(docs).where(other))
+    stay = without(docs, _joined(docs, counted=False).where(other))
     # Equal texts without an id are copies, unless they have no word.
     copies = F.col("doc_id").isNull() & F.coalesce(F.col("text").rlike(A_WORD), F.lit(False))
     unnamed = stay.where(copies).withColumn("_nameless", nameless())
