@@ -1,9 +1,8 @@
-"""Training and scoring inputs: features, label and keys kept apart."""
+"""Rows of a time split or a day, as keys and features."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -13,9 +12,9 @@ from riskloom.operators.checks import repeated_keys
 from riskloom.operators.marts import with_identity
 from riskloom.sources.dated import DT, between_days, on_day
 
-SPLITS = ("train", "valid", "test")
-
-# Columns that carry time, identity or the answer and must not reach a model.
+# Whether the answer is known in a split, columns that carry time, identity or the answer and must not
+# reach a model, and those that every frame carries beside its features.
+HAS_LABELS = {"train": True, "valid": True, "test": False}
 DROP_COLUMNS = (
     "transaction_id",
     "transaction_dt",
@@ -27,74 +26,52 @@ DROP_COLUMNS = (
 )
 KEYS = ("transaction_id", "transaction_date", "is_fraud")
 LABEL = "is_fraud"
+# What the identity join adds.
+JOINED = ("transaction_hour", "has_identity")
+
 
+def feature_columns(columns: Iterable[str]) -> tuple[str, ...]:
+    return tuple(c for c in columns if c not in (*DROP_COLUMNS, DT))
 
-@dataclass(frozen=True)
-class Dataset:
-    """One frame with named roles: a model is given ``features`` only, so the label cannot slip in."""
 
-    frame: DataFrame
-    features: tuple[str, ...]
-    label: str | None  # None where labels are not known yet
+def _of_split(tx: DataFrame, dim: DataFrame, split: str) -> DataFrame:
+    """Transactions of the days of a split. A dated table is joined on its directory column, so its days are pruned."""
+    if split not in HAS_LABELS:
+        raise ValueError(f"no split is called {split!r}; there are {', '.join(HAS_LABELS)}")
+    if not repeated_keys(dim, "transaction_date").isEmpty():
+        raise ValueError("a date belongs to two splits, its rows would be there twice")
+    key = DT if DT in tx.columns else "transaction_date"
+    return tx.join(dim.where(F.col("ml_split") == split).select(F.col("transaction_date").alias(key)), key, "left_semi")
 
-    @property
-    def X(self) -> DataFrame:
-        return self.frame.select(*self.features)
 
-    @property
-    def dates(self) -> DataFrame:
-        return self.frame.select("transaction_date")
+def _keyed(rows: DataFrame, identity: DataFrame, features: Sequence[str] | None) -> DataFrame:
+    """KEYS and features, each once; all features unless some are named."""
+    wide = with_identity(rows, identity)
+    named = feature_columns(wide.columns) if features is None else tuple(dict.fromkeys([*features, *JOINED]))
+    return wide.select(*KEYS, *named)
 
 
-def feature_columns(columns: Sequence[str]) -> tuple[str, ...]:
-    return tuple(c for c in columns if c not in DROP_COLUMNS)
+def split_rows(
+    tx: DataFrame, identity: DataFrame, dim: DataFrame, split: str, features: Sequence[str] | None = None
+) -> DataFrame:
+    """Keys and features of one time split, whether its answers are known or not."""
+    return _keyed(_of_split(tx, dim, split), identity, features)
 
 
-def load(
-    tx: DataFrame,
-    identity: DataFrame,
-    dim: DataFrame,
-    split: str,
-    columns: Sequence[str] | None = None,
-    check: Callable[[DataFrame], None] | None = None,
-) -> Dataset:
-    """One time split with ``transaction_hour`` and ``has_identity``; ``check`` sees its rows before the identity join.
+def labelled_rows(
+    tx: DataFrame, identity: DataFrame, dim: DataFrame, split: str, features: Sequence[str] | None = None
+) -> DataFrame:
+    """As ``split_rows``, for fitting and measuring: every row has its answer, and there are rows.
 
-    ``columns`` chooses features; keys, date and label are always read. The date dimension is filtered before the join
-    and has one row per day, so the split filter reaches the transactions as partition pruning where the table is dated. A date in two sources would double its rows, so uniqueness is checked first.
+    Both are counted in one job before the identity join, which is 1:1.
     """
-    if split not in SPLITS:
-        raise ValueError(f"split must be one of {SPLITS}, not {split!r}")
-    if not repeated_keys(dim, "transaction_date").isEmpty():
-        raise ValueError("a date belongs to two splits")
-    # A dated table is joined on its directory column, so that the days of the split prune its partitions.
-    key = DT if DT in tx.columns else "transaction_date"
-    chosen = dim.where(F.col("ml_split") == split).withColumnRenamed("transaction_date", key)
-    wanted = list(dict.fromkeys([*columns, "transaction_dt", *KEYS, key])) if columns else tx.columns
-    rows = tx.select(*wanted).join(chosen, key).drop(DT)
-    if check is not None:
-        check(rows)
-    frame = with_identity(rows, identity)
-    features = feature_columns(frame.columns)
-    return Dataset(frame.select(*KEYS, *features), features, None if split == "test" else LABEL)
-
-
-def load_training(
-    tx: DataFrame, identity: DataFrame, dim: DataFrame, split: str, columns: Sequence[str] | None = None
-) -> Dataset:
-    """Train or valid only; refuses an empty split and missing labels, found in one counting job
-    before the identity join, which is 1:1."""
-    if split == "test":
-        raise ValueError("the test split has no labels; use load for scoring")
-
-    def complete(rows: DataFrame) -> None:
-        n, labelled = rows.agg(F.count(F.lit(1)), F.count(LABEL)).first()
-        if not n:
-            raise ValueError(f"{split}: no rows")
-        if labelled != n:
-            raise ValueError(f"{split}: {n - labelled} rows without a label")
-
-    return load(tx, identity, dim, split, columns, complete)
+    if not HAS_LABELS.get(split, True):
+        raise ValueError(f"{split} rows have no labels; split_rows reads them for scoring")
+    rows = _of_split(tx, dim, split)
+    n, known = rows.agg(F.count(F.lit(1)), F.count(LABEL)).first()
+    if n == 0 or known < n:
+        raise ValueError(f"{split}: {n - known} rows without a label" if n else f"{split}: no rows")
+    return _keyed(rows, identity, features)
 
 
 def on_same_days(identity: DataFrame, first: date, last: date) -> DataFrame:
@@ -102,8 +79,6 @@ def on_same_days(identity: DataFrame, first: date, last: date) -> DataFrame:
     return between_days(identity, first, last) if "transaction_date" in identity.columns else identity
 
 
-def load_day(tx: DataFrame, identity: DataFrame, day: date) -> Dataset:
-    """All rows of one day, labelled or not, with the same features as ``load``."""
-    frame = with_identity(on_day(tx, day), on_same_days(identity, day, day))
-    features = feature_columns(frame.columns)
-    return Dataset(frame.select(*KEYS, *features), features, None)
+def day_rows(tx: DataFrame, identity: DataFrame, day: date) -> DataFrame:
+    """Keys and features of one day."""
+    return _keyed(on_day(tx, day), on_same_days(identity, day, day), None)

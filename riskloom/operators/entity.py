@@ -8,7 +8,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import day_index, ratio_or_null
-from riskloom.params import SECONDS_PER_MINUTE
+from riskloom.operators.ordered import _RANGE, in_ranges
+
+
+def with_predecessor(rows: DataFrame, card: str, order: str) -> DataFrame:
+    """Every row with ``before``, the row of the same card that comes before it; NULL for the first one.
+
+    One card may hold a large part of all rows, at one and the same time, so no window holds a card. Rows are dealt into
+    ranges of (card, order), which are even in size whatever the cards are; inside a range the predecessor is the row
+    before, and the first row of a range gets the last one of the range before it, one row a range.
+    """
+    row = F.struct(card, order)
+    ranged = in_ranges(rows, [card], F.col(order))
+    inside = Window.partitionBy(_RANGE).orderBy(card, order)
+    marked = ranged.withColumn("_before", F.lag(row).over(inside))
+    ends = ranged.groupBy(_RANGE).agg(F.max(row).alias("_last"))
+    # At most as many rows as there are partitions.
+    carried = ends.select(_RANGE, F.lag("_last").over(Window.orderBy(_RANGE)).alias("_carried"))
+    met = marked.join(F.broadcast(carried), _RANGE).withColumn("_before", F.coalesce("_before", "_carried"))
+    same = F.col(f"_before.{card}") == F.col(card)
+    return met.select(*rows.columns, F.when(same, F.col(f"_before.{order}")).alias("before"))
 
 
 def entity_monotonicity(
@@ -18,30 +37,14 @@ def entity_monotonicity(
 
     A step is a row and its predecessor on the same card, ordered by (at, row_id), with the column known on both. Rows
     without a complete card key belong to no card.
-
-    One card may hold a large part of all rows, so no window holds a whole card: rows are windowed by card and minute,
-    and each minute's first row meets the last row of the minute before. That second window holds at most two rows per
-    minute of the calendar, a million a year, for any card. All rows of one card with the same minute share a task; where
-    times are coarser than that, a card's rows of one time do.
     """
-    known = tx.dropna(subset=list(keys)).select(
-        *keys,
-        F.floor(F.col(at) / SECONDS_PER_MINUTE).alias("_slot"),
+    rows = tx.dropna(subset=list(keys)).select(
+        F.struct(*[F.col(k) for k in keys]).alias("card"),
         F.struct(
             F.col(at).alias("at"), F.col(row_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in columns]
         ).alias("c"),
     )
-    order = [F.col("c.at"), F.col("c.id")]
-    in_minute = Window.partitionBy(*keys, "_slot").orderBy(*order)
-    marked = known.select(
-        "*",
-        F.lag("c").over(in_minute).alias("_before"),
-        F.lead(F.lit(True)).over(in_minute).isNull().alias("_last"),
-    )
-    # First and last rows of minutes share one window of their card; all others stay where they are.
-    edge = F.col("_before").isNull() | F.col("_last")
-    across = Window.partitionBy(*keys, F.when(~edge, F.col("_slot"))).orderBy(*order)
-    steps = marked.select("c", F.coalesce("_before", F.lag("c").over(across)).alias("p"))
+    steps = with_predecessor(rows, "card", "c").select("c", F.col("before").alias("p"))
     elapsed = day_index("c.at") - day_index("p.at")
     counts = []
     for c in columns:
@@ -50,6 +53,5 @@ def entity_monotonicity(
         counts += [F.count_if(t).alias(f"{c} {n}") for n, t in tests.items()]
     wide = steps.agg(*counts)
     names = ("steps", "not_falling", "unchanged", "as_elapsed")
-    rows = [F.struct(F.lit(c).alias("column"), *[F.col(f"`{c} {n}`").alias(n) for n in names]) for c in columns]
-    table = wide.select(F.inline(F.array(*rows))).where("steps > 0")
-    return table.withColumns({f"{n}_share": ratio_or_null(n, "steps") for n in names[1:]})
+    table = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"`{c} {n}`").alias(n) for n in names]) for c in columns])))
+    return table.where("steps > 0").withColumns({f"{n}_share": ratio_or_null(n, "steps") for n in names[1:]})

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import column_family
 from riskloom.functions.lineage import materialized
+from riskloom.functions.sampling import first_by_hash
 from riskloom.operators.models import scored
 
 # Fixed values.
@@ -22,7 +23,7 @@ BUCKET_ROWS = 50_000
 
 def stable_sample(df: DataFrame, row_id: str, rows: int, seed: int = 42) -> DataFrame:
     """A seeded sample of an exact size: the rows with the smallest id hashes, so the same on every run and layout."""
-    return df.orderBy(F.xxhash64(F.col(row_id), F.lit(seed)), row_id).limit(rows)
+    return first_by_hash(df, [row_id], rows, seed=seed)
 
 
 def _parts(df: DataFrame, weights: Mapping[str, float]) -> dict[str, Column]:

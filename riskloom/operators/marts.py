@@ -108,13 +108,13 @@ def against_trailing(daily: DataFrame, value: str, series: str, rows: int) -> Co
     return X.ratio_or_null(value, F.avg(value).over(window))
 
 
-def agg_pipeline_daily(fact: DataFrame, params: Params) -> DataFrame:
-    """Load health by date and source: volume, null rates, freshness, volume against the trailing mean."""
+def pipeline_base(fact: DataFrame) -> DataFrame:
+    """Load health by date and source, of each day by itself: volume, null rates, freshness."""
 
     def share(condition: Column) -> Column:
         return F.count_if(condition) / X.row_count()
 
-    daily = fact.groupBy("transaction_date", "source_split").agg(
+    return fact.groupBy("transaction_date", "source_split").agg(
         X.row_count().alias("tx_count"),
         F.count("is_fraud").alias("labeled_count"),
         share(F.col("purchaser_email_domain").isNull()).alias("email_null_rate"),
@@ -123,10 +123,19 @@ def agg_pipeline_daily(fact: DataFrame, params: Params) -> DataFrame:
         share(F.col("has_identity")).alias("identity_rate"),
         F.max("ingested_at").alias("last_ingested_at"),
     )
+
+
+def with_baseline(daily: DataFrame, params: Params) -> DataFrame:
+    """Volume against the trailing mean, from one row per day and source."""
     ratio = against_trailing(daily, "tx_count", "source_split", params.trailing_rows)
     return daily.withColumn("tx_count_vs_baseline", ratio)
 
 
+def agg_pipeline_daily(fact: DataFrame, params: Params) -> DataFrame:
+    """Load health by date and source, with the volume against the trailing mean."""
+    return with_baseline(pipeline_base(fact), params)
+
+
 def agg_predictions_daily(predictions: DataFrame, params: Params) -> DataFrame:
     """Score distribution by date and model, and the blocked rate against its trailing mean."""
     blocked = F.count_if(F.col("score") >= params.block_threshold)

@@ -81,20 +81,22 @@ def _sql_type(kind: T.DataType) -> str:
     return "DOUBLE" if isinstance(kind, (T.DoubleType, T.FloatType)) else "STRING"
 
 
+def _typed(column: str, kind: T.DataType) -> str:
+    """A column in the type in which its values are told apart. NaN is no value; grouping folds negative zero into zero."""
+    n, sql_type = text.name(column), _sql_type(kind)
+    known = f"nanvl({n}, CAST(NULL AS DOUBLE))" if sql_type == "DOUBLE" else n
+    return f"CAST({known} AS {sql_type})"
+
+
 def _value_counts(df: DataFrame, columns: list[str], sql_type: str) -> DataFrame:
     """(column, value, n): every distinct value of columns of one type, NULL included, from one scan of them.
 
     A value that a third of the rows share is combined before the shuffle.
     """
 
-    def typed(column: str) -> str:
-        # NaN is no value. Grouping folds negative zero into zero.
-        n = text.name(column)
-        known = f"nanvl({n}, CAST(NULL AS DOUBLE))" if sql_type == "DOUBLE" else n
-        return f"CAST({known} AS {sql_type}) AS {n}"
-
+    kinds = {f.name: f.dataType for f in df.schema}
     return (
-        df.selectExpr(*[typed(c) for c in columns])
+        df.selectExpr(*[f"CAST({_typed(c, kinds[c])} AS {sql_type}) AS {text.name(c)}" for c in columns])
         .unpivot([], [text.name(c) for c in columns], "column", "value")
         .groupBy("column", "value")
         .agg(X.row_count().alias("n"))
@@ -169,6 +171,59 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def column_advice(df: DataFrame) -> DataFrame:
+    """Advised type, null share, range and, for columns of few values, these values. For very wide and long tables.
+
+    One scan sums up all columns, with a sketch for the number of distinct values, so nothing but one row leaves a task.
+    Distinct values are then counted exactly for columns whose estimate is near the limit or below it, for which a
+    shuffle holds a few dozen rows a column and task. Columns of more values have no count.
+    """
+    kinds = {f.name: f.dataType for f in df.schema}
+    columns = {f"c{i}": c for i, c in enumerate(kinds)}
+    typed = df.selectExpr(*[f"{_typed(c, kinds[c])} AS {n}" for n, c in columns.items()])
+    numbers = {n for n, c in columns.items() if isinstance(kinds[c], T.NumericType)}
+    sums = [X.row_count().alias("_rows")]
+    for n in columns:
+        is_number, value = n in numbers, F.col(n)
+        number = value.cast("double") if is_number else F.lit(None).cast("double")
+        sums += [
+            F.count(n).alias(f"{n}_known"),
+            F.min(number).alias(f"{n}_min"),
+            F.max(number).alias(f"{n}_max"),
+            (F.coalesce(F.every(value % 1 == 0), F.lit(True)) if is_number else F.lit(False)).alias(f"{n}_whole"),
+            F.coalesce(F.every(value.cast("string").isin(*FLAG_VALUES)), F.lit(True)).alias(f"{n}_flags"),
+            F.hll_sketch_estimate(F.hll_sketch_agg(value.cast("string"))).alias(f"{n}_distinct"),
+        ]
+    seen = typed.agg(*sums).first()  # one row
+    near = [n for n in columns if seen[f"{n}_distinct"] <= 2 * CATEGORY_MAX_VALUES]
+    listed: dict[str, list[str]] = {}
+    if near:
+        text_of = typed.selectExpr(*[f"CAST({n} AS STRING) AS {n}" for n in near])
+        values = text_of.unpivot([], near, "column", "value").where(F.col("value").isNotNull()).distinct()
+        few = values.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values"))
+        listed = {r["column"]: r["values"] for r in few.collect()}  # about sixty values a column
+    rows = []
+    for n, c in columns.items():
+        own = listed.get(n, []) if n in near else None
+        known, low, high = seen[f"{n}_known"], seen[f"{n}_min"], seen[f"{n}_max"]
+        is_few = own is not None and len(own) <= CATEGORY_MAX_VALUES
+        if not known:
+            advice = "drop"
+        elif n in numbers and seen[f"{n}_whole"]:
+            advice = "Int32" if low >= INT32_MIN and high <= INT32_MAX else "Int64"
+        elif n in numbers:
+            advice = "float32" if max(abs(low), abs(high)) < FLOAT32_SAFE_MAX else "float64"
+        elif isinstance(kinds[c], T.BooleanType) or seen[f"{n}_flags"]:
+            advice = "boolean"
+        else:
+            advice = "category" if is_few else "str"
+        nulls = round(1 - known / seen["_rows"], 4) if seen["_rows"] else None
+        shown = "|".join(own) if advice in ("boolean", "category") and own is not None else None
+        rows.append((c, kinds[c].simpleString(), advice, nulls, len(own) if is_few else None, low, high, shown))
+    schema = "column string, current_dtype string, recommended string, null_ratio double, few int, min double, max double, `values` string"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def join_integrity(tx: DataFrame, identity: DataFrame, key: str) -> DataFrame:
     """Whether two tables join 1:1: rows, uniqueness, matches, orphans and coverage in percent.
 

@@ -3,12 +3,111 @@ the Spark operators except the stand-in views."""
 
 from __future__ import annotations
 
-from riskloom.operators.checks import CONTRACT, Check
-from riskloom.operators.marts import FACT_COLUMNS, REPORTED_FEATURES
-from riskloom.operators.origin import FIXED_HOLIDAYS
-from riskloom.queries import CARD_KEYS, LIFT_FEATURES, MOVING_COLUMNS, NULLABLE, WEIGHTS
+from typing import NamedTuple
+
 from riskloom.sources.standins import CTES
 
+# Fixed values, written out here a second time, so that a wrong column, holiday or check of the library shows.
+FACT_COLUMNS = (
+    "transaction_id transaction_date source_split transaction_hour transaction_amt product_cd card1 card2 card3 "
+    "card4 card5 card6 addr1 addr2 dist1 dist2 purchaser_email_domain recipient_email_domain device_type "
+    "device_info device_os device_browser has_identity is_fraud ingested_at "
+).split()
+REPORTED_FEATURES = "C13 C14 V70 V294 C11 C1 D2 D3 C5 V258".split()
+LIFT_FEATURES = "product_cd card4 card6 purchaser_email_domain C13 D2".split()
+CARD_KEYS = "card1 card2 card3 card5 addr1".split()
+MOVING_COLUMNS = "C1 C13 D2 D3".split()
+NULLABLE = "C13 D2 D3 addr1 card2 dist1 dist2 isFraud is_fraud".split()
+WEIGHTS = {'transaction_amt': 0.01, 'C13': 0.3, 'C1': -0.02, 'D2': -0.2, 'D3': 0.01, 'V70': 0.5, 'V294': 0.15, 'card1': 0.002, 'C5': 0.0}
+# Month, day, direction of the orders.
+FIXED_HOLIDAYS = ((12, 24, -1), (12, 25, -1), (12, 26, -1), (1, 1, -1), (7, 4, -1))
+# kind, table, column; "in" values, "from" and "to" the ends of a range, "of" the compared table and its column.
+CONTRACT = """
+unique transactions TransactionID
+not_null transactions TransactionID
+not_null transactions transaction_date
+accepted_values transactions source_split in train,test
+unique predictions transaction_id
+not_null predictions transaction_id
+not_null predictions score
+not_null predictions model
+unique identity TransactionID
+not_null identity TransactionID
+relationships identity TransactionID of transactions TransactionID
+equal_rowcount fct_transactions - of stg_transactions
+unique fct_transactions transaction_id
+not_null fct_transactions transaction_id
+not_null fct_transactions transaction_date
+accepted_range fct_transactions transaction_hour from 0 to 23
+not_null fct_transactions transaction_amt
+accepted_range fct_transactions transaction_amt from 0
+accepted_values fct_transactions source_split in train,test
+not_null fct_transactions has_identity
+total_equals_rows agg_transactions_daily tx_count of fct_transactions
+not_null agg_transactions_daily transaction_date
+not_null agg_transactions_daily tx_count
+accepted_range agg_transactions_daily tx_count from 1
+accepted_range agg_transactions_daily fraud_rate from 0 to 1
+not_null agg_pipeline_daily transaction_date
+not_null agg_pipeline_daily tx_count
+accepted_range agg_pipeline_daily identity_rate from 0 to 1
+unique dim_split transaction_date
+not_null dim_split transaction_date
+not_null dim_split ml_split
+accepted_values dim_split ml_split in train,valid,test
+train_before_valid dim_split transaction_date
+not_null agg_predictions_daily transaction_date
+not_null agg_predictions_daily model
+not_null agg_predictions_daily scored_count
+not_null agg_predictions_daily blocked_rate
+accepted_range agg_predictions_daily blocked_rate from 0 to 1
+accepted_range agg_predictions_daily score_p99 from 0 to 1
+not_null agg_score_amount transaction_date
+not_null agg_score_amount score_band
+accepted_values agg_score_amount score_band in high,low
+not_null agg_score_amount amount_band
+accepted_values agg_score_amount amount_band in high,low
+not_null agg_score_amount tx_count
+not_null agg_score_amount amount_total
+not_null agg_feature_buckets feature
+not_null agg_feature_buckets bucket
+not_null agg_feature_buckets fraud_rate
+accepted_range agg_feature_buckets fraud_rate from 0 to 1
+not_null agg_feature_buckets tx_count
+not_null agg_feature_values feature
+not_null agg_feature_values value
+not_null agg_feature_values fraud_rate
+accepted_range agg_feature_values fraud_rate from 0 to 1
+"""
+
+
+class Rule(NamedTuple):
+    kind: str
+    table: str
+    column: str = ""
+    values: tuple[str, ...] = ()
+    low: float | None = None
+    high: float | None = None
+    other: str = ""
+    other_column: str = ""
+
+
+def contract() -> list[Rule]:
+    out = []
+    for line in CONTRACT.strip().splitlines():
+        kind, table, column, *rest = line.split()
+        given = dict(zip(("values", "low", "high", "other", "other_column"), ((), None, None, "", "")))
+        while rest:
+            word = rest.pop(0)
+            if word == "in":
+                given["values"] = tuple(rest.pop(0).split(","))
+            elif word in ("from", "to"):
+                given["low" if word == "from" else "high"] = int(rest.pop(0))
+            else:
+                given["other"], given["other_column"] = rest.pop(0), rest.pop(0) if rest else ""
+        out.append(Rule(kind, table, column.strip("-"), **given))
+    return out
+
 RAW = {
     "transaction_id": '"TransactionID"',
     "transaction_dt": '"TransactionDT"',
@@ -146,7 +245,7 @@ MARTS = {
 TABLES = {"transactions": "tx", "identity": "identity", "predictions": "predictions"}
 
 
-def check_row(check: Check, table: str) -> str:
+def check_row(check: Rule, table: str) -> str:
     """One check as SQL."""
     key = {"TransactionID": "transaction_id"}.get(check.column, check.column)
     other = TABLES.get(check.other, check.other)
@@ -173,7 +272,7 @@ def check_row(check: Check, table: str) -> str:
  cast(({v}) as bigint) as violations, ({v}) = 0 as passed"""
 
 
-def checks_sql(checks: list[Check], tables: dict[str, str]) -> str:
+def checks_sql(checks: list[Rule], tables: dict[str, str]) -> str:
     return " union all ".join(check_row(c, tables.get(c.table, c.table)) for c in checks)
 
 
@@ -281,7 +380,7 @@ SERIES = """o as (select date_diff('day', date '1995-01-01', cast(o_orderdate as
 
 def _holidays() -> str:
     fixed = " union all ".join(
-        f"select make_date(y, {m}, {d}) as day, {way} as direction from years" for m, d, _, way in FIXED_HOLIDAYS
+        f"select make_date(y, {m}, {d}) as day, {way} as direction from years" for m, d, way in FIXED_HOLIDAYS
     )
     # All November Thursdays, the fourth one picked by its position.
     thursday = """select day from (select make_date(y, 11, dd) as day, row_number() over (partition by y order by dd) as nth
@@ -315,6 +414,23 @@ def steps_sql(keys: tuple[str, ...]) -> str:
     return " union all ".join(rows)
 
 
+def common_sql(c: str, is_number: bool) -> str:
+    """What the labelled and the unlabelled rows have in common in one column."""
+    v = f"cast({c} as double)" if is_number else f"cast({c} as varchar)"
+    side = "(select distinct {v} as x from tx where source_split = '{s}' and {c} is not null)"
+    left, right = side.format(v=v, c=c, s="train"), side.format(v=v, c=c, s="test")
+    few = f"(select count(*) from {left}) < 2048 and (select count(*) from {right}) < 2048"
+    both = f"(select count(*) from (select x from {left} intersect select x from {right}))"
+    either = f"(select count(*) from (select x from {left} union select x from {right}))"
+    rows = "(select count(*) from tx where source_split = '{}'{})"
+    return f"""select '{c}' as left_column, '{c}' as right_column, {rows.format("train", "")} as left_rows, {rows.format("test", "")} as right_rows,
+ {rows.format("train", f" and {c} is null")} as left_nulls, {rows.format("test", f" and {c} is null")} as right_nulls,
+ case when {few} then cast((select count(*) from {left}) as double) end as left_distinct,
+ case when {few} then cast((select count(*) from {right}) as double) end as right_distinct,
+ case when {few} then cast({both} as double) end as common_distinct,
+ case when {few} then {r(f"{both} / nullif({either}, 0)")} end as similarity"""
+
+
 def oracle() -> dict[str, str]:
     nullable = ", ".join(
         f"""('{c}', '{TX_TYPES[c]}', (select {r(f"1.0 - count({c}) / count(*)")} from tx))""" for c in TX_COLUMNS
@@ -330,7 +446,7 @@ def oracle() -> dict[str, str]:
         for c in ("tx_count", "fraud_rate")
         for f, n in (("min", "min"), ("median", "median"), ("max", "max"))
     )
-    lift = f"select feature, count(*) as value_count, {r('min(rate)')} as rate_min, {r('max(rate)')} as rate_max, {r('max(rate) / nullif(min(rate), 0)')} as lift from ({values_of(LIFT_FEATURES)}) group by 1"
+    lift = f"select feature, count(*) as value_count, {r('min(rate)')} as rate_min, {r('max(rate)')} as rate_max, {r('max(rate) / nullif(min(rate), 0)')} as lift from ({values_of(tuple(LIFT_FEATURES))}) group by 1"
     windows = f"""w as (select unnest([5, 7, 10, 14]) as window_days), l as (select *, date_diff('day', transaction_date, (select max(transaction_date) from tx where source_split = 'train')) as age from tx where source_split = 'train')
  select window_days, count(*) filter (where age <= window_days) as valid_rows, count(*) filter (where age > window_days) as train_rows,
  count(*) filter (where age <= window_days and is_fraud = 1) as valid_frauds, {r("avg(is_fraud) filter (where age <= window_days)")} as valid_rate from w cross join l group by 1"""
@@ -340,12 +456,67 @@ def oracle() -> dict[str, str]:
  k as (select *, sum(pos) over (order by score desc) as tp, sum(pos + neg) over (order by score desc) as seen from b)
  select cast(sum(pos + neg) as bigint) as row_count, cast(sum(pos) as bigint) as fraud_count, {r("sum(pos * tp / seen) / sum(pos)")} as pr_auc,
  {r("sum(neg * (tp - pos + pos / 2)) / (sum(pos) * sum(neg))")} as roc_auc from k"""
+    in_train, in_valid = "transaction_date < date '2024-01-18'", "transaction_date between date '2024-01-18' and date '2024-01-24'"
+    files = {
+        "TransactionID": "transaction_id", "TransactionDT": "cast(transaction_dt as bigint)", "TransactionAmt": r("transaction_amt"),
+        "ProductCD": "product_cd", "card1": "card1", "card2": d("card2"), "card4": "card4", "addr1": d("addr1"), "dist1": d("dist1"),
+        "P_emaildomain": "purchaser_email_domain", "C1": "cast(C1 as bigint)", "C13": d("C13"), "D2": d("D2"),
+        "M1": "case M4 when 'M0' then true when 'M1' then false end", "M4": "M4",
+    }
+    device = """transaction_id as "TransactionID", device_type as "DeviceType", device_info as "DeviceInfo", id_30, id_31"""
+    some = "(select least(1000, count(*)) from tx{})"
+    refused = {
+        "split without labels": "ValueError", "rows without a label": "ValueError", "no rows": "ValueError",
+        "date in two splits": "ValueError", "unknown split": "ValueError", "missing column": "ContractError",
+        "further column": "ContractError", "other type": "ContractError", "nothing": None,
+    }
+    tested = "transaction_amt product_cd card4 card6 purchaser_email_domain recipient_email_domain transaction_hour has_identity amount_band".split()
+    integrity_of = """select '{c}' as child, (select count({k}) from {c}) as child_rows, (select count(distinct {k}) from {c}) as child_keys,
+ (select count({p}) from {o}) as parent_rows, (select count(distinct {p}) from {o}) as parent_keys,
+ (select count(distinct {k}) from {c} where {k} in (select {p} from {o})) as matched_keys,
+ (select count(distinct {k}) from {c} where {k} not in (select {p} from {o})) as orphan_keys"""
+    head = """'base' as model, 'all' as split, (select count(*) from s) as row_count, (select count(*) from s where is_fraud = 1) as frauds,
+ round((select sum(transaction_amt) from s where is_fraud = 1), 2) as fraud_amount, '2024-01-25T00:00:00' as trained_at, 0.125 :: double as pr_auc"""
+    common = [c for c in TX_COLUMNS if c != "ingested_at"]
+    number = {"bigint", "int", "double"}
+    pairs = " union all ".join(common_sql(c, TX_TYPES[c] in number) for c in common)
     tx_row_checks = lambda checks: q(" " + checks_sql(checks, {}))
     return {
         "bool_parse": q("select transaction_id, case M4 when 'M0' then true when 'M1' then false end as flag from tx"),
         "prepare_split": q("select " + ", ".join(raw_text(c) for c in TX_COLUMNS if c != "ingested_at") + " from tx"),
         "read_day": q("select " + ", ".join(raw_text(c) for c in TX_COLUMNS) + " from tx where transaction_date = date '2024-01-20'"),
         "replaced_day": q(f"select transaction_id, cast(transaction_date as varchar) as transaction_date, {r("score + case when transaction_date = date '2024-01-20' then 1 else 0 end")} as score, model from predictions"),
+        "versioned_day": q(f"select transaction_id, cast(transaction_date as varchar) as transaction_date, {r("score + case when transaction_date = date '2024-01-20' then 1 else 0 end")} as score, model from predictions"),
+        "refreshed_pipeline": q(f""", fct as (select * from ({FCT}) where transaction_date <> date '2024-01-20' or transaction_id % 2 = 0)
+ select * replace (cast(transaction_date as varchar) as transaction_date, {TIME.format('last_ingested_at')} as last_ingested_at) from ({PIPELINE})"""),
+        "csv_transactions": q("select " + ", ".join(f'{e} as "{c}"' for c, e in files.items()) + " from tx"),
+        "csv_identity": q(f"select {device} from identity"),
+        "csv_first_rows": q(f"select {some.format(" where source_split = 'train'")} as row_count, {some.format(" where source_split = 'train'")} as known_rows"),
+        "profile_files": q(f", {daily} select cast(day as varchar) as day, tx_count, cast(fraud_count as double) as fraud_count, {r('fraud_rate')} as fraud_rate, {r('amt_sum')} as amt_sum from d"),
+        "refusals": "select * from (values " + ", ".join(f"('{c}', {'null' if e is None else repr(e)})" for c, e in refused.items()) + ') v("case", refused_by)',
+        "staged_views": q("select source_split, count(*) as row_count, count(i.transaction_id) as with_device from tx left join identity i using (transaction_id) group by 1"),
+        "column_advice": f"""select "column", current_dtype, recommended, null_ratio, case when nunique <= 30 then cast(nunique as double) end as few, "min", "max", "values" from ({profile_sql("lineitem", LINEITEM)})""",
+        "compare_tables": q(" " + pairs),
+        "key_difference": """select (select count(*) from (select doc_id from documents except select doc_id from labels) where doc_id is not null) as left_only,
+ (select count(*) from (select doc_id from labels except select doc_id from documents) where doc_id is not null) as right_only,
+ (select count(*) from (select doc_id from documents intersect select doc_id from labels) where doc_id is not null) as in_both""",
+        "score_drift_range": q("""select cast(e.transaction_date as varchar) as transaction_date, e.model, count(*) as scored_count, true as score_p50_holds, true as score_p90_holds, true as score_p99_holds
+ from (select distinct transaction_date, model from predictions) e join predictions p on p.model = e.model
+ and p.transaction_date between e.transaction_date - interval 6 day and e.transaction_date group by 1, 2"""),
+        "check_unique_by_day": q("select cast(transaction_date as varchar) as transaction_date, count(transaction_id) as row_count, count(distinct transaction_id) as key_count, count(transaction_id) = count(distinct transaction_id) as is_unique from tx group by 1"),
+        "bitmap_integrity": integrity_of.format(c="lineitem", k="l_orderkey", o="orders", p="o_orderkey") + " union all " + integrity_of.format(c="labels", k="doc_id", o="documents", p="doc_id"),
+        "published_curve": curve_q(f", p as (select *, {RATES} from o) select {head}, threshold, caught, missed, false_alarms, round(missed_amount, 2) as missed_amount, round(recall, 4) as recall, round(precision, 4) as precision from p"),
+        "model_comparison": q(f""", n as (select count(*) filter (where {in_train}) as train_rows, count(*) filter (where {in_valid}) as valid_rows, {r(f"avg(is_fraud) filter (where {in_valid})")} as rate from tx)
+ select m.model, 'curated' as feature_set, cast({len(tested)} as int) as n_features, train_rows, valid_rows, true as metrics_in_range,
+ case when m.model = 'dummy' then rate end as base_pr_auc, case when m.model = 'dummy' then 0.5 :: double end as base_roc_auc, m.model <> 'dummy' as beats_constant
+ from n cross join (values ('dummy'), ('logistic'), ('trees')) m(model)"""),
+        "logistic_optimum": q(f" select count(*) as row_count, true as at_optimum from tx where {in_train}"),
+        "stored_model_day": q("select transaction_id, cast(transaction_date as varchar) as transaction_date, 'trees-curated' as model, '2024-01-25 00:00:00.000000' as model_trained_at, true as same_score, true as in_range from tx where transaction_date = date '2024-01-26'"),
+        "tree_contributions": q(f"select transaction_id, cast({len(tested)} as int) as part_count, true as adds_up from tx where {in_valid}"),
+        "tree_importance": "select feature, true as share_in_range from (values " + ", ".join(f"('{c}')" for c in tested) + ") v(feature)",
+        "seeded_sample": q(f"select {some.format('')} as row_count, {some.format('')} as id_count, {some.format('')} as known_count"),
+        "holiday_detail": f"""with {SERIES}, {_holidays()} select cast(h.day as varchar) as day, h.direction, {r('z.z')} as z, z.z * h.direction > 0 as agrees
+ from h join z on h.day = date '2017-12-01' + cast(z.day_index as int) where z.z is not null""",
         "compare_schemas": """with l as (select column_name as c from (describe events)), r as (select column_name as c from (describe orders))
  select c as "column", 'left' as side, cast(null as varchar) as other from l where c not in (select c from r)
  union all select c, 'right', null from r where c not in (select c from l)""",
@@ -379,7 +550,7 @@ def oracle() -> dict[str, str]:
         "feature_lift": q(lift),
         "split_candidates": q(f", {windows}"),
         "entity_monotonicity": q(steps_sql(("card1",))),
-        "entity_monotonicity_narrow": q(steps_sql(CARD_KEYS)),
+        "entity_monotonicity_narrow": q(steps_sql(tuple(CARD_KEYS))),
         "daily_profile": q(f", {daily} select cast(day as varchar) as day, tx_count, cast(fraud_count as double) as fraud_count, {r('fraud_rate')} as fraud_rate, {r('amt_sum')} as amt_sum from d"),
         "daily_profile_summary": q(f", {daily} select count(*) as day_count, cast(min(day) as varchar) as first_day, cast(max(day) as varchar) as last_day, cast(date_diff('day', min(day), max(day)) as int) as span_days, cast(sum(tx_count) as bigint) as tx_total, {spread} from d"),
         "null_profile": q(f", {nulls} select * from n"),
@@ -392,14 +563,14 @@ def oracle() -> dict[str, str]:
         "deseasonalize": f"with {SERIES} select day_index, n, {r('trend')} as trend, {r('resid')} as resid, {r('z')} as z from z",
         "origin_search": f"with {ORIGINS} select cast(origin as varchar) as origin, n_holidays, {r('score')} as score, cast(rank as int) as rank, {r('sigma')} as sigma from v order by v.rank, v.origin limit 10",
         "check_unique": "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1",
-        "check_not_null": tx_row_checks([Check("not_null", "tx", c) for c in TX_COLUMNS]),
-        "check_accepted_values": tx_row_checks([Check("accepted_values", "tx", c, values=v) for c, v in (("source_split", ("train", "test")), ("M4", ("M0", "M1")), ("product_cd", ("click", "view")))]),
-        "check_accepted_range": tx_row_checks([Check("accepted_range", "tx", c, low=lo, high=hi) for c, lo, hi in (("transaction_amt", 0, None), ("C13", 1, 5), ("D2", None, 7))]),
-        "check_relationships": checks_sql([Check("relationships", "lineitem", "l_orderkey", other="orders", other_column="o_orderkey"), Check("relationships", "documents", "doc_id", other="labels", other_column="doc_id")], {}),
-        "check_equal_rowcount": q(f"{with_marts} " + checks_sql([Check("equal_rowcount", "fct_transactions", other="tx")], {"fct_transactions": "fct"})),
-        "check_totals": q(f"{with_marts}, agg_transactions_daily as ({DAILY}) " + checks_sql([Check("total_equals_rows", "agg_transactions_daily", "tx_count", other="fct")], {})),
+        "check_not_null": tx_row_checks([Rule("not_null", "tx", c) for c in TX_COLUMNS]),
+        "check_accepted_values": tx_row_checks([Rule("accepted_values", "tx", c, values=v) for c, v in (("source_split", ("train", "test")), ("M4", ("M0", "M1")), ("product_cd", ("click", "view")))]),
+        "check_accepted_range": tx_row_checks([Rule("accepted_range", "tx", c, low=lo, high=hi) for c, lo, hi in (("transaction_amt", 0, None), ("C13", 1, 5), ("D2", None, 7))]),
+        "check_relationships": checks_sql([Rule("relationships", "lineitem", "l_orderkey", other="orders", other_column="o_orderkey"), Rule("relationships", "documents", "doc_id", other="labels", other_column="doc_id")], {}),
+        "check_equal_rowcount": q(f"{with_marts} " + checks_sql([Rule("equal_rowcount", "fct_transactions", other="tx")], {"fct_transactions": "fct"})),
+        "check_totals": q(f"{with_marts}, agg_transactions_daily as ({DAILY}) " + checks_sql([Rule("total_equals_rows", "agg_transactions_daily", "tx_count", other="fct")], {})),
         "check_split_order": q(f"select cast(max(transaction_date) filter (where ml_split = 'train') as varchar) as train_end, cast(min(transaction_date) filter (where ml_split = 'valid') as varchar) as valid_start from ({DIM})"),
-        "check_suite": q(suite + " " + checks_sql(list(CONTRACT), TABLES)),
+        "check_suite": q(suite + " " + checks_sql(contract(), TABLES)),
         "features_build": q(f"select transaction_id, {text('transaction_amt')}, {BAND} as amount_band, {filled('product_cd', 'card4', 'card6', 'M4')}, {', '.join(f'{normalized(c)} as {c}' for c in DOMAINS)}, {text('C13')} from tx"),
         "dummy_scores": q(f"select transaction_id, (select {r('avg(is_fraud)')} from tx where transaction_date < date '2024-01-18') as score from tx where transaction_date between date '2024-01-18' and date '2024-01-24'"),
         "class_weights": q(f"select is_fraud as label, count(*) as n, {r('sum(count(*)) over () / (2 * count(*))')} as weight from tx where transaction_date < date '2024-01-18' group by 1"),

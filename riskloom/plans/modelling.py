@@ -6,10 +6,9 @@ from collections.abc import Sequence
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom.functions.lineage import materialized
-from riskloom.operators import dataset, models, scoring, store, thresholds
+from riskloom.operators import dataset, explain, models, scoring, store, thresholds
 from riskloom.operators.features import FeatureSet
 from riskloom.operators.ordered import ranking_metrics
 from riskloom.operators.staging import stg_identity, stg_transactions
@@ -28,10 +27,10 @@ def _staged(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 def _split(
     spark: SparkSession, root: str, mart_root: str, split: str, feature_set: FeatureSet
-) -> dataset.Dataset:
+) -> DataFrame:
     tx, identity = _staged(spark, root)
     dim = read_mart(spark, mart_root, "dim_split")
-    return dataset.load_training(tx, identity, dim, split, models.curated_or_all(feature_set))
+    return dataset.labelled_rows(tx, identity, dim, split, models.curated_or_all(feature_set))
 
 
 def model_name(model: str, feature_set: FeatureSet) -> str:
@@ -73,15 +72,9 @@ def publish_curve(
     """Write the threshold curve of a stored model on the validation split as one JSON document."""
     bundle = store.load(spark, model_directory, name)
     valid = _split(spark, root, mart_root, "valid", bundle.feature_set)
-    scores = materialized(store.score(valid.frame, bundle, params, (*KEYS, "transaction_amt")))
-    summary = thresholds.curve_summary(scores).select(
-        F.lit(name).alias("model"),
-        F.lit("valid").alias("split"),
-        F.col("row_count").alias("rows"),
-        F.col("fraud_count").alias("frauds"),
-        "fraud_amount",
-        F.lit(bundle.trained_at.isoformat(timespec="seconds")).alias("trained_at"),
-        F.lit(round(bundle.metrics.get("pr_auc", 0.0), 4)).alias("pr_auc"),
+    scores = materialized(store.score(valid, bundle, params, (*KEYS, "transaction_amt")))
+    summary = sinks.curve_head(
+        thresholds.curve_summary(scores), name, "valid", bundle.trained_at, bundle.metrics.get("pr_auc", 0.0)
     )
     sinks.write_curve(summary, thresholds.curve(scores), path)
 
@@ -92,4 +85,27 @@ def evaluate(
     """Ranking metrics of a stored model on the validation split."""
     bundle = store.load(spark, model_directory, name)
     valid = _split(spark, root, mart_root, "valid", bundle.feature_set)
-    return ranking_metrics(store.score(valid.frame, bundle, params, KEYS))
+    return ranking_metrics(store.score(valid, bundle, params, KEYS))
+
+
+def cost_table(
+    spark: SparkSession, root: str, mart_root: str, model_directory: str, name: str, params: Params
+) -> DataFrame:
+    """The cheapest threshold of a stored model for each false-alarm cost, on the validation split."""
+    bundle = store.load(spark, model_directory, name)
+    valid = _split(spark, root, mart_root, "valid", bundle.feature_set)
+    return thresholds.sensitivity(store.score(valid, bundle, params, (*KEYS, "transaction_amt")))
+
+
+def explain_trees(
+    spark: SparkSession, root: str, mart_root: str, model_directory: str, name: str, params: Params
+) -> dict[str, DataFrame]:
+    """What the features of stored trees add to their scores on the validation split: ranked, by family, cumulative."""
+    bundle = store.load(spark, model_directory, name)
+    valid = _split(spark, root, mart_root, "valid", bundle.feature_set)
+    table = materialized(bundle.scorer.importance(store.prepare(valid, bundle, params, KEYS)))
+    return {
+        "top": explain.contribution_top(table),
+        "families": explain.contribution_families(table),
+        "cumulative": explain.contribution_cumulative(table),
+    }

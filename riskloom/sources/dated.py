@@ -146,10 +146,3 @@ def gap_report(table: DataFrame, first: date, last: date) -> DataFrame:
         F.coalesce("row_count", F.lit(0)).alias("row_count"),
         F.when(F.col("row_count").isNull(), "skip").otherwise("load").alias("action"),
     )
-
-
-def load_days(source: DataFrame, root: str, dataset: str, first: date, last: date) -> DataFrame:
-    """Backfill a range in one job and return its report; days without data are skipped, not failed."""
-    wanted = between_days(source, first, last)
-    write_days(wanted, root, dataset, C.table_schema(dataset))
-    return gap_report(wanted, first, last)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as X
 from riskloom.operators import features, models
-from riskloom.operators.dataset import DROP_COLUMNS, load, load_training
+from riskloom.operators.dataset import DROP_COLUMNS, KEYS, labelled_rows, split_rows
 from riskloom.operators.marts import dim_split, train_rows
 from riskloom.params import Params
 from riskloom.sources.standins import STANDIN_PARAMS
@@ -81,21 +81,21 @@ def test_building_leaves_its_input_alone(spark):
 
 def test_splits_are_disjoint_and_ordered(spark, standins):
     dim = dim_split(standins.tx, STANDIN_PARAMS)
-    parts = {s: load(standins.tx, standins.identity, dim, s) for s in ("train", "valid", "test")}
-    spans = [parts[s].frame.agg(F.min("transaction_date"), F.max("transaction_date")).first() for s in parts]
+    parts = {s: split_rows(standins.tx, standins.identity, dim, s) for s in ("train", "valid", "test")}
+    spans = [parts[s].agg(F.min("transaction_date"), F.max("transaction_date")).first() for s in parts]
     flat = [d for span in spans for d in span]
     assert flat == sorted(flat) and len(set(flat)) == 6
-    assert {s: p.label for s, p in parts.items()} == {"train": "is_fraud", "valid": "is_fraud", "test": None}
     for p in parts.values():
-        assert set(p.features).isdisjoint(DROP_COLUMNS) and {"transaction_hour", "has_identity"} <= set(p.features)
-    assert sum(p.frame.count() for p in parts.values()) == standins.tx.count()
+        features = set(p.columns) - set(KEYS)
+        assert features.isdisjoint(DROP_COLUMNS) and {"transaction_hour", "has_identity"} <= features
+    assert sum(p.count() for p in parts.values()) == standins.tx.count()
 
 
 def test_statistics_come_from_training_days_only(spark, standins):
     dim = dim_split(standins.tx, STANDIN_PARAMS)
     own = train_rows(standins.tx, dim)
     assert own.agg(F.max("transaction_date")).first()[0] < STANDIN_PARAMS.valid_start
-    assert own.count() == load(standins.tx, standins.identity, dim, "train").frame.count()
+    assert own.count() == split_rows(standins.tx, standins.identity, dim, "train").count()
     # A domain that only validation days hold is never kept.
     late = standins.tx.withColumn(
         MAIL, F.when(F.col("transaction_date") >= F.lit(STANDIN_PARAMS.valid_start), "late.example").otherwise(F.col(MAIL))
@@ -106,18 +106,18 @@ def test_statistics_come_from_training_days_only(spark, standins):
 
 def test_columns_are_chosen_once(spark, standins):
     dim = dim_split(standins.tx, STANDIN_PARAMS)
-    data = load(standins.tx, standins.identity, dim, "valid", ["D2", "product_cd", "D2"])
-    assert data.features == ("D2", "product_cd", "transaction_hour", "has_identity")
+    data = split_rows(standins.tx, standins.identity, dim, "valid", ["D2", "product_cd", "D2"])
+    assert data.columns == [*KEYS, "D2", "product_cd", "transaction_hour", "has_identity"]
 
 
 def test_what_is_refused(spark, standins):
     tx, identity, dim = standins.tx, standins.identity, dim_split(standins.tx, STANDIN_PARAMS)
     cases = [
-        ("must be one of", lambda: load(tx, identity, dim, "holdout")),
-        ("no labels", lambda: load_training(tx, identity, dim, "test")),
-        ("no rows", lambda: load_training(tx.limit(0), identity, dim, "valid")),
-        ("without a label", lambda: load_training(tx.withColumn("is_fraud", F.lit(None).cast("int")), identity, dim, "valid")),
-        ("two splits", lambda: load(tx, identity, dim.union(dim.limit(1)), "valid")),
+        ("no split is called", lambda: split_rows(tx, identity, dim, "holdout")),
+        ("no labels", lambda: labelled_rows(tx, identity, dim, "test")),
+        ("no rows", lambda: labelled_rows(tx.limit(0), identity, dim, "valid")),
+        ("without a label", lambda: labelled_rows(tx.withColumn("is_fraud", F.lit(None).cast("int")), identity, dim, "valid")),
+        ("two splits", lambda: split_rows(tx, identity, dim.union(dim.limit(1)), "valid")),
     ]
     for words, call in cases:
         with pytest.raises(ValueError, match=words):

@@ -30,7 +30,7 @@ def test_contract_sizes():
 
 def test_unknown_source_and_missing_file(spark, tmp_path):
     with pytest.raises(KeyError):
-        raw.raw_path("x", "valid_transaction")
+        raw.file_of("x", "valid_transaction")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         raw.read_raw(spark, str(tmp_path), "train_identity")
 
