@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import functools
-import shutil
 import string
-import tempfile
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.lineage import materialized as stored  # noqa: F401
+from riskloom.functions.shipping import ship_package  # noqa: F401
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
@@ -62,21 +60,8 @@ def held_out(doc_id: str, n: int, remainder: int) -> Column:
     return F.coalesce(fold(doc_id, n) == remainder, F.lit(True))
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this library once per application, so that tasks import it instead of unpickling it."""
-    if spark.sparkContext.applicationId not in _shipped:
-        root = Path(__file__).parents[1]
-        folder = Path(tempfile.mkdtemp(prefix="riskloom-package-"))
-        shutil.copytree(root, folder / "in" / root.name, ignore=shutil.ignore_patterns("__pycache__"))
-        spark.sparkContext.addPyFile(shutil.make_archive(str(folder / root.name), "zip", folder / "in"))
-        _shipped.add(spark.sparkContext.applicationId)
-
-
 #: Bytes of an Arrow batch on its way to a Python worker. Both sides hold some batches at a time.
-ARROW_BATCH = 8 << 20
+ARROW_BATCH = 4 << 20
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -10,7 +10,7 @@ and nothing else; those that are alone in their node end there, and only the oth
 Nodes of at most ``LEAF`` sets are brute-forced on these. Larger nodes are split again; before that, every set is compared
 with four leaders of its node, and a set that resembles a leader as much as linked sets have to is linked to it and leaves
 the recursion, which is what keeps a group of thousands of near copies linear. What a run proposes is verified on the full
-sets, verified links are joined to groups, and of each group only its smallest member takes part in the next run.
+sets, and a set that is linked to a smaller one takes no part in the next run: the smallest of its group stand for it.
 
 Runs are repeated until the target recall: what a run still joins tells how much is left, as a run finds a pair at the
 threshold with a known probability. ``runs_for`` bounds their number.
@@ -36,6 +36,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ from riskloom.llm.vectors import mix, shingles, slices, word_hashes, words
 THRESHOLD, RECALL = 0.8, 0.99
 COORDINATES_LOG2 = 7
 COORDINATES = 1 << COORDINATES_LOG2
-LEAF, LEADERS = 32, 4
+LEAF, LEADERS = 64, 4
 #: What a text with a word has.
 A_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Bytes of a bucket of stored sets, and buckets at most; digests by which a task knows that it has sent a set before.
@@ -283,32 +284,30 @@ def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, active: D
     part = sets if active is None else sets.join(active, "id")
     paths = in_arrow(part.select("id", "mins"), _first_level, "node long, id long", run, threshold)
     found: list[DataFrame] = []
-    depth = 0
+    leaves: list[DataFrame] = []
     while True:
-        depth += 1
         paths = stored(paths)
-        sizes = stored(paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+        sizes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         rows = stored(paths.join(sizes, "node"))
-        small = rows.where(F.col("n") <= LEAF).join(sets, "id")
-        leaves = small.groupBy("node").agg(F.collect_list(F.struct("id", "mins")).alias("members"))
-        found.append(stored(in_arrow(leaves.select("members"), _brute_force, "a long, b long").distinct()))
-        large = rows.where(F.col("n") > LEAF).select("node", "id")
-        if large.isEmpty():
+        leaves.append(rows.where(F.col("n") <= LEAF).select("node", "id"))
+        if (rows.agg(F.max("n")).first()[0] or 0) <= LEAF:
             break
         # Four leaders a node: smallest by four orders that differ from run to run.
+        large = rows.where(F.col("n") > LEAF).select("node", "id")
         order = [F.struct(F.xxhash64("id", F.lit(run), F.lit(k)), F.col("id")) for k in range(LEADERS)]
         chosen = large.groupBy("node").agg(F.array(*[F.min(o)["id"] for o in order]).alias("ids"))
         named = chosen.select("node", F.posexplode("ids").alias("k", "id")).join(sets, "id")
-        leaders = stored(named.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "id", "mins"))).alias("leaders")))
+        leaders = named.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "id", "mins"))).alias("leaders"))
         with_leaders = large.join(sets, "id").join(leaders, "node").select("node", "id", "mins", "leaders")
         level = stored(in_arrow(with_leaders, _next_level, "kind int, node long, id long, a long", threshold))
         link = level.where(F.col("kind") == LINK)
         found.append(link.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")))
         paths = level.where(F.col("kind") == PATH).select("node", "id")
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct(), depth
+    # The leaves of all levels at once; nodes of different levels have different numbers.
+    members = reduce(DataFrame.unionByName, leaves).join(sets, "id")
+    members = members.groupBy("node").agg(F.collect_list(F.struct("id", "mins")).alias("members"))
+    found.append(in_arrow(members.select("members"), _brute_force, "a long, b long"))
+    return reduce(DataFrame.unionByName, found).distinct(), len(leaves)
 
 
 def candidates(sets: DataFrame, run: int = 1, threshold: float = THRESHOLD, active: DataFrame | None = None) -> DataFrame:
@@ -317,25 +316,24 @@ def candidates(sets: DataFrame, run: int = 1, threshold: float = THRESHOLD, acti
 
 
 def joined_by_paths(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """(id, group) of the sets that runs have joined, for rows (id, mins, shingles)."""
+    """(id, group) of the sets that runs have joined, for rows (id, mins, shingles).
+
+    A set that is linked to a smaller one leaves the search: the smallest ones stand for it in further runs.
+    """
     spark = sets.sparkSession
     sketches, full = sets.select("id", "mins"), sets.select("id", "shingles")
-    groups = spark.createDataFrame([], "id long, group long")
+    links = stored(spark.createDataFrame([], "a long, b long"))
     joined = 0
     for run in range(1, runs_for(recall, threshold) + 1):
         with scope(spark):
-            active = None
-            if joined:
-                gone = groups.select("id")
-                active = stored(sketches.select("id").join(gone, "id", "left_anti"))
+            gone = links.select(F.col("b").alias("id")).distinct()
+            active = sketches.select("id").join(gone, "id", "left_anti") if joined else None
             pairs, depth = proposals(sketches, run, threshold, active)
-            links = verified(pairs, full, threshold).select("a", "b")
-            held = groups.select(F.col("group").alias("a"), F.col("id").alias("b"))
-            groups = kept(components(held.unionByName(links)))
-        last, joined = joined, groups.count()
+            links = links.unionByName(kept(verified(pairs, full, threshold).select("a", "b")))
+        last, joined = joined, links.select("b").distinct().count()
         if recall_reached(joined, joined - last, depth, threshold) >= recall:
             break
-    return groups
+    return stored(components(links))
 
 
 # Exact search for what the paths have missed
