@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.sampling import first_by_hash
 from riskloom.llm.common import held_out, in_arrow, table
 from riskloom.llm.vectors import VISIBLE, Slice, slices, word_hashes, words
 
@@ -200,11 +201,7 @@ def _score(batches, trees: Trees) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Trees:
     """Trees from at most ``rows`` labelled documents. Ids are chosen before any text is read, and they are few."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    chosen = (
-        known.select("doc_id", F.col("quality").cast("long"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
-        .limit(rows)
-    )
+    chosen = first_by_hash(known.select("doc_id", F.col("quality").cast("long")), ["doc_id"], rows, ["doc_id", "quality"], None)
     small = F.broadcast(docs.sparkSession.createDataFrame(chosen.toArrow()))
     fitted = in_arrow(
         docs.select("doc_id", "text").join(small, "doc_id").select("quality", "text"),

@@ -23,7 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import held_out, in_arrow, nameless, stored, table, without
@@ -42,7 +42,7 @@ LEAST_DRIFT = 3.0
 SIGNIFICANT = 3.0
 #: A segment is reported when fewer than this many are expected by chance.
 E_VALUE = 0.01
-#: The evidence is calibrated in steps of 1 / STEPS up to LAST.
+#: The evidence is calibrated in steps of 1 / STEPS up to LAST, and beyond it on a logarithmic scale.
 STEPS, LAST, SHIFT = 10, 60, 3.0
 
 
@@ -163,12 +163,12 @@ def significant(scores: np.ndarray, rate: float, scale: float) -> list[tuple[int
 
 def evidence(scores: np.ndarray, rate: float, scale: float) -> float:
     """-log10 of the number of segments as good as the best one that clean text of this length would have by chance,
-    and as much for every further significant segment; shifted so that weak evidence stays above 0, cut at LAST."""
+    and as much for every further significant segment; shifted so that weak evidence stays above 0."""
     found = significant(scores, rate, scale)
     if not found:
         return 0.0
     more = sum(f[3] for f in found[1:] if f[3] > -np.log10(E_VALUE))
-    return float(np.clip(found[0][3] + more + SHIFT, 0, LAST))
+    return float(max(found[0][3] + more + SHIFT, 0.0))
 
 
 def _score(batches, model: Model) -> Iterator[pa.RecordBatch]:
@@ -237,10 +237,16 @@ def learn_tokens(rows: DataFrame) -> Model:
     return token_model(clean, toxic)
 
 
+def _scaled(evidence: str = "evidence") -> Column:
+    """The evidence as the curve sees it: strong evidence keeps its order, and the number of steps stays small."""
+    e = F.col(evidence)
+    return F.when(e <= LAST, e).otherwise(LAST + F.log1p(e - LAST))
+
+
 def calibrate(model: Model, labelled: DataFrame) -> Model:
     """Fit the logistic curve to all rows (evidence, toxic). The driver receives one row a step of evidence."""
     cells = (
-        labelled.groupBy(F.round(F.col("evidence") * STEPS).cast("int").alias("step"))
+        labelled.groupBy(F.round(_scaled() * STEPS).cast("int").alias("step"))
         .agg(F.count_if(F.col("toxic") == 1).alias("positive"), F.count_if(F.col("toxic") == 0).alias("negative"))
         .collect()
     )
@@ -266,7 +272,7 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = learn_tokens(own.join(known.hint("merge"), "doc_id"))
     found = stored(with_evidence(rows, model))
     model = calibrate(model, found.select("doc_id", "evidence").join(known.hint("merge"), "doc_id"))
-    z = F.col("evidence") * model.slope + model.offset
+    z = _scaled() * model.slope + model.offset
     scored = found.withColumn("score", 1 / (1 + F.exp(-z)) if model.fitted else F.lit(0.0))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
