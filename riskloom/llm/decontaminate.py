@@ -8,12 +8,12 @@ are sketched and whole documents are probed. Every candidate is verified on the
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, after lower-casing A-Z.
 
-Items go to the workers in blocks of ``ITEMS_PER_BLOCK``, each a bounded broadcast and a scan of its own; one block is
-the usual case.
+Items go to the workers in blocks of at most ``ITEMS_PER_BLOCK`` items and ``BLOCK_CHARACTERS`` characters, each a bounded
+broadcast and a scan of its own; one block is the usual case.
 
-Defined cases: NULL texts are empty; an item of fewer than five words has no shingle and is never found (``short_items``
-lists them); an item that occurs twice under one id counts once with the union of its shingles, rows without an item id
-are one item; repeated documents are each reported; empty tables give no rows; further columns are ignored.
+Defined cases: NULL texts are empty; an item of one to four words is one shingle of all its words and is found where they
+stand in a row; an item without a word is never found; every row of the items is an item of its own, whether it
+has an id or shares one; repeated documents are each reported; empty tables give no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,36 +31,40 @@ from riskloom.llm.common import LOWER, UPPER, in_arrow, nameless, table, without
 from riskloom.llm.vectors import SHINGLE, shingles, slices, texts, word_hashes, words
 
 THRESHOLD = 0.8
-ITEMS_PER_BLOCK = 50_000
+ITEMS_PER_BLOCK, BLOCK_CHARACTERS = 50_000, 32 << 20
 _WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
 _LOWER = str.maketrans(UPPER, LOWER)
 
 
-def word_shingles(text: str) -> list[str]:
-    """Five-word shingles of a text in order, words joined by one blank."""
-    found = _WORD.findall(text.translate(_LOWER))
-    return [" ".join(found[i : i + SHINGLE]) for i in range(len(found) - SHINGLE + 1)]
+def found_words(text: str) -> list[str]:
+    return _WORD.findall(text.translate(_LOWER))
 
 
-def _hashes(text: str) -> np.ndarray:
+def word_shingles(text: str, size: int = SHINGLE) -> list[str]:
+    """Runs of ``size`` words of a text in order, words joined by one blank."""
+    found = found_words(text)
+    return [" ".join(found[i : i + size]) for i in range(len(found) - size + 1)]
+
+
+def _hashes(text: str, size: int = SHINGLE) -> np.ndarray:
     """Hashes of ``word_shingles``, in the same order."""
     part = next(slices(pa.array([text])))
     found = words(part)
-    if len(found.starts) < SHINGLE:
+    if len(found.starts) < size:
         return np.zeros(0, np.uint64)
-    return shingles(word_hashes(part.data, found.starts, found.ends), found.bounds)[0]
+    return shingles(word_hashes(part.data, found.starts, found.ends), found.bounds, size)[0]
 
 
 class Sketches:
-    """The sketch values of a block of items, and their shingles for the verification."""
+    """The sketch values of a block of items (id, text) with shingles of one size, and their shingles for the verification."""
 
-    def __init__(self, items: dict[int | None, list[str]], threshold: float) -> None:
-        self.threshold = threshold
+    def __init__(self, items: list[tuple[int | None, str]], threshold: float, width: int = SHINGLE) -> None:
+        self.threshold, self.width = threshold, width
         self.ids: list[int | None] = []
         self.shingles: list[frozenset[str]] = []
         values, owners = [], []
-        for item_id, item_texts in items.items():
-            own = {s: h for t in item_texts for s, h in zip(word_shingles(t), _hashes(t).tolist())}
+        for item_id, text in items:
+            own = dict(zip(word_shingles(text, width), _hashes(text, width).tolist()))
             if not own:
                 continue
             values.append(np.sort(np.array(list(own.values()), np.uint64))[: self.size(len(own))])
@@ -72,6 +76,14 @@ class Sketches:
         order = np.argsort(every, kind="stable")
         self.values, self.owners = every[order], owner[order]
 
+    @staticmethod
+    def by_width(items: list[tuple[int | None, str]], threshold: float) -> list[Sketches]:
+        """Items of five words and more together, shorter ones by their number of words."""
+        widths: dict[int, list[tuple[int | None, str]]] = {}
+        for item in items:
+            widths.setdefault(min(len(found_words(item[1])), SHINGLE), []).append(item)
+        return [Sketches(own, threshold, width) for width, own in sorted(widths.items()) if width]
+
     def size(self, shingles_: int) -> int:
         """Sketch values of an item, from the upper end of its size partition (powers of two)."""
         upper = 1 << max(shingles_ - 1, 0).bit_length()
@@ -93,21 +105,23 @@ class Sketches:
         return found
 
 
-def _search(batches, sketches: Sketches) -> Iterator[pa.RecordBatch]:
+def _search(batches, sketches: list[Sketches]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
         out: list[tuple] = []
         column = batch.column("text")
         for part in slices(column):
             found = words(part)
-            hashes, bounds = shingles(word_hashes(part.data, found.starts, found.ends), found.bounds)
-            for row, items in sketches.candidates(hashes, bounds).items():
-                own = set(word_shingles(texts(column.slice(part.first + row, 1))[0]))
-                for i in sorted(items):
-                    size = len(sketches.shingles[i])
-                    shared = len(sketches.shingles[i] & own)
-                    if shared >= sketches.threshold * size - 1e-9:
-                        out.append((ids[part.first + row], sketches.ids[i], shared, size, shared / size))
+            hashed = word_hashes(part.data, found.starts, found.ends)
+            for own in sketches:
+                hashes, bounds = shingles(hashed, found.bounds, own.width)
+                for row, items in own.candidates(hashes, bounds).items():
+                    runs = set(word_shingles(texts(column.slice(part.first + row, 1))[0], own.width))
+                    for i in sorted(items):
+                        size = len(own.shingles[i])
+                        shared = len(own.shingles[i] & runs)
+                        if shared >= own.threshold * size - 1e-9:
+                            out.append((ids[part.first + row], own.ids[i], shared, size, shared / size))
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in out], t) for k, t in enumerate(_TYPES)], [n for n, _ in _COLUMNS]
         )
@@ -119,15 +133,17 @@ _COLUMNS = (
 _TYPES = [pa.float64() if t == "double" else pa.int64() for _, t in _COLUMNS]
 
 
-def _blocks(items: DataFrame, size: int) -> Iterator[dict[int | None, list[str]]]:
-    """Items by id, ``size`` ids at a time; the driver holds one block."""
-    block: dict[int | None, list[str]] = {}
+def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int | None, str]]]:
+    """Items (id, text), as many at a time as a block may hold; the driver holds one block."""
+    block: list[tuple[int | None, str]] = []
+    held = 0
     rows = items.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    for r in rows.orderBy("item_id").toLocalIterator():
-        if r["item_id"] not in block and len(block) == size:
+    for r in rows.orderBy("item_id", "text").toLocalIterator():
+        if block and (len(block) == size or held + len(r["text"]) > BLOCK_CHARACTERS):
             yield block
-            block = {}
-        block.setdefault(r["item_id"], []).append(r["text"])
+            block, held = [], 0
+        block.append((r["item_id"], r["text"]))
+        held += len(r["text"])
     yield block
 
 
@@ -139,13 +155,13 @@ def search(
     schema = ", ".join(f"{n} {t}" for n, t in _COLUMNS)
     found = None
     for block in _blocks(items, items_per_block):
-        part = in_arrow(rows, _search, schema, Sketches(block, threshold))
+        part = in_arrow(rows, _search, schema, Sketches.by_width(block, threshold))
         found = part if found is None else found.unionByName(part)
     return found
 
 
 def short_items(items: DataFrame) -> DataFrame:
-    """Items that are too short for a shingle."""
+    """Items of fewer words than a shingle has; they are searched as one shingle, and common phrases among them hit a lot."""
     count = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"), ""))
     return items.where(count < SHINGLE)
 

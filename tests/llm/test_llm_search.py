@@ -78,13 +78,15 @@ def test_join_large_group_of_near_copies(spark, monkeypatch):
 
 
 def brute_contained(docs, items, threshold=0.8):
-    shingles = lambda t: set(decontaminate.word_shingles(t or ""))
+    """Every item row is an item; one of fewer than five words is one shingle."""
     out = []
-    for item in {i for i, _ in items}:
-        own = set().union(*(shingles(t) for i, t in items if i == item))
+    for item, text in items:
+        width = min(len(decontaminate.found_words(text or "")), 5)
+        own = set(decontaminate.word_shingles(text or "", width)) if width else set()
         for d, t in docs:
-            if own and len(own & shingles(t)) >= threshold * len(own) - 1e-9:
-                out.append((d, item, len(own & shingles(t)), len(own)))
+            shared = len(own & set(decontaminate.word_shingles(t or "", width or 5)))
+            if own and shared >= threshold * len(own) - 1e-9:
+                out.append((d, item, shared, len(own)))
     return sorted(out, key=repr)
 
 
@@ -108,7 +110,9 @@ def test_containment_search(spark, edge, nothing):
     assert decontaminate.search(edge, bench.where("false")).count() == 0
     assert decontaminate.short_items(bench).where("item_id IN (61, 62)").count() == 2
     clean = decontaminate.clean_documents(frame(spark, docs), bench)
-    hit = {d for d, *_ in brute_contained(docs, items)}
+    found = brute_contained(docs, items)
+    hit = {d for d, *_ in found}
+    assert {i for _, i, _, n in found if n == 1} >= {i for i, t in items[:60] if len(t.split()) < 5 and i % 3 == 0}
     assert {r.doc_id for r in clean.select("doc_id").collect()} == {d for d, _ in docs if d not in hit}
 
 
