@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from riskloom.llm import bpe, decontaminate, jaccard_join, licenses
-from riskloom.llm.common import table
+from riskloom.llm.common import stored, table
 from llm_cases import edge, frame, nothing, prose, sf  # noqa: F401  (fixtures)
 
 
@@ -228,7 +228,7 @@ def test_pipeline(spark, sf):
     columns = docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before = kept
-        kept = corpus_pipeline.stored(stage(spark, kept, sf))
+        kept = stored(stage(spark, kept, sf))
         assert kept.columns == columns, name
         assert kept.join(before, "doc_id", "left_anti").count() == 0
     rows = {r.doc_id: r.text for r in kept.collect()}
