@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.lineage import kept, scope
 from riskloom.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
-from riskloom.llm.common import stored, table
+from riskloom.llm.common import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,9 +60,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, stored; what all stages have stored before is gone by then."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if (name, stage) != STAGES[-1]:
-            docs = stored(docs)
-    return docs
+    with scope(spark):
+        for _, stage in STAGES[:-1]:
+            with scope(spark):
+                docs = kept(stage(spark, docs, sf_dir))
+        return kept(STAGES[-1][1](spark, docs, sf_dir))
