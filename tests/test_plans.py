@@ -72,6 +72,18 @@ def test_transform_train_score_publish(spark, lake, tmp_path):
     ).first()["row_count"]
 
 
+def test_a_stored_model_is_priced_and_explained(spark, lake):
+    transform.transform(spark, lake["raw"], lake["mart"], P)
+    modelling.train(spark, lake["raw"], lake["mart"], lake["model"], P, fits=[f for f in QUICK if f[0] == "trees"])
+    where = (spark, lake["raw"], lake["mart"], lake["model"], "trees-curated", P)
+    costs = modelling.cost_table(*where).collect()
+    assert sorted(r["fp_cost"] for r in costs) == [1.0, 5.0, 10.0, 25.0, 50.0, 100.0]
+    assert all(r["total_cost"] == pytest.approx(r["missed_amount"] + r["false_alarms"] * r["fp_cost"]) for r in costs)
+    found = modelling.explain_trees(*where)
+    assert found["top"].count() == 9 and set(found) == {"top", "families", "cumulative"}
+    assert found["cumulative"].where("top_n = 10").first()["feature_count"] == 9
+
+
 def test_all_columns_can_be_trained_on(spark, lake):
     transform.transform(spark, lake["raw"], lake["mart"], P)
     everything = models.FeatureSet.ALL
