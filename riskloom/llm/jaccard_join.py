@@ -61,6 +61,8 @@ PROPOSED, NEAR = 0.62, 0.92
 TILE, COLUMNS, BLOCK_BYTES = 256, 4096, 8 << 20
 #: Shingles in a block of prefixes, entries that a task holds back, and entries of a shingle compared at a time.
 PREFIX_BLOCK, PREFIX_FLUSH, RUN_TILE = 1_000_000, 500_000, 1024
+#: Steps of a path that are taken at a time where nodes stay large: one after the first level, two after the second, ...
+STEPS = 6
 #: Depth for which the bound on runs is chosen: most nodes are leaves by then.
 USUAL_DEPTH = 4
 
@@ -159,23 +161,24 @@ def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     return np.frombuffer(data, kind).reshape(len(column), -1) if len(column) else np.zeros((0, COORDINATES), kind)
 
 
-def _children(nodes: np.ndarray, ids: np.ndarray, mins: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(child node, id) of every set: one coordinate always, a second one so often that 1 / threshold is the mean."""
+def _children(nodes: np.ndarray, mins: np.ndarray, threshold: float, steps: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(child node, row) of every set after so many steps of the path.
+
+    A step takes one coordinate always, and a second one so often that 1 / threshold is the mean.
+    """
     row = np.arange(len(nodes))
-    out_node, out_id = [], []
-    for k in range(2):
-        seed = mix(nodes + _U(2 * k + 1))
-        pick = (seed % _U(COORDINATES)).astype(np.int64)
-        take = row
-        if k:
-            again = mix(nodes + _U(17)) < _U(int((1 / threshold - 1) * 2**64))
-            first = (mix(nodes + _U(1)) % _U(COORDINATES)).astype(np.int64)
-            take = row[again & (pick != first)]
-        with np.errstate(over="ignore"):
-            child = mix(mix(nodes[take] + pick[take].astype(np.uint64) * _U(0x9E3779B97F4A7C15)) ^ mins[take, pick[take]])
-        out_node.append(child)
-        out_id.append(ids[take])
-    return np.concatenate(out_node), np.concatenate(out_id)
+    for _ in range(steps):
+        out_node, out_row = [], []
+        first = (mix(nodes + _U(1)) % _U(COORDINATES)).astype(np.int64)
+        second = (mix(nodes + _U(3)) % _U(COORDINATES)).astype(np.int64)
+        again = (mix(nodes + _U(17)) < _U(int((1 / threshold - 1) * 2**64))) & (second != first)
+        for pick, take in ((first, np.arange(len(nodes))), (second, np.flatnonzero(again))):
+            with np.errstate(over="ignore"):
+                seed = mix(nodes[take] + pick[take].astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+                out_node.append(mix(seed ^ mins[row[take], pick[take]]))
+            out_row.append(row[take])
+        nodes, row = np.concatenate(out_node), np.concatenate(out_row)
+    return nodes, row
 
 
 def _node_rows(nodes: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
@@ -186,13 +189,14 @@ def _first_level(batches, run: int, threshold: float) -> Iterator[pa.RecordBatch
     for batch in batches:
         ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u2")
         nodes = np.full(len(ids), mix(np.array([run], np.uint64))[0])
-        yield _node_rows(*_children(nodes, ids, mins, threshold))
+        child, row = _children(nodes, mins, threshold)
+        yield _node_rows(child, ids[row])
 
 
 PATH, LINK = 0, 1
 
 
-def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
+def _next_level(batches, threshold: float, steps: int) -> Iterator[pa.RecordBatch]:
     """Rows (kind, node, id, a): a path to a child, or a proposed link id - a. Leaders come with every row."""
     for batch in batches:
         if not batch.num_rows:
@@ -212,7 +216,8 @@ def _next_level(batches, threshold: float) -> Iterator[pa.RecordBatch]:
         linked = top >= PROPOSED
         # Sets as similar to a leader as links have to be would share paths for ever.
         goes_on = (top < threshold) & ~own
-        child, child_id = _children(nodes[goes_on], ids[goes_on], mins[goes_on], threshold)
+        child, at = _children(nodes[goes_on], mins[goes_on], threshold, steps)
+        child_id = ids[goes_on][at]
         parts = (
             (PATH, child, child_id, np.zeros(len(child), np.int64)),
             (LINK, np.zeros(int(linked.sum()), np.uint64), ids[linked], star[linked]),
@@ -285,6 +290,7 @@ def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, active: D
     paths = in_arrow(part.select("id", "mins"), _first_level, "node long, id long", run, threshold)
     found: list[DataFrame] = []
     leaves: list[DataFrame] = []
+    depth = 1
     while True:
         paths = stored(paths)
         sizes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -299,7 +305,9 @@ def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, active: D
         named = chosen.select("node", F.posexplode("ids").alias("k", "id")).join(sets, "id")
         leaders = named.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "id", "mins"))).alias("leaders"))
         with_leaders = large.join(sets, "id").join(leaders, "node").select("node", "id", "mins", "leaders")
-        level = stored(in_arrow(with_leaders, _next_level, "kind int, node long, id long, a long", threshold))
+        steps = min(len(leaves), STEPS)
+        depth += steps
+        level = stored(in_arrow(with_leaders, _next_level, "kind int, node long, id long, a long", threshold, steps))
         link = level.where(F.col("kind") == LINK)
         found.append(link.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")))
         paths = level.where(F.col("kind") == PATH).select("node", "id")
@@ -307,7 +315,7 @@ def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, active: D
     members = reduce(DataFrame.unionByName, leaves).join(sets, "id")
     members = members.groupBy("node").agg(F.collect_list(F.struct("id", "mins")).alias("members"))
     found.append(in_arrow(members.select("members"), _brute_force, "a long, b long"))
-    return reduce(DataFrame.unionByName, found).distinct(), len(leaves)
+    return reduce(DataFrame.unionByName, found).distinct(), depth
 
 
 def candidates(sets: DataFrame, run: int = 1, threshold: float = THRESHOLD, active: DataFrame | None = None) -> DataFrame:
