@@ -654,7 +654,9 @@ def _stored_sets(docs: DataFrame) -> tuple[DataFrame, str, str]:
         ids = kept(sketched.select("doc_id", "nameless", "d1", "d2", "size"))
         sets = sketched.where(F.col("shingles").isNotNull()).select(F.expr(_KEY), "mins", "shingles")
         volume = sets.agg(F.sum(F.octet_length("shingles") + F.octet_length("mins"))).first()[0] or 0
-        buckets = min(BUCKETS, max(1, math.ceil(volume / BUCKET_BYTES)))
+        # With fewer buckets than shuffles have partitions, Spark would rather move the sets.
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(least, min(BUCKETS, math.ceil(volume / BUCKET_BYTES)))
         name = f"jaccard_sets_{uuid.uuid4().hex}"
         dealt = sets.repartition(buckets, "id").dropDuplicates(["id"])
         path = temporary_path(spark, name)
