@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import in_arrow, table
+from riskloom.llm.common import hold, in_arrow, table
 from riskloom.llm.vectors import BLOCK, Slice, mix, power_tables, slices
 
 WINDOW, CUT_BITS = 16, 9
@@ -183,11 +183,12 @@ _encoders: dict[int, Encoder] = {}
 
 
 def encoder(vocabulary: str) -> Encoder:
-    """The worker's encoder of a vocabulary; its stores last as long as the worker."""
+    """The worker's encoder of a vocabulary; its stores last until the worker turns to another operator."""
     key = hash(vocabulary)
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = Encoder(vocabulary)
+    hold(__name__, _encoders.clear)
     return _encoders[key]
 
 

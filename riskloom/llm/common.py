@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import string
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,7 +75,18 @@ def in_arrow(df: DataFrame, fn, schema: str, *args) -> DataFrame:
     return df.mapInArrow(functools.partial(_call, fn, args), schema)
 
 
+#: What operators hold in a worker between tasks, by module: how to let it go.
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(module: str, release: Callable[[], None]) -> None:
+    """Keep a store of a module until the worker turns to tasks of another one."""
+    _held[module] = release
+
+
 def _call(fn, args, batches):
+    for module in [m for m in _held if m != fn.__module__]:
+        _held.pop(module)()
     for batch in fn(batches, *args):
         yield batch
         pa.default_memory_pool().release_unused()

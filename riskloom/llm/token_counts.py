@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import in_arrow, table
+from riskloom.llm.common import hold, in_arrow, table
 from riskloom.llm.vectors import Slice, slices
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -406,11 +406,12 @@ _compiled: dict[int, Tokens] = {}
 
 
 def compiled(vocabulary: str) -> Tokens:
-    """The worker's transducers for a vocabulary; what they have compiled lasts as long as the worker."""
+    """The worker's transducers for a vocabulary; what they have compiled lasts until it turns to another operator."""
     key = hash(vocabulary)
     if key not in _compiled:
         _compiled.clear()
         _compiled[key] = Tokens(vocabulary)
+    hold(__name__, _compiled.clear)
     return _compiled[key]
 
 

@@ -66,6 +66,18 @@ def test_a_special_token_does_not_reach_over_two_rows(worker, counts_of_library)
     assert counted(worker, texts) == counts_of_library(texts)
 
 
+def test_stores_of_a_worker_go_with_another_operator(worker, monkeypatch):
+    from riskloom.llm import common
+
+    monkeypatch.setattr(common, "_held", {})
+    again = token_counts.compiled(token_counts.vocabulary_text())
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some text"])], ["doc_id", "text"])
+    list(common._call(token_counts._count, (token_counts.vocabulary_text(),), [batch]))
+    assert token_counts.compiled(token_counts.vocabulary_text()) is again
+    list(common._call(spelling._count, (0,), [batch]))
+    assert not token_counts._compiled and not common._held
+
+
 def test_scan_composes_state_maps():
     splitter, rng = token_counts.Splitter(), np.random.default_rng(1)
     symbols = rng.integers(0, 16, 1000).astype(np.uint8)
