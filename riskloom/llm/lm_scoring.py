@@ -10,9 +10,10 @@ Counting: tasks sum up token hashes with numpy and send packed blocks, one row f
 holds the n-grams of one hash range; the number of blocks follows the corpus, so a block fits a task at any size, and no
 n-gram is hot, because every task sends it once a flush.
 
-The filter goes to every worker. Its size is bounded: n-grams that make up less than one in ``MAX_NGRAMS`` tokens are
-left to the back-off, so at most ``2 * MAX_NGRAMS`` n-grams are held, whatever the corpus. Below that many tokens every
-n-gram is held.
+The filter goes to every worker. Its size is bounded by ``MAX_NGRAMS``: where the insertions of all n-grams are more, it
+holds those of the larger quantised counts only. No n-gram is left out: what the filter does not hold is sent, by batch of
+texts, to the block of its hash, meets its exact count there, and comes back as one quantised byte. The tokens of the batch
+wait as two bytes each (quantised unigram and bigram, 0 where open), so the texts themselves do not move.
 
 The exact unigram score (``base_score``) needs exact counts of all tokens, more than can be broadcast. Tokens that make up
 one in ``FREQUENT`` of the corpus or more are at most ``FREQUENT``; they are summed where the text is. All others are sent
@@ -30,14 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import held_out, in_arrow, ship_package, stored, table
 from riskloom.llm.vectors import VISIBLE, Slice, mix, slices, word_hashes, words
 
-#: The most n-grams of each order that the filter is made for (2 * 2**27 n-grams of 1.3 insertions are 420 MB).
-MAX_NGRAMS = 1 << 27
+#: The n-grams of each order that the filter is made for, and insertions it has room for per such n-gram, over both orders
+#: (2.6 * 2**27 insertions of 10 bits are 436 MB). Rarer n-grams than fit are left to the blocks.
+MAX_NGRAMS, INSERTIONS = 1 << 27, 2.6
 #: Tokens with at least one in this many occurrences are counted in place.
 FREQUENT = 1 << 17
 #: Base of the quantised counts, bits and probes for each insertion.
@@ -53,6 +56,9 @@ _U = np.uint64
 END = mix(np.array([0x5EED], np.uint64))[0]
 UNIGRAM, BIGRAM = 0, 1
 _LAST = _U(0xFFFFFFFFFFFFFFFF)
+#: What a row between the stages is: a text, the exact counts its tokens ask for, the open n-grams of a batch by order, and
+#: the tokens of a batch that wait for them.
+TEXT, EXACT, OPEN, WAITING = 0, 1, (2, 3), 4
 
 
 def tokens(part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -178,12 +184,13 @@ def _positions(keys: np.ndarray, level: np.ndarray, bits: np.ndarray) -> Iterato
 
 
 def _build(batches, least: int) -> Iterator[pa.RecordBatch]:
-    """(kind, block, bits, filter) of each block of counts."""
+    """(kind, block, bits, filter) of each block of counts, for quantised counts from ``least`` on."""
     for batch in batches:
         for row in batch.to_pylist():
             keys = np.frombuffer(row["keys"], np.uint64)
             counts = np.frombuffer(row["counts"], "<i8")
-            keys, q = keys[counts >= least], quantised(counts[counts >= least])
+            q = quantised(counts)
+            keys, q = keys[q >= least], q[q >= least]
             size = max(64, -(-int(q.sum()) * BITS // 8) * 8)
             filled = np.zeros(size, bool)
             for level in range(1, int(q.max(initial=0)) + 1):
@@ -197,11 +204,27 @@ def _build(batches, least: int) -> Iterator[pa.RecordBatch]:
             )
 
 
+def log10_of(own: np.ndarray, pair: np.ndarray, total: int, distinct: int) -> np.ndarray:
+    """log10 of the probability of every token after the one before it, from quantised counts of tokens and pairs."""
+    own, pair = expected(own), expected(pair)
+    # Every text ends in END and begins after one, so counts of contexts are those of tokens, one place on.
+    context = np.concatenate([own[-1:], own[:-1]])
+    alone = np.minimum((own + 0.5) / (total + 0.5 * (distinct + 1)), 1.0)
+    pair = np.minimum(pair, context)
+    weight = np.where(context > 0, BIGRAM_WEIGHT, 0.0)
+    return np.log10(weight * pair / np.maximum(context, 1) + (1 - weight) * alone)
+
+
 class Model:
-    """The filter, in one array of bytes, with the exact counts of the most frequent tokens."""
+    """The filter, in one array of bytes, with the exact counts of the most frequent tokens.
+
+    It holds n-grams from the quantised count ``level`` on; at level 1 these are all.
+    """
 
-    def __init__(self, filters: dict[tuple[int, int], tuple[int, bytes]], blocks: int, total: int, distinct: int) -> None:
-        self.blocks, self.total, self.distinct = blocks, total, distinct
+    def __init__(
+        self, filters: dict[tuple[int, int], tuple[int, bytes]], blocks: int, total: int, distinct: int, level: int = 1
+    ) -> None:
+        self.blocks, self.total, self.distinct, self.level = blocks, total, distinct, level
         size = np.array([[filters.get((k, b), (0, b""))[0] for b in range(blocks)] for k in (UNIGRAM, BIGRAM)], np.int64)
         data = [filters[k, b][1] for k in (UNIGRAM, BIGRAM) for b in range(blocks) if (k, b) in filters]
         self.bits = np.maximum(size, 1)
@@ -222,26 +245,39 @@ class Model:
         return found
 
     def counts(self, kind: int, keys: np.ndarray) -> np.ndarray:
-        """Quantised counts by repeated probes, as the numbers they stand for."""
+        """Quantised counts by repeated probes; 0 where the filter does not hold the n-gram."""
         distinct, back = np.unique(keys, return_inverse=True)
-        q = np.zeros(len(distinct), np.int64)
+        q = np.zeros(len(distinct), np.uint8)
         open_ = np.arange(len(distinct))
         level = 0
         while len(open_):
             level += 1
             open_ = open_[self._holds(kind, distinct[open_], level)]
             q[open_] = level
-        return expected(q)[back]
+        q[q < self.level] = 0  # nothing so rare was inserted
+        return q[back]
 
-    def log10(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """log10 of the probability of every token after the one before it."""
-        own = self.counts(UNIGRAM, hashes)
-        # Every text ends in END and begins after one, so counts of contexts are those of tokens, one place on.
-        context = np.concatenate([own[-1:], own[:-1]])
-        alone = np.minimum((own + 0.5) / (self.total + 0.5 * (self.distinct + 1)), 1.0)
-        pair = np.minimum(self.counts(BIGRAM, bigrams(hashes, bounds)), context)
-        weight = np.where(context > 0, BIGRAM_WEIGHT, 0.0)
-        return np.log10(weight * pair / np.maximum(context, 1) + (1 - weight) * alone)
+
+def held_level(counts: DataFrame, total: int, max_ngrams: int) -> int:
+    """The least quantised count that the filter holds: 1, or as many as its insertions need to stay within their bound."""
+    if total <= max_ngrams:  # an n-gram is inserted at most as often as it occurs
+        return 1
+    found = in_arrow(counts.select("counts"), _insertions, "q int, n long").groupBy("q").agg(F.sum("n").alias("n")).collect()
+    level, held = 1, sum(r["n"] for r in found)
+    for r in sorted(found, key=lambda r: r["q"]):
+        if held <= INSERTIONS * max_ngrams:
+            break
+        level, held = r["q"] + 1, held - r["n"]
+    return level
+
+
+def _insertions(batches) -> Iterator[pa.RecordBatch]:
+    """(q, n): how many insertions the n-grams of each quantised count take."""
+    for batch in batches:
+        for counts in batch.column("counts").to_pylist():
+            n = np.bincount(quantised(np.frombuffer(counts, "<i8")))
+            q = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(q * n[q])], ["q", "n"])
 
 
 def build_model(counts: DataFrame, blocks: int, max_ngrams: int = MAX_NGRAMS) -> Model:
@@ -249,12 +285,12 @@ def build_model(counts: DataFrame, blocks: int, max_ngrams: int = MAX_NGRAMS) ->
     totals = counts.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).collect()
     size = {r["kind"]: (r["total"], r["distinct"]) for r in totals}
     total, distinct = size.get(UNIGRAM, (0, 0))
-    least = max(1, math.ceil(total / max_ngrams))
+    level = held_level(counts, total, max_ngrams)
     built = in_arrow(
-        counts.select("kind", "block", "keys", "counts"), _build, "kind int, block int, bits long, filter binary", least
+        counts.select("kind", "block", "keys", "counts"), _build, "kind int, block int, bits long, filter binary", level
     )
     filters = {(r["kind"], r["block"]): (r["bits"], bytes(r["filter"])) for r in built.toLocalIterator()}
-    model = Model(filters, blocks, total, distinct)
+    model = Model(filters, blocks, total, distinct, level)
     often = in_arrow(
         counts.where(F.col("kind") == UNIGRAM).select("keys", "counts"),
         _frequent,
@@ -280,24 +316,59 @@ def _frequent(batches, least: int) -> Iterator[pa.RecordBatch]:
 # Scoring
 
 
+def _asked(hashes: np.ndarray, owners: np.ndarray, blocks: int) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    """Which blocks the hashes ask, and for each of them its hashes in order, with their owners, if any, as bytes."""
+    order = np.argsort(hashes)
+    hashes, owners = hashes[order], owners[order].astype("<u4") if len(owners) else owners
+    at = block_bounds(hashes, blocks)
+    some = np.flatnonzero(np.diff(at))
+    return (
+        some.astype(np.int32),
+        [hashes[at[i] : at[i + 1]].tobytes() for i in some],
+        [owners[at[i] : at[i + 1]].tobytes() for i in some],
+    )
+
+
+def _packed_rows(first: int, what: int, blocks: np.ndarray, keys: list[bytes], owners: list[bytes]) -> pa.RecordBatch:
+    n = len(blocks)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(blocks, pa.int32()), pa.array(np.full(n, first)), pa.array(np.full(n, what, np.int32)),
+            *(pa.nulls(n, t) for t in _TYPES[3:10]), pa.array(keys, pa.binary()), pa.array(owners, pa.binary()),
+        ],
+        _NAMES,
+    )
+
+
 def _score(batches, shared) -> Iterator[pa.RecordBatch]:
-    """What is known of every row, and for every block the rarer tokens of these rows, as packed (token, row) pairs."""
+    """What is known of every row, and for every block the rarer tokens of these rows, as packed (token, row) pairs.
+
+    Where the filter leaves n-grams open, the score of a batch waits: its quantised counts go along, with the place of each
+    open one among the distinct open ones, which are asked for in the order of their hashes.
+    """
     model: Model = shared.value
     log = lambda c: np.log10((c + 0.5) / (model.total + 0.5 * (model.distinct + 1)))
     for batch in batches:
         rows = batch.column("_row").to_numpy()
         whole: list[tuple] = []
         asked: list[tuple[np.ndarray, np.ndarray]] = []
+        waiting: list[tuple[np.ndarray, ...]] = []
         for part in slices(batch.column("text")):
             hashes, bounds = tokens(part)
             at = np.searchsorted(model.frequent_keys, hashes)
             count = model.frequent_counts[at]
             known = model.frequent_keys[at] == hashes
             add = lambda values: np.add.reduceat(values, bounds[:-1])  # noqa: E731, B023
+            pairs = bigrams(hashes, bounds)
+            own, pair = model.counts(UNIGRAM, hashes), model.counts(BIGRAM, pairs)
+            if model.level > 1:
+                waiting.append((own, pair, hashes[own == 0], pairs[pair == 0]))
+                score_ = np.zeros(part.rows)
+            else:
+                score_ = add(log10_of(own, pair, model.total, model.distinct))
             whole.append(
-                (np.diff(bounds), add(known.astype(np.int64)), add(np.where(known, log(count), 0.0)),
-                 add(model.log10(hashes, bounds)))
-            )
+                (np.diff(bounds), add(known.astype(np.int64)), add(np.where(known, log(count), 0.0)), score_)
+            )
             owner = np.repeat(np.arange(part.first, part.first + part.rows), np.diff(bounds))
             asked.append((hashes[~known], owner[~known]))
         if not whole:
@@ -306,67 +377,92 @@ def _score(batches, shared) -> Iterator[pa.RecordBatch]:
         none = pa.nulls(len(rows), pa.binary())
         block = pa.array((rows % model.blocks).astype(np.int32))
         yield pa.RecordBatch.from_arrays(
-            [block, pa.array(np.full(len(rows), rows[0])), batch.column("_row"), batch.column("doc_id"),
-             batch.column("held_out"), n, k, b, s, none, none],
+            [block, pa.array(np.full(len(rows), rows[0])), pa.array(np.full(len(rows), TEXT, np.int32)), batch.column("_row"),
+             batch.column("doc_id"), batch.column("held_out"), n, k, b, s, none, none],
             _NAMES,
         )
-        hashes, owner = (np.concatenate(c) for c in zip(*asked))
-        order = np.argsort(hashes)
-        hashes, owner = hashes[order], owner[order].astype("<u4")
-        at = block_bounds(hashes, model.blocks)
-        some = np.flatnonzero(np.diff(at))
         # Row numbers inside a partition follow one another, so the first one of the batch is enough.
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(some.astype(np.int32)), pa.array(np.full(len(some), rows[0])),
-                *(pa.nulls(len(some), t) for t in _TYPES[2:9]),
-                pa.array([hashes[at[i] : at[i + 1]].tobytes() for i in some], pa.binary()),
-                pa.array([owner[at[i] : at[i + 1]].tobytes() for i in some], pa.binary()),
-            ],
-            _NAMES,
-        )
+        yield _packed_rows(rows[0], EXACT, *_asked(*(np.concatenate(c) for c in zip(*asked)), model.blocks))
+        if waiting:
+            own, pair, *open_ = (np.concatenate(c) for c in zip(*waiting))
+            places = []
+            for what, hashes in zip(OPEN, open_):
+                distinct, back = np.unique(hashes, return_inverse=True)
+                yield _packed_rows(rows[0], what, *_asked(distinct, np.zeros(0, "<u4"), model.blocks))
+                places.append(back.astype("<u4").tobytes())
+            home = (mix(rows[:1].astype(np.uint64)) % _U(model.blocks)).astype(np.int32)
+            yield _packed_rows(rows[0], WAITING, home, [own.tobytes() + pair.tobytes()], [b"".join(places)])
 
 
 _PARTIAL = (
-    ("block", "int", pa.int32()), ("_batch", "long", pa.int64()), ("_row", "long", pa.int64()), ("doc_id", "long", pa.int64()),
-    ("held_out", "boolean", pa.bool_()), ("n_tokens", "long", pa.int64()), ("n_known", "long", pa.int64()),
-    ("base_score", "double", pa.float64()), ("score", "double", pa.float64()), ("keys", "binary", pa.binary()),
-    ("owners", "binary", pa.binary()),
+    ("block", "int", pa.int32()), ("_batch", "long", pa.int64()), ("what", "int", pa.int32()), ("_row", "long", pa.int64()),
+    ("doc_id", "long", pa.int64()), ("held_out", "boolean", pa.bool_()), ("n_tokens", "long", pa.int64()),
+    ("n_known", "long", pa.int64()), ("base_score", "double", pa.float64()), ("score", "double", pa.float64()),
+    ("keys", "binary", pa.binary()), ("owners", "binary", pa.binary()),
 )
 _NAMES, _TYPES = [c[0] for c in _PARTIAL], [c[2] for c in _PARTIAL]
-_ANSWER = "_batch long, _row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, " \
-    "score double, keys binary, owners binary"
+_ANSWER = ", ".join(f"{c} {t}" for c, t, _ in _PARTIAL)
 _RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _answer(total: int, distinct: int, asked: pa.Table, counts: pa.Table) -> pa.Table:
-    """The rows of one block as they came; questions come back as packed (n_known, base_score) of their rows."""
-    keys = np.frombuffer(b"".join(counts.column("keys").to_pylist()), np.uint64)
-    known = np.frombuffer(b"".join(counts.column("counts").to_pylist()), "<i8")
-    asked = asked.select(_NAMES[1:])
-    questions = asked.filter(asked.column("keys").is_valid())
-    answers, owners_of = [], []
-    for hashes, owners in zip(questions.column("keys").to_pylist(), questions.column("owners").to_pylist()):
-        h, o = np.frombuffer(hashes, np.uint64), np.frombuffer(owners, "<u4")
-        c = np.zeros(len(h))
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            c = np.where(keys[at] == h, known[at], 0)
-        own, back = np.unique(o, return_inverse=True)
-        logs = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
-        sums = np.stack([np.bincount(back, c > 0, minlength=len(own)), np.bincount(back, logs, minlength=len(own))])
-        answers.append(sums.astype("<f8").tobytes())
-        owners_of.append(own.astype("<u4").tobytes())
-    at = asked.schema.get_field_index("keys")
-    packed = questions.set_column(at, "keys", pa.array(answers, pa.binary()))
-    packed = packed.set_column(at + 1, "owners", pa.array(owners_of, pa.binary()))
-    return pa.concat_tables([asked.filter(asked.column("keys").is_null()), packed.cast(asked.schema)])
+    """The rows of one block as they came; questions come back as packed (n_known, base_score) of their rows, or as the
+    quantised counts of open n-grams."""
+    exact = {}
+    for kind in (UNIGRAM, BIGRAM):
+        own = counts.filter(pc.equal(counts.column("kind"), kind))
+        exact[kind] = (
+            np.frombuffer(b"".join(own.column("keys").to_pylist()), np.uint64),
+            np.frombuffer(b"".join(own.column("counts").to_pylist()), "<i8"),
+        )
 
+    def count_of(kind: int, hashes: np.ndarray) -> np.ndarray:
+        keys, known = exact[kind]
+        if not len(keys):
+            return np.zeros(len(hashes), np.int64)
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        return np.where(keys[at] == hashes, known[at], 0)
 
-def _total(table_: pa.Table) -> pa.Table:
+    out = [asked.filter(pc.is_in(asked.column("what"), pa.array([TEXT, WAITING], pa.int32())))]
+    at = asked.schema.get_field_index("keys")
+    for what, kind in ((EXACT, UNIGRAM), *zip(OPEN, (UNIGRAM, BIGRAM))):
+        questions = asked.filter(pc.equal(asked.column("what"), what))
+        answers, owners_of = [], []
+        for hashes, owners in zip(questions.column("keys").to_pylist(), questions.column("owners").to_pylist()):
+            c = count_of(kind, np.frombuffer(hashes, np.uint64))
+            if what != EXACT:
+                answers.append(np.where(c > 0, quantised(c), 0).astype(np.uint8).tobytes())
+                owners_of.append(b"")
+                continue
+            own, back = np.unique(np.frombuffer(owners, "<u4"), return_inverse=True)
+            logs = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
+            sums = np.stack([np.bincount(back, c > 0, minlength=len(own)), np.bincount(back, logs, minlength=len(own))])
+            answers.append(sums.astype("<f8").tobytes())
+            owners_of.append(own.astype("<u4").tobytes())
+        packed = questions.set_column(at, "keys", pa.array(answers, pa.binary()))
+        packed = packed.set_column(at + 1, "owners", pa.array(owners_of, pa.binary()))
+        out.append(packed.cast(asked.schema))
+    return pa.concat_tables(out)
+
+
+def _filled(table_: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Quantised counts (tokens, pairs) of a batch that waited, with the answers of all blocks in the open places."""
+    row = table_.filter(pc.equal(table_.column("what"), WAITING)).to_pylist()[0]
+    counts = np.frombuffer(row["keys"], np.uint8).reshape(2, -1).copy()
+    places = np.frombuffer(row["owners"], "<u4")
+    for own, what in zip(counts, OPEN):
+        answers = table_.filter(pc.equal(table_.column("what"), what)).sort_by("block")
+        found = np.frombuffer(b"".join(answers.column("keys").to_pylist()), np.uint8)
+        holes = np.flatnonzero(own == 0)
+        own[holes] = found[places[: len(holes)]]
+        places = places[len(holes) :]
+    return counts[0], counts[1]
+
+
+def _total(total: int, distinct: int, table_: pa.Table) -> pa.Table:
     """One result a row of one batch: what was known at once, and the answers of all blocks."""
-    rows = table_.filter(table_.column("keys").is_null())
-    packed = table_.filter(table_.column("keys").is_valid())
+    rows = table_.filter(pc.equal(table_.column("what"), TEXT))
+    packed = table_.filter(pc.equal(table_.column("what"), EXACT))
     place = rows.column("_row").to_numpy() - table_.column("_batch")[0].as_py()
     n_known, base = np.zeros(len(place), np.int64), np.zeros(len(place))
     where = np.zeros(int(place.max(initial=-1)) + 1, np.int64)
@@ -378,10 +474,16 @@ def _total(table_: pa.Table) -> pa.Table:
         base[at] += found[1]
     n_known += rows.column("n_known").to_numpy()
     base += rows.column("base_score").to_numpy()
+    score_ = rows.column("score")
+    if pc.any(pc.equal(table_.column("what"), WAITING)).as_py():
+        logs = log10_of(*_filled(table_), total, distinct)
+        sizes = rows.column("n_tokens").to_numpy()[where]  # of the texts in the order of their tokens
+        sums = np.add.reduceat(logs, np.cumsum(sizes) - sizes)
+        score_ = pa.array(sums[place])
     return pa.table(
-        [rows.column("doc_id"), rows.column("held_out"), rows.column("n_tokens"), pa.array(n_known), pa.array(base),
-         rows.column("score")], [c.split()[0] for c in _RESULT.split(", ")],
-    )
+        [rows.column("doc_id"), rows.column("held_out"), rows.column("n_tokens"), pa.array(n_known), pa.array(base), score_],
+        [c.split()[0] for c in _RESULT.split(", ")],
+    )
 
 
 def _answering(total: int, distinct: int):
@@ -391,6 +493,13 @@ def _answering(total: int, distinct: int):
     return answer
 
 
+def _totalling(total: int, distinct: int):
+    def total_of(table_: pa.Table) -> pa.Table:
+        return _total(total, distinct, table_)
+
+    return total_of
+
+
 def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for rows (doc_id, held_out, text).
 
@@ -400,14 +509,15 @@ def score(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long"), "held_out", "text"
     )
-    partial = in_arrow(rows, _score, ", ".join(f"{c} {t}" for c, t, _ in _PARTIAL), shared)
-    exact = counts.where(F.col("kind") == UNIGRAM).select("block", "keys", "counts")
+    partial = in_arrow(rows, _score, _ANSWER, shared)
+    # Pairs are asked for only where the filter leaves some open.
+    exact = (counts if model.level > 1 else counts.where(F.col("kind") == UNIGRAM)).select("kind", "block", "keys", "counts")
     answered = (
         partial.groupBy("block")
         .cogroup(exact.groupBy("block"))
         .applyInArrow(_answering(model.total, model.distinct), _ANSWER)
     )
-    done = answered.groupBy("_batch").applyInArrow(_total, _RESULT)
+    done = answered.groupBy("_batch").applyInArrow(_totalling(model.total, model.distinct), _RESULT)
     return done.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score",
         "score",
