@@ -2,8 +2,9 @@
 
 Features become small whole numbers once: numbers fall between quantiles, text by its frequent values, and code 0 is the
 unknown. The coded table is stored, cut into blocks, and held by the executors next to the margin of every row. A level of
-a tree is one pass: each block counts gradients by (node, feature, code), the sums meet in a tree reduction, and the driver
-picks the best split of every node from them. What travels is bounded by the shape of the model, not by the rows.
+a tree is one pass: each partition counts gradients by (node, feature, code), the sums of a node meet in one task, which
+picks the best split of it, and the driver receives the splits alone. What a partition sends is bounded by the shape of the
+model, what the driver receives by that of the tree.
 Gradients are whole multiples of a small unit, so that sums do not depend on their order and a fit can be repeated.
 
 A split is a set of codes that go left. For numbers it is a prefix with the unknown on the side that gains more; for text,
@@ -39,8 +40,8 @@ ROUNDS = 300
 RATE = 0.05
 #: Levels of a tree, rows and weight that a side of a split has at least, codes of a feature, smoothing of text values.
 DEPTH, LEAST_ROWS, LEAST_WEIGHT, CODES, SMOOTH = 5, 20, 1e-3, 64, 10.0
-#: Gradients are multiples of 1 / UNIT; rows of a block; partitions whose sums the driver adds up itself; rounds between
-#: two checkpoints of the margins.
+#: Gradients are multiples of 1 / UNIT; rows of a block; the most tasks that pick the splits of a level; rounds between two
+#: checkpoints of the margins.
 UNIT, BLOCK_ROWS, FEW_PARTITIONS, EACH = 1 << 20, 1 << 16, 32, 25
 ACCURACY = 10_000
 
@@ -205,24 +206,48 @@ def best_split(sums: np.ndarray, text: Sequence[bool]) -> Split | None:
     return best
 
 
+@dataclass(frozen=True)
+class Node:
+    """What a tree takes from the sums of a node: (gradient, curvature, rows) of it and of both sides of its split, if any."""
+
+    own: np.ndarray
+    split: Split | None
+    sides: np.ndarray | None
+
+    @staticmethod
+    def of(sums: np.ndarray, text: Sequence[bool]) -> Node:
+        split = best_split(sums, text)
+        sides = None
+        if split is not None:
+            of_feature = sums[:, split.feature]
+            sides = np.stack([of_feature[:, side].sum(axis=1) for side in (split.left, ~split.left)])
+        return Node(sums[:, 0].sum(axis=1), split, sides)
+
+
 def grow(sums_of, text: Sequence[bool], depth: int, codes: int, rate: float) -> Tree:
     """A tree, level by level; ``sums_of(tree, nodes)`` gives the sums of the nodes of a level over all rows."""
+
+    def nodes_of(tree: Tree, nodes: np.ndarray) -> list[Node]:
+        sums = sums_of(tree, nodes)
+        return [Node.of(sums[:, slot], text) for slot in range(len(nodes))]
+
+    return grown(nodes_of, depth, codes, rate)
+
+
+def grown(nodes_of, depth: int, codes: int, rate: float) -> Tree:
+    """The same where ``nodes_of(tree, nodes)`` gives each node of a level, wherever its split was picked."""
     tree = Tree.empty(depth, codes)
     nodes = np.array([0])
     for level in range(depth):
-        sums = sums_of(tree, nodes)
         further = []
-        for slot, node in enumerate(nodes.tolist()):
-            own = sums[:, slot]
+        for node, found in zip(nodes.tolist(), nodes_of(tree, nodes)):
             if level == 0:
-                tree.cover[node] = own[2, 0].sum()
-                tree.value[node] = -rate * own[0, 0].sum() / max(own[1, 0].sum(), 1.0)
-            split = best_split(own, text)
-            if split is None:
+                g, h, n = found.own
+                tree.value[node], tree.cover[node] = -rate * g / max(h, 1.0), n
+            if found.split is None:
                 continue
-            tree.feature[node], tree.left[node] = split.feature, split.left
-            for child, side in ((2 * node + 1, split.left), (2 * node + 2, ~split.left)):
-                g, h, n = own[:, split.feature][:, side].sum(axis=1)
+            tree.feature[node], tree.left[node] = found.split.feature, found.split.left
+            for child, (g, h, n) in zip((2 * node + 1, 2 * node + 2), found.sides):
                 tree.value[child], tree.cover[child] = -rate * g / max(h, 1.0), n
                 further.append(child)
         nodes = np.array(further)
@@ -491,23 +516,39 @@ class OneBlock:
     def sums(self, tree: Tree, nodes: np.ndarray) -> np.ndarray:
         return self.block.sums(tree, nodes)
 
+    def tree(self, text: Sequence[bool], depth: int, codes: int, rate: float) -> Tree:
+        return grow(self.sums, text, depth, codes, rate)
+
     def advance(self, tree: Tree) -> None:
         self.block = self.block.advanced(tree)
 
 
 class ManyBlocks:
-    """Blocks that the executors hold; their sums meet in a tree reduction."""
+    """Blocks that the executors hold; the sums of a node meet in one task, which sends its split to the driver."""
 
     def __init__(self, blocks: RDD) -> None:
         self.blocks, self.old, self.rounds = blocks.persist(), None, 0
 
-    def sums(self, tree: Tree, nodes: np.ndarray) -> np.ndarray:
-        parts = self.blocks.map(lambda block: block.sums(tree, nodes))
-        out = parts.reduce(np.add) if parts.getNumPartitions() <= FEW_PARTITIONS else parts.treeReduce(np.add)
+    def nodes(self, tree: Tree, nodes: np.ndarray, text: Sequence[bool]) -> list[Node]:
+        def sums(blocks) -> Iterator[tuple[int, np.ndarray]]:
+            total = None
+            for block in blocks:
+                own = block.sums(tree, nodes)
+                total = own if total is None else np.add(total, own, out=total)
+            if total is not None:
+                yield from ((slot, total[:, slot]) for slot in range(len(nodes)))
+
+        # A partition has each node once, so there is nothing to combine before the shuffle.
+        tasks = min(len(nodes), FEW_PARTITIONS)
+        met = self.blocks.mapPartitions(sums).partitionBy(tasks, int)
+        out = dict(met.mapPartitions(lambda parts: _picked(parts, text)).collect())
         if self.old is not None:  # this pass has read the new margins
             self.old.unpersist()
             self.old = None
-        return out
+        return [out[slot] for slot in range(len(nodes))]
+
+    def tree(self, text: Sequence[bool], depth: int, codes: int, rate: float) -> Tree:
+        return grown(lambda tree, nodes: self.nodes(tree, nodes, text), depth, codes, rate)
 
     def advance(self, tree: Tree) -> None:
         self.old, self.blocks = self.blocks, self.blocks.map(lambda block: block.advanced(tree)).persist()
@@ -516,10 +557,19 @@ class ManyBlocks:
             self.blocks.checkpoint()
 
 
+def _picked(parts, text: Sequence[bool]) -> Iterator[tuple[int, Node]]:
+    """Each node that meets here, from the sums of all partitions."""
+    total: dict[int, np.ndarray] = {}
+    for slot, sums in parts:
+        total[slot] = total[slot] + sums if slot in total else sums
+    for slot, sums in total.items():
+        yield slot, Node.of(sums, text)
+
+
 def boosted(rows: OneBlock | ManyBlocks, text: Sequence[bool], rounds: int, rate: float, depth: int, codes: int) -> list[Tree]:
     trees: list[Tree] = []
     for _ in range(rounds):
-        trees.append(grow(rows.sums, text, depth, codes, rate))
+        trees.append(rows.tree(text, depth, codes, rate))
         if trees[-1].feature[0] < 0:
             break
         rows.advance(trees[-1])

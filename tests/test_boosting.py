@@ -1,5 +1,6 @@
 """Boosted trees and their contributions, against brute force."""
 
+import pickle
 from itertools import combinations
 from math import factorial
 
@@ -120,6 +121,25 @@ def test_blocks_on_executors_grow_the_same_trees(rows, model, monkeypatch):
             assert np.allclose(x.value, y.value, atol=1e-9)
 
 
+def test_the_driver_receives_splits_and_no_sums(spark, rows, model, monkeypatch):
+    """What the driver reads of a fit does not grow with the partitions that sum up gradients."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", 100)
+    read = []
+    collect = type(spark.sparkContext.emptyRDD()).collect
+
+    def collected(self):
+        out = collect(self)
+        read.append(len(pickle.dumps(out)))
+        return out
+
+    monkeypatch.setattr("pyspark.RDD.collect", collected)
+    widened = rows.select("*", *[(F.col("a mount") * k).alias(f"more{k}") for k in range(20)])
+    more = (*FEATURES, *[f"more{k}" for k in range(20)])
+    fitted = B.fit(widened.repartition(8), more, LABEL, "w", rounds=3, rate=0.2)
+    one_node = 3 * len(more) * B.CODES * 8  # the sums of one node over all rows
+    assert len(fitted.trees) == 3 and read and sum(read) < one_node
+
+
 def test_learned_scores(rows, model):
     scored = model.transform(rows)
     assert scored.columns == [*rows.columns, "score"] and scored.count() == 3000
