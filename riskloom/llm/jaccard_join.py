@@ -3,23 +3,29 @@
 A document is its set of distinct five-word shingles. Documents with one and the same set are one class from the start;
 the join works on one set of each class.
 
-Every set is embedded as ``COORDINATES`` MinHash values (one permutation, densified) of two bytes. A run starts with all
+Every set is embedded as ``COORDINATES`` MinHash values (one permutation, densified) of four bytes. A run starts with all
 sets in one node. A node picks coordinates by its own seed, 1 / threshold of them on average, and sends each set to one
 child for every picked coordinate, chosen by the set's value there: similar sets share paths. Paths are rows (node, id)
 and nothing else; those that are alone in their node end there, and only the others meet their MinHash values again.
 Nodes of at most ``LEAF`` sets are brute-forced on these. Larger nodes are split again; before that, every set is compared
-with four leaders of its node, and a set that resembles a leader as much as linked sets have to is linked to it and leaves
-the recursion, which is what keeps a group of thousands of near copies linear. What a run proposes is verified on the full
-sets, and a set that is linked to a smaller one takes no part in the next run: the smallest of its group stand for it.
+with a block of its node, ``TILE`` sets on average, and one that resembles a smaller one as much as linked sets have to is
+linked to the best of them and leaves the recursion, which is what keeps a group of thousands of near copies linear. What a
+run proposes is verified on the full sets, and a set that is linked to a smaller one takes no part in the next run: the
+smallest of its group stand for it.
 
-Runs are repeated until the target recall: what a run still joins tells how much is left, as a run finds a pair at the
-threshold with a known probability. ``runs_for`` bounds their number.
+Values of four bytes keep sets apart that have nothing in common: of two bytes, a first level of 65,536 nodes a coordinate
+would bring all sets of a large table together, the more the larger it is.
+
+Runs are repeated until the target recall: what a run still joins tells how much is left. A run finds a pair at the
+threshold with a known probability at least, and what the last three join shows how much better they do with the sets at
+hand. ``runs_for`` bounds their number.
 
 The paths leave each set with links to its group, not with certainty. An exact search then looks for links between
 different groups only: linked sets share one of their rarest shingles (prefix filter), and what sizes and places of it
 allow is verified and joined to the groups. So no link is lost, whatever the depth of the recursion.
 
-Nodes are rows, never objects: no node is collected into a task unless it has at most ``LEAF`` sets. Sets are stored once,
+Nodes are rows, never objects: no node is collected into one row unless it has at most ``LEAF`` sets, larger ones are blocks
+of rows. Sets are stored once,
 in a table bucketed by id; joins bring ids to them and do not move them. All intermediates go when the join is over.
 
 Results: one row per document with class_id (smallest doc_id of its group) and n_links, the number of links of its set to
@@ -50,14 +56,14 @@ from riskloom.llm.vectors import mix, shingles, slices, word_hashes, words
 THRESHOLD, RECALL = 0.8, 0.99
 COORDINATES_LOG2 = 7
 COORDINATES = 1 << COORDINATES_LOG2
-LEAF, LEADERS = 64, 4
+LEAF = 64
 #: What a text with a word has.
 A_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 #: Bytes of a bucket of stored sets, and buckets at most; digests by which a task knows that it has sent a set before.
 BUCKET_BYTES, BUCKETS, SENT = 16 << 20, 20_000, 1_000_000
-#: Sketches that agree on this share are proposed; on that one, sets are nearly equal.
-PROPOSED, NEAR = 0.62, 0.92
-#: Sets that are compared at a time, shingles at a time, and bytes of the sets that a task counts links of.
+#: Sketches that agree on this share are proposed, those of a leaf's set with so many smaller ones.
+PROPOSED, BEST = 0.62, 3
+#: Sets that are compared at a time (a block of a node or of a group), shingles at a time, and bytes of the sets that a task counts links of.
 TILE, COLUMNS, BLOCK_BYTES = 256, 4096, 8 << 20
 #: Shingles in a block of prefixes, entries that a task holds back, and entries of a shingle compared at a time.
 PREFIX_BLOCK, PREFIX_FLUSH, RUN_TILE = 1_000_000, 500_000, 1024
@@ -83,22 +89,26 @@ def runs_for(recall: float, threshold: float) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance(threshold, USUAL_DEPTH))))
 
 
-def recall_reached(joined: int, last: int, depth: int, threshold: float) -> float:
-    """Estimated share of what runs can join, after ``joined`` sets were joined and ``last`` of them by the last run.
+def recall_reached(joined: list[int], depth: int, threshold: float) -> float:
+    """Estimated share of what runs can join, after runs that have joined so many sets each.
 
-    A run leaves (1 - p) / p sets for each that it joins, where p is its chance; pairs above the threshold fare better.
+    A run leaves (1 - p) / p sets for each that it joins, where p is its chance. The bound on p is that of a pair at the
+    threshold in the deepest node. Three runs show how they fare with the sets at hand, by the worse of the last two: the
+    first finds what is easy to find.
     """
     p = chance(threshold, depth)
-    left = last * (1 - p) / p
-    return joined / (joined + left) if joined else 1.0
+    if len(joined) > 2 and min(joined[-3:-1]) > 0:
+        p = max(p, 1 - max(joined[-1] / joined[-2], joined[-2] / joined[-3]))
+    left = joined[-1] * (1 - p) / p
+    return sum(joined) / (sum(joined) + left) if sum(joined) else 1.0
 
 
 def min_hashes(values: np.ndarray) -> np.ndarray:
     """MinHash values of a sorted set: the smallest of each bin; an empty bin borrows that of a fixed other bin."""
     at = np.searchsorted(values, _BINS)
     filled = np.append(at[1:], len(values)) > at
-    out = np.zeros(COORDINATES, np.uint16)
-    out[filled] = (values[at[filled]] >> _U(16)).astype(np.uint16)
+    out = np.zeros(COORDINATES, np.uint32)
+    out[filled] = (values[at[filled]] >> _U(16)).astype(np.uint32)
     empty = np.flatnonzero(~filled)
     for probe in _PROBES:
         if not len(empty):
@@ -134,7 +144,7 @@ def _sketch(batches) -> Iterator[pa.RecordBatch]:
                     if len(sent) >= SENT:
                         sent.clear()
                     sent.add(d1[-1])
-                    mins.append(min_hashes(own).astype("<u2").tobytes() if new else None)
+                    mins.append(min_hashes(own).astype("<u4").tobytes() if new else None)
                     sets.append(np.unique((own >> _U(32)).astype("<u4")).tobytes() if new else None)
                 else:
                     for column in (d1, d2, mins, sets):
@@ -187,7 +197,7 @@ def _node_rows(nodes: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
 
 def _first_level(batches, run: int, threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u2")
+        ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u4")
         nodes = np.full(len(ids), mix(np.array([run], np.uint64))[0])
         child, row = _children(nodes, mins, threshold)
         yield _node_rows(child, ids[row])
@@ -196,26 +206,35 @@ def _first_level(batches, run: int, threshold: float) -> Iterator[pa.RecordBatch
 PATH, LINK = 0, 1
 
 
+def _shares(ids: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """The share on which every set agrees with every one of a smaller id; -1 for all others."""
+    share = (sketches[:, None, :] == sketches[None, :, :]).mean(axis=2)
+    share[ids[:, None] <= ids[None, :]] = -1.0
+    return share
+
+
+def _best_smaller(ids: np.ndarray, sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every set, the share on which it agrees best with one of a smaller id, and that one; -1 if there is none."""
+    share = _shares(ids, sketches)
+    best = share.argmax(axis=1)
+    return share[np.arange(len(ids)), best], ids[best]
+
+
 def _next_level(batches, threshold: float, steps: int) -> Iterator[pa.RecordBatch]:
-    """Rows (kind, node, id, a): a path to a child, or a proposed link id - a. Leaders come with every row."""
+    """Rows (kind, node, id, a): a path to a child, or a proposed link id - a, for the blocks of a node's sets."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        nodes = batch.column("node").to_numpy().view(np.uint64)
-        ids, mins = batch.column("id").to_numpy(), _matrix(batch.column("mins"), "<u2")
-        leaders = batch.column("leaders").flatten()
-        leader = leaders.field("id").to_numpy().reshape(-1, LEADERS).T
-        theirs = _matrix(leaders.field("mins"), "<u2").reshape(-1, LEADERS, COORDINATES)
-        share = np.stack([(mins == theirs[:, k]).mean(axis=1) for k in range(LEADERS)])
-        row = np.arange(len(ids))
-        own = (leader == ids).any(axis=0)
-        # A leader is linked to the best of the others.
-        share = np.where(leader == ids, -1.0, share)
-        best = share.argmax(axis=0)
-        top, star = share[best, row], leader[best, row]
+        members = batch.column("members")
+        bounds, flat = members.offsets.to_numpy(), members.values
+        ids, mins = flat.field("id").to_numpy(), _matrix(flat.field("mins"), "<u4")
+        nodes = np.repeat(batch.column("node").to_numpy().view(np.uint64), np.diff(bounds))
+        top, star = np.empty(len(ids)), np.empty(len(ids), np.int64)
+        for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            top[s:e], star[s:e] = _best_smaller(ids[s:e], mins[s:e])
         linked = top >= PROPOSED
-        # Sets as similar to a leader as links have to be would share paths for ever.
-        goes_on = (top < threshold) & ~own
+        # Sets as similar to another one as links have to be would share paths for ever; the smallest stand for them.
+        goes_on = top < threshold
         child, at = _children(nodes[goes_on], mins[goes_on], threshold, steps)
         child_id = ids[goes_on][at]
         parts = (
@@ -234,20 +253,15 @@ def _next_level(batches, threshold: float, steps: int) -> Iterator[pa.RecordBatc
 
 
 def _leaf_links(ids: np.ndarray, sketches: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs proposed in a leaf: nearly equal sets are held by stars, all other pairs above the bound are listed."""
-    share = (sketches[:, None, :] == sketches[None, :, :]).mean(axis=2)
-    star = np.arange(len(ids))
-    for i in range(len(ids)):
-        if star[i] == i:
-            near = (share[i] >= NEAR) & (star == np.arange(len(ids)))
-            near[: i + 1] = False
-            star[near] = i
-    out = [(int(ids[star[i]]), int(ids[i])) for i in range(len(ids)) if star[i] != i]
-    i, j = np.nonzero(np.triu(share >= PROPOSED, 1))
-    for x, y in zip(i.tolist(), j.tolist()):
-        if share[x, y] < NEAR or star[x] != star[y]:
-            out.append((int(ids[x]), int(ids[y])))
-    return out
+    """Pairs proposed in a leaf: every set with the ``BEST`` smaller ones that it agrees with most.
+
+    They hold a group together; all its pairs would be as many as the square of its size, and ``degrees`` counts these.
+    """
+    share = _shares(ids, sketches)
+    best = np.argsort(-share, axis=1, kind="stable")[:, :BEST]
+    i, j = np.repeat(np.arange(len(ids)), best.shape[1]), best.ravel()
+    good = share[i, j] >= PROPOSED
+    return list(zip(ids[j[good]].tolist(), ids[i[good]].tolist()))
 
 
 def _brute_force(batches) -> Iterator[pa.RecordBatch]:
@@ -255,11 +269,11 @@ def _brute_force(batches) -> Iterator[pa.RecordBatch]:
         members = batch.column("members")
         bounds = members.offsets.to_numpy()
         flat = members.values
-        ids, sketches = flat.field("id").to_numpy(), _matrix(flat.field("mins"), "<u2")
+        ids, sketches = flat.field("id").to_numpy(), _matrix(flat.field("mins"), "<u4")
         pairs: set[tuple[int, int]] = set()
         for s, e in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
             order = np.argsort(ids[s:e]) + s
-            pairs.update((min(p), max(p)) for p in _leaf_links(ids[order], sketches[order]))
+            pairs.update(_leaf_links(ids[order], sketches[order]))
         listed = np.array(sorted(pairs), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(listed[:, 0]), pa.array(listed[:, 1])], ["a", "b"])
 
@@ -281,33 +295,30 @@ def _verify(batches, threshold: float) -> Iterator[pa.RecordBatch]:
         )
 
 
-def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, active: DataFrame | None = None) -> tuple[DataFrame, int]:
+def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, gone: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Distinct pairs (a, b), a < b, that one run proposes for rows (id, mins), and how deep it went.
 
-    ``active`` (id) names the rows that take part; all if there is none.
+    ``gone`` (id) names the rows that take no part.
     """
-    part = sets if active is None else sets.join(active, "id")
-    paths = in_arrow(part.select("id", "mins"), _first_level, "node long, id long", run, threshold)
+    part = sets if gone is None else sets.join(gone, "id", "left_anti")
+    paths = stored(in_arrow(part.select("id", "mins"), _first_level, "node long, id long", run, threshold))
     found: list[DataFrame] = []
     leaves: list[DataFrame] = []
     depth = 1
     while True:
-        paths = stored(paths)
         sizes = paths.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         rows = stored(paths.join(sizes, "node"))
         leaves.append(rows.where(F.col("n") <= LEAF).select("node", "id"))
         if (rows.agg(F.max("n")).first()[0] or 0) <= LEAF:
             break
-        # Four leaders a node: smallest by four orders that differ from run to run.
-        large = rows.where(F.col("n") > LEAF).select("node", "id")
-        order = [F.struct(F.xxhash64("id", F.lit(run), F.lit(k)), F.col("id")) for k in range(LEADERS)]
-        chosen = large.groupBy("node").agg(F.array(*[F.min(o)["id"] for o in order]).alias("ids"))
-        named = chosen.select("node", F.posexplode("ids").alias("k", "id")).join(sets, "id")
-        leaders = named.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("k", "id", "mins"))).alias("leaders"))
-        with_leaders = large.join(sets, "id").join(leaders, "node").select("node", "id", "mins", "leaders")
+        # Blocks differ from run to run, and a node that was not split is dealt anew as its number is another one.
+        large = rows.where(F.col("n") > LEAF)
+        block = F.pmod(F.xxhash64("id", "node", F.lit(run)), F.ceil(F.col("n") / TILE)).alias("block")
+        dealt = large.select("node", "id", block).join(sets.select("id", "mins"), "id")
+        blocks = dealt.groupBy("node", "block").agg(F.collect_list(F.struct("id", "mins")).alias("members"))
         steps = min(len(leaves), STEPS)
         depth += steps
-        level = stored(in_arrow(with_leaders, _next_level, "kind int, node long, id long, a long", threshold, steps))
+        level = stored(in_arrow(blocks.select("node", "members"), _next_level, "kind int, node long, id long, a long", threshold, steps))
         link = level.where(F.col("kind") == LINK)
         found.append(link.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")))
         paths = level.where(F.col("kind") == PATH).select("node", "id")
@@ -318,9 +329,9 @@ def proposals(sets: DataFrame, run: int, threshold: float = THRESHOLD, active: D
     return reduce(DataFrame.unionByName, found).distinct(), depth
 
 
-def candidates(sets: DataFrame, run: int = 1, threshold: float = THRESHOLD, active: DataFrame | None = None) -> DataFrame:
+def candidates(sets: DataFrame, run: int = 1, threshold: float = THRESHOLD, gone: DataFrame | None = None) -> DataFrame:
     """Distinct pairs (a, b), a < b, that one run proposes for rows (id, mins)."""
-    return proposals(sets, run, threshold, active)[0]
+    return proposals(sets, run, threshold, gone)[0]
 
 
 def joined_by_paths(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -331,15 +342,14 @@ def joined_by_paths(sets: DataFrame, threshold: float = THRESHOLD, recall: float
     spark = sets.sparkSession
     sketches, full = sets.select("id", "mins"), sets.select("id", "shingles")
     links = stored(spark.createDataFrame([], "a long, b long"))
-    joined = 0
+    joined: list[int] = []
     for run in range(1, runs_for(recall, threshold) + 1):
         with scope(spark):
-            gone = links.select(F.col("b").alias("id")).distinct()
-            active = sketches.select("id").join(gone, "id", "left_anti") if joined else None
-            pairs, depth = proposals(sketches, run, threshold, active)
-            links = links.unionByName(kept(verified(pairs, full, threshold).select("a", "b")))
-        last, joined = joined, links.select("b").distinct().count()
-        if recall_reached(joined, joined - last, depth, threshold) >= recall:
+            gone = links.select(F.col("b").alias("id")).distinct() if sum(joined) else None
+            pairs, depth = proposals(sketches, run, threshold, gone)
+            links = links.unionByName(verified(pairs, full, threshold, kept).select("a", "b"))
+        joined.append(links.select("b").distinct().count() - sum(joined))
+        if recall_reached(joined, depth, threshold) >= recall:
             break
     return stored(components(links))
 
@@ -502,7 +512,7 @@ def missed(sets: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) ->
     return in_arrow(runs.repartition("rows"), _possible, "a long, b long", threshold).distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD, store=stored) -> DataFrame:
     """(a, b, similarity) of the pairs that hold, for rows (id, shingles).
 
     The smaller ids bring their sets along, each set of a larger id goes once to where the pairs are; the second join is
@@ -513,7 +523,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) ->
     ends = pairs.select(F.col("b").alias("id")).distinct()
     right = sets.join(ends, "id").select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
     both = left.join(right, "b").select("a", "b", "set_a", "set_b")
-    return stored(in_arrow(both, _verify, "a long, b long, similarity double", threshold))
+    return store(in_arrow(both, _verify, "a long, b long, similarity double", threshold))
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -413,3 +413,55 @@ def test_recall_does_not_depend_on_runs_or_depth(spark, monkeypatch):
         rows = list(enumerate(texts))
         got = jaccard_join.join(frame(spark, rows)).collect()
         assert sorted((r.doc_id, r.class_id) for r in got) == brute_groups(rows)
+
+
+def test_sets_with_nothing_in_common_do_not_meet():
+    """The rows that share a node grow with the similar sets and not with the square of all."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    for n in (2000, 10_000):
+        mins = np.stack([jaccard_join.min_hashes(np.sort(rng.integers(0, 2**64, 60, np.uint64))) for _ in range(n)])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(n)), pa.array([m.astype("<u4").tobytes() for m in mins], pa.binary())], ["id", "mins"]
+        )
+        (paths,) = jaccard_join._first_level([batch], 1, 0.8)
+        assert len(np.unique(paths.column("node").to_numpy())) == paths.num_rows >= n
+
+
+def test_sets_of_a_large_node_leave_by_their_best_smaller_partner():
+    import numpy as np
+    import pyarrow as pa
+
+    mins = np.arange(4 * jaccard_join.COORDINATES, dtype=np.uint32).reshape(4, -1)
+    mins[2, :120] = mins[0, :120]  # agrees with 0 on 120 of 128
+    mins[3, :110] = mins[0, :110]
+    members = [[{"id": 9 - i, "mins": m.astype("<u4").tobytes()} for i, m in enumerate(mins)]]
+    kind = pa.list_(pa.struct([("id", pa.int64()), ("mins", pa.binary())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([7], pa.int64()), pa.array(members, kind)], ["node", "members"])
+    (got,) = jaccard_join._next_level([batch], 0.8, 1)
+    rows = got.to_pylist()
+    # 9 and 7 have the smaller partners 7 and 6; 8 and 6 have none and go on.
+    assert {(r["id"], r["a"]) for r in rows if r["kind"] == jaccard_join.LINK} == {(9, 7), (7, 6)}
+    assert {r["id"] for r in rows if r["kind"] == jaccard_join.PATH} == {8, 6}
+
+
+def test_recall_is_measured_by_what_runs_join():
+    """Deep nodes alone do not ask for further runs, a run that joins as much as the one before it does."""
+    assert jaccard_join.recall_reached([990, 10], 20, 0.8) < 0.99  # one comparison is not enough
+    assert jaccard_join.recall_reached([900, 90, 10], 20, 0.8) > 0.99
+    assert jaccard_join.recall_reached([300, 310, 10], 20, 0.8) < 0.99
+    assert jaccard_join.recall_reached([300, 100, 0], 20, 0.8) == 1.0
+    assert jaccard_join.recall_reached([0], 20, 0.8) == 1.0
+
+
+def test_a_leaf_proposes_no_square_of_its_sets():
+    import numpy as np
+
+    ids = np.arange(100, 164)
+    sketches = np.tile(np.arange(jaccard_join.COORDINATES, dtype=np.uint32), (64, 1))
+    sketches[np.arange(64), np.arange(64)] = 1000 + np.arange(64)  # all agree on 126 of 128
+    pairs = jaccard_join._leaf_links(ids, sketches)
+    assert len(pairs) <= jaccard_join.BEST * len(ids)
+    assert {b for _, b in pairs} == set(ids[1:].tolist()) and all(a < b for a, b in pairs)
