@@ -14,6 +14,10 @@ from riskloom.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
 from riskloom.llm.common import table
 
 
+#: Words that a worker holds when it encodes: executors are as large by then as the stages before have made them.
+WORDS_HELD = 50_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted to be toxic go; the model is learned from the labels of the documents at hand."""
     return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
@@ -36,7 +40,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (decimal, joined by blanks), n_tokens, ids_sha256, decoded_sha256 of every document that is left."""
-    encoded = bpe.encode_documents(docs)
+    encoded = bpe.encode_documents(docs, words_held=WORDS_HELD)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         "doc_id",

@@ -101,7 +101,7 @@ def is_space(char: str) -> bool:
 class Encoder:
     """A tokenizer with its stores of words and chunks."""
 
-    def __init__(self, vocabulary: str) -> None:
+    def __init__(self, vocabulary: str, words_held: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -110,7 +110,8 @@ class Encoder:
         self.tokenizer.no_padding()
         names = {i: name for name, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
-        self.words, self.chunks = Generations(WORDS_HELD), Generations(CHUNKS_HELD)
+        held = words_held or WORDS_HELD
+        self.words, self.chunks = Generations(held), Generations(max(1, CHUNKS_HELD * held // WORDS_HELD))
 
     def encode_words(self, words: list[str]) -> list[tuple[bytes, str]]:
         """(ids as 32-bit integers, decoding) of each word; those not held are encoded together."""
@@ -179,21 +180,21 @@ class Encoder:
         return b"".join(ids), " ".join([d for d in decoded if d])
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[tuple[int, int | None], Encoder] = {}
 
 
-def encoder(vocabulary: str) -> Encoder:
+def encoder(vocabulary: str, words_held: int | None = None) -> Encoder:
     """The worker's encoder of a vocabulary; its stores last until the worker turns to another operator."""
-    key = hash(vocabulary)
+    key = hash(vocabulary), words_held
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(vocabulary)
+        _encoders[key] = Encoder(vocabulary, words_held)
     hold(__name__, _encoders.clear)
     return _encoders[key]
 
 
-def _encode(batches, vocabulary: str) -> Iterator[pa.RecordBatch]:
-    worker = encoder(vocabulary)
+def _encode(batches, vocabulary: str, words_held: int | None = None) -> Iterator[pa.RecordBatch]:
+    worker = encoder(vocabulary, words_held)
     for batch in batches:
         for part in slices(batch.column("text")):
             at = cuts(part)
@@ -223,12 +224,16 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, ids, decoded. The vocabulary file is read on the driver and goes to the tasks; its size is fixed."""
+def encode_documents(docs: DataFrame, path: str | None = None, words_held: int | None = None) -> DataFrame:
+    """doc_id, ids, decoded. The vocabulary file is read on the driver and goes to the tasks; its size is fixed.
+
+    ``words_held`` bounds a generation of the store of words, about half a KB each, and that of chunks in proportion; smaller
+    stores cost time, not results.
+    """
     with open(path or vocabulary_path(), encoding="utf-8") as f:
         vocabulary = f.read()
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return in_arrow(rows, _encode, "doc_id long, ids array<int>, decoded string", vocabulary)
+    return in_arrow(rows, _encode, "doc_id long, ids array<int>, decoded string", vocabulary, words_held)
 
 
 def digests(encoded: DataFrame) -> DataFrame:

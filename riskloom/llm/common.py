@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import functools
+import gc
 import string
 from collections.abc import Callable
 
@@ -84,9 +87,25 @@ def hold(module: str, release: Callable[[], None]) -> None:
     _held[module] = release
 
 
+#: The module whose tasks the worker has run last.
+_last: list[str] = []
+
+
+def _turn_to(module: str) -> None:
+    """Let go of what other modules hold, and give the memory that they have freed back to the machine."""
+    for other in [m for m in _held if m != module]:
+        _held.pop(other)()
+    if _last == [module]:
+        return
+    if _last:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # glibc only
+            ctypes.CDLL(None).malloc_trim(0)
+    _last[:] = [module]
+
+
 def _call(fn, args, batches):
-    for module in [m for m in _held if m != fn.__module__]:
-        _held.pop(module)()
+    _turn_to(fn.__module__)
     for batch in fn(batches, *args):
         yield batch
         pa.default_memory_pool().release_unused()

@@ -465,3 +465,27 @@ def test_a_leaf_proposes_no_square_of_its_sets():
     pairs = jaccard_join._leaf_links(ids, sketches)
     assert len(pairs) <= jaccard_join.BEST * len(ids)
     assert {b for _, b in pairs} == set(ids[1:].tolist()) and all(a < b for a, b in pairs)
+
+
+def test_a_worker_frees_the_stores_of_other_operators(monkeypatch):
+    from riskloom.llm import common
+
+    freed = []
+    monkeypatch.setattr(common, "_held", {"a": lambda: freed.append("a")})
+    monkeypatch.setattr(common, "_last", ["a"])
+    common._turn_to("a")
+    assert not freed
+    common._turn_to("b")
+    assert freed == ["a"] and not common._held and common._last == ["b"]
+
+
+def test_the_size_of_the_store_of_words_changes_no_result():
+    from riskloom.llm.bpe import Encoder, vocabulary_path
+
+    vocabulary = open(vocabulary_path(), encoding="utf-8").read()
+    small, usual = Encoder(vocabulary, 10), Encoder(vocabulary)
+    for k in range(20):
+        data = prose(1400 + k, 80).encode()
+        assert small.encode(data, [len(data)]) == usual.encode(data, [len(data)])
+    assert len(small.words.young) <= 10 and len(small.words.old) <= 10
+    assert usual.words.size == bpe.WORDS_HELD
