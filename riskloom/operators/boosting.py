@@ -4,7 +4,7 @@ Features become small whole numbers once: numbers fall between quantiles, text b
 unknown. The coded table is stored, cut into blocks, and held by the executors next to the margin of every row. A level of
 a tree is one pass: each partition counts gradients by (node, feature, code), the sums of a node meet in one task, which
 picks the best split of it, and the driver receives the splits alone. What a partition sends is bounded by the shape of the
-model, what the driver receives by that of the tree.
+model, what the driver receives by that of the tree. Up to a few blocks, one task makes all passes by itself.
 Gradients are whole multiples of a small unit, so that sums do not depend on their order and a fit can be repeated.
 
 A split is a set of codes that go left. For numbers it is a prefix with the unknown on the side that gains more; for text,
@@ -42,7 +42,11 @@ RATE = 0.05
 DEPTH, LEAST_ROWS, LEAST_WEIGHT, CODES, SMOOTH = 5, 20, 1e-3, 64, 10.0
 #: Gradients are multiples of 1 / UNIT; rows of a block; the most tasks that pick the splits of a level; rounds between two
 #: checkpoints of the margins.
-UNIT, BLOCK_ROWS, FEW_PARTITIONS, EACH = 1 << 20, 1 << 16, 32, 25
+UNIT, BLOCK_ROWS, FEW_PARTITIONS, EACH = 1 << 20, 1 << 20, 32, 25
+#: Codes that one task goes through at most; cases and number of features that are counted together.
+BLOCK_CODES, MOST_CASES, MOST_JOINED = 1 << 25, 1 << 10, 8
+#: Blocks that one task goes through by itself: a level as a job costs more than counting them.
+ALONE = 4
 ACCURACY = 10_000
 
 
@@ -133,6 +137,46 @@ class Tree:
             at[who] = 2 * node + 2 - goes_left
 
 
+def joined(codes: np.ndarray) -> list[tuple[list[int], tuple[int, ...], np.ndarray]]:
+    """Features put together as long as their codes have few cases: (features, codes of each, the case of every row).
+
+    One count over the cases of several features, summed up by each of them, costs less than a count for each.
+    """
+    sizes = [int(k.max()) + 1 if k.size else 1 for k in codes]
+    groups: list[list[int]] = []
+    cases: list[int] = []
+    for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
+        place = next((i for i, c in enumerate(cases) if c * sizes[k] <= MOST_CASES and len(groups[i]) < MOST_JOINED), None)
+        if place is None:
+            groups.append([])
+            cases.append(1)
+            place = len(groups) - 1
+        groups[place].append(k)
+        cases[place] *= sizes[k]
+    out = []
+    for group in groups:
+        case = np.zeros(codes.shape[1], np.uint16)
+        for k in group:
+            case = case * np.uint16(sizes[k]) + codes[k]
+        out.append((group, tuple(sizes[k] for k in group), case))
+    return out
+
+
+def dealt(codes: np.ndarray, tree: Tree, held: dict[int, np.ndarray | None]) -> dict[int, np.ndarray | None]:
+    """The rows of each leaf or node not split yet, from those of nodes above; None stands for all rows."""
+    out, todo = {}, dict(held)
+    while todo:
+        node, rows = todo.popitem()
+        if tree.feature[node] < 0:
+            out[node] = rows
+            continue
+        code = codes[tree.feature[node]]
+        goes_left = tree.left[node].take(code if rows is None else code.take(rows))
+        for child, side in ((2 * node + 1, goes_left), (2 * node + 2, ~goes_left)):
+            todo[child] = np.flatnonzero(side) if rows is None else rows.compress(side)
+    return out
+
+
 @dataclass
 class Block:
     """Rows next to each other: codes by feature, label, weight, margin."""
@@ -141,27 +185,43 @@ class Block:
     label: np.ndarray
     weight: np.ndarray
     margin: np.ndarray
-
-    def advanced(self, tree: Tree) -> Block:
-        return Block(self.codes, self.label, self.weight, self.margin + tree.value[tree.leaf_of(self.codes)])
+    groups: list | None = None
+
+    def __post_init__(self) -> None:
+        if self.groups is None:
+            self.groups = joined(self.codes)
+
+    def advanced(self, tree: Tree, held: dict[int, np.ndarray | None] | None = None) -> Block:
+        """With the margins after a further tree; ``held`` has the rows of some of its nodes, if they are known."""
+        margin = self.margin.copy()
+        for node, rows in dealt(self.codes, tree, {0: None} if held is None else held).items():
+            margin[slice(None) if rows is None else rows] += tree.value[node]
+        return Block(self.codes, self.label, self.weight, margin, self.groups)
+
+    def gradients(self, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and curvature of rows, in whole units."""
+        margin, w, label = (x if rows is None else x.take(rows) for x in (self.margin, self.weight, self.label))
+        p = 1 / (1 + np.exp(-margin))
+        return np.rint(w * (p - label) * UNIT), np.rint(w * p * (1 - p) * UNIT)
+
+    def counted(self, rows: np.ndarray | None, g: np.ndarray, h: np.ndarray, width: int) -> np.ndarray:
+        """(gradient, curvature, rows; feature, code) sums of rows, whose gradients and curvatures are given."""
+        out = np.zeros((3, len(self.codes), width))
+        for group, sizes, case in self.groups:
+            key = (case if rows is None else case.take(rows)).astype(np.intp)
+            for j, x in enumerate((g, h, None)):
+                sums = np.bincount(key, x, int(np.prod(sizes))).reshape(sizes)
+                for axis, k in enumerate(group):
+                    out[j, k, : sizes[axis]] = sums.sum(axis=tuple(a for a in range(len(sizes)) if a != axis))
+        return out
 
     def sums(self, tree: Tree, nodes: np.ndarray) -> np.ndarray:
         """(gradient, curvature, rows; node, feature, code) of the given nodes, gradients in whole units."""
+        held = dealt(self.codes, tree, {0: None})
         width = tree.left.shape[1]
-        slot_of = np.full(len(tree.feature), -1)
-        slot_of[nodes] = np.arange(len(nodes))
-        slot = slot_of[tree.leaf_of(self.codes)]
-        use = slot >= 0
-        slot, codes = slot[use] * width, self.codes[:, use]
-        p = 1 / (1 + np.exp(-self.margin[use]))
-        w = self.weight[use]
-        g, h = np.rint(w * (p - self.label[use]) * UNIT), np.rint(w * p * (1 - p) * UNIT)
-        out = np.zeros((3, len(nodes), len(codes), width))
-        for k, code in enumerate(codes):
-            key = slot + code
-            for j, x in enumerate((g, h, None)):
-                out[j, :, k] = np.bincount(key, x, len(nodes) * width).reshape(len(nodes), width)
-        return out
+        none = np.zeros(0, np.intp)
+        parts = [held.get(node, none) for node in nodes.tolist()]
+        return np.stack([self.counted(rows, *self.gradients(rows), width) for rows in parts], axis=1)
 
 
 def _gain(g: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -453,14 +513,14 @@ def _blocks(codes: Codes, batches) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _merged(start: float):
-    """The stored rows of a partition as blocks of up to BLOCK_ROWS rows."""
+def _merged(start: float, most: int):
+    """The stored rows of a partition as blocks of up to ``most`` rows."""
 
     def blocks(rows) -> Iterator[Block]:
         held: list = []
         size = 0
         for r in rows:
-            if held and size + r["n"] > BLOCK_ROWS:
+            if held and size + r["n"] > most:
                 yield one(held)
                 held, size = [], 0
             held.append(r)
@@ -492,11 +552,15 @@ def fit(
         weights = [F.sum(F.col("_label") * F.col("_weight")), F.sum((1 - F.col("_label")) * F.col("_weight"))]
         ones, zeros, n = rows.agg(*weights, F.count(F.lit(1))).first()
         start = log(ones / zeros) if ones and zeros else 0.0
-        # A pass over few rows is all scheduling, so a task gets a whole block; with one block, it makes all passes.
-        blocks = stored.rdd.coalesce(max(1, -(-n // BLOCK_ROWS))).mapPartitions(_merged(start))
+        # A pass over few rows is all scheduling, so a task gets a whole block, and one task makes all passes over a few of
+        # them. Beyond that, there are as many tasks as keep all cores busy to the end of a pass.
+        most = max(1, min(BLOCK_ROWS, BLOCK_CODES // max(1, ALONE * len(features))))
+        alone, cores = n <= ALONE * most, spark.sparkContext.defaultParallelism
+        tasks = 1 if alone else -(-n // (most * cores)) * cores
+        blocks = stored.rdd.coalesce(tasks).mapPartitions(_merged(start, max(1, n) if alone else most))
         if not (ones and zeros):
             trees = []
-        elif n <= BLOCK_ROWS:
+        elif alone:
             trees = blocks.flatMap(lambda block: boosted(OneBlock(block), text, rounds, rate, depth, codes)).collect()
         else:
             if not spark.sparkContext.getCheckpointDir():
@@ -508,19 +572,40 @@ def fit(
 
 
 class OneBlock:
-    """All rows of a small fit: nothing has to meet."""
+    """All rows of a small fit: nothing has to meet, so what a level has found serves the next one."""
 
     def __init__(self, block: Block) -> None:
         self.block = block
+        self._begin()
+
+    def _begin(self) -> None:
+        self.held: dict[int, np.ndarray | None] = {0: None}
+        self.found: dict[int, np.ndarray] = {}
+        self.g, self.h = self.block.gradients()
+
+    def _counted(self, node: int, width: int) -> np.ndarray:
+        rows = self.held[node]
+        g, h = (x if rows is None else x.take(rows) for x in (self.g, self.h))
+        return self.block.counted(rows, g, h, width)
 
     def sums(self, tree: Tree, nodes: np.ndarray) -> np.ndarray:
-        return self.block.sums(tree, nodes)
+        """As those of the block. The larger side of a split is what the smaller one leaves of its node, as sums are whole."""
+        self.held = dealt(self.block.codes, tree, self.held)
+        width, above, self.found = tree.left.shape[1], self.found, {}
+        for node in sorted(nodes.tolist(), key=lambda node: tree.cover[node]):
+            sibling, parent = node + 1 if node % 2 else node - 1, (node - 1) // 2
+            if sibling in self.found and parent in above:
+                self.found[node] = above[parent] - self.found[sibling]
+            else:
+                self.found[node] = self._counted(node, width)
+        return np.stack([self.found[node] for node in nodes.tolist()], axis=1)
 
     def tree(self, text: Sequence[bool], depth: int, codes: int, rate: float) -> Tree:
         return grow(self.sums, text, depth, codes, rate)
 
     def advance(self, tree: Tree) -> None:
-        self.block = self.block.advanced(tree)
+        self.block = self.block.advanced(tree, self.held)
+        self._begin()
 
 
 class ManyBlocks:

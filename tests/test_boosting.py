@@ -121,6 +121,47 @@ def test_blocks_on_executors_grow_the_same_trees(rows, model, monkeypatch):
             assert np.allclose(x.value, y.value, atol=1e-9)
 
 
+def same_trees(model, other):
+    assert other.codes == model.codes and other.start == model.start and len(other.trees) == len(model.trees)
+    for x, y in zip(model.trees, other.trees):
+        assert (x.feature == y.feature).all() and (x.left == y.left).all() and (x.cover == y.cover).all() and (x.value == y.value).all()
+
+
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_fit_of_a_few_blocks_is_one_job_whatever_its_rounds(spark, rows, model, monkeypatch):
+    """From 65,537 rows on, each level was a job of its own."""
+    monkeypatch.setattr(B, "BLOCK_ROWS", 1000)  # three blocks
+    other, jobs = jobs_of(spark, "few rounds", lambda: B.fit(rows, FEATURES, LABEL, "w", rounds=3, rate=0.2))
+    fitted, more = jobs_of(spark, "all rounds", lambda: B.fit(rows, FEATURES, LABEL, "w", rounds=30, rate=0.2))
+    assert jobs == more
+    same_trees(model, fitted)
+    same_trees(B.TreeModel(model.codes, model.trees[:3], model.start), other)
+
+
+@pytest.mark.parametrize("features, codes", [(1, 64), (9, 5), (70, 1), (40, 64), (12, 256)])
+def test_sums_are_those_of_every_feature_by_itself(features, codes):
+    rng = np.random.default_rng(features)
+    coded = rng.integers(0, codes, (features, 500)).astype(np.uint8)
+    margin, weight, label = rng.normal(size=500), rng.random(500), (rng.random(500) < 0.3).astype(float)
+    block = B.Block(coded, label, weight, margin)
+    tree = B.Tree.empty(2, codes)
+    tree.feature[0], tree.left[0, : codes // 2] = 0, True
+    p = 1 / (1 + np.exp(-margin))
+    g, h = np.rint(weight * (p - label) * B.UNIT), np.rint(weight * p * (1 - p) * B.UNIT)
+    left = tree.left[0, coded[0]]
+    for sums, side in zip(np.moveaxis(block.sums(tree, np.array([1, 2])), 1, 0), (left, ~left)):
+        for k in range(features):
+            for j, x in enumerate((g, h, np.ones(500))):
+                assert (sums[j, k] == np.bincount(coded[k, side], x[side], codes)).all()
+
+
 def test_the_driver_receives_splits_and_no_sums(spark, rows, model, monkeypatch):
     """What the driver reads of a fit does not grow with the partitions that sum up gradients."""
     monkeypatch.setattr(B, "BLOCK_ROWS", 100)
